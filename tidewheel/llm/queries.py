@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewheel.llm.common import load
 from tidewheel.llm.decontamination import contamination, is_contaminated
+from tidewheel.llm.language_id import fit, identify
 from tidewheel.llm.line_dedup import dedup_lines
+from tidewheel.llm.sentencepiece_bpe import encode_decode
+from tidewheel.llm.simhash import near_copies
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def hexed(text):
@@ -24,4 +30,25 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("tw_lines").alias("n_lines"), F.col("tw_dropped").alias("n_dropped"), hexed("text").alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_line_dedup)}
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = encode_decode(load(spark, sf_dir, "documents"), PIECES)
+    return both.select("doc_id", F.col("tw_n").alias("n_tokens"), hexed("tw_ids").alias("ids_sha256"), hexed("tw_text").alias("decoded_sha256"))
+
+
+def held_out():
+    """A quarter of the ids; null ids aren't held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = fit(docs.where(~held_out()), PIECES)
+    return identify(docs, model, PIECES).select("doc_id", held_out().alias("held_out"), F.col("tw_lang").alias("lang_pred"), F.col("tw_score").alias("score"))
+
+
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_copies(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("tw_print")), 16, "0").alias("fingerprint"), F.col("tw_component").alias("component_id"))
+
+
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_line_dedup, op5_sentencepiece, op6_language_id, op10_simhash)}
