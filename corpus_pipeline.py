@@ -1,7 +1,83 @@
-"""The corpus pipeline."""
+"""From raw documents to training text: language ID, line dedup, near-dedup, decontamination, tokens.
+
+Each stage is (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame, which is
+written as Parquet and reread as the next one's docs. All but the last return the columns of documents;
+a stage that changes text brings n_chars up to date. Rows of equal or null ids are documents of their own.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewheel.llm.common import load, written
+from tidewheel.llm.decontamination import contamination, is_contaminated
+from tidewheel.llm.language_id import fit, identify
+from tidewheel.llm.line_dedup import dedup_lines
+from tidewheel.llm.queries import held_out
+from tidewheel.llm.sentencepiece_bpe import encode_decode
+from tidewheel.llm.simhash import near_copies
+
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without any language: null texts and those without a letter."""
+    found = identify(docs, fit(docs.where(~held_out()), PIECES), PIECES, keep=COLUMNS)
+    return found.where("tw_lang <> 'und'").select(*COLUMNS)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops lines that ten documents or more have; the documents stay, though some are left empty."""
+    kept = dedup_lines(docs, keep=("lang", "source"))
+    return kept.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each group of near copies.
+
+    Of equal rows one stays; rows that share an id but not their text stay apart, and so do documents
+    without an id, unless they are near copies of one that has an id.
+    """
+    found = near_copies(docs).where(F.col("doc_id").eqNullSafe(F.col("tw_component"))).select(F.col("doc_id").alias("tw_id"))
+    counts = written(found.groupBy("tw_id").agg(F.count("*").alias("n")), "stay")
+    same = lambda df: docs["doc_id"].eqNullSafe(df["tw_id"])
+    once, more = counts.where("n = 1"), counts.where("n > 1")
+    kept = docs.join(once, same(once), "left_semi").select(*COLUMNS)
+    if more.isEmpty():
+        return kept
+    return kept.unionByName(docs.join(more, same(more), "left_semi").select(*COLUMNS).distinct())
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents of which a twentieth or more lies in passages of the benchmark."""
+    found = contamination(docs, load(spark, sf_dir, "benchmark"), keep=("lang", "source", "n_chars"))
+    return found.where(~is_contaminated()).select(*COLUMNS)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every text, as ids in decimal, and the text they decode to."""
+    both = encode_decode(docs, PIECES, keep=("doc_id", "lang", "source"))
+    return both.select("doc_id", "lang", "source", F.col("tw_n").alias("n_tokens"), F.col("tw_ids").alias("ids"), F.col("tw_text").alias("decoded"))
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontaminate),
+    ("SentencePiece encoding and decoding", sentencepiece),
+]
+
+#: SQL has no SimHash components, learned languages or merges: tests hold the stages against brute force instead.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result is a table in the shared folder."""
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)
