@@ -6,14 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import load
+from tidewheel.llm.common import load, new_path
 from tidewheel.llm.decontamination import contamination, is_contaminated
 from tidewheel.llm.language_id import fit, identify
 from tidewheel.llm.line_dedup import dedup_lines
 from tidewheel.llm.sentencepiece_bpe import encode_decode
 from tidewheel.llm.simhash import near_copies
+from tidewheel.llm.token_counts import token_counts
+from tidewheel.llm.topk import top_k
+from tidewheel.llm.warc import read_archives, write_archives
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+#: Tokens above which a document is over the limit.
+LIMIT = 1024
 
 
 def hexed(text):
@@ -51,4 +57,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("tw_print")), 16, "0").alias("fingerprint"), F.col("tw_component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_line_dedup, op5_sentencepiece, op6_language_id, op10_simhash)}
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "warc")
+    write_archives(load(spark, sf_dir, "pages"), folder)
+    return read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts(load(spark, sf_dir, "documents"), BYTES)
+    return counts.select("doc_id", F.col("tw_bytes").alias("n_bytes"), F.col("tw_tokens").alias("n_tokens"), (F.col("tw_tokens") > LIMIT).alias("over_limit"))
+
+
+QUERIES = {f.__name__: f for f in (op2_decontamination, op3_line_dedup, op4_topk, op5_sentencepiece, op6_language_id, op8_warc, op9_token_counts, op10_simhash)}
