@@ -10,8 +10,10 @@ from tidewheel.llm.common import load, new_path
 from tidewheel.llm.decontamination import contamination, is_contaminated
 from tidewheel.llm.language_id import fit, identify
 from tidewheel.llm.line_dedup import dedup_lines
+from tidewheel.llm.pii import pseudonymise
 from tidewheel.llm.sentencepiece_bpe import encode_decode
 from tidewheel.llm.simhash import near_copies
+from tidewheel.llm.suffix_dedup import remove_repeats
 from tidewheel.llm.token_counts import token_counts
 from tidewheel.llm.topk import top_k
 from tidewheel.llm.warc import read_archives, write_archives
@@ -72,4 +74,21 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", F.col("tw_bytes").alias("n_bytes"), F.col("tw_tokens").alias("n_tokens"), (F.col("tw_tokens") > LIMIT).alias("over_limit"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontamination, op3_line_dedup, op4_topk, op5_sentencepiece, op6_language_id, op8_warc, op9_token_counts, op10_simhash)}
+#: The key of the pseudonyms; a deployment passes a secret of its own to pseudonymise().
+PSEUDONYM_KEY = "tidewheel-demo-key"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = pseudonymise(load(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return named.select("doc_id", F.col("tw_values").alias("n_values"), F.col("tw_text").alias("text"))
+
+
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(load(spark, sf_dir, "documents"))
+    return kept.select("doc_id", F.col("tw_bytes").alias("n_bytes"), F.col("tw_removed").alias("n_removed"), F.col("tw_spans").alias("n_spans"), hexed("tw_kept").alias("kept_sha256"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_pii, op2_decontamination, op3_line_dedup, op4_topk, op5_sentencepiece, op6_language_id, op7_suffix_dedup, op8_warc, op9_token_counts, op10_simhash)
+}
