@@ -43,16 +43,4 @@ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION
 SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
        CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
 FROM f""",
-    "op7_suffix_dedup": """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT doc_id, p, md5(substr(h, CAST(2 * p + 1 AS BIGINT), 200)) AS k FROM d, unnest(range(0, len(h) // 2 - 99)) AS t(p)),
-c AS (SELECT doc_id, p FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS r FROM w) WHERE r > 1),
-n AS (SELECT *, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 100 THEN 0 ELSE 1 END AS new FROM c),
-r AS (SELECT doc_id, min(p) AS a, max(p) + 100 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS g FROM n) GROUP BY doc_id, g),
-e AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM r),
-k AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
-             string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head FROM e JOIN d USING (doc_id) GROUP BY doc_id)
-SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
-FROM d LEFT JOIN k USING (doc_id)""",
 }
