@@ -30,10 +30,10 @@ def near_phrase(text: Column, phrase: str, slop: int = 1, distance: int = 1) ->
     words = phrase.lower().split()
     own = tokens(text)
     places = lambda w: F.filter(F.transform(own, lambda t, i: F.when(F.levenshtein(t, F.lit(w), distance) >= 0, i)), lambda i: i.isNotNull())
+    after = lambda last, here: F.filter(here, lambda i: F.exists(last, lambda j: (i > j) & (i <= j + 1 + slop)))
     now = places(words[0])
     for w in words[1:]:
-        last = now
-        now = F.filter(places(w), lambda i, last=last: F.exists(last, lambda j: (i > j) & (i <= j + 1 + slop)))
+        now = after(now, places(w))
     return F.size(now) > 0
 
 
