@@ -122,7 +122,8 @@ def split_notes(docs: DataFrame, key: str, text: str, ts: str, description: str,
     parts = F.split(F.col(text), MARK)
     marks = F.size(parts) - 1
     # where mark i (from 1) begins, counted from 0
-    starts = F.aggregate(F.sequence(F.lit(1), F.greatest(marks, F.lit(1))), F.array().cast("array<int>"), lambda a, i: F.concat(a, F.array(F.coalesce(F.element_at(F.slice(a, -1, 1), 1) + size, F.lit(0)) + F.length(F.element_at(parts, i.cast("int"))))) if False else F.concat(a, F.array(F.when(F.size(a) == 0, F.lit(0)).otherwise(F.try_element_at(a, F.lit(-1)) + size) + F.length(F.try_element_at(parts, i)))))
+    last_end = lambda a: F.when(F.size(a) == 0, F.lit(0)).otherwise(F.try_element_at(a, F.lit(-1)) + size)
+    starts = F.aggregate(F.sequence(F.lit(1), F.greatest(marks, F.lit(1))), F.array().cast("array<int>"), lambda a, i: F.concat(a, F.array(last_end(a) + F.length(F.try_element_at(parts, i)))))
     found = docs.where(F.col(text).isNotNull()).withColumn("tw_marks", marks).withColumn("tw_starts", starts)
 
     def entry(at: Column) -> Column:
