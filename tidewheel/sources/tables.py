@@ -88,9 +88,10 @@ def replace_keys(rows: DataFrame, path: str, key: str, buckets: int = 64) -> Non
     spark.read.parquet(aside).repartition("key_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(path)
 
 
-def read_keyed(spark: SparkSession, path: str, key: str, value: str | None = None, buckets: int = 64) -> DataFrame:
-    """The table, or one key's rows from its bucket alone."""
-    rows = spark.read.option("mergeSchema", "true").parquet(path)
+def read_keyed(spark: SparkSession, path: str, key: str, value: str | None = None, buckets: int = 64, schema: T.StructType | None = None) -> DataFrame:
+    """The table, or one key's rows from its bucket alone. A schema is needed only if the table may be empty."""
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(T.StructType([*schema.fields, T.StructField("key_bucket", T.IntegerType())]))
+    rows = reader.parquet(path)
     if value is not None:
         rows = rows.where((F.col("key_bucket") == bucket_of(spark, value, buckets)) & (F.col(key) == value))
     return rows.drop("key_bucket")
@@ -101,14 +102,17 @@ def bucket_of(spark: SparkSession, value: str, buckets: int) -> int:
 
 
 def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key: str, buckets: int = 64) -> None:
-    """Removes all rows of some keys; only their buckets are rewritten, and emptied ones are left empty."""
-    rows = spark.read.parquet(path)
-    touched = [r[0] for r in keys.select(bucket(key, buckets)).distinct().collect()]
-    kept = rows.where(F.col("key_bucket").isin(touched)).join(keys.select(key).distinct(), key, "left_anti")
-    rest = rows.where(~F.col("key_bucket").isin(touched))
+    """Removes all rows of some keys; only their buckets are rewritten, and folders that are left without rows go."""
+    touched = {r[0] for r in keys.select(bucket(key, buckets)).distinct().collect()}  # buckets of them at most
+    kept = spark.read.parquet(path).where(F.col("key_bucket").isin(list(touched))).join(keys.select(key).distinct(), key, "left_anti")
     aside = f"{path.rstrip('/')}-aside"
-    kept.unionByName(rest).write.mode("overwrite").partitionBy("key_bucket").parquet(aside)
-    spark.read.schema(rows.schema).parquet(aside).write.mode("overwrite").partitionBy("key_bucket").parquet(path)
+    kept.write.mode("overwrite").parquet(aside)
+    again = spark.read.schema(kept.schema).parquet(aside)
+    again.repartition("key_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(path)
+    jvm = spark.sparkContext._jvm
+    for empty in touched - {r[0] for r in again.select("key_bucket").distinct().collect()}:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/key_bucket={empty}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def as_json(rows: DataFrame) -> DataFrame:
