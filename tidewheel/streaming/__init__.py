@@ -1 +1 @@
-
+"""Features over event streams."""
