@@ -68,7 +68,7 @@ def byte_rows(column: pa.Array) -> list[bytes]:
     return [bytes(view[a:b]) for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
 
 
-def chunks(offs: np.ndarray, size: int = 4 << 20):
+def chunks(offs: np.ndarray, size: int = 1 << 20):
     """(first, last) row ranges of about size bytes, so that numpy work stays small whatever the batch holds."""
     first, n = 0, len(offs) - 1
     while first < n:

@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -30,7 +31,7 @@ from tidewheel.llm.common import written
 
 SAMPLE_DOCS, ROUNDS, WORD, SMOOTH, FLOOR = 2_000, 2, 32, 0.05, 1e-7
 #: Distinct words whose scores a worker keeps; beyond, it starts anew.
-CACHED = 300_000
+CACHED = 150_000
 _MARK = "▁"
 
 
@@ -55,8 +56,8 @@ class Lattice:
         sizes = np.fromiter(map(len, marked), np.int64, len(marked))
         self.base = np.concatenate([[0], np.cumsum(sizes + 1)])  # node base + p: the word's first p characters
         joined = "\n".join(marked)
-        found = np.fromiter((end << 32 | v for end, v in auto.iter(joined)), np.int64)
-        end, piece, length = (found >> 32) + 1, (found >> 8) & 0xFFFFFF, found & 0xFF
+        found = np.fromiter(chain.from_iterable(auto.iter(joined)), np.int64)
+        end, piece, length = found[::2] + 1, found[1::2] >> 8, found[1::2] & 0xFF
         known = np.zeros(len(joined) + 2, bool)
         known[end[length == 1]] = True
         known[self.base[1:]] = True  # the separators
