@@ -59,7 +59,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every text, as ids in decimal, and the text they decode to."""
-    both = encode_decode(docs, PIECES, keep=("doc_id", "lang", "source"))
+    both = encode_decode(docs, PIECES, keep=("doc_id", "lang", "source"), cached=150_000)  # workers also hold other stages' tables
     return both.select("doc_id", "lang", "source", F.col("tw_n").alias("n_tokens"), F.col("tw_ids").alias("ids"), F.col("tw_text").alias("decoded"))
 
 

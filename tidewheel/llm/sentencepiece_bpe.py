@@ -5,8 +5,8 @@ pieces that end at each place; a piece is the last token there if it may follow
 before it, that is, if the two, encoded together, stay the two. Ids are then read backwards from the end.
 
 No piece has its word mark anywhere but in front, so a text falls into chunks (marks, then a word) that encode
-alone, and a worker keeps the encodings of the chunks it has met. Characters outside the vocabulary become
-bytes. Encoding and then decoding are exactly the library's, for models with an identity normaliser.
+alone, and a worker keeps the encodings of the chunks it has met. The tables of all new chunks of some texts are
+filled together, place by place. Characters outside the vocabulary become bytes. Encoding and then decoding are exactly the library's, for models with an identity normaliser.
 
 Null text is the empty text, which has the end id alone. Texts of any length are encoded whole.
 """
@@ -16,8 +16,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -27,8 +29,9 @@ from pyspark.sql import types as T
 from tidewheel.llm.common import buffers, chunks
 
 _MARK = "▁"
-#: Chunks, and pairs of tokens, that a worker keeps; beyond, it starts anew.
-CACHED, PAIRS = 300_000, 2_000_000
+#: Chunks and pairs of tokens that a worker keeps (beyond, it starts anew), the longest chunk kept, and the bytes
+#: of text whose new chunks are encoded together.
+CACHED, PAIRS, LONGEST, TOGETHER = 450_000, 2_000_000, 48, 1 << 20
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -83,8 +86,16 @@ class Codec:
         apart = re.escape("".join(c for c in "\n\t\r" if c not in inside))
         self.chunks = re.compile(f"[{apart}]|{_MARK}*[^{_MARK}{apart}]+|{_MARK}+" if apart else f"{_MARK}*[^{_MARK}]+|{_MARK}+").findall
         self.single = {p for p in self.ids if len(p) == 1}
-        self.pairs: dict[int, bool] = {}
-        self.known = _Known(self)
+        self.pairs: dict[int, bool] = {}  # met since the last merge into the arrays
+        self.pair_keys, self.pair_fits = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.lengths = np.zeros(model.vocab_size(), np.int64)
+        for p, i in self.ids.items():
+            self.lengths[i] = len(p)
+        self.names = [str(i) for i in ids]
+        self.back = {i: b for b, i in self.bytes.items()}
+        # chunk -> its ids as text, or that and its decoded text where it differs from the chunk's own
+        self.known: dict[str, str | tuple[str, str]] = {}
+        self.limit = CACHED
 
     def merged(self, text: str) -> list[str]:
         """Plain merging, best score first and leftmost among equals; only for one token or two."""
@@ -108,7 +119,7 @@ class Codec:
         key = (before + 1) << 26 | after
         out = self.pairs.get(key)
         if out is None:
-            if len(self.pairs) > PAIRS:
+            if len(self.pairs) > PAIRS // 8:
                 self.pairs.clear()
             own = [self._token(after)] if before < 0 else [self._token(before), self._token(after)]
             out = self.pairs[key] = self.merged("".join(own)) == own
@@ -149,13 +160,12 @@ class Codec:
 
     def decoded(self, ids: list[int]) -> str:
         """The text of ids, with a space for each word mark; runs of bytes that are no UTF-8 become U+FFFD."""
-        parts, run, back = [], bytearray(), {i: b for b, i in self.bytes.items()} if len(ids) > 512 else None
+        parts, run = [], bytearray()
         for i in ids:
             piece = self.text.get(i)
             if piece is None:
-                b = back.get(i) if back is not None else next((b for b, x in self.bytes.items() if x == i), None)
-                if b is not None:
-                    run.append(b)
+                if i in self.back:
+                    run.append(self.back[i])
                 continue
             if run:
                 parts.append(run.decode("utf-8", "replace"))
@@ -167,50 +177,123 @@ class Codec:
     def encode(self, text: str) -> list[str]:
         return self.chunks(self.prefix + text.replace(" ", _MARK)) if text else []
 
-
-class _Known(dict):
-    """Chunk -> (number of ids, ids as text, decoded text)."""
-
-    def __init__(self, codec: Codec):
-        self.codec = codec
-
-    def __missing__(self, chunk: str) -> tuple[int, str, str]:
-        if len(self) > CACHED:
-            self.clear()
-        ids = self.codec.chunk_ids(chunk)
-        out = (len(ids), " ".join(map(str, ids)), self.codec.decoded(ids))
-        if len(chunk) <= 64:
-            self[chunk] = out
+    def one(self, chunk: str) -> str | tuple[str, str]:
+        ids = self.chunk_ids(chunk)
+        text, decoded = " ".join(map(self.names.__getitem__, ids)), self.decoded(ids)
+        return text if decoded == chunk.replace(_MARK, " ") else (text, decoded)
+
+    def _fit(self, keys: np.ndarray) -> np.ndarray:
+        """Which pairs may stand together."""
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), max(len(self.pair_keys) - 1, 0))
+        out = self.pair_fits[at] if len(self.pair_keys) else np.zeros(len(keys), bool)
+        new = np.flatnonzero(self.pair_keys[at] != keys) if len(self.pair_keys) else np.arange(len(keys))
+        if len(new):
+            names, back = np.unique(keys[new], return_inverse=True)
+            out[new] = np.array([self.fits((k >> 26) - 1, k & (1 << 26) - 1) for k in names.tolist()], bool)[back]
         return out
 
+    def learn(self, chunks_: set[str]) -> None:
+        """Encodes chunks not known yet, all prefix tables at once: step p settles every chunk's prefix of p characters."""
+        if len(self.known) > self.limit:
+            self.known.clear()
+        new = [c for c in chunks_ if c not in self.known and len(c) <= LONGEST]
+        plain = [c for c in new if self.single.issuperset(c)]
+        for c in new:
+            if not self.single.issuperset(c):
+                self.known[c] = self.one(c)
+        if not plain:
+            return
+        sizes = np.fromiter(map(len, plain), np.int64, len(plain))
+        base = np.cumsum(sizes + 1) - sizes - 1  # node base + p: a chunk's first p characters
+        found = np.fromiter(chain.from_iterable(self.auto.iter("\n".join(plain))), np.int64)
+        node, token, length = found[::2] + 1, found[1::2] >> 8, found[1::2] & 0xFF
+        at = node - base[np.searchsorted(base, node, side="right") - 1]
+        order = np.argsort(at.astype(np.uint8), kind="stable")
+        node, token, start = node[order], token[order], (node - length)[order]
+        steps = np.searchsorted(at[order], np.arange(1, int(sizes.max()) + 2))
+        last = np.full(int(base[-1] + sizes[-1]) + 2, -2, np.int64)
+        last[base] = -1
+        for a, b in zip(steps[:-1].tolist(), steps[1:].tolist()):
+            before = last[start[a:b]]
+            some = a + np.flatnonzero(before != -2)
+            fit = some[self._fit((before[some - a] + 1) << 26 | token[some])]
+            last[node[fit]] = token[fit]
+        if len(self.pairs) > 20_000:
+            self._settle()
+        # ids backwards
+        now, rows = base + sizes, []
+        live = np.arange(len(plain))
+        while len(live):
+            own = last[now[live]]
+            row = np.full(len(plain), -1, np.int64)
+            row[live] = own
+            rows.append(row)
+            now[live] -= self.lengths[own]
+            live = live[now[live] > base[live]]
+        counts = (np.stack(rows) >= 0).sum(axis=0).tolist()
+        names, text, known = self.names.__getitem__, self.text.__getitem__, self.known
+        for chunk, n, ids in zip(plain, counts, np.stack(rows, axis=1).tolist()):
+            ids = ids[n - 1 :: -1]
+            if "".join(map(text, ids)) != chunk:
+                raise AssertionError(f"the pieces of {chunk!r} don't spell it")
+            known[chunk] = " ".join(map(names, ids))
+
+    def _settle(self) -> None:
+        """Moves the pairs met lately into the sorted arrays."""
+        if len(self.pair_keys) > PAIRS:
+            self.pair_keys, self.pair_fits = self.pair_keys[:0], self.pair_fits[:0]
+        keys = np.concatenate([self.pair_keys, np.fromiter(self.pairs, np.int64, len(self.pairs))])
+        fits = np.concatenate([self.pair_fits, np.fromiter(self.pairs.values(), bool, len(self.pairs))])
+        self.pair_keys, first = np.unique(keys, return_index=True)
+        self.pair_fits = fits[first]
+        self.pairs.clear()
+
+    def encoded(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
+        """(ids, decoded text) of each text; ids in decimal with a space between, without an end id."""
+        split = [self.encode(t) if t else [] for t in texts]
+        self.learn(set().union(*split))
+        known, drop = self.known, len(self.prefix)
+        for own in split:
+            try:
+                found = [known[c] for c in own]
+            except KeyError:  # very long chunks aren't kept
+                found = [known[c] if c in known else self.one(c) for c in own]
+            try:
+                yield " ".join(found), "".join(own).replace(_MARK, " ")[drop:]
+            except TypeError:
+                text = [c.replace(_MARK, " ") if isinstance(f, str) else f[1] for c, f in zip(own, found)]
+                yield " ".join(f if isinstance(f, str) else f[0] for f in found), "".join(text)[drop:]
+
 
 @lru_cache(maxsize=2)
 def codec(model_file: str) -> Codec:
     return Codec(model_file)
 
 
-def _both(model_file: str, names: list[str]):
+def _both(model_file: str, names: list[str], cached: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model_file)
-        get, drop = own.known.__getitem__, len(own.prefix)
+        own.limit = cached
+        end = str(own.end)
         for batch in batches:
             offs, _ = buffers(batch.column(0))
-            for a, b in chunks(offs):
+            for a, b in chunks(offs, TOGETHER):
                 n, ids, texts = [], [], []
-                for text in batch.column(0).slice(a, b - a).to_pylist():
-                    found = list(map(get, own.encode(text))) if text else []
-                    counts, parts, back = zip(*found) if found else ((), (), ())
-                    n.append(sum(counts) + 1)
-                    ids.append(" ".join([*parts, str(own.end)]))
-                    texts.append("".join(back)[drop:])
+                for found, text in own.encoded(batch.column(0).slice(a, b - a).to_pylist()):
+                    ids.append(f"{found} {end}" if found else end)
+                    n.append(ids[-1].count(" ") + 1)
+                    texts.append(text)
                 rest = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*rest.columns[1:], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())], names)
 
     return run
 
 
-def encode_decode(docs: DataFrame, model_file: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns in keep, tw_n (ids, the end id included), tw_ids (decimal, one space between) and tw_text (decoded)."""
+def encode_decode(docs: DataFrame, model_file: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), cached: int = CACHED) -> DataFrame:
+    """The columns in keep, tw_n (ids, the end id included), tw_ids (decimal, one space between) and tw_text (decoded).
+
+    cached: chunks that a worker keeps, about 200 bytes each; it changes the time taken only.
+    """
     wide = docs.select(F.col(text_col).alias("tw_in"), *keep)
     schema = T.StructType([*wide.schema.fields[1:], T.StructField("tw_n", T.LongType()), T.StructField("tw_ids", T.StringType()), T.StructField("tw_text", T.StringType())])
-    return wide.mapInArrow(_both(model_file, schema.names), schema)
+    return wide.mapInArrow(_both(model_file, schema.names, cached), schema)
