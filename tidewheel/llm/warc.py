@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.llm.common import byte_rows, tasks, written
+from tidewheel.llm.common import byte_rows, written
 
 REVISIT, SALTS = 100, 16
 #: Payload bytes an archive gathers, of which so many train a dictionary of at most so many bytes.
@@ -105,9 +105,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     """Writes folder/*.warc.zst; returns (archive, records, bytes) for each, read back from a written table.
 
     Payloads are compared by digest in narrow rows, dealt with a salt, so that a payload that a third of the
-    pages share does not meet in one task; the pages themselves are dealt by their id once.
+    pages share does not meet in one task; the pages themselves are dealt by that join once, at most.
     """
-    spark = pages.sparkSession
     text = F.coalesce(F.col(payload_col).cast("string"), F.lit(""))
     wide = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), text.alias("html"), F.octet_length(text).cast("long").alias("size"), F.sha2(text, 256).alias("digest"))
     narrow = wide.where(F.col("size") >= REVISIT).select("page_id", "digest")
@@ -117,7 +116,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     again = narrow.select("page_id", "digest", salt).join(several, ["digest", "salt"]).where(~F.col("page_id").eqNullSafe(F.col("first"))).select(F.col("page_id").alias("again_id"), F.col("digest").alias("again"), "first").distinct()
     joined = wide.join(again, wide["page_id"].eqNullSafe(again["again_id"]) & (wide["digest"] == again["again"]), "left")
     stored = joined.select("page_id", "url", F.when(F.col("first").isNull(), F.col("html")).otherwise("").alias("html"), "size", "digest", "first")
-    dealt = stored.repartition(tasks(spark), "page_id", "digest").sortWithinPartitions("page_id", "digest", "url")
+    dealt = stored.sortWithinPartitions("page_id", "digest", "url")
     uri = folder if "://" in folder else folder.replace("file:", "", 1)
     store, top = pyarrow.fs.FileSystem.from_uri(uri)
     store.create_dir(top)
