@@ -96,9 +96,12 @@ _NO_ID = np.iinfo(np.int64).min
 
 
 def drop_copies(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(the earliest of each segment, the others), by anchor."""
+    """(the earliest of each segment, the others), by anchor; equal records are one."""
     order = np.lexsort((found["lo"], found["row"], found["id"], found["segment"], found["anchor"]))
     found = found[order]
+    same = np.zeros(len(found), bool)
+    same[1:] = np.logical_and.reduce([found[c][1:] == found[c][:-1] for c in ("anchor", "segment", "id", "row", "lo")])
+    found = found[~same]
     again = np.zeros(len(found), bool)
     again[1:] = (found["anchor"][1:] == found["anchor"][:-1]) & (found["segment"][1:] == found["segment"][:-1])
     return found[~again], found[again]
