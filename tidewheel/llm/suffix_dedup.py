@@ -368,7 +368,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     row = F.xxhash64(text_col) if not clash.isEmpty() else F.lit(0).cast("long")
     wide = docs.select(F.col(id_col).cast("long").alias("tw_id"), row.alias("tw_row"), F.col(text_col).alias("tw_text"), F.col(id_col), *rest)
     size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    buckets, parts = max(1, -(-size // BUCKET)), tasks(spark)
+    parts = tasks(spark)
+    buckets = max(2 * parts, -(-size // BUCKET))
     found = wide.select("tw_id", "tw_row", "tw_text").mapInArrow(_collect(buckets), _DEALT)
     first = written(found.repartition(max(parts, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(_resolve, _DEALT), "repeats")
     same = lambda a, b: F.coalesce(a["tw_id"], F.lit(_NO_ID)).eqNullSafe(b["id"]) & (a["tw_row"] == b["row"])
