@@ -80,8 +80,13 @@ class Codec:
         self.text = {i: p for p, i in self.ids.items()}
         self.auto = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for p, i in self.ids.items():
-            self.auto.add_word(p, i << 8 | len(p))
+            if len(p) > 1:
+                self.auto.add_word(p, i << 8 | len(p))
         self.auto.make_automaton()
+        self.of_code = np.full(0x110000, -1, np.int32)  # the piece that is one character
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.of_code[ord(p)] = i
         inside = set("".join(p for p in self.ids if len(p) > 1))
         apart = re.escape("".join(c for c in "\n\t\r" if c not in inside))
         self.chunks = re.compile(f"[{apart}]|{_MARK}*[^{_MARK}{apart}]+|{_MARK}+" if apart else f"{_MARK}*[^{_MARK}]+|{_MARK}+").findall
@@ -130,10 +135,8 @@ class Codec:
         n = len(chunk)
         last, fits, pairs = [-2] * (n + 1), self.fits, self.pairs
         last[0] = -1
-        matches = self.auto.iter(chunk)
-        if not self.single.issuperset(chunk):
-            matches = sorted([*matches, *((i, 1 << 24 << 8 | ord(c) << 8 | 1) for i, c in enumerate(chunk) if c not in self.single)])
-        for end, found in matches:
+        single = ((i, (self.ids[c] if c in self.ids else 1 << 24 | ord(c)) << 8 | 1) for i, c in enumerate(chunk))
+        for end, found in sorted([*self.auto.iter(chunk), *single]):
             end += 1
             if last[end] == -2:
                 before = last[end - (found & 255)]
@@ -205,8 +208,14 @@ class Codec:
             return
         sizes = np.fromiter(map(len, plain), np.int64, len(plain))
         base = np.cumsum(sizes + 1) - sizes - 1  # node base + p: a chunk's first p characters
-        found = np.fromiter(chain.from_iterable(self.auto.iter("\n".join(plain))), np.int64)
-        node, token, length = found[::2] + 1, found[1::2] >> 8, found[1::2] & 0xFF
+        joined = "\n".join(plain)
+        found = np.fromiter(chain.from_iterable(self.auto.iter(joined)), np.int64)
+        single = self.of_code[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
+        single[base[1:] - 1] = -1  # the separators
+        places = np.flatnonzero(single >= 0)
+        node = np.concatenate([places, found[::2]]) + 1
+        token = np.concatenate([single[places], found[1::2] >> 8])
+        length = np.concatenate([np.ones(len(places), np.int64), found[1::2] & 0xFF])
         at = node - base[np.searchsorted(base, node, side="right") - 1]
         order = np.argsort(at.astype(np.uint8), kind="stable")
         node, token, start = node[order], token[order], (node - length)[order]
