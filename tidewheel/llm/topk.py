@@ -78,11 +78,11 @@ def _ints(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.int64)
 
 
-_ROWS = "kind int, part int, ids binary, data binary, floors binary, query_id long, vec_id long, score long"
+_ROWS = "kind int, part long, ids binary, data binary, floors binary, query_id long, vec_id long, score long"
 
 
 def _rows(kinds: list[int], **columns: list) -> pa.RecordBatch:
-    types = {"part": pa.int32(), "ids": pa.binary(), "data": pa.binary(), "floors": pa.binary(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
+    types = {"part": pa.int64(), "ids": pa.binary(), "data": pa.binary(), "floors": pa.binary(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
     return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), *(pa.array(columns.get(c, [None] * len(kinds)), t) for c, t in types.items())], ["kind", *types])
 
 
@@ -133,15 +133,20 @@ def _groups(width: int, k: int):
 
 def _search(width: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by (to, kind): a group, then the chunks that are run over it."""
-        group = None
+        """Rows sorted by (to, kind): the groups of one range (one, or a few if it came out long), then the chunks run over them."""
+        now, groups = None, {}
         for batch in batches:
+            to, kind, part = (batch.column(c).to_pylist() for c in range(3))
             for i in range(batch.num_rows):
-                ids, data = _ints(batch.column(2)[i].as_py()), _ints(batch.column(3)[i].as_py()).reshape(-1, width)
-                if batch.column(1)[i].as_py() == 0:
-                    group = Group(ids, data)
-                else:
-                    found = group.search(ids, data, _ints(batch.column(4)[i].as_py()), k)
+                if to[i] != now:
+                    now, groups = to[i], {}
+                ids, data = _ints(batch.column(3)[i].as_py()), _ints(batch.column(4)[i].as_py()).reshape(-1, width)
+                if kind[i] == 0:
+                    groups[part[i]] = Group(ids, data)
+                    continue
+                floors = _ints(batch.column(5)[i].as_py())
+                for own, group in groups.items():
+                    found = group.search(ids, data, floors, k) if own != part[i] else ((),)
                     if len(found[0]):
                         yield pa.RecordBatch.from_arrays([pa.array(ids[found[0]]), pa.array(found[1]), pa.array(found[2])], ["query_id", "vec_id", "score"])
 
@@ -163,12 +168,11 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     parts = max(1, min(tasks(spark), -(-n // 2048)), -(-n // GROUP))
     ordered = ints.withColumn("order", strongest).repartitionByRange(parts, "order", "id").sortWithinPartitions("order", "id").select("id", "v", "query")
     made = written(ordered.mapInArrow(_groups(width, k), _ROWS), "groups")
-    groups = made.where("kind = 0").select(F.col("part").alias("to"), "kind", "ids", "data", "floors")
-    names = groups.select("to")
     # every chunk of queries is run over every other group: blocks of queries against blocks of rows
-    asked = made.where("kind = 1").withColumn("to", F.explode(F.lit([r[0] for r in names.collect()]).cast("array<int>"))) if n else made.where("kind = 1").withColumn("to", F.col("part"))
-    asked = asked.where("to <> part").select("to", "kind", "ids", "data", "floors")
-    dealt = groups.unionByName(asked).repartition(max(1, parts), "to").sortWithinPartitions("to", "kind")
+    columns = ("to", "kind", "part", "ids", "data", "floors")
+    groups = made.where("kind = 0").withColumn("to", F.shiftright("part", 16)).select(*columns)
+    asked = made.where("kind = 1").withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(*columns)
+    dealt = groups.unionByName(asked).repartition(parts, "to").sortWithinPartitions("to", "kind")
     others = dealt.mapInArrow(_search(width, k), "query_id long, vec_id long, score long")
     all_ = made.where("kind = 2").select("query_id", "vec_id", "score").unionByName(others)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
