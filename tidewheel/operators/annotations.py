@@ -154,7 +154,7 @@ def export_to_rows(exports: DataFrame, column: str = "value") -> DataFrame:
 
 
 def rows_to_export(rows: DataFrame) -> DataFrame:
-    """value: one JSON text a project, the inverse of export_to_rows."""
+    """value: one JSON text a document, with its project's name around it; the inverse of export_to_rows."""
     meta = F.transform_values("meta", lambda k, v: F.struct(k.alias("name"), v.alias("value")))
     ann = F.struct(F.col("annotation_id").alias("id"), "cui", "value", "start", "end", "correct", meta.alias("meta_anns"))
     docs = rows.groupBy("project", "document_id", "document_name", "text").agg(F.sort_array(F.collect_list(F.struct("annotation_id", F.to_json(ann).alias("j")))).alias("l"))
@@ -162,8 +162,7 @@ def rows_to_export(rows: DataFrame) -> DataFrame:
     quoted = lambda c: F.to_json(F.struct(F.col(c).alias("x")))
     inner = lambda c: F.substring(quoted(c), F.lit(6), F.length(quoted(c)) - 6)
     doc = F.concat(F.lit('{"id":'), F.col("document_id").cast("string"), F.lit(',"name":'), inner("document_name"), F.lit(',"text":'), inner("text"), F.lit(',"annotations":['), F.array_join("l", ","), F.lit("]}"))
-    projects = docs.select("project", "document_id", doc.alias("j")).groupBy("project").agg(F.sort_array(F.collect_list(F.struct("document_id", "j"))).alias("l"))
-    return projects.select(F.concat(F.lit('{"projects":[{"name":'), inner("project"), F.lit(',"documents":['), F.array_join(F.transform("l", lambda x: x["j"]), ","), F.lit("]}]}")).alias("value"))
+    return docs.select(F.concat(F.lit('{"projects":[{"name":'), inner("project"), F.lit(',"documents":['), doc, F.lit("]}]}")).alias("value"))
 
 
 def unique_names(docs: DataFrame, name: str, text: str, order: str) -> DataFrame:

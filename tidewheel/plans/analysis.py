@@ -127,29 +127,52 @@ def annotate_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, sf_dir).annotations().select("doc_id", "position", "word", "cui", "pretty_name")
 
 
-def _nested(t: Tables) -> DataFrame:
+def _nested(t: Tables, which: str = "true") -> DataFrame:
     """Documents with their annotations as the annotator's JSON."""
-    a = t.annotations().where("doc_id < 200")
+    a = t.annotations().where(which)
     meta = F.create_map(F.lit("Time"), F.struct(F.col("Time_Value").alias("value"), F.col("acc").alias("confidence")), F.lit("Subject"), F.struct(F.col("Subject_Value").alias("value"), F.col("acc").alias("confidence")))
     entity = F.struct(F.concat(F.lit("e"), F.col("position")).alias("key"), F.struct(F.col("cui").cast("string").alias("cui"), "pretty_name", F.col("word").alias("source_value"), "acc", F.col("position").cast("int").alias("start"), (F.col("position") + F.length("word")).cast("int").alias("end"), meta.alias("meta_anns")).alias("value"))
     g = a.groupBy("doc_id").agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(entity)).alias("entities"))).alias("entities"))
     return t.documents().join(g, "doc_id")
 
 
-@query(with_tables("anns", """SELECT anns.doc_id, position AS start, CAST(cui AS VARCHAR) AS cui, acc, Time_Value, Subject_Value, sha256(substr(text, CAST(greatest(position - 10, 0) + 1 AS BIGINT), CAST(position + length(word) + 10 - greatest(position - 10, 0) AS BIGINT))) AS sample
-FROM anns JOIN docs ON anns.doc_id = docs.doc_id WHERE anns.doc_id < 200"""))
-def flatten_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.flatten(_nested(Tables(spark, sf_dir)), "doc_id", "text", "entities", (), 10)
+_FLAT = """SELECT anns.doc_id, position AS start, CAST(cui AS VARCHAR) AS cui, acc, Time_Value, Subject_Value, sha256(substr(text, CAST(greatest(position - 10, 0) + 1 AS BIGINT), CAST(position + length(word) + 10 - greatest(position - 10, 0) AS BIGINT))) AS sample
+FROM anns JOIN docs ON anns.doc_id = docs.doc_id"""
+
+
+def _flat(nested: DataFrame) -> DataFrame:
+    rows = A.flatten(nested, "doc_id", "text", "entities", (), 10)
     return rows.select("doc_id", F.col("start").cast("long").alias("start"), "cui", "acc", "Time_Value", "Subject_Value", F.sha2("text_sample", 256).alias("sample"))
 
 
-@query(with_tables("anns", f"SELECT doc_id, position, target FROM anns JOIN ({_CODES}) ON cui = concept_id WHERE doc_id < 200"))
-def annotations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = A.flatten(_nested(Tables(spark, sf_dir)), "doc_id", "text", "entities", ("client_id", "ts")).na.drop(subset=["client_id", "ts"])
+@query(with_tables("anns", _FLAT + " WHERE anns.doc_id < 200"))
+def flatten_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 200 documents only, as its SQL says; flatten_annotations_whole takes all."""
+    return _flat(_nested(Tables(spark, sf_dir), "doc_id < 200"))
+
+
+@query(with_tables("anns", _FLAT))
+def flatten_annotations_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _flat(_nested(Tables(spark, sf_dir)))
+
+
+def _coded(spark: SparkSession, nested: DataFrame) -> DataFrame:
+    flat = A.flatten(nested, "doc_id", "text", "entities", ("client_id", "ts")).na.drop(subset=["client_id", "ts"])
     rows = flat.withColumn("cui", F.col("cui").try_cast("long"))
     return J.join_codes(rows, _codes(spark), inner=True).select("doc_id", F.col("start").cast("long").alias("position"), "target")
 
 
+@query(with_tables("anns", f"SELECT doc_id, position, target FROM anns JOIN ({_CODES}) ON cui = concept_id WHERE doc_id < 200"))
+def annotations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 200 documents only, as its SQL says; annotations_table_whole takes all."""
+    return _coded(spark, _nested(Tables(spark, sf_dir), "doc_id < 200"))
+
+
+@query(with_tables("anns", f"SELECT doc_id, position, target FROM anns JOIN ({_CODES}) ON cui = concept_id"))
+def annotations_table_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coded(spark, _nested(Tables(spark, sf_dir)))
+
+
 @query(with_tables("anns note_anns", """SELECT 'documents' AS annotation_batch_source, doc_id AS document_guid, position, strftime(ts, '%Y-%m-%d') AS day FROM anns UNION ALL SELECT 'notes', doc_id, position, strftime(ts, '%Y-%m-%d') FROM note_anns"""))
 def merged_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
@@ -245,25 +268,46 @@ def split_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "chunk", F.sha2("text", 256).alias("text"), stamp(F.col("ts")).alias("ts"), "description")
 
 
-def _rows(t: Tables) -> DataFrame:
-    a = t.annotations().where("doc_id < 300")
+def _rows(t: Tables, which: str = "true") -> DataFrame:
+    a = t.annotations().where(which)
     meta = F.create_map(F.lit("Time"), F.col("Time_Value"), F.lit("Presence"), F.col("Presence_Value"))
     return a.select(F.concat(F.lit("project "), F.col("doc_id") % 4).alias("project"), F.col("doc_id").alias("document_id"), F.concat(F.lit('doc "'), F.col("doc_id"), F.lit('"')).alias("document_name"), F.concat(F.lit("text\n"), F.col("doc_id")).alias("text"), F.col("tie").alias("annotation_id"), F.col("cui").cast("string").alias("cui"), F.col("word").alias("value"), F.col("position").cast("int").alias("start"), (F.col("position") + 1).cast("int").alias("end"), (F.col("acc") > 0.5).alias("correct"), meta.alias("meta"))
 
 
-_EXPORTED = """SELECT 'project ' || (doc_id % 4) AS project, doc_id AS document_id, 'doc "' || doc_id || '"' AS document_name, tie AS annotation_id, CAST(cui AS VARCHAR) AS cui, word AS value, acc > 0.5 AS correct, Time_Value AS time FROM anns WHERE doc_id < 300"""
+_EXPORTED = """SELECT 'project ' || (doc_id % 4) AS project, doc_id AS document_id, 'doc "' || doc_id || '"' AS document_name, tie AS annotation_id, CAST(cui AS VARCHAR) AS cui, word AS value, acc > 0.5 AS correct, Time_Value AS time FROM anns"""
 
 
-@query(with_tables("anns", _EXPORTED))
+def _read_back(rows: DataFrame) -> DataFrame:
+    back = A.export_to_rows(A.rows_to_export(rows))
+    return back.select("project", "document_id", "document_name", "annotation_id", "cui", "value", "correct", F.col("meta")["Time"].alias("time"))
+
+
+@query(with_tables("anns", _EXPORTED + " WHERE doc_id < 300"))
 def export_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.export_to_rows(A.rows_to_export(_rows(Tables(spark, sf_dir))))
-    return rows.select("project", "document_id", "document_name", "annotation_id", "cui", "value", "correct", F.col("meta")["Time"].alias("time"))
+    """The first 300 documents only, as its SQL says; export_to_rows_whole takes all."""
+    return _read_back(_rows(Tables(spark, sf_dir), "doc_id < 300"))
+
+
+@query(with_tables("anns", _EXPORTED))
+def export_to_rows_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _read_back(_rows(Tables(spark, sf_dir)))
+
+
+def _exported(rows: DataFrame) -> DataFrame:
+    j = A.rows_to_export(rows).select(F.explode(F.from_json("value", A.EXPORT)["projects"]).alias("p"))
+    own = F.aggregate("p.documents", F.lit(0).cast("long"), lambda s, d: s + F.size(d["annotations"]))
+    return j.groupBy(F.col("p.name").alias("project")).agg(F.sum(F.size("p.documents")).alias("documents"), F.sum(own).alias("annotations"))
 
 
 @query(with_tables("anns", "SELECT 'project ' || (doc_id % 4) AS project, count(DISTINCT doc_id) AS documents, count(*) AS annotations FROM anns WHERE doc_id < 300 GROUP BY 1"))
 def rows_to_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = A.rows_to_export(_rows(Tables(spark, sf_dir))).select(F.explode(F.from_json("value", A.EXPORT)["projects"]).alias("p"))
-    return j.select("p.name", "p.documents").select(F.col("name").alias("project"), F.size("documents").cast("long").alias("documents"), F.aggregate("documents", F.lit(0).cast("long"), lambda s, d: s + F.size(d["annotations"])).alias("annotations"))
+    """The first 300 documents only, as its SQL says; rows_to_export_whole takes all."""
+    return _exported(_rows(Tables(spark, sf_dir), "doc_id < 300"))
+
+
+@query(with_tables("anns", "SELECT 'project ' || (doc_id % 4) AS project, count(DISTINCT doc_id) AS documents, count(*) AS annotations FROM anns GROUP BY 1"))
+def rows_to_export_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exported(_rows(Tables(spark, sf_dir)))
 
 
 @query(with_tables("docs", "SELECT CASE WHEN r = 0 THEN description ELSE description || '_' || r END AS name, size FROM (SELECT description, length(text) AS size, row_number() OVER (PARTITION BY description ORDER BY doc_id) - 1 AS r FROM docs)"))
