@@ -32,3 +32,19 @@ def test_all_documents_exported(spark):
     a = Tables(spark, SF).annotations()
     got = {r["project"]: (r["documents"], r["annotations"]) for r in QUERIES["rows_to_export_whole"](spark, SF).collect()}
     assert sum(d for d, _ in got.values()) == a.select("doc_id").distinct().count() and sum(n for _, n in got.values()) == a.count()
+
+
+def test_whole_notes_are_split(spark):
+    """Every document, and a chunk for each 100 characters but the last."""
+    got = {r["doc_id"]: r["n"] for r in QUERIES["split_notes_whole"](spark, SF).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    docs = Tables(spark, SF).documents().where("text is not null").select("doc_id", F.length("text").alias("size")).collect()
+    want = {r["doc_id"]: 1 if r["doc_id"] % 10 == 0 or r["size"] <= 100 else -(-r["size"] // 100) - 1 for r in docs}
+    assert got == want and max(want.values()) > 300
+
+
+def test_marks_side_by_side(spark):
+    day, mark = "05-Jan-2024 08:30", "Entered on -"
+    text = f"a {mark} {day}{mark} {day} {mark}{mark} {day}x tail"
+    df = spark.createDataFrame([(1, text)], "id long, text string").selectExpr("id", "text", "timestamp_ntz'2024-02-01 00:00:00' as ts", "'d' as d")
+    got = [r["text"] for r in A.split_notes(df, "id", "text", "ts", "d").orderBy("chunk").collect()]
+    assert got == [f"a {mark} {day}E", f"ntered on - {day} ", "", f"{mark}{mark} {day}x"]

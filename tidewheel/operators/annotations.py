@@ -118,27 +118,30 @@ def split_notes(docs: DataFrame, key: str, text: str, ts: str, description: str,
     time and ends at the mark, where the next one starts. Text after the last mark is dropped. Notes without a mark,
     and notes with a date that is none, pass through unsplit (chunk null).
     """
-    size = len(MARK)
-    parts = F.split(F.col(text), MARK)
-    marks = F.size(parts) - 1
-    # where mark i (from 1) begins, counted from 0
-    last_end = lambda a: F.when(F.size(a) == 0, F.lit(0)).otherwise(F.try_element_at(a, F.lit(-1)) + size)
-    starts = F.aggregate(F.sequence(F.lit(1), F.greatest(marks, F.lit(1))), F.array().cast("array<int>"), lambda a, i: F.concat(a, F.array(last_end(a) + F.length(F.try_element_at(parts, i)))))
-    found = docs.where(F.col(text).isNotNull()).withColumn("tw_marks", marks).withColumn("tw_starts", starts)
-
-    def entry(at: Column) -> Column:
-        near = F.substring(F.col(text), at + size + 1, F.lit(window))
+    def entry(piece: Column, k: Column) -> Column:
+        """What follows mark k: its date, and how many characters of the piece the entry takes (null without a date)."""
+        near = F.substring(piece, 1, window)
         hit = F.regexp_extract(near, DATE, 1)
-        end = at + size + F.instr(near, hit) - 1 + F.length(hit) + 1
-        return F.struct(at.alias("at"), hit.alias("hit"), F.when(hit == "", at).otherwise(end).alias("end"), parsed(hit, ("dd-MMM-yyyy HH:mm",)).alias("date"))
-
-    entries = found.withColumn("tw_entries", F.when(F.col("tw_marks") > 0, F.transform("tw_starts", entry)))
-    bad = F.exists("tw_entries", lambda e: (e["hit"] != "") & e["date"].isNull())
-    whole = (F.col("tw_marks") == 0) | bad
-    chunks = entries.where(~whole).select(key, text, ts, description, F.posexplode(F.arrays_zip(F.col("tw_entries").alias("e"), F.concat(F.array(F.lit(0)), F.slice(F.transform("tw_entries", lambda e: e["end"]), 1, F.size("tw_entries") - 1)).alias("from"))).alias("chunk", "z"))
-    cut = F.substring(F.col(text), F.col("z.from") + 1, F.col("z.e.end") - F.col("z.from"))
-    split = chunks.select(key, "chunk", cut.alias(text), F.coalesce(F.col("z.e.date"), ntz(F.col(ts))).alias(ts), F.concat(F.col(description), F.lit("_clinical note chunk_"), F.col("chunk")).alias(description))
-    rest = entries.where(whole).select(key, F.lit(None).cast("int").alias("chunk"), text, ntz(F.col(ts)).alias(ts), description)
+        return F.struct(piece.alias("piece"), k.alias("k"), hit.alias("hit"), F.when(hit != "", F.instr(near, hit) + F.length(hit)).alias("taken"), parsed(hit, ("dd-MMM-yyyy HH:mm",)).alias("date"))
+
+    # piece 0 lies before the first mark; each array is walked once, so that many marks in a long note cost no more than their text
+    found = docs.where(F.col(text).isNotNull()).withColumn("tw_entries", F.transform(F.split(F.col(text), MARK), entry))
+    n = F.size("tw_entries")
+    found = found.withColumn("tw_marked", F.slice("tw_entries", 2, F.greatest(n - 1, F.lit(0)))).withColumn("tw_before", F.slice("tw_entries", 1, F.greatest(n - 1, F.lit(0))))
+    bad = F.exists("tw_marked", lambda e: (e["hit"] != "") & e["date"].isNull())
+    whole = (F.size("tw_marked") == 0) | bad
+
+    def chunk(before: Column, own: Column) -> Column:
+        over = (before["k"] > 0) & (before["taken"] > F.length(before["piece"]))  # the character more is the next mark's first
+        rest = F.when(before["k"] == 0, before["piece"]).when(before["taken"].isNull(), F.concat(F.lit(MARK), before["piece"])).otherwise(F.substr(before["piece"], before["taken"] + 1))
+        mark = F.when(over, F.lit(MARK[1:])).otherwise(F.lit(MARK))
+        more = F.when((own["taken"] > F.length(own["piece"])) & ~own["last"], F.lit(MARK[0])).otherwise(F.lit(""))
+        return F.struct(F.when(own["taken"].isNull(), rest).otherwise(F.concat(rest, mark, F.substr(own["piece"], F.lit(1), own["taken"]), more)).alias("text"), own["date"].alias("date"))
+
+    last = F.transform("tw_marked", lambda e: e.withField("last", e["k"] == F.size("tw_marked")))
+    split = found.where(~whole).select(key, text, ts, description, F.posexplode(F.zip_with("tw_before", last, chunk)).alias("chunk", "z"))
+    split = split.select(key, "chunk", F.col("z.text").alias(text), F.coalesce(F.col("z.date"), ntz(F.col(ts))).alias(ts), F.concat(F.col(description), F.lit("_clinical note chunk_"), F.col("chunk")).alias(description))
+    rest = found.where(whole).select(key, F.lit(None).cast("int").alias("chunk"), text, ntz(F.col(ts)).alias(ts), description)
     return split.unionByName(rest)
 
 

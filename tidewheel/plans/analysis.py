@@ -262,10 +262,37 @@ SELECT doc_id, chunk, sha256(text) AS text, ts, description || '_clinical note c
 UNION ALL SELECT doc_id, NULL, sha256(h1), strftime(ts, '%Y-%m-%d %H:%M:%S'), description FROM b WHERE doc_id % 10 = 0"""
 
 
+def _split(docs: DataFrame) -> DataFrame:
+    out = A.split_notes(docs, "doc_id", "text", "ts", "description")
+    return out.select("doc_id", "chunk", F.sha2("text", 256).alias("text"), stamp(F.col("ts")).alias("ts"), "description")
+
+
 @query(with_tables("docs", _TRAILERS))
 def split_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = A.split_notes(_with_trailers(Tables(spark, sf_dir)), "doc_id", "text", "ts", "description")
-    return out.select("doc_id", "chunk", F.sha2("text", 256).alias("text"), stamp(F.col("ts")).alias("ts"), "description")
+    """Every second document's first 120 characters only, as its SQL says; split_notes_whole takes all."""
+    return _split(_with_trailers(Tables(spark, sf_dir)))
+
+
+def _with_all_trailers(t: Tables) -> DataFrame:
+    """All documents, a trailer after each 100 characters but the last; every second without a date where doc_id % 3 = 0, none where doc_id % 10 = 0."""
+    d = t.documents().where("text is not null").withColumn("tw_cut", F.regexp_extract_all("text", F.lit("(?s).{1,100}"), F.lit(0)))
+    dated = lambda i: F.concat(F.lit(" Entered on - "), F.col("tw_day"), F.lit(" "), F.lpad((i % 24).cast("string"), 2, "0"), F.lit(":30  "))
+    after = lambda i: F.when(i == F.size("tw_cut") - 1, "").when((F.col("doc_id") % 3 == 0) & (i % 2 == 1), " Entered on - (no date) ").otherwise(dated(i))
+    d = d.withColumn("tw_day", F.date_format(F.col("ts"), "dd-MMM-yyyy"))
+    body = F.array_join(F.transform("tw_cut", lambda x, i: F.concat(x, after(i))), "")
+    return d.select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.col("text")).otherwise(body).alias("text"), "ts", "description")
+
+
+_ALL_TRAILERS = """, b AS (SELECT doc_id, ts, description, text, regexp_extract_all(text, '(?s).{1,100}') AS cut, strftime(ts, '%d-%b-%Y') AS day FROM docs WHERE text IS NOT NULL),
+p AS (SELECT doc_id, ts, description, day, len(cut) AS n, generate_subscripts(cut, 1) - 1 AS chunk, unnest(cut) AS piece FROM b WHERE doc_id % 10 <> 0 AND len(cut) > 1),
+q AS (SELECT *, lpad(CAST(chunk % 24 AS VARCHAR), 2, '0') || ':30' AS hour, doc_id % 3 = 0 AND chunk % 2 = 1 AS bare, CASE WHEN chunk = 0 THEN '' WHEN doc_id % 3 = 0 AND chunk % 2 = 0 THEN 'Entered on - (no date) ' ELSE ' ' END AS before FROM p WHERE chunk < n - 1)
+SELECT doc_id, chunk, sha256(before || piece || CASE WHEN bare THEN ' ' ELSE ' Entered on - ' || day || ' ' || hour || ' ' END) AS text, CASE WHEN bare THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, '%Y-%m-%d') || ' ' || hour || ':00' END AS ts, description || '_clinical note chunk_' || chunk AS description FROM q
+UNION ALL SELECT doc_id, NULL, sha256(text), strftime(ts, '%Y-%m-%d %H:%M:%S'), description FROM b WHERE doc_id % 10 = 0 OR len(cut) <= 1"""
+
+
+@query(with_tables("docs", _ALL_TRAILERS))
+def split_notes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(_with_all_trailers(Tables(spark, sf_dir)))
 
 
 def _rows(t: Tables, which: str = "true") -> DataFrame:
