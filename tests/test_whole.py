@@ -48,3 +48,15 @@ def test_marks_side_by_side(spark):
     df = spark.createDataFrame([(1, text)], "id long, text string").selectExpr("id", "text", "timestamp_ntz'2024-02-01 00:00:00' as ts", "'d' as d")
     got = [r["text"] for r in A.split_notes(df, "id", "text", "ts", "d").orderBy("chunk").collect()]
     assert got == [f"a {mark} {day}E", f"ntered on - {day} ", "", f"{mark}{mark} {day}x"]
+
+
+def test_all_annotations_meet_the_labels(spark):
+    got = {r[0] % 10 for r in QUERIES["match_human_labels_whole"](spark, SF).select("doc_id").distinct().collect()}
+    assert got == set(range(10))
+
+
+@pytest.mark.parametrize("name", ["index_event_whole", "index_events_whole"])
+def test_all_customers_have_an_index_event(spark, name):
+    t = Tables(spark, SF)
+    want = t.raw("customer").count() + t.documents().select("client_id").distinct().count()
+    assert want > 1000 and QUERIES[name](spark, SF).count() == want

@@ -83,12 +83,26 @@ def filter_rel_code_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SAMPLES = "SELECT doc_id, position, word AS source_value, substr(word || ' ' || pretty_name, 1, 12) AS text_sample, Time_Value, Presence_Value, Subject_Value FROM anns"
 
 
-@query(with_tables("anns", f""", s AS ({_SAMPLES}), l AS (SELECT DISTINCT substr(text_sample, 1, 8) AS near, source_value, CAST(Time_Value <> 'Past' AND Presence_Value = 'True' AND Subject_Value = 'Patient' AS INTEGER) AS label FROM s WHERE doc_id % 10 = 0)
-SELECT doc_id, position, label FROM s JOIN l ON substr(s.text_sample, 1, 8) = l.near AND s.source_value = l.source_value WHERE doc_id % 10 = 1"""))
-def match_human_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = Tables(spark, sf_dir).annotations().select("doc_id", "position", F.col("word").alias("source_value"), F.substring(F.concat_ws(" ", "word", "pretty_name"), 1, 12).alias("text_sample"), "Time_Value", "Presence_Value", "Subject_Value")
+_LABELLED = f""", s AS ({_SAMPLES}), l AS (SELECT DISTINCT substr(text_sample, 1, 8) AS near, source_value, CAST(Time_Value <> 'Past' AND Presence_Value = 'True' AND Subject_Value = 'Patient' AS INTEGER) AS label FROM s WHERE doc_id % 10 = 0)
+SELECT doc_id, position, label FROM s JOIN l ON substr(s.text_sample, 1, 8) = l.near AND s.source_value = l.source_value"""
+
+
+def _labelled(t: Tables, which: str = "true") -> DataFrame:
+    """Annotations with the labels of the persons' table, which stands for itself: that of every tenth document."""
+    a = t.annotations().select("doc_id", "position", F.col("word").alias("source_value"), F.substring(F.concat_ws(" ", "word", "pretty_name"), 1, 12).alias("text_sample"), "Time_Value", "Presence_Value", "Subject_Value")
     label = ((F.col("Time_Value") != "Past") & (F.col("Presence_Value") == "True") & (F.col("Subject_Value") == "Patient")).cast("int")
-    return J.human_labels(a.where("doc_id % 10 = 1"), a.where("doc_id % 10 = 0"), 8, label).select("doc_id", "position", "label")
+    return J.human_labels(a.where(which), a.where("doc_id % 10 = 0"), 8, label).select("doc_id", "position", "label")
+
+
+@query(with_tables("anns", _LABELLED + " WHERE doc_id % 10 = 1"))
+def match_human_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The annotations of a tenth only, as its SQL says; match_human_labels_whole takes all."""
+    return _labelled(Tables(spark, sf_dir), "doc_id % 10 = 1")
+
+
+@query(with_tables("anns", _LABELLED))
+def match_human_labels_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _labelled(Tables(spark, sf_dir))
 
 
 @query(with_tables("anns", """, f AS (SELECT client_id, arg_min(word, (ts, tie)) AS a FROM anns WHERE cui <= 8 GROUP BY client_id), g AS (SELECT client_id, arg_min(word, (ts, tie)) AS b FROM anns WHERE cui >= 7 GROUP BY client_id)
@@ -198,23 +212,36 @@ def merged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 _INDEX_SQL = """, d AS (SELECT client_id, {f}(ts, (ts, tie)) AS ts, {f}(cui, (ts, tie)) AS cui, 0 AS rank, 'documents' AS source FROM anns WHERE cui IN (9, 11) GROUP BY client_id),
 n AS (SELECT client_id, {f}(ts, (ts, tie)) AS ts, {f}(cui, (ts, tie)) AS cui, 1 AS rank, 'notes' AS source FROM note_anns WHERE cui IN (9, 11) GROUP BY client_id),
 b AS (SELECT client_id, arg_min(ts, (ts, rank)) AS ts, arg_min(cui, (ts, rank)) AS cui, arg_min(source, (ts, rank)) AS source FROM (SELECT * FROM d UNION ALL SELECT * FROM n) GROUP BY client_id),
-c AS (SELECT client_id FROM docs UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey <= 20)
+c AS (SELECT client_id FROM docs UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer{which})
 SELECT c.client_id, strftime(coalesce(ts, TIMESTAMP '2020-01-01'), '%Y-%m-%d %H:%M:%S') AS index_ts, coalesce(source, 'fallback') AS source, cui FROM c LEFT JOIN b ON c.client_id = b.client_id"""
 
 
-def _indexed(t: Tables, mode: str) -> DataFrame:
-    clients = t.documents().select("client_id").unionByName(t.raw("customer").where("c_custkey <= 20").select(F.col("c_custkey").cast("string").alias("client_id")))
-    return A.index_events(clients, {"documents": t.annotations(), "notes": t.annotations(t.notes())}, [9, 11], mode, F.lit(datetime(2020, 1, 1)))
+def _indexed(t: Tables, mode: str, which: str = "true") -> DataFrame:
+    clients = t.documents().select("client_id").unionByName(t.raw("customer").where(which).select(F.col("c_custkey").cast("string").alias("client_id")))
+    out = A.index_events(clients, {"documents": t.annotations(), "notes": t.annotations(t.notes())}, [9, 11], mode, F.lit(datetime(2020, 1, 1)))
+    return out.select("client_id", stamp(F.col("index_ts")).alias("index_ts"), "source", "cui")
 
 
-@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_min")))
+@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_min", which=" WHERE c_custkey <= 20")))
 def index_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _indexed(Tables(spark, sf_dir), "earliest").select("client_id", stamp(F.col("index_ts")).alias("index_ts"), "source", "cui")
+    """The first 20 customers only beside the documents' clients, as its SQL says; index_event_whole takes all."""
+    return _indexed(Tables(spark, sf_dir), "earliest", "c_custkey <= 20")
+
 
+@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_min", which="")))
+def index_event_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _indexed(Tables(spark, sf_dir), "earliest")
 
-@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_max")))
+
+@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_max", which=" WHERE c_custkey <= 20")))
 def index_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _indexed(Tables(spark, sf_dir), "latest").select("client_id", stamp(F.col("index_ts")).alias("index_ts"), "source", "cui")
+    """The first 20 customers only beside the documents' clients, as its SQL says; index_events_whole takes all."""
+    return _indexed(Tables(spark, sf_dir), "latest", "c_custkey <= 20")
+
+
+@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_max", which="")))
+def index_events_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _indexed(Tables(spark, sf_dir), "latest")
 
 
 @query(with_tables("anns", f"SELECT client_id, strftime(index_ts + INTERVAL 3 MONTH, '%Y-%m-%d') AS win_from, strftime(index_ts + INTERVAL 3 MONTH + INTERVAL 1 YEAR, '%Y-%m-%d') AS win_to FROM ({_INDEX})"))
