@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidewheel.llm import decontamination, line_dedup, pii, queries, suffix_dedup, topk, warc
+from tidewheel.llm import decontamination, line_dedup, oracles, pii, queries, suffix_dedup, topk, warc
 from tidewheel.llm.common import new_path
 from tidewheel.llm.language_id import fit, identify
 from tidewheel.llm.sentencepiece_bpe import Codec, encode_decode
@@ -148,6 +149,26 @@ def test_contamination(spark, docs):
     assert got == sorted((str(r[0]), *map(str, contaminated(r[1], items))) for r in rows)
 
 
+def test_contamination_by_texts_under_one_id(spark, tmp_path):
+    """Two occurring texts of one id, and one without an id, against brute force and the SQL."""
+    words_ = [f"w{i}" for i in range(60)]
+    one, two, three = " ".join(words_[:15]), " ".join(words_[20:34]), " ".join(words_[40:55])
+    bench = spark.createDataFrame([(7, one), (7, two), (None, three), (None, one), (8, None)], "item_id long, text string")
+    texts = [f"{one} x {two}", f"y {two}", f"z {three}", f"{one} {three}", "none of them", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["tw_hit"], r["tw_items"]) for r in decontamination.contamination(docs, bench).collect())
+    assert got == [(0, 29, ["7", None]), (1, 14, ["7"]), (2, 15, [None]), (3, 30, ["7", None]), (4, 0, []), (5, 0, [])]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    duck = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    df = queries.op2_decontamination(spark, str(tmp_path))
+    sql = duck.execute(oracles.ORACLES["op2_decontamination"])
+    columns = [c[0] for c in sql.description]
+    assert sorted(map(str, map(tuple, df.select(*columns).collect()))) == sorted(map(str, sql.fetchall()))
+
+
 def test_winnowing_guarantee():
     r = np.random.default_rng(0)
     for length in range(1, 14):

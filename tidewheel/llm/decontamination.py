@@ -127,8 +127,8 @@ def split_words(text: bytes) -> list[bytes]:
     return [low[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
-def extend(text: bytes, items: dict) -> tuple[int, np.ndarray, list]:
-    """Words, which of them are hit, and the items with occurring windows. Hashes find places; words decide."""
+def extend(text: bytes, items: list[tuple]) -> tuple[int, np.ndarray, list]:
+    """Words, which of them are hit, and the ids of the (id, words) pairs with occurring windows. Hashes find places; words decide."""
     data = np.frombuffer(text, np.uint8)
     starts, ends, _ = find_words(data, np.array([0, len(data)]))
     n, found = len(starts), []
@@ -136,7 +136,7 @@ def extend(text: bytes, items: dict) -> tuple[int, np.ndarray, list]:
     if n:
         low, words = _LOWER[data].tobytes(), word_hashes(data, starts, ends)
         grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for item, item_words in items.items():
+        for item, item_words in items:
             length = min(WINDOW, len(item_words))
             if not length or length > n:
                 continue
@@ -173,9 +173,9 @@ def _extend(names: list[str]):
             for row, own in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 found: list = []
                 if own:
-                    _, hit, found = extend(raw[offs[row] : offs[row + 1]].tobytes(), {x["item"]: split_words((x["text"] or "").encode()) for x in own})
+                    _, hit, found = extend(raw[offs[row] : offs[row + 1]].tobytes(), [(x["item"], split_words(x["text"].encode())) for x in own])
                     n_hit[row] = int(hit.sum())
-                items.append(sorted(map(str, found)))
+                items.append(sorted(set(found), key=lambda x: (x is None, x or "")))
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(batch.num_columns - 1)), pa.array(n_words), pa.array(n_hit), pa.array(items, pa.list_(pa.string()))], names)
 
     return run
@@ -184,10 +184,11 @@ def _extend(names: list[str]):
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, text, the columns in keep, and tw_words, tw_hit, tw_items (the occurring items' ids as sorted strings).
 
-    Items of equal id are taken apart by their text but reported under the one id.
+    Items of equal id are taken apart by their text but reported under the one id. Items without an id have hits, too,
+    and are reported as one null, the last.
     """
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    bench = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("item_text")).na.drop().distinct()
+    bench = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("item_text")).na.drop(subset=["item_text"]).distinct()
     bench = bench.select("item", "item_text", F.xxhash64("item", "item_text").alias("key"))
     lengths = sorted(r[0] for r in bench.select("item_text").mapInArrow(_lengths, "length int").distinct().collect())  # 13 at most
     kind = narrow.schema["id"].dataType
