@@ -1,6 +1,10 @@
 """Format-preserving pseudonyms for personal numbers and dates, by keyed Feistel networks in plain SQL functions.
 
-Candidates are found by one pattern, then validated: payment cards (Luhn), IBANs (remainder mod 97), phone
+Candidates are found by one pattern at every place where one may begin. Cards, IBANs and phones may be followed by
+further digits or capitals, so of a candidate all ends at separators are tried: first the length that its issuer or
+country has, then the longest (phones: one that does not run into a date). The first that validates is the value, and
+the search goes on behind it. Of phones only those of country code 1 have a known length; digits after others count
+as theirs up to 15. They are validated: payment cards (Luhn), IBANs (remainder mod 97), phone
 numbers (+ and 8 to 15 digits), US social security numbers (areas, groups and serials that are given out), IPv4
 addresses, and calendar dates from 1900 to 2099 (ISO, or day first with dots or slashes). A valid value is
 permuted within the values of its kind under a secret key, on its digits alone, and written in the form in which
@@ -32,11 +36,19 @@ _PATTERNS = {
     "day_first": r"(?<![\d./])\d{2}([./])\d{2}\1\d{4}(?![\d/])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
-    "phone": r"\+\d(?:[ .-]?\(?\d{1,4}\)?){2,7}(?!\d)",
+    "phone": r"\+\d(?:[ .-]?\(?\d{1,4}\)?){2,10}(?!\d)",
     "card": r"(?<![\d+])(?:\d[ -]?){12,18}\d(?![\d])",
 }
 #: Group numbers don't carry over into the alternation, so the date's separator is spelled out there.
-PATTERN = "(?=[0-9+A-Z])(?:" + "|".join(p.replace(r"([./])\d{2}\1", r"(?:\.\d{2}\.|/\d{2}/)") for p in _PATTERNS.values()) + ")"
+PATTERN = "(?=[0-9+A-Z])(?=(" + "|".join(p.replace(r"([./])\d{2}\1", r"(?:\.\d{2}\.|/\d{2}/)") for p in _PATTERNS.values()) + "))"
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: What a phone's run ends with where it has gone into a date.
+INTO_DATE = r"(?:[ .-](?:19|20)\d{2}-\d{2}(?:-\d{2})?|[ .-]\d{2}[./]\d{2}[./](?:19|20)\d{2})$"
 
 
 def _long(x) -> Column:
@@ -114,7 +126,12 @@ def _card(m: Column, key: str) -> Column:
     n = F.length(digits)
     body = F.concat(F.left(digits, F.lit(1)), permuted_digits(F.substring(digits, F.lit(2), n - 2), "card", key))
     check = F.pmod(10 - luhn_sum(body, 0) % 10, F.lit(10)).cast("string")
-    return F.when(n.between(13, 19) & (luhn_sum(digits, 1) % 10 == 0), refilled(m, F.concat(body, check)))
+    return F.when(_is_card(m), refilled(m, F.concat(body, check)))
+
+
+def _is_card(m: Column) -> Column:
+    digits = only_digits(m)
+    return F.length(digits).between(13, 19) & (luhn_sum(digits, 1) % 10 == 0)
 
 
 def _iban(m: Column, key: str) -> Column:
@@ -123,8 +140,13 @@ def _iban(m: Column, key: str) -> Column:
     bban = F.substring(plain, F.lit(5), n - 4)
     permuted = refilled(bban, permuted_digits(only_digits(bban), "iban", key))
     check = F.lpad((98 - remainder_97(F.concat(permuted, F.left(plain, F.lit(2)), F.lit("00")))).cast("string"), 2, "0")
-    right = n.between(15, 34) & (remainder_97(F.concat(bban, F.left(plain, F.lit(4)))) == 1)
-    return F.when(right, refilled(m, F.concat(check, only_digits(permuted))))
+    return F.when(_is_iban(m), refilled(m, F.concat(check, only_digits(permuted))))
+
+
+def _is_iban(m: Column) -> Column:
+    plain = F.replace(m, F.lit(" "), F.lit(""))
+    n = F.length(plain)
+    return n.between(15, 34) & (remainder_97(F.concat(F.substring(plain, F.lit(5), n - 4), F.left(plain, F.lit(4)))) == 1)
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -173,12 +195,46 @@ def pseudonym(m: Column, key: str) -> Column:
     )
 
 
+def value_in(m: Column) -> Column:
+    """The part of a candidate, from its first character on, that is a value; null if none is."""
+    size = lambda x: F.length(F.regexp_replace(x, "[^0-9A-Z]", ""))
+    at = lambda i: F.substring(m, i, F.lit(1))
+    ends = F.filter(F.sequence(F.lit(1), F.length(m)), lambda i: at(i).rlike("[0-9A-Z)]") & ~at(i + 1).rlike("[0-9A-Z)]"))
+    parts = F.reverse(F.transform(ends, lambda i: F.left(m, i)))
+    first = lambda known, parts, right: F.get(F.filter(F.concat(F.filter(parts, known), parts), right), F.lit(0))
+    # cards: an issuer's usual length; a part of a run is one only if it begins as cards do
+    usual = F.when(m.rlike("^3[47]"), 15).when(m.rlike("^3[0689]"), 14).otherwise(16)
+    card = first(lambda x: size(x) == usual, F.filter(parts, lambda x: size(x).between(13, 19) & ((x == m) | m.rlike("^[2-6]"))), _is_card)
+    lengths = F.create_map(*(F.lit(x) for n, names in IBAN_LENGTHS.items() for c in names.split() for x in (c, n)))
+    iban = first(lambda x: size(x) == F.try_element_at(lengths, F.left(m, F.lit(2))), F.filter(parts, lambda x: size(x).between(15, 34)), _is_iban)
+    into = lambda x: x.rlike(INTO_DATE) | (x.rlike(r"[ .-](?:19|20)\d{2}$") & F.substr(m, F.length(x) + 1).rlike(r"^-\d{2}"))
+    north_american = lambda x: x.rlike(r"^\+1") & (size(x) == 11)
+    phones = F.filter(parts, lambda x: size(x).between(8, 15))
+    phone = F.get(F.concat(F.filter(phones, north_american), F.filter(phones, lambda x: ~into(x)), phones), F.lit(0))
+    fixed = F.lit(False)
+    for kind in ("iso", "day_first", "ssn", "ipv4"):
+        fixed = fixed | m.rlike(f"^(?:{_PATTERNS[kind]})$")
+    return F.when(fixed, m).when(m.startswith("+"), phone).when(m.rlike("^[A-Z]"), iban).otherwise(card)
+
+
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in keep, tw_text and tw_values (how many values were replaced)."""
-    found = docs.select(*keep, F.col(text_col).alias("tw_in"), F.regexp_extract_all(text_col, F.lit(PATTERN), F.lit(0)).alias("tw_found"))
-    named = found.select(*keep, "tw_in", "tw_found", F.transform("tw_found", lambda m: pseudonym(m, key)).alias("tw_new"))
-    parts = F.split("tw_in", PATTERN, -1)
-    written = F.zip_with("tw_found", "tw_new", lambda old, new: F.coalesce(new, old))
-    joined = F.array_join(F.zip_with(parts, written, lambda part, value: F.concat(part, F.coalesce(value, F.lit("")))), "")
-    some = F.size("tw_found") > 0
-    return named.select(*keep, F.when(some, joined).otherwise(F.col("tw_in")).alias("tw_text"), F.coalesce(F.size(F.filter("tw_new", lambda x: x.isNotNull())), F.lit(0)).cast("long").alias("tw_values"))
+    # a character in front, so that a candidate never stands at the very start, where split gives no empty piece
+    found = docs.select(*keep, F.col(text_col).alias("tw_in"), F.regexp_extract_all(text_col, F.lit(PATTERN), F.lit(1)).alias("tw_found"))
+    value = found.select(*keep, "tw_in", F.transform("tw_found", value_in).alias("tw_value"))
+    named = value.select(*keep, "tw_in", F.transform("tw_value", lambda m: F.struct(F.coalesce(F.length(m), F.lit(0)).alias("size"), pseudonym(m, key).alias("new"))).alias("tw_new"))
+    pieces = F.split(F.concat(F.lit("\n"), F.col("tw_in")), PATTERN, -1)
+    placed = F.zip_with(pieces, F.concat(F.array(F.struct(F.lit(0).alias("size"), F.lit(None).cast("string").alias("new"))), "tw_new"), lambda piece, v: F.struct(piece.alias("piece"), v["size"].alias("size"), v["new"].alias("new")))
+    start = F.struct(F.lit(0).alias("skip"), F.lit(0).cast("long").alias("n"), F.array().cast("array<string>").alias("out"))
+
+    def step(s: Column, x: Column) -> Column:
+        """A candidate inside the value before it is none; the value's characters are left out of the pieces they reach into."""
+        free = (s["skip"] == 0) & x["new"].isNotNull()
+        gone = F.when(free, x["size"]).otherwise(s["skip"])
+        text = F.concat(F.when(free, x["new"]).otherwise(F.lit("")), F.substr(x["piece"], gone + 1))
+        return F.struct(F.greatest(gone - F.length(x["piece"]), F.lit(0)).alias("skip"), (s["n"] + free.cast("long")).alias("n"), F.concat(s["out"], F.array(text)).alias("out"))
+
+    done = F.aggregate(placed, start, step, lambda s: F.struct(F.substr(F.array_join(s["out"], ""), F.lit(2)).alias("text"), s["n"].alias("n")))
+    some = F.size("tw_new") > 0
+    out = named.select(*keep, "tw_in", F.when(some, F.transform(F.array(done), lambda s: s)).alias("tw_done"))
+    return out.select(*keep, F.coalesce(F.col("tw_done")[0]["text"], "tw_in").alias("tw_text"), F.coalesce(F.col("tw_done")[0]["n"], F.lit(0).cast("long")).alias("tw_values"))
