@@ -243,15 +243,22 @@ def test_top_k(spark, monkeypatch):
     data = [(int(i), [float(x) for x in centres[i % 6] + r.normal(size=8) * 0.2]) for i in range(500)]
     data += [(1000 + i, data[3][1]) for i in range(30)]  # ties
     odd = [(2000, None), (2001, [1.0, None]), (2002, [float("nan")]), (2003, [float("inf")]), (None, [1.0] * 8), (2004, []), (2005, [5.0]), (3, data[3][1])]
+    odd += [(100, [-x for x in data[7][1]]), (150, data[150][1]), (3, [9.0] * 8)]  # queries and candidates of shared ids
     df = spark.createDataFrame([*data, *odd], "vec_id long, embedding array<float>").repartition(4)
-    ints = {i: np.floor(256 * np.array(v, np.float32).astype(float)).astype(np.int64) for i, v in data}
-    ints |= {2004: np.zeros(8, np.int64), 2005: np.array([1280] + [0] * 7)}
+    ints = [(i, np.floor(256 * np.array(v, np.float32).astype(float)).astype(np.int64)) for i, v in [*data, *odd[-4:]]]
+    ints += [(2004, np.zeros(8, np.int64)), (2005, np.array([1280] + [0] * 7))]
     want = []
-    for q in (i for i in ints if i % 50 == 0):
-        best = sorted(((-int(ints[q] @ v), i) for i, v in ints.items() if i != q))[:5]
-        want += [(str(q), str(k + 1), str(i), str(-s)) for k, (s, i) in enumerate(best)]
+    for at, (q, own) in enumerate(ints):
+        if q % 50 == 0:
+            best = sorted((-int(own @ v), i) for k, (i, v) in enumerate(ints) if k != at)[:5]
+            want += [(str(q), str(k + 1), str(i), str(-s)) for k, (s, i) in enumerate(best)]
     got = topk.top_k(df, F.col("vec_id") % 50 == 0)
     assert by_row(got, "query_id", "rank", "vec_id", "score") == sorted(want)
+    shared = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [3.0, 0.0])], "vec_id long, embedding array<float>")
+    assert by_row(topk.top_k(shared, F.col("vec_id") == 0), "rank", "vec_id", "score") == [("1", "1", "196608"), ("2", "1", "65536")]
+    huge = spark.createDataFrame([(0, [1e17, 1e17]), (1, [1e17, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="2\\*\\*62"):
+        topk.top_k(huge, F.col("vec_id") == 0)
     few = spark.createDataFrame(data[:3], "vec_id long, embedding array<float>")
     assert topk.top_k(few, F.col("vec_id") == 0).count() == 2
     assert topk.top_k(few.limit(0), F.col("vec_id") == 0).count() == 0
@@ -260,7 +267,7 @@ def test_top_k(spark, monkeypatch):
 def test_large_components_stay_exact():
     ids = np.arange(40)
     rows = np.random.default_rng(3).integers(-(1 << 30), 1 << 30, (40, 2))
-    which, vec, score = topk.Group(ids, rows).search(ids[:1], rows[:1], np.array([topk.NONE]), 3)
+    which, vec, score = topk.Group(ids, rows).search(rows[:1], np.array([topk.NONE]), 3, np.array([0]))
     assert score[0] == max(int(rows[0] @ x) for x in rows[1:]) and len(which) == 3 and vec[0] != 0
 
 

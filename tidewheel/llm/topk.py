@@ -8,7 +8,9 @@ order of their bound until it is below the k-th score. A query is first run over
 score found there prunes the others. Queries go through the groups in chunks of CHUNK.
 
 Vectors that are null, hold null or a non-finite component, or have no id take no part. Shorter vectors count
-as ending in zeros. Of rows of equal id the smallest vector stays. Ties go to the smaller id.
+as ending in zeros. Every row is a candidate and, if it is a query, a query of its own, also where ids repeat: it
+is compared with every row but itself, and of its own ranks. Ties go to the smaller id. Scores are exact integers;
+vectors so large that a score may reach 2**62 are refused. Empty tables give no rows; other columns play no part.
 """
 
 from __future__ import annotations
@@ -43,16 +45,20 @@ class Group:
         by_block = self.rows.reshape(self.blocks, BLOCK, -1)
         self.top, self.low = by_block.max(axis=1), by_block.min(axis=1)
 
-    def search(self, ids: np.ndarray, rows: np.ndarray, floors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query number, id, score) of each query's k best here with at least its floor; its own id is left out."""
+    def search(self, rows: np.ndarray, floors: np.ndarray, k: int, own_at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query number, id, score) of each query's k best here with at least its floor.
+
+        own_at: where in this group each query's own row stands, which is left out.
+        """
         least = NONE
         exact = np.abs(rows).max(initial=0) * float(np.abs(self.rows).max(initial=0)) * rows.shape[1] < 2**53
         kind = np.float64 if exact else np.int64  # doubles add up such integers exactly
         q, own = rows.astype(kind), self.rows.astype(kind)
         bounds = (np.maximum(q, 0) @ self.top.astype(kind).T + np.minimum(q, 0) @ self.low.astype(kind).T).astype(np.int64)
         order = np.argsort(-bounds, axis=1, kind="stable")
-        best, best_ids = np.full((len(ids), k), least), np.full((len(ids), k), np.iinfo(np.int64).max)
-        live, within = np.arange(len(ids)), np.arange(BLOCK)
+        best, best_ids = np.full((len(q), k), least), np.full((len(q), k), np.iinfo(np.int64).max)
+        live, within = np.arange(len(q)), np.arange(BLOCK)
+        own_at = np.full(len(q), -1) if own_at is None else own_at
         for at in range(0, self.blocks, STEP):
             bar = np.maximum(floors[live], best[live, -1])
             live = live[bounds[live, order[live, at]] >= bar]
@@ -61,7 +67,7 @@ class Group:
             at_rows = (order[live, at : at + STEP, None] * BLOCK + within).reshape(len(live), -1)
             scores = (own[at_rows] @ q[live][:, :, None])[:, :, 0].astype(np.int64)
             found = self.ids[at_rows]
-            scores[~self.real[at_rows] | (found == ids[live][:, None]) | (scores < floors[live][:, None])] = least
+            scores[~self.real[at_rows] | (at_rows == own_at[live][:, None]) | (scores < floors[live][:, None])] = least
             scores, found = np.concatenate([best[live], scores], axis=1), np.concatenate([best_ids[live], found], axis=1)
             found[scores == least] = np.iinfo(np.int64).max
             pick = np.lexsort((found, -scores), axis=1)[:, :k]
@@ -78,22 +84,20 @@ def _ints(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, np.int64)
 
 
-_ROWS = "kind int, part long, ids binary, data binary, floors binary, query_id long, vec_id long, score long"
+_ROWS = "kind int, part long, ids binary, data binary, floors binary, query long, query_id long, vec_id long, score long"
 
 
 def _rows(kinds: list[int], **columns: list) -> pa.RecordBatch:
-    types = {"part": pa.int64(), "ids": pa.binary(), "data": pa.binary(), "floors": pa.binary(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
+    types = {"part": pa.int64(), "ids": pa.binary(), "data": pa.binary(), "floors": pa.binary(), "query": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()}
     return pa.RecordBatch.from_arrays([pa.array(kinds, pa.int32()), *(pa.array(columns.get(c, [None] * len(kinds)), t) for c, t in types.items())], ["kind", *types])
 
 
-def _found(ids: np.ndarray, found: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
-    which, vec, score = found
-    return _rows([2] * len(which), query_id=ids[which].tolist(), vec_id=vec.tolist(), score=score.tolist())
-
-
 def _groups(width: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows in order -> kind 0: a group; 1: a chunk of its queries with their floors; 2: what they find in it."""
+        """Rows in order -> kind 0: a group; 1: a chunk of its queries with their floors; 2: what they find in it.
+
+        A query's number is its group's part and its place there, so rows of one id stay apart. ids of a chunk: pairs (id, number).
+        """
         task, made = TaskContext.get().partitionId(), 0
         held: list[tuple] = []
         n = 0
@@ -107,11 +111,13 @@ def _groups(width: int, k: int):
             for at in range(0, len(asked), CHUNK):
                 own = asked[at : at + CHUNK]
                 floors = np.full(len(own), NONE)
-                found = group.search(ids[own], rows[own], floors, k)
+                found = group.search(rows[own], floors, k, own)
+                number = part * GROUP * 2 + own
                 full = np.bincount(found[0], minlength=len(own)) == k
                 np.put(floors, np.flatnonzero(full), found[2].reshape(-1)[np.cumsum(np.bincount(found[0], minlength=len(own)))[full] - 1])
-                yield _rows([1], part=[part], ids=[_pack(ids[own])], data=[_pack(rows[own])], floors=[_pack(floors)])
-                yield _found(ids[own], found)
+                yield _rows([1], part=[part], ids=[_pack(np.stack([ids[own], number], axis=1))], data=[_pack(rows[own])], floors=[_pack(floors)])
+                which, vec, score = found
+                yield _rows([2] * len(which), query=number[which].tolist(), query_id=ids[own][which].tolist(), vec_id=vec.tolist(), score=score.tolist())
 
         for batch in batches:
             vectors = batch.column(1)
@@ -144,36 +150,44 @@ def _search(width: int, k: int):
                 if kind[i] == 0:
                     groups[part[i]] = Group(ids, data)
                     continue
-                floors = _ints(batch.column(5)[i].as_py())
+                floors, ids = _ints(batch.column(5)[i].as_py()), ids.reshape(-1, 2)
                 for own, group in groups.items():
-                    found = group.search(ids, data, floors, k) if own != part[i] else ((),)
-                    if len(found[0]):
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[found[0]]), pa.array(found[1]), pa.array(found[2])], ["query_id", "vec_id", "score"])
+                    which, vec, score = group.search(data, floors, k) if own != part[i] else ((), (), ())
+                    if len(which):
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[which, 1]), pa.array(ids[which, 0]), pa.array(vec), pa.array(score)], ["query", "query_id", "vec_id", "score"])
 
     return run
 
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, k: int = 5) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: each query's k largest inner products of floor(scale * x) with other rows."""
+    """query_id, rank (from 1), vec_id, score: each query's k largest inner products of floor(scale * x) with other rows.
+
+    Queries of equal id have k rows each, under the one id.
+    """
     spark = vectors.sparkSession
     bad = F.exists(vector_col, lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
     whole = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).where(~bad)
     ints = whole.select(F.col(id_col).cast("long").alias("id"), F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"), F.coalesce(is_query, F.lit(False)).alias("query"))
-    ints = written(ints.groupBy("id").agg(F.min("v").alias("v"), F.max("query").alias("query")), "vectors")
-    n, width = ints.agg(F.count("*"), F.max(F.size("v"))).first()
+    ints = written(ints, "vectors")
+    size = lambda x: F.abs(x.cast("decimal(20,0)"))
+    largest = F.max(F.aggregate("v", F.lit(0).cast("decimal(20,0)"), lambda s, x: F.greatest(s, size(x))))
+    n, width, most = ints.agg(F.count("*"), F.max(F.size("v")), largest).first()
     width = max(1, width or 0)
+    if int(most or 0) ** 2 * width >= 1 << 62:
+        raise ValueError(f"scores may reach 2**62: {width} components of up to {most}")
     # the order: the three strongest components, with their signs
     strength = F.transform("v", lambda x, i: F.struct(F.abs(x).alias("size"), (i * 2 + F.when(x < 0, 1).otherwise(0)).alias("term")))
     strongest = F.transform(F.slice(F.sort_array(strength, asc=False), 1, 3), lambda x: x["term"])
     parts = max(1, min(tasks(spark), -(-n // 2048)), -(-n // GROUP))
-    ordered = ints.withColumn("order", strongest).repartitionByRange(parts, "order", "id").sortWithinPartitions("order", "id").select("id", "v", "query")
+    ordered = ints.withColumn("order", strongest).withColumn("row", F.monotonically_increasing_id())  # of a written table, so it lasts
+    ordered = ordered.repartitionByRange(parts, "order", "id", "row").sortWithinPartitions("order", "id", "row").select("id", "v", "query")
     made = written(ordered.mapInArrow(_groups(width, k), _ROWS), "groups")
     # every chunk of queries is run over every other group: blocks of queries against blocks of rows
     columns = ("to", "kind", "part", "ids", "data", "floors")
     groups = made.where("kind = 0").withColumn("to", F.shiftright("part", 16)).select(*columns)
     asked = made.where("kind = 1").withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(*columns)
     dealt = groups.unionByName(asked).repartition(parts, "to").sortWithinPartitions("to", "kind")
-    others = dealt.mapInArrow(_search(width, k), "query_id long, vec_id long, score long")
-    all_ = made.where("kind = 2").select("query_id", "vec_id", "score").unionByName(others)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    others = dealt.mapInArrow(_search(width, k), "query long, query_id long, vec_id long, score long")
+    all_ = made.where("kind = 2").select("query", "query_id", "vec_id", "score").unionByName(others)
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return all_.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
