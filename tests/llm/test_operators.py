@@ -217,16 +217,27 @@ def test_line_dedup(docs, monkeypatch):
         lines = (r[1] or "").encode().split(b"\n")
         kept = [x for x in lines if line_dedup.key_of(x) not in hot]
         want.append((str(r[0]), b"\n".join(kept).decode(), str(len(lines)), str(len(lines) - len(kept))))
-    got = line_dedup.dedup_lines(docs, keep=("lang",))
+    got = line_dedup.dedup_lines(docs, keep=("lang", "tw_hits", "id"))
     assert by_row(got, "doc_id", "text", "tw_lines", "tw_dropped") == sorted(want)
-    assert got.columns == ["doc_id", "text", "lang", "tw_lines", "tw_dropped"]
+    assert got.columns == ["doc_id", "text", "lang", "tw_hits", "id", "tw_lines", "tw_dropped"] and {tuple(r) for r in got.select("tw_hits", "id").collect()} == {("h", "i"), (None, None)}
+    with pytest.raises(ValueError, match="tw_lines"):
+        line_dedup.dedup_lines(docs.withColumn("tw_lines", F.lit(1)), keep=("tw_lines",))
+
+
+def test_crowded_shards_and_null_ids(spark, monkeypatch):
+    """Documents without an id, and a line so common that its shard is copied to several tasks."""
+    monkeypatch.setattr(line_dedup, "PROBES", 20)
+    texts = [f"everywhere\nonly in {i}" for i in range(90)] + ["only in 5\nx"] * 9 + [None, ""]
+    docs = spark.createDataFrame([(None if i % 3 else i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = sorted((r["text"], r["tw_dropped"]) for r in line_dedup.dedup_lines(docs).collect())
+    assert got == sorted([(f"only in {i}", 1) for i in range(90) if i != 5] + [("", 2)] + [("x", 1)] * 9 + [("", 0)] * 2)
 
 
 def test_shard_counts_all_keys():
     r = np.random.default_rng(1)
     for n in (0, 1, 2, 5000):
         h1, h2 = r.integers(-(1 << 63), 1 << 63, n), r.integers(-(1 << 63), 1 << 63, n)
-        counts = r.integers(1, 100_000, n)
+        counts = r.integers(1, 1 << 34, n)
         shard = line_dedup.Shard(line_dedup.build_shard(h1, h2, counts))
         assert (shard.count(h1, h2) == np.minimum(counts, line_dedup.FULL)).all()
         other = r.integers(-(1 << 63), 1 << 63, 1000)

@@ -9,7 +9,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: White space of the text contracts: the space and U+0009 to U+000D.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -92,6 +91,9 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def salted(column: str, salts: int):
-    """A salt in [0, salts) from another column's value, equal on every retry."""
-    return F.pmod(F.xxhash64(F.col(column)), F.lit(salts)).cast("int")
+def no_clash(keep: tuple[str, ...], taken: tuple[str, ...], results: tuple[str, ...]) -> list[str]:
+    """The columns to keep that aren't taken along anyway; none may be named as a result is."""
+    names = {c.lower() for c in results}
+    if own := [c for c in (*keep, *taken) if c.lower() in names]:
+        raise ValueError(f"columns named as results are: {own}")
+    return [c for c in dict.fromkeys(keep) if c not in taken]

@@ -6,7 +6,9 @@ one minimal perfect hash with a fingerprint and a count array (a few bytes a lin
 line hashes run past the arrays of their shard. Lines are never joined with lines.
 
 Null or empty text is one empty line, which is kept. Every row is a document, also when ids repeat or
-are null. Empty tables give empty results. A line of any length is hashed whole.
+are null: hits go back to a row by its id and its text's hash, so they never gather under one null id. Equal
+rows have equal results. Empty tables give empty results. A line of any length is hashed whole. Columns of the
+table that clash with names used inside play no part; those in keep must not be named as the results are.
 """
 
 from __future__ import annotations
@@ -21,13 +23,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.llm.common import SPACE, byte_rows, mix, tasks, written
+from tidewheel.llm.common import SPACE, byte_rows, mix, no_clash, tasks, written
 
 #: Distinct lines a shard holds on average; bounds a task's memory whatever the corpus.
-SHARD_LINES = 250_000
-#: Tasks that one shard's probes are spread over, so that no very common line meets in one.
-SALTS = 8
-FULL = 65_535
+SHARD_LINES = 65_536
+#: Probes of a shard that go to one task; a shard with more, as one with a very common line has, is copied to more tasks.
+PROBES = 4 * SHARD_LINES
+#: The largest count a shard holds, and min_docs can be.
+FULL = (1 << 32) - 1
+#: Shards with more probes than PROBES up to which their numbers are broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def key_of(line: bytes) -> bytes:
@@ -47,13 +52,13 @@ def _line_hashes(min_chars: int):
         for batch in batches:
             keys: list[bytes] = []
             counts = []
-            for text in byte_rows(batch.column(1)):
+            for text in byte_rows(batch.column(2)):
                 own = {k for k in map(key_of, text.split(b"\n")) if long_enough(k, min_chars)} if text else ()
                 counts.append(len(own))
                 keys.extend(own)
             h = _hashes(keys)
-            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(h[:, 0]), pa.array(h[:, 1])], ["id", "h1", "h2"])
+            of = pa.array(np.repeat(np.arange(len(counts)), counts))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(of), batch.column(1).take(of), pa.array(h[:, 0]), pa.array(h[:, 1])], ["id", "row", "h1", "h2"])
 
     return run
 
@@ -82,7 +87,7 @@ def build_shard(h1: np.ndarray, h2: np.ndarray, counts: np.ndarray) -> bytes:
         bits.append(own)
     flags = np.concatenate(bits) if bits else np.zeros(0, bool)
     slot = (np.cumsum(flags) - 1)[where] if len(where) else where
-    fingers, held = np.zeros(len(h1), np.uint32), np.zeros(len(h1), np.uint16)
+    fingers, held = np.zeros(len(h1), np.uint32), np.zeros(len(h1), np.uint32)
     fingers[slot] = h2.view(np.uint64).astype(np.uint32)
     held[slot] = np.minimum(counts, FULL)
     return struct.pack("<II", len(sizes), len(h1)) + np.array(sizes, np.uint32).tobytes() + np.packbits(flags).tobytes() + fingers.tobytes() + held.tobytes()
@@ -99,7 +104,7 @@ class Shard:
         at += -(-total // 8)
         self.rank = np.cumsum(self.flags, dtype=np.int32) - 1
         self.fingers = np.frombuffer(blob, np.uint32, n, at)
-        self.counts = np.frombuffer(blob, np.uint16, n, at + 4 * n)
+        self.counts = np.frombuffer(blob, np.uint32, n, at + 4 * n)
 
     def count(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
         """How many documents have each key; 0 for a key whose fingerprint differs."""
@@ -122,7 +127,7 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def done():
         h1, h2, n = (np.concatenate(x) for x in zip(*parts))
-        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([build_shard(h1, h2, n)], pa.binary())], ["shard", "blob"])
+        return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([build_shard(h1, h2, n)], pa.binary())], ["shard", "blob"])
 
     for batch in batches:
         ids, h1, h2, n = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
@@ -148,35 +153,39 @@ def _probe(min_docs: int):
             cuts = [0, *np.flatnonzero(kind == 0).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:]):
                 if a < b and kind[a] == 0:
-                    arrays = Shard(batch.column(6)[a].as_py())
+                    arrays = Shard(batch.column(7)[a].as_py())
                     a += 1
                 if a >= b:
                     continue
                 own = batch.slice(a, b - a)
-                h1, h2 = (own.column(k).to_numpy(zero_copy_only=False) for k in (4, 5))
+                h1, h2 = (own.column(k).to_numpy(zero_copy_only=False) for k in (5, 6))
                 hit = np.flatnonzero(arrays.count(h1, h2) >= min_docs)
                 if len(hit):
-                    yield pa.RecordBatch.from_arrays([own.column(3).take(pa.array(hit)), pa.array(h1[hit]), pa.array(h2[hit])], ["id", "h1", "h2"])
+                    yield pa.RecordBatch.from_arrays([own.column(3).take(pa.array(hit)), own.column(4).take(pa.array(hit)), pa.array(h1[hit]), pa.array(h2[hit])], ["id", "row", "h1", "h2"])
 
     return run
 
 
 def common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """(id, h1, h2): the hashes of each document's lines that min_docs documents or more have."""
+    """(id, row, h1, h2): the hashes of each document's lines that min_docs documents or more have; row: the text's hash."""
+    if min_docs > FULL:
+        raise ValueError(f"min_docs is {FULL} at most")
     spark = docs.sparkSession
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
     kind = narrow.schema["id"].dataType
-    out = T.StructType([T.StructField("id", kind), T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType())])
+    out = T.StructType([T.StructField("id", kind), *(T.StructField(c, T.LongType()) for c in ("row", "h1", "h2"))])
     lines = written(narrow.mapInArrow(_line_hashes(min_chars), out), "lines")
     keys = written(lines.groupBy("h1", "h2").agg(F.count("*").alias("n")), "line-keys")
     shards = max(1, -(-keys.count() // SHARD_LINES))
-    shard = F.pmod(F.col("h1"), F.lit(shards)).cast("int").alias("shard")
+    shard = F.pmod(F.col("h1"), F.lit(shards)).alias("shard")
     parts = tasks(spark)
-    blobs = keys.select(shard, "h1", "h2", "n").repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_build, "shard int, blob binary")
+    blobs = keys.select(shard, "h1", "h2", "n").repartition(parts, "shard").sortWithinPartitions("shard").mapInArrow(_build, "shard long, blob binary")
+    crowded = written(keys.groupBy(shard).agg(F.ceil(F.sum("n") / PROBES).cast("int").alias("salts")).where("salts > 1"), "crowded-shards")
+    few = crowded.count() <= BROADCAST_ROWS
+    salted = lambda df: df.join(F.broadcast(crowded) if few else crowded, "shard", "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
     nothing = lambda kind: F.lit(None).cast(kind)
-    loads = blobs.select("shard", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(0).alias("kind"), nothing(kind).alias("id"), nothing("long").alias("h1"), nothing("long").alias("h2"), "blob")
-    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt")
-    probes = lines.select(shard, salt, F.lit(1).alias("kind"), "id", "h1", "h2", nothing("binary").alias("blob"))
+    loads = salted(blobs).select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"), nothing(kind).alias("id"), *(nothing("long").alias(c) for c in ("row", "h1", "h2")), "blob")
+    probes = salted(lines.select(shard, "id", "row", "h1", "h2")).select("shard", F.pmod(F.xxhash64("id", "row"), "salts").cast("int").alias("salt"), F.lit(1).alias("kind"), "id", "row", "h1", "h2", nothing("binary").alias("blob"))
     dealt = loads.unionByName(probes).repartition(parts, "shard", "salt").sortWithinPartitions("shard", "salt", "kind")
     return dealt.mapInArrow(_probe(min_docs), out)
 
@@ -211,9 +220,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A key of min_chars code points or more, found in min_docs documents or more, loses all its lines
     everywhere, the first included; the others stay as they were, joined by \\n. Null text becomes "".
     """
-    rest = [c for c in keep if c not in (id_col, text_col)]
-    hits = common_lines(docs, id_col, text_col, min_docs, min_chars).groupBy(F.col("id").alias("tw_id")).agg(F.collect_list(F.struct("h1", "h2")).alias("tw_hits"))
-    wide = docs.select(id_col, text_col, *rest)
-    joined = wide.join(hits, wide[id_col].eqNullSafe(hits["tw_id"]), "left").select(id_col, text_col, *rest, "tw_hits")
-    out = T.StructType([T.StructField(f.name, f.dataType) for f in wide.schema.fields] + [T.StructField("tw_lines", T.LongType()), T.StructField("tw_dropped", T.LongType())])
+    rest = no_clash(keep, (id_col, text_col), ("tw_lines", "tw_dropped"))
+    hits = common_lines(docs, id_col, text_col, min_docs, min_chars).distinct().groupBy(F.col("id").alias("hit_id"), F.col("row").alias("hit_row")).agg(F.collect_list(F.struct("h1", "h2")).alias("hits"))
+    own = [id_col, text_col, *rest]
+    wide = docs.select(F.xxhash64(text_col).alias("row"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(own)))
+    joined = wide.join(hits, F.col("c0").eqNullSafe(F.col("hit_id")) & (F.col("row") == F.col("hit_row")), "left").select(*(f"c{i}" for i in range(len(own))), "hits")
+    out = T.StructType([*docs.select(*own).schema.fields, T.StructField("tw_lines", T.LongType()), T.StructField("tw_dropped", T.LongType())])
     return joined.mapInArrow(_drop(out, 1), out)
