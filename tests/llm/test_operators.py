@@ -158,8 +158,11 @@ def test_contamination(spark, docs):
     parts = passage.split()
     items = [(10, passage), (9, " ".join(parts[5:18])), (8, " ".join(parts[20:24])), (7, parts[3]), (6, None), (5, "..."), (4, "not in any document at all"), (9, "x" * 5000), (3, " ".join(parts[:12]))]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
-    got = by_row(decontamination.contamination(docs, bench), "doc_id", "tw_words", "tw_hit", "tw_items")
-    assert got == sorted((str(r[0]), *map(str, contaminated(r[1], items))) for r in rows)
+    got = decontamination.contamination(docs, bench, keep=("tw_near", "id"))
+    assert by_row(got, "doc_id", "tw_words", "tw_hit", "tw_items") == sorted((str(r[0]), *map(str, contaminated(r[1], items))) for r in rows)
+    assert got.columns == ["doc_id", "text", "tw_near", "id", "tw_words", "tw_hit", "tw_items"] and {tuple(r) for r in got.select("tw_near", "id").collect()} == {("n", "i"), (None, None)}
+    with pytest.raises(ValueError, match="tw_hit"):
+        decontamination.contamination(docs.withColumn("tw_hit", F.lit(1)), bench, keep=("tw_hit",))
 
 
 def test_contamination_by_texts_under_one_id(spark, tmp_path):
@@ -195,9 +198,12 @@ def test_winnowing_guarantee():
 def test_contamination_without_broadcast(spark, docs, monkeypatch):
     rows, passage = corpus()
     bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
-    want = by_row(decontamination.contamination(docs, bench), "doc_id", "tw_hit")
+    result = lambda: by_row(decontamination.contamination(docs, bench), "doc_id", "tw_hit", "tw_items")
+    want = result()
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", 0)
-    assert by_row(decontamination.contamination(docs, bench), "doc_id", "tw_hit") == want
+    assert result() == want
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 0)
+    assert result() == want
 
 
 # --- 3: lines ---------------------------------------------------------------------------------------

@@ -5,8 +5,10 @@ WINDOW consecutive words, or all its words if it has fewer. Every k-gram of word
 of w of them the smallest is kept, with k + w - 1 = the window's length: two texts that share a window share
 a kept hash. Kept hashes of documents and items are joined, and each hit is extended by comparing words.
 
-Null texts have no words. Rows with equal or null ids are documents of their own in the result, but a null
-document id gathers no candidates other than those of all null ids. Items without words never occur.
+Null texts have no words. Rows with equal or null ids are documents of their own: candidates go back to a row by
+its id and its text's hash. Equal rows have equal results. Items without words never occur. Empty tables give
+empty results, no items no hits. Texts of any length are treated whole. Columns of the tables that clash with
+names used inside play no part; those in keep must not be named as the results are.
 """
 
 from __future__ import annotations
@@ -19,11 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.llm.common import buffers, byte_rows, chunks, mix, written
+from tidewheel.llm.common import buffers, chunks, mix, no_clash, written
 
 WINDOW = 13
-#: Rows of benchmark fingerprints up to which they are broadcast (16 bytes each); beyond, both sides are shuffled.
-BROADCAST_ROWS = 1_000_000
+#: Rows up to which benchmark fingerprints (16 bytes each) and found candidates (32 bytes each) are broadcast, and
+#: bytes of items up to which these are. Beyond, both sides are shuffled, and items travel with their candidates.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
 
 _WORD = np.zeros(256, bool)
 _WORD[48:58] = _WORD[65:91] = _WORD[97:123] = _WORD[128:] = True
@@ -95,10 +98,11 @@ def winnow(words: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarra
     return text[new], low[new]
 
 
-def _fingerprints(lengths: list[int]):
+def _fingerprints(lengths: list[int], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The names' columns, then the text -> the names' columns, length and kept hash."""
         for batch in batches:
-            offs, raw = buffers(batch.column(1))
+            offs, raw = buffers(batch.column(len(names)))
             for a, b in chunks(offs):
                 own = offs[a : b + 1] - offs[a]
                 data = raw[offs[a] : offs[b]]
@@ -107,7 +111,8 @@ def _fingerprints(lengths: list[int]):
                 for length in lengths:
                     text, kept = winnow(words, first, length)
                     if len(kept):
-                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(text + a)), pa.array(np.full(len(kept), length, np.int32)), pa.array(kept.view(np.int64))], ["id", "length", "kept"])
+                        of = pa.array(text + a)
+                        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(of) for c in range(len(names))), pa.array(np.full(len(kept), length, np.int32)), pa.array(kept.view(np.int64))], [*names, "length", "kept"])
 
     return run
 
@@ -162,10 +167,20 @@ def extend(text: bytes, items: list[tuple]) -> tuple[int, np.ndarray, list]:
     return n, np.cumsum(edge[:-1]) > 0, found
 
 
-def _extend(names: list[str]):
+def _extend(names: list[str], items):
+    """items: a broadcast key -> (id, text), or None where each candidate brings its own."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, tuple] = {}
+
+        def words_of(key: int) -> tuple:
+            if key not in known:
+                item, text = items.value[key]
+                known[key] = (item, split_words(text.encode()))
+            return known[key]
+
         for batch in batches:
-            n_words, n_hit, items = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), []
+            n_words, n_hit, found_items = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64), []
             offs, raw = buffers(batch.column(1))
             for a, b in chunks(offs):
                 _, _, first = find_words(raw[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
@@ -173,10 +188,11 @@ def _extend(names: list[str]):
             for row, own in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
                 found: list = []
                 if own:
-                    _, hit, found = extend(raw[offs[row] : offs[row + 1]].tobytes(), [(x["item"], split_words(x["text"].encode())) for x in own])
+                    near = [words_of(x) for x in own] if items else [(x["item"], split_words(x["item_text"].encode())) for x in own]
+                    _, hit, found = extend(raw[offs[row] : offs[row + 1]].tobytes(), near)
                     n_hit[row] = int(hit.sum())
-                items.append(sorted(set(found), key=lambda x: (x is None, x or "")))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(batch.num_columns - 1)), pa.array(n_words), pa.array(n_hit), pa.array(items, pa.list_(pa.string()))], names)
+                found_items.append(sorted(set(found), key=lambda x: (x is None, x or "")))
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(batch.num_columns - 1)), pa.array(n_words), pa.array(n_hit), pa.array(found_items, pa.list_(pa.string()))], names)
 
     return run
 
@@ -187,21 +203,28 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     Items of equal id are taken apart by their text but reported under the one id. Items without an id have hits, too,
     and are reported as one null, the last.
     """
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rest = no_clash(keep, (id_col, text_col), ("tw_words", "tw_hit", "tw_items"))
+    narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
     bench = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("item_text")).na.drop(subset=["item_text"]).distinct()
     bench = bench.select("item", "item_text", F.xxhash64("item", "item_text").alias("key"))
     lengths = sorted(r[0] for r in bench.select("item_text").mapInArrow(_lengths, "length int").distinct().collect())  # 13 at most
-    kind = narrow.schema["id"].dataType
-    out = lambda of: T.StructType([T.StructField("id", of), T.StructField("length", T.IntegerType()), T.StructField("kept", T.LongType())])
-    item_prints = written(bench.select("key", "item_text").mapInArrow(_fingerprints(lengths), out(T.LongType())).distinct().select(F.col("id").alias("key"), "length", "kept"), "item-prints")
-    found = narrow.mapInArrow(_fingerprints(lengths), out(kind))
+    last = [T.StructField("length", T.IntegerType()), T.StructField("kept", T.LongType())]
+    item_prints = written(bench.select("key", "item_text").mapInArrow(_fingerprints(lengths, ["key"]), T.StructType([T.StructField("key", T.LongType()), *last])).distinct(), "item-prints")
+    found = narrow.mapInArrow(_fingerprints(lengths, ["id", "row"]), T.StructType([T.StructField("id", narrow.schema["id"].dataType), T.StructField("row", T.LongType()), *last]))
     side = F.broadcast(item_prints) if item_prints.count() <= BROADCAST_ROWS else item_prints
-    pairs = found.join(side, ["length", "kept"]).select("id", "key").distinct()
-    near = pairs.join(bench, "key").groupBy(F.col("id").alias("tw_id")).agg(F.collect_list(F.struct("item", F.col("item_text").alias("text"))).alias("tw_near"))
-    wide = docs.select(id_col, text_col, *(c for c in keep if c not in (id_col, text_col)))
-    joined = wide.join(near, wide[id_col].eqNullSafe(near["tw_id"]), "left").select(*wide.columns, "tw_near")
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in wide.schema.fields] + [T.StructField("tw_words", T.LongType()), T.StructField("tw_hit", T.LongType()), T.StructField("tw_items", T.ArrayType(T.StringType()))])
-    return joined.mapInArrow(_extend(schema.names), schema)
+    pairs = written(found.join(side, ["length", "kept"]).select("id", "row", "key").distinct(), "candidates")
+    small = (bench.agg(F.sum(F.octet_length("item_text").cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
+    texts, what = None, F.struct("item", "item_text")
+    if small:
+        texts, what = docs.sparkSession.sparkContext.broadcast({r["key"]: (r["item"], r["item_text"]) for r in bench.collect()}), F.col("key")
+    near = (pairs if small else pairs.join(bench, "key")).groupBy(F.col("id").alias("near_id"), F.col("row").alias("near_row")).agg(F.collect_list(what).alias("near"))
+    if small and pairs.count() <= BROADCAST_ROWS:
+        near = F.broadcast(near)
+    own = [id_col, text_col, *rest]
+    wide = docs.select(F.xxhash64(text_col).alias("row"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(own)))
+    joined = wide.join(near, F.col("c0").eqNullSafe(F.col("near_id")) & (F.col("row") == F.col("near_row")), "left").select(*(f"c{i}" for i in range(len(own))), "near")
+    schema = T.StructType([*docs.select(*own).schema.fields, T.StructField("tw_words", T.LongType()), T.StructField("tw_hit", T.LongType()), T.StructField("tw_items", T.ArrayType(T.StringType()))])
+    return joined.mapInArrow(_extend(schema.names, texts), schema)
 
 
 def is_contaminated():
