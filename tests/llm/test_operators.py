@@ -472,6 +472,16 @@ def test_near_copies(docs):
     assert sorted(tuple(map(str, r)) for r in got.collect()) == want
 
 
+def test_spread_join(spark):
+    from tidewheel.llm.common import spread_join
+
+    many = spark.createDataFrame([(0, i) for i in range(500)] + [(i, i) for i in range(1, 40)], "k long, v long")
+    one = spark.createDataFrame([(i, i * 10) for i in range(0, 40, 2)], "k long, w long")
+    joined = spread_join(many, one, "k", many.groupBy("k").agg(F.count("*").alias("n")))
+    assert "Union" in joined._jdf.queryExecution().toString()
+    assert sorted(map(tuple, joined.select("k", "v", "w").collect())) == sorted((k, v, k * 10) for k, v in map(tuple, many.collect()) if k % 2 == 0)
+
+
 @pytest.mark.parametrize("held", [50_000, 5])
 def test_links_are_complete(spark, held, monkeypatch):
     """Random clusters of fingerprints, chains among them; the second run splits crowded anchors."""

@@ -54,12 +54,39 @@ def test_line_stage(made):
     assert all(r["n_chars"] == len(r["text"]) for r in after)
 
 
+def one_of_each(before, after):
+    """One row of every component stays, of the smallest id if it has one."""
+    group = components([fingerprint(r["text"]) for r in before], range(len(before)))
+    by_group, groups_of = {}, {}
+    for r, c in zip(before, group):
+        by_group.setdefault(c, []).append(r)
+        groups_of.setdefault(key(r), c)
+    assert sorted(groups_of[key(r)] for r in after) == sorted(by_group)
+    for r in after:
+        assert r["doc_id"] == min((x["doc_id"] for x in by_group[groups_of[key(r)]] if x["doc_id"] is not None), default=None)
+
+
 def test_near_dedup_stage(made):
     before, after, _ = made[0][2]
-    ids = [r["doc_id"] for r in before]
-    first = components([fingerprint(r["text"]) for r in before], ids)
-    want = {key(r) for r, c in zip(before, first) if r["doc_id"] == c}
-    assert sorted(map(key, after)) == sorted(want) and len(after) < len(before)
+    one_of_each(before, after)
+    assert len(after) < len(before)
+
+
+def test_near_dedup_of_shared_and_missing_ids(spark):
+    """Id 7 on two texts, one a near copy of 3; near copies without ids; equal rows; null texts."""
+    base, other, third = (" ".join(f"{c}{i}" for i in range(200)) for c in "abc")
+    near = lambda t: t.replace(t.split()[90], "new", 1)
+    rows = [(3, base), (7, near(base)), (7, other), (None, third), (None, near(third)), (None, near(base)), (9, "one"), (9, "one"), (None, None), (None, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    after = C.near_dedup(spark, docs, "").collect()
+    one_of_each(docs.collect(), after)
+    assert len(after) == 5 and {(r["doc_id"], r["text"]) for r in after if r["doc_id"] is not None} == {(3, base), (7, other), (9, "one"), (4, "")}
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert C.run(spark, str(tmp_path)).count() == 0
 
 
 def test_decontamination_stage(made):

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: White space of the text contracts: the space and U+0009 to U+000D.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -97,3 +98,17 @@ def no_clash(keep: tuple[str, ...], taken: tuple[str, ...], results: tuple[str,
     if own := [c for c in (*keep, *taken) if c.lower() in names]:
         raise ValueError(f"columns named as results are: {own}")
     return [c for c in dict.fromkeys(keep) if c not in taken]
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    """many joined with one, which has a row for each key at most; counts: (key, n), rows of many by key.
+
+    Keys with more than twice a task's even share of rows don't meet in a task: their rows of one are broadcast,
+    fewer than half as many as there are tasks.
+    """
+    parts, total = tasks(many.sparkSession), counts.agg(F.sum("n")).first()[0] or 0
+    heavy = [r[0] for r in counts.where(F.col("n") > max(1, 2 * total / parts)).select(key).collect()]
+    if not heavy:
+        return many.join(one, key)
+    own = F.col(key).isin(heavy)
+    return many.where(own).join(F.broadcast(one.where(own)), key).unionByName(many.where(~own).join(one.where(~own), key))

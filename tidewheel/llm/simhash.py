@@ -11,7 +11,11 @@ own anchor of either. Anchors are worked through one by one; what leaves an anch
 there, never all pairs. Components come from these by alternating large and small stars.
 
 Texts without words (null and empty ones, too) have fingerprint zero, linked like any other. Rows with equal
-or null ids are documents of their own; a component's id is its smallest non-null document id.
+or null ids are documents of their own, and so are equal rows; a component's id is its smallest non-null document
+id, or null. Empty tables give empty results; texts of any length are read whole; other columns play no part.
+
+Results go back to documents by fingerprint, and to fingerprints by root. A fingerprint of very many documents
+(that of empty texts, say) and a component of very many fingerprints are joined by broadcast (spread_join).
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.llm.common import byte_rows, tasks, written
+from tidewheel.llm.common import byte_rows, spread_join, tasks, written
 
 SHINGLE, THRESHOLD, SEED = 3, 3, 42
 #: Own fingerprints of an anchor held by one task; an anchor with more is split into salts.
@@ -52,8 +56,8 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.fromiter((fingerprint(t, shingle) for t in byte_rows(batch.column(1))), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["id", "print"])
+            prints = np.fromiter((fingerprint(t, shingle) for t in byte_rows(batch.column(2))), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints.view(np.int64))], ["id", "row", "print"])
 
     return run
 
@@ -184,14 +188,14 @@ def _compare(threshold: int, lags: int = 4):
 
 def _large(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
-    return both.join(low, "a").where("b > a").select(F.col("low").alias("a"), "b").where("a <> b").distinct()
+    low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"), F.count("*").alias("n"))
+    return spread_join(both, low.drop("n"), "a", low).where("b > a").select(F.col("low").alias("a"), "b").where("a <> b").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """edges: a < b."""
-    low = edges.groupBy("b").agg(F.min("a").alias("low"))
-    joined = edges.join(low, "b")
+    low = edges.groupBy("b").agg(F.min("a").alias("low"), F.count("*").alias("n"))
+    joined = spread_join(edges, low.drop("n"), "b", low)
     return joined.select(F.col("low").alias("a"), "b").unionByName(joined.select(F.col("low").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
 
 
@@ -235,15 +239,15 @@ def links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """One row per document: id, tw_print (the fingerprint as a long), tw_component (smallest id reachable)."""
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    schema = T.StructType([T.StructField("id", narrow.schema["id"].dataType), T.StructField("print", T.LongType())])
+    """One row per document: id, tw_print (the fingerprint as a long), tw_component (smallest id reachable), and
+    tw_root (a fingerprint that names the component also where ids are null or repeat) and tw_row (the text's hash)."""
+    narrow = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
+    schema = T.StructType([T.StructField("id", narrow.schema["id"].dataType), T.StructField("row", T.LongType()), T.StructField("print", T.LongType())])
     prints = written(narrow.mapInArrow(_fingerprints(shingle), schema), "prints")
-    classes = written(prints.groupBy("print").agg(F.min("id").alias("low")), "classes")
+    classes = written(prints.groupBy("print").agg(F.min("id").alias("low"), F.count("*").alias("n")), "classes")
     root = roots(links(classes, threshold))
     known = written(classes.join(root, classes["print"] == root["node"], "left").select("print", "low", F.coalesce("root", "print").alias("root")), "rooted")
-    several = known.where("print <> root").select("root").distinct()
-    linked = known.join(several, "root", "left_semi")
-    component = linked.groupBy("root").agg(F.min("low").alias("component"))
-    named = linked.join(component, "root").select("print", "component").unionByName(known.join(several, "root", "left_anti").select("print", F.col("low").alias("component")))
-    return prints.join(named, "print").select(F.col("id").alias(id_col), F.col("print").alias("tw_print"), F.col("component").alias("tw_component"))
+    component = written(known.groupBy("root").agg(F.min("low").alias("component"), F.count("*").alias("n")), "components")
+    named = written(spread_join(known, component.drop("n"), "root", component).select("print", "root", "component"), "named")
+    found = spread_join(prints, named, "print", classes.select("print", "n"))
+    return found.select(F.col("id").alias(id_col), F.col("print").alias("tw_print"), F.col("component").alias("tw_component"), F.col("root").alias("tw_root"), F.col("row").alias("tw_row"))
