@@ -36,19 +36,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each group of near copies.
+    """Keeps one document of each group of near copies: that of the smallest id, of equal or null ids any one.
 
-    Of equal rows one stays; rows that share an id but not their text stay apart, and so do documents
-    without an id, unless they are near copies of one that has an id.
+    Rows are told apart by id and text, so documents that share an id, or have none, are compared like others.
     """
-    found = near_copies(docs).where(F.col("doc_id").eqNullSafe(F.col("tw_component"))).select(F.col("doc_id").alias("tw_id"))
-    counts = written(found.groupBy("tw_id").agg(F.count("*").alias("n")), "stay")
-    same = lambda df: docs["doc_id"].eqNullSafe(df["tw_id"])
-    once, more = counts.where("n = 1"), counts.where("n > 1")
-    kept = docs.join(once, same(once), "left_semi").select(*COLUMNS)
+    found = near_copies(docs).groupBy("tw_root", "doc_id", "tw_row").agg(F.count("*").alias("n"))
+    first = found.groupBy("tw_root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tw_row", "n")).alias("first"))
+    stay = written(first.select(F.col("first.doc_id").alias("stay_id"), F.col("first.tw_row").alias("stay_row"), F.col("first.n").alias("n")), "stay")
+    rows = docs.select(*COLUMNS, F.xxhash64("text").alias("row"))
+    kept = lambda df: rows.join(df, rows["doc_id"].eqNullSafe(df["stay_id"]) & (rows["row"] == df["stay_row"]), "left_semi")
+    once, more = stay.where("n = 1"), stay.where("n > 1")
     if more.isEmpty():
-        return kept
-    return kept.unionByName(docs.join(more, same(more), "left_semi").select(*COLUMNS).distinct())
+        return kept(once).select(*COLUMNS)
+    return kept(once).unionByName(kept(more).dropDuplicates(["doc_id", "row"])).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
