@@ -3,6 +3,9 @@
 import hashlib
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -309,6 +312,29 @@ def test_codec_on_random_text():
         assert ids == lib.encode(text) and own.decoded(ids)[1:] == decoded == lib.decode(ids)
 
 
+MEASURED = """
+import resource, sys
+sys.path.insert(0, sys.argv[1])
+{body}
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+{call}
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+
+
+def megabytes(body, call):
+    """What a call adds to the peak memory of a new process."""
+    out = subprocess.run([sys.executable, "-c", MEASURED.format(body=body, call=call), str(Path(__file__).parents[2])], capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr
+    return int(out.stdout)
+
+
+def test_sentencepiece_memory_without_spaces():
+    """16 MiB without a word mark: a few bytes a character, not a tuple a match."""
+    body = f"from tidewheel.llm.sentencepiece_bpe import Codec\nown = Codec({PIECES!r})\ntext = 'abcdefgh' * (2 << 20)"
+    assert megabytes(body, "ids, decoded = next(own.encoded([text])); assert decoded == text") < 600
+
+
 def test_token_counts(docs):
     lib, rows = Tokenizer.from_file(BYTES), corpus()[0]
     want = [(str(r[0]), str(len((r[1] or "").encode())), str(len(lib.encode(r[1] or "", add_special_tokens=False).ids))) for r in rows]

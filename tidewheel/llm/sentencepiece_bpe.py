@@ -8,13 +8,17 @@ No piece has its word mark anywhere but in front, so a text falls into chunks (m
 alone, and a worker keeps the encodings of the chunks it has met. The tables of all new chunks of some texts are
 filled together, place by place. Characters outside the vocabulary become bytes. Encoding and then decoding are exactly the library's, for models with an identity normaliser.
 
-Null text is the empty text, which has the end id alone. Texts of any length are encoded whole.
+Null text is the empty text, which has the end id alone. Texts of any length are encoded whole; the table of a long
+chunk takes four bytes a character. Rows that repeat have results that repeat, empty tables none; columns that clash
+with names used inside play no part.
 """
 
 from __future__ import annotations
 
+import io
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -130,14 +134,26 @@ class Codec:
             out = self.pairs[key] = self.merged("".join(own)) == own
         return out
 
-    def tokens(self, chunk: str) -> list[int]:
+    def tokens(self, chunk: str) -> array:
         """Token numbers; a character outside the vocabulary has 1 << 24 plus its code."""
         n = len(chunk)
-        last, fits, pairs = [-2] * (n + 1), self.fits, self.pairs
+        last, fits, pairs = array("i", [-2]) * (n + 1), self.fits, self.pairs
         last[0] = -1
-        single = ((i, (self.ids[c] if c in self.ids else 1 << 24 | ord(c)) << 8 | 1) for i, c in enumerate(chunk))
-        for end, found in sorted([*self.auto.iter(chunk), *single]):
+        done = 0  # prefixes up to here are settled
+
+        def alone(at: int) -> None:
+            """Settles a prefix that no longer piece has settled."""
+            if last[at] == -2:
+                c = chunk[at - 1]
+                token = self.ids.get(c, 1 << 24 | ord(c))
+                if last[at - 1] != -2 and fits(last[at - 1], token):
+                    last[at] = token
+
+        for end, found in self.auto.iter(chunk):
             end += 1
+            while done < end - 1:
+                done += 1
+                alone(done)
             if last[end] == -2:
                 before = last[end - (found & 255)]
                 if before != -2:
@@ -145,15 +161,19 @@ class Codec:
                     ok = pairs.get((before + 1) << 26 | token)
                     if ok or ok is None and fits(before, token):
                         last[end] = token
-        out = []
+        while done < n:
+            done += 1
+            alone(done)
+        out = array("i")
         while n:
             token = last[n]
             out.append(token)
             n -= len(self.text[token]) if token < 1 << 24 else 1
-        return out[::-1]
+        out.reverse()
+        return out
 
-    def chunk_ids(self, chunk: str) -> list[int]:
-        out = []
+    def chunk_ids(self, chunk: str) -> array:
+        out = array("i")
         for token in self.tokens(chunk):
             if token < 1 << 24:
                 out.append(token)
@@ -161,9 +181,9 @@ class Codec:
                 out.extend(self.bytes.get(b, self.unknown) for b in chr(token - (1 << 24)).encode("utf-8", "surrogatepass"))
         return out
 
-    def decoded(self, ids: list[int]) -> str:
+    def decoded(self, ids: Sequence[int]) -> str:
         """The text of ids, with a space for each word mark; runs of bytes that are no UTF-8 become U+FFFD."""
-        parts, run = [], bytearray()
+        parts, run = io.StringIO(), bytearray()
         for i in ids:
             piece = self.text.get(i)
             if piece is None:
@@ -171,18 +191,19 @@ class Codec:
                     run.append(self.back[i])
                 continue
             if run:
-                parts.append(run.decode("utf-8", "replace"))
+                parts.write(run.decode("utf-8", "replace"))
                 run.clear()
-            parts.append(piece)
-        parts.append(run.decode("utf-8", "replace"))
-        return "".join(parts).replace(_MARK, " ")
+            parts.write(piece)
+        parts.write(run.decode("utf-8", "replace"))
+        return parts.getvalue().replace(_MARK, " ")
 
     def encode(self, text: str) -> list[str]:
         return self.chunks(self.prefix + text.replace(" ", _MARK)) if text else []
 
     def one(self, chunk: str) -> str | tuple[str, str]:
-        ids = self.chunk_ids(chunk)
-        text, decoded = " ".join(map(self.names.__getitem__, ids)), self.decoded(ids)
+        ids, name = self.chunk_ids(chunk), self.names.__getitem__
+        text = " ".join(" ".join(map(name, ids[at : at + 65_536])) for at in range(0, len(ids), 65_536))
+        decoded = self.decoded(ids)
         return text if decoded == chunk.replace(_MARK, " ") else (text, decoded)
 
     def _fit(self, keys: np.ndarray) -> np.ndarray:
