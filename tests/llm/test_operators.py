@@ -361,6 +361,54 @@ def test_language_edge_cases(docs, nothing):
     assert fit(nothing, PIECES) == {} and {r["tw_lang"] for r in identify(docs, {}, PIECES).collect()} == {"und"}
 
 
+def segmentations(word, pieces):
+    """Every sequence of pieces that spells a word; a character that is no piece stands for itself (None)."""
+    if not word:
+        yield ()
+    for n in range(1, len(word) + 1):
+        piece = pieces.get(word[:n], len(pieces) if n == 1 else None)
+        if piece is not None:
+            yield from ((piece, *rest) for rest in segmentations(word[n:], pieces))
+
+
+def test_forward_sums_and_expectations_against_enumeration():
+    from tidewheel.llm.language_id import Lattice, Scores
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    kept = [i for i in range(model.vocab_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
+    pieces = {model.id_to_piece(i): k for k, i in enumerate(kept)}
+    p = np.random.default_rng(5).random((len(pieces) + 1, 3)) * 0.01
+    words_ = ["the", "a", "season", "über", "x\u2603y", "the", "naïve", "ing"]
+    ways = [list(segmentations("▁" + w, pieces)) for w in words_]
+    assert max(map(len, ways)) > 8
+    sums = [np.array([p[list(way)].prod(axis=0) for way in own]) for own in ways]
+    lattice = Lattice(words_, PIECES)
+    assert np.allclose(lattice.forward(p)[lattice.last], [s.sum(axis=0) for s in sums], rtol=1e-9)
+    weights, want = np.arange(1.0, len(words_) + 1), np.zeros(len(pieces) + 1)
+    for own, s, n in zip(ways, sums, weights):
+        for way, share in zip(own, s[:, 0] / s[:, 0].sum()):
+            np.add.at(want, list(way), share * n)
+    assert np.allclose(lattice.expected(p[:, 0], weights), want)
+    scores = Scores(p, PIECES)
+    scores.learn(set(words_))
+    assert np.allclose(scores.of(words_)[:-1], sum(np.log(s.sum(axis=0)) for s in sums))
+
+
+def test_posterior(spark):
+    """The score is the best language's share of all languages' products over the words."""
+    from tidewheel.llm.language_id import Scores
+
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate([("the cat sat on the mat", "en"), ("die katze sass auf der matte", "de"), ("le chat est sur le tapis", "fr")] * 5)], "doc_id long, text string, lang string")
+    model = fit(docs, PIECES)
+    found = identify(spark.createDataFrame([(0, "the matte"), (1, "12 34")], "doc_id long, text string"), model, PIECES).orderBy("doc_id").collect()
+    scores = Scores(np.stack([model[x] for x in sorted(model)], axis=1), PIECES)
+    scores.learn({"the", "matte"})
+    logs = scores.of(["the", "matte"])[:-1]
+    share = np.exp(logs - logs.max()) / np.exp(logs - logs.max()).sum()
+    assert found[0]["tw_lang"] == sorted(model)[int(share.argmax())] and abs(found[0]["tw_score"] - share.max()) < 1e-9
+    assert (found[1]["tw_lang"], found[1]["tw_score"]) == ("und", 0.0)
+
+
 # --- 7: repeats -------------------------------------------------------------------------------------
 
 
@@ -427,6 +475,34 @@ def test_archives(spark):
     assert payloads[0] == big.encode() and payloads[21] == b"w" * 50_000 and payloads[4] == b""
 
 
+def test_an_archive_is_placed_once(tmp_path):
+    """Two attempts of a task, on a store that does not rename onto a file and on one that does."""
+    import pyarrow.fs
+
+    class Strict:
+        def __init__(self, seen):
+            self.own, self.seen = pyarrow.fs.LocalFileSystem(), seen
+
+        def __getattr__(self, name):
+            return getattr(self.own, name)
+
+        def get_file_info(self, path):
+            return self.own.get_file_info(path if self.seen else f"{path}.none")
+
+        def move(self, a, b):
+            self.seen = True
+            if Path(b).exists():
+                raise OSError("the target exists")
+            self.own.move(a, b)
+
+    for store in (pyarrow.fs.LocalFileSystem(), Strict(True), Strict(False)):
+        name = f"{tmp_path}/{id(store)}.warc.zst"
+        for attempt in range(2):
+            Path(f"{name}.{attempt}.tmp").write_bytes(b"archive")
+            warc.place(store, f"{name}.{attempt}.tmp", name)
+        assert Path(name).read_bytes() == b"archive" and not list(tmp_path.glob("*.tmp"))
+
+
 def broken(raw, how):
     with pytest.raises(ValueError, match=how):
         list(warc.records_of(raw))
@@ -547,6 +623,24 @@ def test_no_benchmark(spark, docs):
     assert found.count() == len(corpus()[0]) and found.where("tw_hit > 0").count() == 0
 
 
+def test_cleanup_removes_written_tables(spark):
+    from tidewheel.llm import common
+
+    at = common.mark()
+    result = near_copies(spark.createDataFrame([(1, "a b c"), (2, "a b c")], "doc_id long, text string")).collect()
+    made = common._WRITTEN[at:]
+    assert len(result) == 2 and made and all(Path(p.replace("file:", "")).exists() for p in made)
+    assert common.cleanup(at) == len(made) and not any(Path(p.replace("file:", "")).exists() for p in made) and common.mark() == at
+
+
+def test_pseudonyms_in_long_and_repeated_texts(spark):
+    long_ = "word 12 " * 200_000 + "card 4111 1111 1111 1111 end"
+    (a, n), (b, _), (c, _) = named(spark, [long_, "4111 1111 1111 1111", "4111 1111 1111 1111"])
+    assert n == 1 and b == c and a == long_.replace("4111 1111 1111 1111", b)
+    df = spark.createDataFrame([(1, "x", "y", "1999-12-31")], "doc_id long, tw_in string, tw_found string, text string")
+    assert pii.pseudonymise(df, "k", keep=("tw_in", "tw_found", "text")).select("tw_in", "tw_found", "text").first() == ("x", "y", "1999-12-31")
+
+
 def test_buffers_of_slices():
     from tidewheel.llm.common import buffers, byte_rows
 

@@ -8,9 +8,12 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Tables in the shared folder, in order.
+_WRITTEN: list[str] = []
 #: White space of the text contracts: the space and U+0009 to U+000D.
 SPACE = b" \t\n\x0b\x0c\r"
 
@@ -34,12 +37,28 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: its lineage ends there, so a lost executor costs one scan."""
+    """df as a table in the shared folder: its lineage ends there, so a lost executor costs one scan. cleanup() removes it."""
     path = new_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cleanup(since: int = 0) -> int:
+    """Removes the tables that this process has written (from mark() on); call it when what reads them is done."""
+    gone = _WRITTEN[since:]
+    for path in gone:
+        store, top = pyarrow.fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "", 1))
+        store.delete_dir(top)
+    del _WRITTEN[since:]
+    return len(gone)
+
+
+def mark() -> int:
+    """How many tables have been written so far."""
+    return len(_WRITTEN)
+
+
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -14,7 +14,11 @@ not validate stays as it is.
 
 Every network alternates between the two parts of a value, adding to one a keyed hash of the other, modulo the
 part's range; so each is a permutation of its whole domain. Null text stays null, empty text empty; texts of any
-length are treated whole. One pass, no shuffle, no Python.
+length are treated whole. Rows that repeat have results that repeat, empty tables none. Columns of the table that
+clash with names used inside play no part. One pass, no shuffle, no Python.
+
+Out of scope: dates with the month first (12/31/1999) or without a century, phones without a country code
+((555) 123-4567), IPv6, names, addresses, e-mails and secrets, which are no numbers or dates of one format.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.llm.common import no_clash
+
 ROUNDS = 10
 #: First day and number of days of the date domain: 150 x 487 days, 1900-01-01 to 2100-01-01.
 DATE_FROM, DATE_PARTS = "1900-01-01", (150, 487)
@@ -220,9 +226,11 @@ def value_in(m: Column) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns in keep, tw_text and tw_values (how many values were replaced)."""
     # a character in front, so that a candidate never stands at the very start, where split gives no empty piece
-    found = docs.select(*keep, F.col(text_col).alias("tw_in"), F.regexp_extract_all(text_col, F.lit(PATTERN), F.lit(1)).alias("tw_found"))
-    value = found.select(*keep, "tw_in", F.transform("tw_found", value_in).alias("tw_value"))
-    named = value.select(*keep, "tw_in", F.transform("tw_value", lambda m: F.struct(F.coalesce(F.length(m), F.lit(0)).alias("size"), pseudonym(m, key).alias("new"))).alias("tw_new"))
+    names = no_clash(keep, (), ("tw_text", "tw_values"))
+    own = [f"c{i}" for i in range(len(names))]
+    found = docs.select(*(F.col(c).alias(k) for c, k in zip(names, own)), F.col(text_col).alias("tw_in"), F.regexp_extract_all(text_col, F.lit(PATTERN), F.lit(1)).alias("tw_found"))
+    value = found.select(*own, "tw_in", F.transform("tw_found", value_in).alias("tw_value"))
+    named = value.select(*own, "tw_in", F.transform("tw_value", lambda m: F.struct(F.coalesce(F.length(m), F.lit(0)).alias("size"), pseudonym(m, key).alias("new"))).alias("tw_new"))
     pieces = F.split(F.concat(F.lit("\n"), F.col("tw_in")), PATTERN, -1)
     placed = F.zip_with(pieces, F.concat(F.array(F.struct(F.lit(0).alias("size"), F.lit(None).cast("string").alias("new"))), "tw_new"), lambda piece, v: F.struct(piece.alias("piece"), v["size"].alias("size"), v["new"].alias("new")))
     start = F.struct(F.lit(0).alias("skip"), F.lit(0).cast("long").alias("n"), F.array().cast("array<string>").alias("out"))
@@ -236,5 +244,5 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", keep: tuple[
 
     done = F.aggregate(placed, start, step, lambda s: F.struct(F.substr(F.array_join(s["out"], ""), F.lit(2)).alias("text"), s["n"].alias("n")))
     some = F.size("tw_new") > 0
-    out = named.select(*keep, "tw_in", F.when(some, F.transform(F.array(done), lambda s: s)).alias("tw_done"))
-    return out.select(*keep, F.coalesce(F.col("tw_done")[0]["text"], "tw_in").alias("tw_text"), F.coalesce(F.col("tw_done")[0]["n"], F.lit(0).cast("long")).alias("tw_values"))
+    out = named.select(*own, "tw_in", F.when(some, F.transform(F.array(done), lambda s: s)).alias("tw_done"))
+    return out.select(*(F.col(k).alias(c) for c, k in zip(names, own)), F.coalesce(F.col("tw_done")[0]["text"], "tw_in").alias("tw_text"), F.coalesce(F.col("tw_done")[0]["n"], F.lit(0).cast("long")).alias("tw_values"))

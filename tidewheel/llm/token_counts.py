@@ -6,7 +6,8 @@ TABLE entries; each worker encodes the others itself and keeps what it has met l
 time: counts are exact whatever it holds.
 
 Special strings inside texts are single tokens, as the library has it by default. Null text has no bytes and
-no tokens. Texts of any length are counted whole.
+no tokens. Texts of any length are counted whole. Rows that repeat have counts that repeat, empty tables none;
+columns that clash with names used inside play no part.
 """
 
 from __future__ import annotations
@@ -94,7 +95,7 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequent(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text") -> tuple[bytes, bytes]:
     """(pre-tokens, NUL between; their counts of tokens, a byte each): TABLE entries of LONGEST bytes at most."""
     n = docs.count()
-    sample = docs.where(F.col(text_col).isNotNull() & (F.pmod(F.xxhash64(id_col, F.lit("table")), F.lit(1_000_000)) < 1_000_000 * SAMPLE_DOCS / max(n, 1)))
+    sample = docs.where(F.col(text_col).isNotNull() & (F.pmod(F.xxhash64(id_col, text_col, F.lit("table")), F.lit(1_000_000)) < 1_000_000 * SAMPLE_DOCS / max(n, 1)))
     counts = sample.select(text_col).mapInArrow(_sampled, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
     pieces = [r[0] for r in counts.orderBy(F.desc("n"), "piece").limit(TABLE).select("piece").collect()]
     own = Counter_(tokenizer_file, b"", b"")

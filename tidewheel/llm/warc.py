@@ -6,7 +6,8 @@ smallest page id is a response and the others revisit it. The reader loads the d
 frame, and raises on a bad frame, version line, header, length or digest.
 
 Null payloads are empty, null addresses about:blank; a null page id is an empty one in the record's id, and
-rows of equal page id and payload are all of one type. No pages give no archives and no records.
+rows of equal page id and payload are all of one type. No pages give no archives and no records. Payloads of any
+length are one record each. Other columns play no part. A task that is run again, or twice, leaves each archive once.
 """
 
 from __future__ import annotations
@@ -64,6 +65,19 @@ def archive(records: list[bytes], samples: list[bytes]) -> bytes:
     return struct.pack("<II", SKIPPABLE, len(raw)) + raw + b"".join(one.compress(r) for r in records)
 
 
+def place(store: pyarrow.fs.FileSystem, aside: str, name: str) -> None:
+    """Gives a finished archive its name, unless another attempt of the task has written that archive, the same, already."""
+    there = lambda: store.get_file_info(name).type == pyarrow.fs.FileType.File
+    if not there():
+        try:
+            store.move(aside, name)
+            return
+        except OSError:
+            if not there():
+                raise
+    store.delete_file(aside)
+
+
 def _write(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = pyarrow.fs.FileSystem.from_uri(folder)
@@ -79,7 +93,7 @@ def _write(folder: str):
             aside = f"{name}.{TaskContext.get().taskAttemptId()}.tmp"
             with store.open_output_stream(aside) as f:
                 f.write(raw)
-            store.move(aside, name)  # a retried task writes the same archive under the same name
+            place(store, aside, name)
             out = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(records)], pa.int64()), pa.array([len(raw)], pa.int64())], ["archive", "records", "bytes"])
             seq, held = seq + 1, 0
             records.clear()
