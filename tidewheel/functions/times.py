@@ -6,33 +6,56 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DAY = 86_400_000_000
-#: The date forms that text is tried in, first hit wins.
+#: The date forms that text is tried in, first hit wins (one or two digits for day, month and hour).
 FORMS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "dd-MM-yyyy HH:mm:ss",
-    "dd-MM-yyyy HH:mm",
-    "dd-MM-yyyy",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy HH:mm",
-    "dd/MM/yyyy",
-    "yyyy/MM/dd",
-    "dd-MMM-yyyy HH:mm",
-    "dd-MMM-yyyy",
-    "dd MMM yyyy",
+    "d/M/yy H.m.s",
+    "d/M/yyyy H.m.s",
+    "M/d/yy H.m.s",
+    "M/d/yyyy H.m.s",
+    "d/M/yy H:m:s",
+    "d/M/yyyy H:m:s",
+    "M/d/yy H:m:s",
+    "M/d/yyyy H:m:s",
+    "yyyy-M-d H:m:s",
+    "yyyy-M-d H.m.s",
+    "d-M-yyyy H:m:s",
+    "d-M-yyyy H.m.s",
+    "yyyy/M/d H:m:s",
+    "yyyy/M/d H.m.s",
+    "d/M/yy",
+    "M/d/yy",
+    "d/M/yyyy",
+    "M/d/yyyy",
+    "yyyy-M-d",
+    "yyyy/M/d",
+    "d-M-yyyy",
+    "d.M.yyyy",
+    "d.M.yy",
+    "yyyy.M.d",
 )
+#: Forms beyond the fixed ones: times without seconds, names of months.
+MORE_FORMS = ("yyyy-M-d H:m", "d-M-yyyy H:m", "d/M/yyyy H:m", "d-MMM-yyyy H:m", "d-MMM-yyyy", "d MMM yyyy")
+#: Texts that stand for no date.
+NO_DATE = ("", "nan", "nat", "none", "null")
 
 
 def ntz(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("timestamp_ntz")
 
 
-def parsed(text: Column, forms: tuple[str, ...] = FORMS) -> Column:
+def _in_form(text: Column, form: str) -> Column:
+    """Two-digit years are 1969 to 2068."""
+    t = F.try_to_timestamp(text, F.lit(form)).cast("timestamp_ntz")
+    if "yyyy" in form or "yy" not in form:
+        return t
+    return F.when(F.year(t) > 2068, t - F.make_interval(F.lit(100))).otherwise(t)
+
+
+def parsed(text: Column, forms: tuple[str, ...] = FORMS + MORE_FORMS) -> Column:
     """Text as a timestamp: an ISO instant in UTC (zone offsets count), else the first form that fits, else null."""
-    iso = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
-    return F.coalesce(iso, *(F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in forms))
+    said = F.when(~F.lower(F.trim(text)).isin(*NO_DATE), F.trim(text))
+    iso = F.convert_timezone(F.current_timezone(), F.lit("UTC"), said.try_cast("timestamp").cast("timestamp_ntz"))
+    return F.coalesce(iso, *(_in_form(said, f) for f in forms))
 
 
 def days_floor(later: Column, earlier: Column) -> Column:

@@ -7,6 +7,7 @@ is one partial-then-final aggregation by client, slice and item. A null value is
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -54,11 +55,19 @@ def bloods(events: DataFrame, as_of: datetime, exact: bool = True) -> DataFrame:
     })
 
 
+def orders_by_kind(events: DataFrame, as_of: datetime, names: dict[str, str], which: tuple[str, ...] = ("num", "since", "between")) -> DataFrame:
+    """names: kind -> name. Per kind and order: num-<name>-order, days-since-last-<name>-order and, from two,
+    days-between-first-last-<name>."""
+    g = events.where("item is not null and ts is not null").groupBy(*KEYS, "kind", "item").agg(F.count("*").alias("n"), F.max("ts").alias("last"), F.min("ts").alias("first"))
+    name = F.create_map(*(F.lit(x) for kv in names.items() for x in kv))[F.col("kind")]
+    stats = {"num": (("_num-", "-order"), F.col("n")), "since": (("_days-since-last-", "-order"), days_floor(_as_of(as_of), F.col("last"))), "between": (("_days-between-first-last-", ""), F.when(F.col("n") >= 2, days_floor(F.col("last"), F.col("first"))))}
+    pairs = F.array(*(F.struct(F.concat(F.col("item"), F.lit(before), F.col("name"), F.lit(after)).alias("feature"), v.cast("double").alias("value")) for w in which for (before, after), v in [stats[w]]))
+    return g.withColumn("name", name).where("name is not null").select(*KEYS, F.explode(pairs).alias("f")).select(*KEYS, "f.feature", "f.value").where("value is not null")
+
+
 def orders(events: DataFrame, as_of: datetime, kind: str, which: tuple[str, ...] = ("num", "since", "between")) -> DataFrame:
-    """Per order name: num-<kind>-order, days-since-last-<kind>-order and, from two, days-between-first-last-<kind>."""
-    g = events.where("item is not null and ts is not null").groupBy(*KEYS, "item").agg(F.count("*").alias("n"), F.max("ts").alias("last"), F.min("ts").alias("first"))
-    stats = {"num": (f"num-{kind}-order", F.col("n")), "since": (f"days-since-last-{kind}-order", days_floor(_as_of(as_of), F.col("last"))), "between": (f"days-between-first-last-{kind}", F.when(F.col("n") >= 2, days_floor(F.col("last"), F.col("first"))))}
-    return _named(g, "item", dict(stats[w] for w in which))
+    """All events as orders of one kind."""
+    return orders_by_kind(events.withColumn("kind", F.lit(kind)), as_of, {kind: kind}, which)
 
 
 def drugs(events: DataFrame, as_of: datetime, which: tuple[str, ...] = ("num", "since", "between")) -> DataFrame:
@@ -73,19 +82,40 @@ def diagnostics(events: DataFrame, as_of: datetime) -> DataFrame:
 BODY = {"bmi": (6, 200), "height": (30, 300), "weight": (1, 800)}
 
 
-def body(events: DataFrame, items: dict[str, str], require_bmi: bool = True) -> DataFrame:
-    """items: the item of bmi, height and weight. mean, median, std of each within its range; max and min of bmi and
-    weight; high, low and extreme from the median bmi. Height and weight need a bmi in the slice, unless not required."""
-    v, aggs = F.col("value"), []
-    own = lambda k: F.when((F.col("item") == items[k]) & (v > BODY[k][0]) & (v < BODY[k][1]), v)
+@dataclass(frozen=True)
+class BySlice:
+    """What an extractor reads off a slice: its aggregates by name, and an array of its (feature, value) made from them."""
+
+    aggregates: dict[str, Column]
+    features: Column
+
+
+def _array(pairs: dict[str, Column]) -> Column:
+    return F.array(*(F.struct(F.lit(n).alias("feature"), c.cast("double").alias("value")) for n, c in pairs.items()))
+
+
+def by_slice(events: DataFrame, parts: list[BySlice]) -> DataFrame:
+    """All parts in one aggregation by client and slice."""
+    g = events.groupBy(*KEYS).agg(*(c.alias(n) for p in parts for n, c in p.aggregates.items()))
+    return g.select(*KEYS, F.explode(F.concat(*(p.features for p in parts))).alias("f")).select(*KEYS, "f.feature", "f.value").where("value is not null")
+
+
+def body_part(items: dict[str, str], require_bmi: bool = True) -> BySlice:
+    v, aggs = F.col("value"), {}
     for k in BODY:
-        aggs += [F.avg(own(k)).alias(f"{k}_mean"), F.median(own(k)).alias(f"{k}_median"), F.stddev_samp(own(k)).alias(f"{k}_std"), F.max(own(k)).alias(f"{k}_max"), F.min(own(k)).alias(f"{k}_min")]
-    g = events.where(F.col("item").isin(list(items.values()))).groupBy(*KEYS).agg(*aggs)
+        own = F.when((F.col("item") == items[k]) & (v > BODY[k][0]) & (v < BODY[k][1]), v)
+        aggs |= {f"{k}_mean": F.avg(own), f"{k}_median": F.median(own), f"{k}_std": F.stddev_samp(own), f"{k}_max": F.max(own), f"{k}_min": F.min(own)}
     has = F.col("bmi_mean").isNotNull() if require_bmi else F.lit(True)
     out = {f"bmi_{s}": F.col(f"bmi_{s}") for s in ("mean", "median", "std", "max", "min")}
     out |= {"bmi_high": (F.col("bmi_median") > 24.9).cast("int"), "bmi_low": (F.col("bmi_median") < 18.5).cast("int"), "bmi_extreme": (F.col("bmi_median") > 30).cast("int")}
     out |= {f"{k}_{s}": F.when(has, F.col(f"{k}_{s}")) for k, ss in (("height", ("mean", "median", "std")), ("weight", ("mean", "median", "std", "max", "min"))) for s in ss}
-    return long_form(g, out)
+    return BySlice(aggs, _array(out))
+
+
+def body(events: DataFrame, items: dict[str, str], require_bmi: bool = True) -> DataFrame:
+    """items: the item of bmi, height and weight. mean, median, std of each within its range; max and min of bmi and
+    weight; high, low and extreme from the median bmi. Height and weight need a bmi in the slice, unless not required."""
+    return by_slice(events.where(F.col("item").isin(list(items.values()))), [body_part(items, require_bmi)])
 
 
 def scores(events: DataFrame, names: dict[str, str], limits: dict[str, tuple[float, float]] | None = None) -> DataFrame:
@@ -105,31 +135,49 @@ def mapped_status(events: DataFrame, values: dict[str, float], name: str) -> Dat
     return scores(events.withColumn("value", mapped).withColumn("item", F.lit(name)), {name: name})
 
 
+def flags_part(parts: dict[str, str], ignore_case: bool = True, where: Column | None = None) -> BySlice:
+    text = F.lower("text") if ignore_case else F.col("text")
+    held = {f: F.coalesce(text.contains(p.lower() if ignore_case else p), F.lit(False)).cast("int") for f, p in parts.items()}
+    return BySlice({f"flag {f}": F.max(c if where is None else F.when(where, c)) for f, c in held.items()}, _array({f: F.col(f"flag {f}") for f in parts}))
+
+
 def flags(events: DataFrame, parts: dict[str, str], ignore_case: bool = True) -> DataFrame:
     """feature -> substring: 1 if any text in the slice holds it, else 0."""
-    text = F.lower("text") if ignore_case else F.col("text")
-    g = events.groupBy(*KEYS).agg(*(F.max(F.coalesce(text.contains(p.lower() if ignore_case else p), F.lit(False)).cast("int")).alias(f) for f, p in parts.items()))
-    return long_form(g, {f: F.col(f) for f in parts})
+    return by_slice(events, [flags_part(parts, ignore_case)])
+
+
+def counts_part(values: dict[str, str], where: Column | None = None) -> BySlice:
+    """No rows for slices without any event that where holds for."""
+    own = F.lit(True) if where is None else where
+    counts = {f"count {f}": F.when(F.count_if(own) > 0, F.count_if(own & (F.col("text") == v))) for f, v in values.items()}
+    return BySlice(counts, _array({f: F.col(f"count {f}") for f in values}))
 
 
 def value_counts(events: DataFrame, values: dict[str, str]) -> DataFrame:
     """feature -> exact text: how often it occurs in the slice."""
-    g = events.groupBy(*KEYS).agg(*(F.count_if(F.col("text") == v).alias(f) for f, v in values.items()))
-    return long_form(g, {f: F.col(f) for f in values})
+    return by_slice(events, [counts_part(values)])
+
+
+def presence_part(prefix: str, where: Column | None = None, clean: bool = False) -> BySlice:
+    text = F.replace(F.replace(F.col("text"), F.lit("-"), F.lit("_")), F.lit("%"), F.lit("pct")) if clean else F.col("text")
+    met = F.transform(F.col(f"set {prefix}"), lambda t: F.struct(F.concat(F.lit(prefix), t).alias("feature"), F.lit(1.0).alias("value")))
+    return BySlice({f"set {prefix}": F.collect_set(text if where is None else F.when(where, text))}, met)
 
 
 def presence(events: DataFrame, prefix: str, clean: bool = False) -> DataFrame:
     """1 for each distinct text; clean writes "-" as "_" and "%" as "pct"."""
-    text = F.replace(F.replace(F.col("text"), F.lit("-"), F.lit("_")), F.lit("%"), F.lit("pct")) if clean else F.col("text")
-    return events.where("text is not null").select(*KEYS, F.concat(F.lit(prefix), text).alias("feature")).distinct().withColumn("value", F.lit(1.0))
+    return by_slice(events, [presence_part(prefix, None, clean)])
+
+
+def positive_part(name: str, negate: bool = False) -> BySlice:
+    text = F.lower("text")
+    out = F.when(F.col(f"yes {name}"), 1).when(F.col(f"no {name}"), 0)
+    return BySlice({f"yes {name}": F.bool_or(text.contains("positive")), f"no {name}": F.bool_or(text.contains("negative"))}, _array({name: F.coalesce(out, F.lit(0)) if negate else out}))
 
 
 def positive(events: DataFrame, name: str, negate: bool = False) -> DataFrame:
     """1 if any text says positive, else 0 if any says negative, else null (no row), or 0 if negate."""
-    text = F.lower("text")
-    g = events.groupBy(*KEYS).agg(F.bool_or(text.contains("positive")).alias("yes"), F.bool_or(text.contains("negative")).alias("no"))
-    out = F.when(F.col("yes"), 1).when(F.col("no"), 0)
-    return long_form(g, {name: F.coalesce(out, F.lit(0)) if negate else out})
+    return by_slice(events, [positive_part(name, negate)])
 
 
 def appointments(events: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -190,18 +238,25 @@ def with_missing(features: DataFrame, frame: DataFrame, names: list[str], fill:
     return out if fill is None else out.withColumn("value", F.coalesce("value", F.lit(fill)))
 
 
-def assemble(parts: list[DataFrame]) -> DataFrame:
-    """All extractors' rows; the values of equal features add up."""
+def union_of(parts: list[DataFrame]) -> DataFrame:
     out = parts[0].select(*LONG)
     for p in parts[1:]:
         out = out.unionByName(p.select(*LONG))
-    return out.groupBy(*KEYS, "feature").agg(F.sum("value").alias("value"))
+    return out
+
+
+def assemble(parts: list[DataFrame]) -> DataFrame:
+    """All extractors' rows; the values of equal features add up."""
+    return union_of(parts).groupBy(*KEYS, "feature").agg(F.sum("value").alias("value"))
 
 
-def packed(features: DataFrame) -> DataFrame:
-    """One row a client and slice, its features in a map (a repeated feature's last value by size)."""
-    one = features.groupBy(*KEYS, "feature").agg(F.max("value").alias("value"))
-    return one.groupBy(*KEYS).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("feature", "value")))).alias("features"))
+def packed(features: DataFrame, marked: bool = False) -> DataFrame:
+    """One row a client and slice, its features in a map; the values of equal features add up. A row without a feature
+    marks its client and slice as wanted; marked leaves out those that have no mark."""
+    one = features.groupBy(*KEYS, "feature").agg(F.sum("value").alias("value"))
+    pairs = F.collect_list(F.when(F.col("feature").isNotNull(), F.struct("feature", "value")))
+    g = one.groupBy(*KEYS).agg(F.map_from_entries(F.sort_array(pairs)).alias("features"), F.bool_or(F.col("feature").isNull()).alias("marked"))
+    return (g.where("marked") if marked else g).select(*KEYS, "features")
 
 
 def unpacked(vectors: DataFrame) -> DataFrame:

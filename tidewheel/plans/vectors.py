@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.functions.times import age_at, ntz, parsed, plus, stamp
+from tidewheel.functions.times import FORMS, age_at, ntz, parsed, plus, stamp
 from tidewheel.operators import features as X
+from tidewheel.operators.extractors import EXTRACTORS, long_rows, vectors
 from tidewheel.operators.slicing import client_windows, control_windows, decode_one_hot, events_in_client_slices, events_in_slices, in_window, individual_slices, one_hot, slice_table
 from tidewheel.plans.registry import query
 from tidewheel.sources.stand_ins import DAILY, HALF_YEARS, Tables, with_tables
@@ -25,12 +27,15 @@ def shown(features: DataFrame) -> DataFrame:
     return features.select("client_id", F.date_format("slice_start", "yyyy-MM-dd").alias("slice_start"), "feature", F.round(F.col("value").cast("double"), 6).alias("value"))
 
 
-def long_sql(tables: str, inner: str, pairs: dict[str, str], name: str = "'{}'") -> str:
-    """inner: a grouped query as g; pairs: feature -> value."""
+def long_part(inner: str, pairs: dict[str, str], name: str = "'{}'") -> str:
+    """inner: a grouped query; pairs: feature -> value. Rows (client_id, slice_start, feature, value)."""
     names = ", ".join(name.format(k) for k in pairs)
     values = ", ".join(f"CAST({v} AS DOUBLE)" for v in pairs.values())
-    return with_tables(tables, f""", g AS ({inner})
-SELECT {_KEYS}, feature, round(value, 6) AS value FROM (SELECT client_id, slice_start, unnest([{names}]) AS feature, unnest([{values}]) AS value FROM g) WHERE value IS NOT NULL""")
+    return f"SELECT client_id, slice_start, feature, value FROM (SELECT client_id, slice_start, unnest([{names}]) AS feature, unnest([{values}]) AS value FROM ({inner})) WHERE value IS NOT NULL"
+
+
+def long_sql(tables: str, inner: str, pairs: dict[str, str], name: str = "'{}'") -> str:
+    return with_tables(tables, f"SELECT {_KEYS}, feature, round(value, 6) AS value FROM ({long_part(inner, pairs, name)})")
 
 
 def floor_days(later: str, earlier: str) -> str:
@@ -63,9 +68,13 @@ def feat_bloods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(bloods_of(Tables(spark, sf_dir)))
 
 
+def _orders_part(kind: str, name: str, rows: str = f"ords {_IN_HALVES}") -> str:
+    inner = f"SELECT client_id, slice_start, item, count(*) AS n, max(ts) AS last, min(ts) AS first FROM {rows} WHERE kind = '{kind}' GROUP BY ALL"
+    return long_part(inner, {f"num-{name}-order": "n", f"days-since-last-{name}-order": floor_exact("TIMESTAMP '2024-02-01'", "last"), f"days-between-first-last-{name}": f"CASE WHEN n >= 2 THEN {floor_exact('last', 'first')} END"}, "item || '_{}'")
+
+
 def _orders_sql(kind: str, name: str) -> str:
-    inner = f"SELECT client_id, slice_start, item, count(*) AS n, max(ts) AS last, min(ts) AS first FROM ords {_IN_HALVES} WHERE kind = '{kind}' GROUP BY ALL"
-    return long_sql("ords halves", inner, {f"num-{name}-order": "n", f"days-since-last-{name}-order": floor_exact("TIMESTAMP '2024-02-01'", "last"), f"days-between-first-last-{name}": f"CASE WHEN n >= 2 THEN {floor_exact('last', 'first')} END"}, "item || '_{}'")
+    return with_tables("ords halves", f"SELECT {_KEYS}, feature, round(value, 6) AS value FROM ({_orders_part(kind, name)})")
 
 
 @query(_orders_sql("medication", "drug"))
@@ -84,23 +93,31 @@ def _stats(column: str, name: str, more: tuple[str, ...] = ("max", "min")) -> st
 
 
 _BMI_ITEMS = {"bmi": "purchase", "height": "view", "weight": "click"}
-_BODY_SQL = f"""SELECT client_id, slice_start, {_stats('b', 'bmi')}, {_stats('h', 'height', ())}, {_stats('w', 'weight')}
-FROM (SELECT *, CASE WHEN item = 'purchase' AND value > 6 AND value < 200 THEN value END AS b, CASE WHEN item = 'view' AND value > 30 AND value < 300 THEN value END AS h,
- CASE WHEN item = 'click' AND value > 1 AND value < 800 THEN value END AS w FROM obs) {_IN_DAYS} WHERE item IN ('purchase', 'view', 'click') GROUP BY ALL"""
+_BODY_PAIRS = {f"bmi_{s}": f"bmi_{s}" for s in ("mean", "median", "std", "max", "min")} | {"bmi_high": "CAST(bmi_median > 24.9 AS INTEGER)", "bmi_low": "CAST(bmi_median < 18.5 AS INTEGER)", "bmi_extreme": "CAST(bmi_median > 30 AS INTEGER)"}
+_BODY_PAIRS |= {f"{k}_{s}": f"CASE WHEN bmi_mean IS NOT NULL THEN {k}_{s} END" for k, ss in (("height", ("mean", "median", "std")), ("weight", ("mean", "median", "std", "max", "min"))) for s in ss}
+
 
+def _body_inner(rows: str, bmi: str, height: str, weight: str) -> str:
+    return f"""SELECT client_id, slice_start, {_stats('b', 'bmi')}, {_stats('h', 'height', ())}, {_stats('w', 'weight')}
+FROM (SELECT *, CASE WHEN item = '{bmi}' AND value > 6 AND value < 200 THEN value END AS b, CASE WHEN item = '{height}' AND value > 30 AND value < 300 THEN value END AS h,
+ CASE WHEN item = '{weight}' AND value > 1 AND value < 800 THEN value END AS w FROM {rows}) {_IN_DAYS} WHERE item IN ('{bmi}', '{height}', '{weight}') GROUP BY ALL"""
 
-@query(long_sql("obs days", _BODY_SQL, {f"bmi_{s}": f"bmi_{s}" for s in ("mean", "median", "std", "max", "min")} | {"bmi_high": "CAST(bmi_median > 24.9 AS INTEGER)", "bmi_low": "CAST(bmi_median < 18.5 AS INTEGER)", "bmi_extreme": "CAST(bmi_median > 30 AS INTEGER)"} | {f"{k}_{s}": f"CASE WHEN bmi_mean IS NOT NULL THEN {k}_{s} END" for k, ss in (("height", ("mean", "median", "std")), ("weight", ("mean", "median", "std", "max", "min"))) for s in ss}))
+
+@query(long_sql("obs days", _body_inner("obs", "purchase", "view", "click"), _BODY_PAIRS))
 def feat_bmi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(X.body(events_in_slices(Tables(spark, sf_dir).obs(), DAILY), _BMI_ITEMS))
 
 
-_NEWS = {"purchase": "news_score", "view": "news_heart_rate", "click": "news_systolic_bp"}
-_NAME = "CASE item WHEN 'purchase' THEN 'news_score' WHEN 'view' THEN 'news_heart_rate' WHEN 'click' THEN 'news_systolic_bp' END"
+_NAMES = """(VALUES ('NEWS2_Score', 'news_score'), ('NEWS_Systolic_BP', 'news_systolic_bp'), ('NEWS_Diastolic_BP', 'news_diastolic_bp'), ('NEWS_Respiration_Rate', 'news_respiration_rate'),
+ ('NEWS_Heart_Rate', 'news_heart_rate'), ('NEWS_Oxygen_Saturation', 'news_oxygen_saturation'), ('NEWS Temperature', 'news_temperature'), ('NEWS_AVPU', 'news_avpu'),
+ ('NEWS_Supplemental_Oxygen', 'news_supplemental_oxygen'), ('NEWS2_Sp02_Target', 'news_sp02_target'), ('NEWS2_Sp02_Scale', 'news_sp02_scale'), ('NEWS_Pulse_Type', 'news_pulse_type'),
+ ('NEWS_Pain_Score', 'news_pain_score'), ('NEWS Oxygen Litres', 'news_oxygen_litres'), ('NEWS Oxygen Delivery', 'news_oxygen_delivery')) AS names(item, name)"""
+_NEWS_PART = long_part(f"SELECT client_id, slice_start, name, {_stats('value', 's', ('max', 'min', 'n'))} FROM (SELECT client_id, ts, name, value FROM ward JOIN {_NAMES} USING (item)) {_IN_DAYS} WHERE name <> 'news_score' OR (value > -20 AND value < 20) GROUP BY ALL", {s: f"s_{s}" for s in ("mean", "median", "std", "max", "min", "n")}, "name || '_{}'")
 
 
-@query(long_sql("obs days", f"SELECT client_id, slice_start, name, {_stats('value', 's', ('max', 'min', 'n'))} FROM (SELECT *, {_NAME} AS name FROM obs) {_IN_DAYS} WHERE name IS NOT NULL AND (name <> 'news_score' OR (value > -20 AND value < 20)) GROUP BY ALL", {s: f"s_{s}" for s in ("mean", "median", "std", "max", "min", "n")}, "name || '_{}'"))
+@query(with_tables("ward days", f"SELECT {_KEYS}, feature, round(value, 6) AS value FROM ({_NEWS_PART})"))
 def feat_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(X.scores(events_in_slices(Tables(spark, sf_dir).obs(), DAILY), _NEWS, {"news_score": (-20, 20)}))
+    return shown(EXTRACTORS["news"].rows(Tables(spark, sf_dir).observations(), DAILY))
 
 
 def _texts(t: Tables) -> DataFrame:
@@ -161,23 +178,35 @@ def feat_appointments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(X.appointments(events_in_slices(Tables(spark, sf_dir).appointments(), HALF_YEARS), {"consultant": "consultant_", "clinic": "clinic_", "kind": "type_"}))
 
 
+#: The census rules written out once more, for the SQL: groups in the order in which a later one overrides, then single words.
+_WHITE = "['english', 'welsh', 'scottish', 'northern', 'irish', 'british', 'gypsy', 'irish traveller', 'any other white background', 'white', 'caucasian', 'traveller', 'other white', 'white other']"
+_ASIAN = "['asian', 'chinese', 'pakistani', 'bangladeshi', 'indian']"
+_BLACK = "['black', 'african', 'caribbean', 'black british', 'black african', 'black carribean']"
+_OTHERS = "['arab', 'not specified']"
+_MIXED = "['mixed', 'multiple', 'biracial', 'multiracial', 'white and asian', 'white and black', 'white and hispanic', 'black and white', 'asian and white', 'hispanic and white']"
+_GROUPS = {"white": _WHITE, "asian_or_asian_british": _ASIAN, "black_african_caribbean_or_black_british": _BLACK, "other_ethnic_group": _OTHERS, "mixed_or_multiple_ethnic_groups": _MIXED}
+
+
 def _census_sql(column: str) -> str:
-    """The same ordered rules as a CASE: the last rule that holds is tried first."""
-    words, rules = X.CENSUS, [*X.CENSUS.items(), *((g, (w,)) for w, g in X.LAST)]
-    out = []
-    for g, own in reversed(rules):
-        others = sorted({w for h, ws in words.items() if h != g for w in ws} - set(words[g]))
-        held = " OR ".join(f"contains(e, '{w}')" for w in own)
-        out.append(f"WHEN ({held}) AND e NOT IN ({', '.join(repr(w) for w in others)}) THEN '{g}'")
-    return f"(SELECT CASE {' '.join(out)} ELSE 'other_ethnic_group' END FROM (SELECT lower(coalesce({column}, 'other_ethnic_group')) AS e))"
+    """The last rule that holds is tried first."""
+    last = {"mix": "mixed_or_multiple_ethnic_groups", "asian": "asian_or_asian_british", "white": "white", "black": "black_african_caribbean_or_black_british", "other": "other_ethnic_group"}
+    rules = [(g, f"contains(e, '{w}')") for w, g in last.items()] + [(g, f"len(list_filter({words}, lambda w: contains(e, w))) > 0") for g, words in reversed(_GROUPS.items())]
+    foreign = {g: " OR ".join(f"(list_contains({o}, e) AND NOT list_contains({own}, e))" for h, o in _GROUPS.items() if h != g) for g, own in _GROUPS.items()}
+    return f"(SELECT CASE {' '.join(f"WHEN {held} AND NOT ({foreign[g]}) THEN '{g}'" for g, held in rules)} ELSE 'other_ethnic_group' END FROM (SELECT lower(coalesce({column}, 'other_ethnic_group')) AS e))"
 
 
 _AGE = "date_part('year', ts) - date_part('year', born) - CASE WHEN strftime(ts, '%m%d') >= strftime(born, '%m%d') THEN 0 ELSE 1 END"
 _FILL = ", ".join(f"last_value({c} IGNORE NULLS) OVER (PARTITION BY client_id ORDER BY ts, record_id ROWS UNBOUNDED PRECEDING) AS {c}" for c in ("gender", "racecode", "born", "died"))
 
 
-@query(long_sql("demo halves", f"""SELECT *, {_census_sql('racecode')} AS census FROM (SELECT *, row_number() OVER (PARTITION BY client_id, slice_start ORDER BY ts DESC, record_id DESC) AS r
-FROM (SELECT client_id, ts, record_id, {_FILL} FROM demo) {_IN_HALVES}) WHERE r = 1""", {"male": "CASE lower(gender) WHEN 'male' THEN 1 WHEN 'female' THEN 0 END", "age": _AGE, "dead": "CAST(died IS NOT NULL AS INTEGER)"} | {f"census_{g}": f"CASE WHEN racecode IS NOT NULL THEN CAST(census = '{g}' AS INTEGER) END" for g in X.CENSUS}))
+def _demo_part(table: str, where: str) -> str:
+    inner = f"""SELECT *, {_census_sql('racecode')} AS census FROM (SELECT *, row_number() OVER (PARTITION BY client_id, slice_start ORDER BY ts DESC, record_id DESC) AS r
+FROM (SELECT client_id, ts, record_id, {_FILL} FROM {table}) {where}) WHERE r = 1"""
+    pairs = {"male": "CASE lower(gender) WHEN 'male' THEN 1 WHEN 'female' THEN 0 END", "age": _AGE, "dead": "CAST(died IS NOT NULL AS INTEGER)"}
+    return long_part(inner, pairs | {f"census_{g}": f"CASE WHEN racecode IS NOT NULL THEN CAST(census = '{g}' AS INTEGER) END" for g in _GROUPS})
+
+
+@query(with_tables("demo halves", f"SELECT {_KEYS}, feature, round(value, 6) AS value FROM ({_demo_part('demo', _IN_HALVES)})"))
 def feat_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(X.demographics(Tables(spark, sf_dir).demographics(), lambda r: events_in_slices(r, HALF_YEARS), X.census_group, tuple(X.CENSUS)))
 
@@ -203,14 +232,15 @@ def age_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def concepts_of(t: Tables) -> DataFrame:
-    both = t.annotations().select("client_id", "ts", "pretty_name").unionByName(t.annotations(t.notes()).select("client_id", "ts", "pretty_name"))
-    return X.concepts(events_in_slices(both, DAILY))
+    """Of all four kinds of documents."""
+    return X.assemble(long_rows(t.annotated(), DAILY, dict.fromkeys(("annotations", "annotations_mrc", "annotations_reports", "textual_obs"), True)))
 
 
-_CONCEPTS = f"SELECT client_id, slice_start, pretty_name AS feature, CAST(count(*) AS DOUBLE) AS value FROM (SELECT client_id, ts, pretty_name FROM anns UNION ALL SELECT client_id, ts, pretty_name FROM note_anns) {_IN_DAYS} GROUP BY ALL"
+_ALL_ANNS = " UNION ALL ".join(f"SELECT client_id, ts, pretty_name FROM {a}" for a in ("anns", "note_anns", "report_anns", "tobs_anns"))
+_CONCEPTS = f"SELECT client_id, slice_start, pretty_name AS feature, CAST(count(*) AS DOUBLE) AS value FROM ({_ALL_ANNS}) {_IN_DAYS} GROUP BY ALL"
 
 
-@query(with_tables("anns note_anns days", f"SELECT {_KEYS}, feature, value FROM ({_CONCEPTS})"))
+@query(with_tables("anns note_anns report_anns tobs_anns days", f"SELECT {_KEYS}, feature, value FROM ({_CONCEPTS})"))
 def feat_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(concepts_of(Tables(spark, sf_dir)))
 
@@ -226,36 +256,58 @@ def negate_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(X.with_missing(X.presence(_texts(t), "sat_"), frame, names, 0.0))
 
 
-_BLOODS_LONG = f"SELECT client_id, slice_start, unnest([{', '.join(f"item || '_{k}'" for k in _BLOODS)}]) AS feature, unnest([{', '.join(f'CAST({v} AS DOUBLE)' for v in _BLOODS.values())}]) AS value FROM ({_BLOODS_INNER})"
-_SAT_LONG = f"SELECT DISTINCT client_id, slice_start, 'sat_' || text AS feature, 1.0::DOUBLE AS value FROM {_TEXTS}"
+#: All extractors, as options.
+ALL = dict.fromkeys(EXTRACTORS, True)
+_TABLES = "obs ward ords29 appts29 demo29 anns note_anns report_anns tobs_anns days"
+
+
+def _ward_flags(item: str, parts: dict[str, str]) -> str:
+    inner = ", ".join(f"max(CAST(contains(text, '{p}') AS INTEGER)) AS f{i}" for i, p in enumerate(parts.values()))
+    return long_part(f"SELECT client_id, slice_start, {inner} FROM ward {_IN_DAYS} WHERE item = '{item}' GROUP BY ALL", {k: f"f{i}" for i, k in enumerate(parts)})
 
 
-def _assembled(t: Tables) -> DataFrame:
-    sat = X.presence(_texts(t), "sat_")
-    return X.assemble([bloods_of(t), concepts_of(t), sat, sat])
+def _ward_texts(item: str, feature: str) -> str:
+    return f"SELECT DISTINCT client_id, slice_start, {feature} AS feature, 1.0::DOUBLE AS value FROM ward {_IN_DAYS} WHERE item = '{item}'"
 
 
-_ASSEMBLED = f"SELECT client_id, slice_start, feature, sum(value) AS value FROM (({_BLOODS_LONG}) UNION ALL ({_CONCEPTS}) UNION ALL ({_SAT_LONG}) UNION ALL ({_SAT_LONG})) WHERE value IS NOT NULL GROUP BY ALL"
+_FOR, _NOT = "For cardiopulmonary resuscitation", "Not for cardiopulmonary resuscitation"
+_RUN = {
+    "demo": _demo_part("demo29", _IN_DAYS),
+    "bmi": long_part(_body_inner("ward", "OBS BMI Calculation", "OBS Height", "OBS Weight"), _BODY_PAIRS),
+    "bloods": long_part(_BLOODS_INNER, _BLOODS, "item || '_{}'"),
+    "drugs": _orders_part("medication", "drug", f"ords29 {_IN_DAYS}"),
+    "diagnostics": _orders_part("diagnostic", "diagnostic", f"ords29 {_IN_DAYS}"),
+    "core_02": _ward_texts("CORE_SpO2", "'core_02_' || replace(replace(text, '-', '_'), '%', 'pct')"),
+    "bed": _ward_texts("CORE_BedNumber3", "'bed_' || text"),
+    "vte_status": long_part(f"SELECT client_id, slice_start, {_stats('v', 'vte_status', ('max', 'min', 'n'))} FROM (SELECT *, CASE text WHEN 'High risk of VTE High risk of bleeding' THEN 1.0 WHEN 'High risk of VTE Low risk of bleeding' THEN 0.0 END AS v FROM ward WHERE item = 'CORE_VTE_STATUS') {_IN_DAYS} WHERE v IS NOT NULL GROUP BY ALL", {f"vte_status_{s}": f"vte_status_{s}" for s in ("mean", "median", "std", "max", "min", "n")}),
+    "hosp_site": _ward_flags("CORE_HospitalSite", {"hosp_site_dh": "DH", "hosp_site_ph": "PRUH"}),
+    "core_resus": long_part(f"SELECT client_id, slice_start, count(*) FILTER (text = '{_FOR}') AS a, count(*) FILTER (text = '{_NOT}') AS b FROM ward {_IN_DAYS} WHERE item = 'CORE_RESUS_STATUS' GROUP BY ALL", {f"core_resus_status_{_FOR}": "a", f"core_resus_status_{_NOT}": "b"}),
+    "news": _NEWS_PART,
+    "smoking": _ward_flags("CORE_SmokingStatus", {"smoking_status_current": "Current Smoker", "smoking_status_non": "Non-Smoker"}),
+    "covid": long_part(f"SELECT client_id, slice_start, bool_or(item = 'purchase') AS yes, bool_or(item = 'view') AS no FROM obs {_IN_DAYS} GROUP BY ALL", {"covid_positive": "CASE WHEN yes THEN 1 WHEN no THEN 0 END"}),
+    "appointments": f"SELECT client_id, slice_start, feature, CAST(count(*) AS DOUBLE) AS value FROM (SELECT client_id, slice_start, unnest(['ConsultantCode_' || consultant, 'ClinicCode_' || clinic, 'AppointmentType_' || kind]) AS feature FROM appts29 {_IN_DAYS} WHERE attended) GROUP BY ALL",
+    "concepts": _CONCEPTS,
+}
+_ASSEMBLED = f"SELECT client_id, slice_start, feature, sum(value) AS value FROM ({' UNION ALL '.join(f'({p})' for p in _RUN.values())}) GROUP BY ALL"
 
 
-@query(with_tables("obs anns note_anns days", f"SELECT {_KEYS}, feature, round(value, 6) AS value FROM ({_ASSEMBLED})"))
+@query(with_tables(_TABLES, f"SELECT {_KEYS}, feature, round(value, 6) AS value FROM ({_ASSEMBLED})"))
 def assemble_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(_assembled(Tables(spark, sf_dir)))
+    return shown(X.assemble(long_rows(Tables(spark, sf_dir).sources(), DAILY, ALL)))
 
 
 def run_of(t: Tables) -> DataFrame:
     """Every client and slice with its map of features; an empty vector where nothing happened."""
-    clients = t.obs().select("client_id").unionByName(t.documents().select("client_id")).distinct()
-    frame = clients.withColumn("slice_start", F.explode(F.lit(DAILY.starts())))
-    return frame.join(X.packed(_assembled(t)), list(X.KEYS), "left")
+    clients = t.obs().select("client_id").unionByName(t.documents().select("client_id"))
+    return vectors(t.sources(), DAILY, ALL, clients)
 
 
-@query(with_tables("obs anns note_anns days", f""", v AS (SELECT client_id, slice_start, count(*) AS n, sum(value) AS total FROM ({_ASSEMBLED}) GROUP BY ALL),
+@query(with_tables(_TABLES, f""", v AS (SELECT client_id, slice_start, count(*) AS n, sum(value) AS total FROM ({_ASSEMBLED}) GROUP BY ALL),
 frame AS (SELECT * FROM (SELECT client_id FROM obs UNION SELECT client_id FROM docs), days)
 SELECT {_KEYS}, coalesce(n, 0) AS features, round(coalesce(total, 0), 4) AS total FROM frame LEFT JOIN v USING (client_id, slice_start)"""))
 def run_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = run_of(Tables(spark, sf_dir))
-    values = F.coalesce(F.map_values("features"), F.array().cast("array<double>"))
+    values = F.map_values("features")
     return out.select("client_id", F.date_format("slice_start", "yyyy-MM-dd").alias("slice_start"), F.size(values).cast("long").alias("features"), F.round(F.aggregate(values, F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
 
 
@@ -275,17 +327,23 @@ def slice_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.date_format("slice_start", "yyyy-MM-dd").alias("slice_start"), F.date_format("slice_end", "yyyy-MM-dd").alias("slice_end"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
-_FORMS = {0: ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S"), 1: ("dd/MM/yyyy", "%d/%m/%Y"), 2: ("dd-MM-yyyy HH:mm", "%d-%m-%Y %H:%M")}
+#: The date forms once more, for the SQL.
+_SQL_FORMS = """['%d/%m/%y %H.%M.%S', '%d/%m/%Y %H.%M.%S', '%m/%d/%y %H.%M.%S', '%m/%d/%Y %H.%M.%S', '%d/%m/%y %H:%M:%S', '%d/%m/%Y %H:%M:%S', '%m/%d/%y %H:%M:%S', '%m/%d/%Y %H:%M:%S',
+ '%Y-%m-%d %H:%M:%S', '%Y-%m-%d %H.%M.%S', '%d-%m-%Y %H:%M:%S', '%d-%m-%Y %H.%M.%S', '%Y/%m/%d %H:%M:%S', '%Y/%m/%d %H.%M.%S', '%d/%m/%y', '%m/%d/%y', '%d/%m/%Y', '%m/%d/%Y',
+ '%Y-%m-%d', '%Y/%m/%d', '%d-%m-%Y', '%d.%m.%Y', '%d.%m.%y', '%Y.%m.%d']"""
+#: DuckDB's %Y takes two digits, too, so that it must come after %y there.
+_SQL_READ = _SQL_FORMS.replace("'%d.%m.%Y', '%d.%m.%y'", "'%d.%m.%y', '%d.%m.%Y'")
 
 
-@query(f"""WITH w AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN strftime(ts, '{_FORMS[0][1]}') WHEN 1 THEN strftime(ts, '{_FORMS[1][1]}') WHEN 2 THEN strftime(ts, '{_FORMS[2][1]}') ELSE 'not a date' END AS said FROM events),
-p AS (SELECT *, coalesce(try_strptime(said, '{_FORMS[0][1]}'), try_strptime(said, '{_FORMS[1][1]}'), try_strptime(said, '{_FORMS[2][1]}')) AS t FROM w)
-SELECT event_id, said, strftime(t, '%Y-%m-%d %H:%M:%S') AS ts, strftime(t + INTERVAL 3 MONTH, '%Y-%m-%d %H:%M:%S') AS shifted FROM p""")
+@query(f"""WITH w AS (SELECT event_id, CASE event_id % 26 {' '.join(f"WHEN {i} THEN strftime(ts + to_days(CAST(event_id % 97 AS INTEGER)), {_SQL_FORMS}[{i + 1}])" for i in range(24))} WHEN 24 THEN 'nan' ELSE '31/02/2024' END AS said FROM events)
+SELECT event_id, said, strftime(t, '%Y-%m-%d %H:%M:%S') AS ts, strftime(t + INTERVAL 3 MONTH, '%Y-%m-%d %H:%M:%S') AS shifted FROM (SELECT *, try_strptime(said, {_SQL_READ}) AS t FROM w)""")
 def add_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e, t = Tables(spark, sf_dir).raw("events"), ntz("ts")
-    n = F.col("event_id") % 4
-    said = F.when(n == 0, stamp(t, _FORMS[0][0])).when(n == 1, stamp(t, _FORMS[1][0])).when(n == 2, stamp(t, _FORMS[2][0])).otherwise("not a date")
-    rows = e.select("event_id", said.alias("said")).withColumn("t", parsed(F.col("said")))
+    """Times written in every form, then read back: the first form that fits, which is not always the one written."""
+    e, t = Tables(spark, sf_dir).raw("events"), ntz("ts") + F.make_interval(days=(F.col("event_id") % 97).cast("int"))
+    n, said = F.col("event_id") % 26, F.when(F.col("event_id") % 26 == 24, "nan")
+    for i, form in enumerate(FORMS):
+        said = said.when(n == i, stamp(t, re.sub("[dMHms]", lambda m: m[0] * 2, form)))
+    rows = e.select("event_id", said.otherwise("31/02/2024").alias("said")).withColumn("t", parsed(F.col("said")))
     return rows.select("event_id", "said", stamp(F.col("t")).alias("ts"), stamp(plus(F.col("t"), months=3)).alias("shifted"))
 
 

@@ -12,6 +12,20 @@ from tidewheel.spec import RunSpec, Span
 
 #: The flagship run: daily slices over the events' month.
 DAILY = RunSpec(start=date(2024, 1, 1), span=Span(days=29))
+#: Items of the ward observations, in turn, and the three texts that some have.
+WARD_ITEMS = (
+    "NEWS2_Score", "NEWS_Systolic_BP", "NEWS_Diastolic_BP", "NEWS_Respiration_Rate", "NEWS_Heart_Rate", "NEWS_Oxygen_Saturation", "NEWS Temperature", "NEWS_AVPU",
+    "NEWS_Supplemental_Oxygen", "NEWS2_Sp02_Target", "NEWS2_Sp02_Scale", "NEWS_Pulse_Type", "NEWS_Pain_Score", "NEWS Oxygen Litres", "NEWS Oxygen Delivery", "OBS BMI Calculation",
+    "OBS Height", "OBS Weight", "CORE_VTE_STATUS", "CORE_SmokingStatus", "CORE_HospitalSite", "CORE_RESUS_STATUS", "CORE_SpO2", "CORE_BedNumber3", "OTHER",
+)
+WARD_TEXTS = {
+    "CORE_VTE_STATUS": ("High risk of VTE High risk of bleeding", "High risk of VTE Low risk of bleeding", "unknown"),
+    "CORE_SmokingStatus": ("Current Smoker", "Non-Smoker", "Ex-Smoker"),
+    "CORE_HospitalSite": ("DH North", "PRUH", "elsewhere"),
+    "CORE_RESUS_STATUS": ("For cardiopulmonary resuscitation", "Not for cardiopulmonary resuscitation", "not known"),
+    "CORE_SpO2": ("94-98%", "88-92%", "other"),
+    "CORE_BedNumber3": ("bed 1", "bed 2", "bed 3"),
+}
 #: Order slices: half-years; each ends with the first day of the next.
 HALF_YEARS = RunSpec(start=date(1995, 1, 1), span=Span(years=8), step=Span(months=6))
 
@@ -27,6 +41,32 @@ class Tables:
         """Numeric observations."""
         return self.raw("events").select(F.col("user_id").cast("string").alias("client_id"), ntz("ts").alias("ts"), F.col("event_type").alias("item"), "value", F.col("event_id").alias("obs_id"))
 
+    def observations(self) -> DataFrame:
+        """Ward observations: scores, body measurements and statuses in turn, each with a value and a text."""
+        e, n = self.raw("events"), F.col("event_id") % len(WARD_ITEMS)
+        pick = lambda values, i: F.element_at(F.array(*map(F.lit, values)), (i + 1).cast("int"))
+        turn = F.floor(F.col("event_id") / len(WARD_ITEMS)) % 3
+        text = F.lit("none")
+        for item, texts in WARD_TEXTS.items():
+            text = F.when(F.col("item") == item, pick(texts, turn)).otherwise(text)
+        own = e.select(F.col("user_id").cast("string").alias("client_id"), ntz("ts").alias("ts"), pick(WARD_ITEMS, n).alias("item"), "value", "event_id")
+        return own.withColumn("text", text)
+
+    def basic(self) -> DataFrame:
+        """Laboratory values with a text, which says now and then whether a test was positive."""
+        said = F.when(F.col("item") == "purchase", "SARS POSITIVE").when(F.col("item") == "view", "negative").otherwise(F.col("item"))
+        return self.obs().withColumn("text", said)
+
+    def sources(self) -> dict[str, DataFrame]:
+        """What the extractors read; orders, appointments and demographics 29 years later, in the time of the events."""
+        later = lambda df: df.withColumn("ts", ntz(F.col("ts") + F.make_interval(F.lit(29))))
+        out = {"basic": self.basic(), "observations": self.observations(), "orders": later(self.orders()), "appointments": later(self.appointments()), "demographics": later(self.demographics())}
+        return out | self.annotated()
+
+    def annotated(self) -> dict[str, DataFrame]:
+        """The annotations of the four kinds of documents."""
+        return {"epr": self.annotations(), "mct": self.annotations(self.notes()), "reports": self.annotations(self.reports()), "textual_obs": self.annotations(self.textual_obs())}
+
     def orders(self) -> DataFrame:
         o = self.raw("orders")
         kind = F.when(F.col("o_orderstatus") == "F", "diagnostic").otherwise("medication")
@@ -57,6 +97,17 @@ class Tables:
         ts = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + F.make_interval(days=(F.col("conv_id") % 28).cast("int"), hours=F.col("turn").cast("int"))
         return self.raw("conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("doc_id"), F.concat(F.lit("c"), F.col("conv_id") % 50).alias("client_id"), ntz(ts).alias("ts"), "text", F.col("role").alias("description"))
 
+    def reports(self) -> DataFrame:
+        ts = F.lit("2024-01-01 12:00:00").cast("timestamp_ntz") + F.make_interval(days=(F.col("page_id") % 28).cast("int"))
+        return self.raw("pages").select(F.col("page_id").alias("doc_id"), F.concat(F.lit("c"), F.col("page_id") % 50).alias("client_id"), ntz(ts).alias("ts"), F.col("html").alias("text"), F.col("url").alias("description"))
+
+    def textual_obs(self) -> DataFrame:
+        """Textual observations: the documents that have a label, at a time of their own."""
+        d, l = self.raw("documents"), self.raw("labels").select(F.col("doc_id").alias("labelled"), "quality")
+        ts = F.lit("2024-01-02 00:00:00").cast("timestamp_ntz") + F.make_interval(hours=(F.col("doc_id") % 650).cast("int"))
+        j = d.join(l, d["doc_id"] == l["labelled"])
+        return j.select("doc_id", F.concat(F.lit("c"), F.col("doc_id") % 50).alias("client_id"), ntz(ts).alias("ts"), "text", F.concat(F.lit("quality "), F.col("quality")).alias("description"))
+
     def vocabulary(self) -> DataFrame:
         """Words of six letters or more in the benchmark; cui is the word's CRC-32 in a thousand."""
         words = self.raw("benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))).alias("word")).where("length(word) >= 6").distinct()
@@ -86,6 +137,12 @@ SQL = {
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
     "docs": "SELECT doc_id, 'c' || (doc_id % 50) AS client_id, TIMESTAMP '2024-01-01' + to_hours(CAST(doc_id % 720 AS BIGINT)) AS ts, text, source AS description FROM documents",
     "notes": "SELECT conv_id * 100 + turn AS doc_id, 'c' || (conv_id % 50) AS client_id, TIMESTAMP '2024-01-01' + to_days(CAST(conv_id % 28 AS INTEGER)) + to_hours(turn) AS ts, text, role AS description FROM conversations",
+    "ward": f"""SELECT CAST(user_id AS VARCHAR) AS client_id, ts, item, value,
+        CASE item {' '.join(f"WHEN '{i}' THEN [{', '.join(f"'{t}'" for t in ts)}][CAST(event_id // {len(WARD_ITEMS)} % 3 AS INTEGER) + 1]" for i, ts in WARD_TEXTS.items())} ELSE 'none' END AS text
+        FROM (SELECT *, [{', '.join(f"'{i}'" for i in WARD_ITEMS)}][CAST(event_id % {len(WARD_ITEMS)} AS INTEGER) + 1] AS item FROM events)""",
+    **{f"{t}29": f"SELECT * REPLACE (ts + INTERVAL 29 YEAR AS ts) FROM {t}" for t in ("ords", "appts", "demo")},
+    "reports": "SELECT page_id AS doc_id, 'c' || (page_id % 50) AS client_id, TIMESTAMP '2024-01-01 12:00:00' + to_days(CAST(page_id % 28 AS INTEGER)) AS ts, html AS text, url AS description FROM pages",
+    "tobs": "SELECT doc_id, 'c' || (doc_id % 50) AS client_id, TIMESTAMP '2024-01-02' + to_hours(CAST(doc_id % 650 AS BIGINT)) AS ts, text, 'quality ' || quality AS description FROM documents JOIN labels USING (doc_id)",
     "vocab": """SELECT DISTINCT word, CAST(length(word) AS BIGINT) AS cui, 'concept ' || substr(word, 1, 2) AS pretty_name,
         CASE WHEN length(word) % 2 = 0 THEN 'disorder' ELSE 'finding' END AS type
         FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM benchmark) WHERE length(word) >= 6""",
@@ -94,13 +151,15 @@ SQL = {
     "anns": """SELECT client_id, doc_id, ts, position, word, cui, pretty_name, type, (n % 100) / 100.0 AS acc, ['Recent', 'Past', 'Future'][n % 3 + 1] AS Time_Value,
         ['True', 'True', 'False', 'True'][n % 4 + 1] AS Presence_Value, ['Patient', 'Patient', 'Family', 'Patient', 'Patient'][n % 5 + 1] AS Subject_Value, n AS tie
         FROM mentions JOIN vocab USING (word)""",
-    "note_mentions": """SELECT *, doc_id * 7 + position * 13 AS n FROM (SELECT doc_id, client_id, ts, generate_subscripts(ws, 1) - 1 AS position, unnest(ws) AS word
-        FROM (SELECT *, regexp_extract_all(lower(text), '[a-z]+') AS ws FROM notes))""",
-    "note_anns": "SELECT client_id, doc_id, ts, position, word, cui, pretty_name, n AS tie FROM note_mentions JOIN vocab USING (word)",
+    **{
+        f"{name}_anns": f"""SELECT client_id, doc_id, ts, position, word, cui, pretty_name, doc_id * 7 + position * 13 AS tie
+        FROM (SELECT doc_id, client_id, ts, generate_subscripts(ws, 1) - 1 AS position, unnest(ws) AS word FROM (SELECT *, regexp_extract_all(lower(text), '[a-z]+') AS ws FROM {source})) JOIN vocab USING (word)"""
+        for name, source in (("note", "notes"), ("report", "reports"), ("tobs", "tobs"))
+    },
     "days": "SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS slice_start",
     "halves": "SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2003-01-01', INTERVAL 6 MONTH)) AS DATE) AS slice_start",
 }
-NEEDS = {"mentions": ("docs",), "anns": ("vocab", "docs", "mentions"), "note_mentions": ("notes",), "note_anns": ("vocab", "notes", "note_mentions")}
+NEEDS = {"ords29": ("ords",), "appts29": ("appts",), "demo29": ("demo",), "mentions": ("docs",), "anns": ("vocab", "docs", "mentions"), "note_anns": ("vocab", "notes"), "report_anns": ("vocab", "reports"), "tobs_anns": ("vocab", "tobs")}
 
 
 def with_tables(names: str, sql: str) -> str:
