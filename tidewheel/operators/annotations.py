@@ -5,25 +5,49 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewheel.functions.times import ntz, parsed, plus
+from tidewheel.operators.numbering import numbered
 
-#: Rows of a vocabulary up to which it is broadcast.
-VOCABULARY = 500_000
+#: Rows of a vocabulary up to which its words are listed in the plan, and up to which it is broadcast.
+LISTED, VOCABULARY = 20_000, 500_000
 
 
 def annotate(docs: DataFrame, vocabulary: DataFrame, key: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """key, keep, position (of the word, from 0), cui, pretty_name and what else the vocabulary says of each matched word.
+    """key, keep, position (of the first word, from 0), cui, pretty_name and what else the vocabulary says of each match.
 
-    vocabulary: word, cui, pretty_name, ... Words are lower-case runs of a to z. One pass over the documents and an
-    equi-join, broadcast if the vocabulary is known to be small.
+    vocabulary: word (one, or several with a space between), cui, pretty_name, ... Words of a text are lower-case runs of
+    a to z. One pass over the documents and an equi-join on the first word. The vocabulary is looked at first (a small
+    job): where it is small, words that begin no concept are left out before they become rows, and it is broadcast.
     """
-    words = docs.select(key, *keep, F.posexplode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))).alias("position", "word"))
-    small = vocabulary.limit(VOCABULARY + 1).count() <= VOCABULARY
-    return words.join(F.broadcast(vocabulary) if small else vocabulary, "word")
+    known = [r[0] for r in vocabulary.select("word").limit(LISTED + 1).collect()]
+    listed = len(known) <= LISTED
+    if listed:
+        small, longest = True, max((w.count(" ") + 1 for w in known), default=1)
+    else:
+        n, longest = vocabulary.agg(F.count("*"), F.max(F.size(F.split("word", " ")))).first()
+        small = n <= VOCABULARY
+    heads = sorted({w.split(" ")[0] for w in known}) if listed else []
+
+    def near(words: Column) -> Column:
+        """The words that may begin a concept, with their places and what follows."""
+        ahead = lambda w, i: F.array_join(F.slice(words, i + 1, longest), " ") if longest > 1 else w
+        all_ = F.transform(words, lambda w, i: F.struct(i.alias("position"), w.alias("head"), ahead(w, i).alias("ahead")))
+        return F.filter(all_, lambda x: x["head"].isin(heads)) if listed else all_
+
+    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
+    # within an array of one, so that the words are found once and not for each use
+    found = docs.select(key, *keep, F.explode(F.transform(F.array(words), near)[0]).alias("tw_w")).select(key, *keep, "tw_w.*")
+    if longest == 1:
+        found, joined = found.select(key, *keep, "position", F.col("head").alias("word")), "word"
+        return found.join(F.broadcast(vocabulary) if small else vocabulary, joined)
+    heads_of = vocabulary.withColumn("head", F.split("word", " ")[0])
+    met = found.join(F.broadcast(heads_of) if small else heads_of, "head")
+    whole = F.concat("ahead", F.lit(" ")).startswith(F.concat("word", F.lit(" ")))
+    return met.where(whole).drop("head", "ahead")
 
 
 def annotate_with_model(docs: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
@@ -53,18 +77,41 @@ def flatten(docs: DataFrame, key: str, text: str, entities: str, keep: tuple[str
     return rows.select(key, *keep, *(F.col(f"e.{c}").alias(c) for c in ("cui", "pretty_name", "source_value", "acc", "start", "end")), *context, sample.alias("text_sample"))
 
 
-def merged(parts: dict[str, DataFrame], chains: dict[str, list[str]], drop: tuple[str, ...] = ()) -> DataFrame:
-    """The sources' rows under one another with annotation_batch_source, each chain of columns coalesced into its first name."""
+#: The columns that fill one another where sources differ, for documents and for annotations, in order.
+DOCUMENT_CHAINS = {
+    "updatetime": ["updatetime", "observationdocument_recordeddtm", "basicobs_entered"],
+    "observationdocument_recordeddtm": ["observationdocument_recordeddtm", "updatetime"],
+    "document_guid": ["document_guid", "observation_guid", "basicobs_guid"],
+    "document_description": ["document_description", "obscatalogmasteritem_displayname", "basicobs_itemname_analysed"],
+    "body_analysed": ["body_analysed", "observation_valuetext_analysed", "textualObs"],
+}
+ANNOTATION_CHAINS = {
+    "updatetime": ["updatetime", "observationannotation_recordeddtm", "basicobs_entered", "observationdocument_recordeddtm"],
+    "document_guid": ["document_guid", "basicobs_guid", "observation_guid"],
+    "annotation_description": ["annotation_description", "obscatalogmasteritem_displayname"],
+}
+
+
+def merged(parts: dict[str, DataFrame], chains: dict[str, list[str]], drop: tuple[str, ...] = (), tag: str = "annotation_batch_source") -> DataFrame:
+    """The sources' rows under one another, tagged with their source, each chain of columns coalesced into its first name.
+
+    Chains are filled in order, a later one from what an earlier one has filled; what is no chain's name goes."""
     out = None
     for name, rows in parts.items():
-        own = rows.withColumn("annotation_batch_source", F.lit(name))
+        own = rows.withColumn(tag, F.lit(name))
         out = own if out is None else out.unionByName(own, allowMissingColumns=True)
     for name, chain in chains.items():
-        out = out.withColumn(name, F.coalesce(*(F.col(c) for c in chain if c in out.columns)))
-    gone = {c for name, chain in chains.items() for c in chain if c != name} | set(drop)
+        if held := [F.col(c) for c in chain if c in out.columns]:
+            out = out.withColumn(name, F.coalesce(*held))
+    gone = {c for chain in chains.values() for c in chain if c not in chains} | set(drop)
     return out.drop(*gone)
 
 
+def filled_both_ways(rows: DataFrame, a: str, b: str) -> DataFrame:
+    """Two columns, each filled from the other where it is null."""
+    return rows.withColumns({a: F.coalesce(a, b), b: F.coalesce(b, a)})
+
+
 def index_events(clients: DataFrame, parts: dict[str, DataFrame], codes: list | None, mode: str, fallback: Column, keep: tuple[str, ...] = ("cui",)) -> DataFrame:
     """client_id, index_ts, source, keep...: one index event a client.
 
@@ -90,7 +137,8 @@ def index_windows(index: DataFrame, buffer_months: int = 3, years: int = 1) -> D
 
 
 def cooccurring(annotations: DataFrame, top: int | None = None) -> DataFrame:
-    """a, b, clients: how many clients have each pair of concepts; a < b."""
+    """a, b, clients: how many clients have each pair of concepts; a < b. A client with n concepts gives n (n - 1) / 2
+    pairs: that is the result's size before it is counted."""
     own = annotations.select("client_id", "cui").where("cui is not null").distinct()
     pairs = own.select("client_id", F.col("cui").alias("a")).join(own.select("client_id", F.col("cui").alias("b")), "client_id").where("a < b")
     out = pairs.groupBy("a", "b").agg(F.count("*").alias("clients"))
@@ -169,6 +217,9 @@ def rows_to_export(rows: DataFrame) -> DataFrame:
 
 
 def unique_names(docs: DataFrame, name: str, text: str, order: str) -> DataFrame:
-    """name, text: a name that repeats gets _1, _2, ... from its second row on."""
-    n = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1
-    return docs.select(F.when(n == 0, F.col(name)).otherwise(F.concat(F.col(name), F.lit("_"), n)).alias("name"), F.col(text).alias("text"))
+    """name, text: a name that repeats gets _1, _2, ... from its second row on, in an order of numbers.
+
+    Names of any number of rows are numbered over many tasks (numbered)."""
+    n = F.col("tw_number")
+    own = numbered(docs.select(F.col(name).alias("name"), F.col(text).alias("text"), F.col(order).alias("tw_order")), "name", "tw_order", "tw_number")
+    return own.select(F.when(n == 0, F.col("name")).otherwise(F.concat("name", F.lit("_"), n)).alias("name"), "text")

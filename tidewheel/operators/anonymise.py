@@ -11,8 +11,15 @@ SUFFIXES = (
     "_days-since-last-drug-order", "_days-since-last-test", "_days-between-first-last", "_contains-extreme-high", "_contains-extreme-low", "_num-diagnostic-order",
     "_num-drug-order", "_earliest-test", "_most-recent", "_num-tests", "_count_mrc_cs", "_mean", "_median", "_mode", "_std", "_max", "_min", "_count",
 )
-#: Beginnings that are kept, by default; more can be given.
-PREFIXES = ("census_", "bed_", "bmi_", "news_")
+#: Beginnings of feature names that are kept.
+FIXED_PREFIXES = (
+    "__index_level_", "Unnamed:", "client_idcode:", "outcome_var_", "ConsultantCode_", "ClinicCode_", "AppointmentType_", "date_time_stamp_",
+    "core_resus_", "news_resus_", "vte_status_", "hosp_site_", "core_02_", "census_", "bed_", "bmi_",
+)
+#: The same, and what else this engine's extractors begin names with.
+PREFIXES = (*FIXED_PREFIXES, "news_", "smoking_status_", "height_", "weight_")
+#: Names up to which they are numbered.
+MOST_NAMES = 1_000_000
 
 
 def _longest(words: tuple[str, ...]) -> str:
@@ -24,9 +31,11 @@ def feature_key(names: DataFrame, column: str = "feature", prefixes: tuple[str,
     """feature, anonymous: distinct names with their core as concept_<i>, the longest known prefix and suffix kept;
     names that have neither as feature_<i>. Cores and plain names are numbered in alphabetical order.
 
-    Names are a few thousand at most (they are columns of a matrix), so one ordered window numbers them.
+    Names are columns of a matrix: one ordered window numbers them, and more than MOST_NAMES are refused.
     """
     own = names.select(F.col(column).alias("feature")).where("feature is not null").distinct()
+    if own.limit(MOST_NAMES + 1).count() > MOST_NAMES:
+        raise ValueError(f"more than {MOST_NAMES} names")
     before = F.regexp_extract("feature", f"^({_longest(prefixes)})", 1)
     rest = F.substring(F.col("feature"), F.length("before") + 1, F.length("feature"))
     after = F.regexp_extract("rest", f"({_longest(suffixes)})$", 1)

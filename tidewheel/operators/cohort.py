@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.operators.numbering import first_by_mark
+
 #: Fixed value: a hospital id.
 ID = r"^[a-zA-Z]\d{6}$"
 
@@ -16,8 +18,8 @@ def id_column(rows: DataFrame, pattern: str = ID) -> str:
 
 
 def drawn(rows: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """n rows in the order of a hash of the key and the seed (a distributed top-n, not a full sort)."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    """n rows in the order of a hash of seed and key, over many tasks."""
+    return first_by_mark(rows.withColumn("tw_all", F.lit(0)), ["tw_all"], key, F.lit(n), seed).drop("tw_all")
 
 
 def cohort_ids(rows: DataFrame, column: str | None = None, sample: int | None = None, seed: int = 42) -> DataFrame:
@@ -47,10 +49,12 @@ def existing(ids: DataFrame, sources: list[DataFrame]) -> DataFrame:
     return ids.select("client_id").distinct().join(out, "client_id", "left_semi")
 
 
-def build(treated: DataFrame, everyone: DataFrame, sources: list[DataFrame], ratio: float = 1.0, sample: int | None = None, seed: int = 42) -> DataFrame:
-    """client_id, treated: the treated and their controls, in upper case, that exist; a sample of them if asked for."""
+def build(treated: DataFrame, everyone: DataFrame, sources: list[DataFrame], ratio: float = 1.0, sample: int | None = None, seed: int = 42, pattern: str = ID) -> DataFrame:
+    """client_id, treated: the treated and their controls, in upper case, that exist in a source; a sample of them if
+    asked for. Ids that are no well-formed ids go."""
     both = treated.select("client_id", F.lit(True).alias("treated")).unionByName(controls(everyone, treated, ratio, seed).select("client_id", F.lit(False).alias("treated")))
-    out = both.join(existing(both, sources), "client_id", "left_semi")
+    clean = both.where(F.col("client_id").rlike(pattern)).select(F.upper("client_id").alias("client_id"), "treated").groupBy("client_id").agg(F.max("treated").alias("treated"))
+    out = clean.join(existing(clean, sources), "client_id", "left_semi")
     return out if sample is None else drawn(out, "client_id", sample, seed)
 
 
@@ -62,14 +66,21 @@ def id_profile(ids: DataFrame, pattern: str = ID) -> DataFrame:
 
 
 def id_clusters(ids: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
-    """client_id, cluster: well-formed ids grouped by first letter and sum of digits (k-means, k at most)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
+    """prefix, digit_sum, n, cluster: the profile of well-formed ids with its rows grouped by first letter and sum of
+    digits (k-means, k at most; each letter a dimension of its own, as are the sums scaled to 0..1).
 
-    digits = F.aggregate(F.filter(F.split("client_id", ""), lambda c: c.rlike(r"^\d$")), F.lit(0), lambda s, c: s + c.cast("int"))
-    points = ids.where(F.col("client_id").rlike(ID)).select("client_id", F.ascii(F.upper("client_id")).cast("double").alias("letter"), digits.cast("double").alias("digits"))
-    placed = VectorAssembler(inputCols=["letter", "digits"], outputCol="features").transform(points)
-    return KMeans(k=k, seed=seed, predictionCol="cluster").fit(placed).transform(placed).select("client_id", "cluster")
+    The means are fitted on the profile, which has at most 26 x 55 rows however many ids there are."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    profile = id_profile(ids).where("prefix is not null")
+    letters = F.transform(F.sequence(F.lit(65), F.lit(90)), lambda c: (F.ascii("prefix") == c).cast("double"))
+    placed = profile.withColumn("features", array_to_vector(F.concat(letters, F.array(F.col("digit_sum") / F.lit(54.0)))))
+    points = placed.count()
+    if points < 2:
+        return profile.withColumn("cluster", F.lit(0))
+    model = KMeans(k=min(k, points), seed=seed, predictionCol="cluster", weightCol="n").fit(placed.withColumn("n", F.col("n").cast("double")))
+    return model.transform(placed).select("prefix", "digit_sum", "n", "cluster")
 
 
 def mapped_ids(numbers: DataFrame, mapping: DataFrame, key: str) -> DataFrame:

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def impute(rows: DataFrame, key: str, ts: str, columns: list[str], forward: bool = True, backward: bool = True, mean: bool = True) -> DataFrame:
+def impute(rows: DataFrame, key: str, ts: str, columns: list[str], forward: bool = True, backward: bool = True, mean: bool = True, tie: str | None = None) -> DataFrame:
     """Fills each client's nulls forward, then backward in time, then by the mean of the column so filled.
 
-    Forward then backward over a client is: the last value so far, else the first there is.
+    Forward then backward over a client is: the last value so far, else the first there is. tie: what orders rows of
+    equal time; without it the columns' own values do, so that a rerun fills alike.
     """
-    past = Window.partitionBy(key).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(key).orderBy(ts).rowsBetween(0, Window.unboundedFollowing)
+    order = [ts, tie] if tie else [ts, *columns]
+    past = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(key).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
 
     def filled(c: str):
         steps = [F.last(c, ignorenulls=True).over(past)] * forward + [F.first(c, ignorenulls=True).over(ahead)] * backward
@@ -83,10 +85,6 @@ def profile(rows: DataFrame, columns: list[str], exact: bool = False) -> DataFra
     return rows.agg(F.array(*map(of, columns)).alias("all")).select(F.explode("all").alias("r")).select("r.*")
 
 
-def top_values(rows: DataFrame, column: str, n: int = 10) -> DataFrame:
-    return rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "value").limit(n)
-
-
 def shares(rows: DataFrame, key: str, name: str, rare: float = 0.25) -> DataFrame:
     """key, name, share: each concept's share of a client's mentions; those with a count up to the quantile are pooled as `other`."""
     counts = rows.groupBy(key, name).agg(F.count("*").alias("n"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions.text import partial_similarity, similarity
+from tidewheel.operators.numbering import first_by_mark
 
 
 def _terms(rows: DataFrame, terms: list[str], name: str = "term") -> DataFrame:
@@ -121,7 +122,7 @@ def in_all_lists(rows: DataFrame, column: str, lists: list[list]) -> DataFrame:
 def term_groups(docs: DataFrame, key: str, text: str, groups: dict[str, list[str]], least: int, total: int, threshold: float = 75.0) -> DataFrame:
     """key, matched_group: rows like a term of a group, at least so many of each group, and the rest of the total in proportion.
 
-    Rows are taken in the order of a hash, so a rerun takes the same.
+    Rows are taken in the order of a hash, so a rerun takes the same; no group meets in one task (first_by_mark).
     """
     low = F.lower(F.col(text))
     names = F.filter(F.array(*(F.when(_any(partial_similarity(F.lit(t.lower()), low) >= threshold for t in ts), F.lit(g)) for g, ts in groups.items())), lambda x: x.isNotNull())
@@ -130,8 +131,7 @@ def term_groups(docs: DataFrame, key: str, text: str, groups: dict[str, list[str
     sums = counts.agg(F.sum("n").alias("all"), F.sum(F.least("n", F.lit(least))).alias("first"))
     quota = F.col("first_n") + F.floor(F.greatest(F.lit(total) - F.col("first"), F.lit(0)) * F.col("n") / F.col("all"))
     quotas = counts.join(F.broadcast(sums)).select("matched_group", F.least("n", F.lit(least)).alias("first_n"), "n", "all", "first").select("matched_group", quota.alias("quota"))
-    order = Window.partitionBy("matched_group").orderBy(F.xxhash64(key), key)
-    return hits.withColumn("r", F.row_number().over(order)).join(F.broadcast(quotas), "matched_group").where("r <= quota").groupBy(key).agg(F.min("matched_group").alias("matched_group"))
+    return first_by_mark(hits, ["matched_group"], key, quotas).groupBy(key).agg(F.min("matched_group").alias("matched_group"))
 
 
 def matched_columns(rows: DataFrame, term: str, columns: list[str], least: float = 80.0) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions.times import ntz, plus
+from tidewheel.operators.numbering import mark, offset_by
 from tidewheel.spec import RunSpec, Span
 
 #: Slices up to which the table of slices is broadcast; RunSpec makes no more than this.
@@ -76,16 +77,16 @@ def events_in_client_slices(events: DataFrame, slices: DataFrame, ts: str = "ts"
     return events.withColumn("slice_day", F.col(ts).cast("date")).join(days, ["client_id", "slice_day"]).drop("slice_day")
 
 
-def control_windows(controls: DataFrame, windows: DataFrame) -> DataFrame:
-    """Gives each control a treated client's window, picked by a hash of its id: windows are numbered within
-    hash buckets of their own, so no global order is needed."""
-    n = 1024
-    numbered = windows.groupBy(F.pmod(F.xxhash64("client_id"), F.lit(n)).alias("bucket")).agg(F.min_by(F.struct("win_from", "win_to"), F.xxhash64("client_id", F.lit(1))).alias("w"))
-    known = [r[0] for r in numbered.select("bucket").orderBy("bucket").collect()]  # 1024 numbers at most
-    if not known:
-        return controls.select("client_id").where(F.lit(False)).withColumn("win_from", F.lit(None).cast("timestamp_ntz")).withColumn("win_to", F.lit(None).cast("timestamp_ntz"))
-    at = F.element_at(F.lit(known).cast("array<long>"), (F.pmod(F.xxhash64("client_id", F.lit(2)), F.lit(len(known))) + 1).cast("int"))
-    return controls.select("client_id", at.alias("bucket")).join(F.broadcast(numbered), "bucket").select("client_id", "w.win_from", "w.win_to")
+def control_windows(controls: DataFrame, windows: DataFrame, seed: int = 42) -> DataFrame:
+    """client_id, win_from, win_to: gives each control a treated client's window. Windows are numbered by a hash of
+    their client, from 0; a control takes the one whose number is its own hash modulo how many there are."""
+    marked = windows.select("win_from", "win_to", mark(F.col("client_id"), seed).alias("m")).withColumn("bucket", F.substring("m", 1, 3))
+    offsets = offset_by(marked.select(F.lit(0).alias("all"), "bucket"), ["all"], "bucket")
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("m")) - 1 + F.col("before")
+    known = marked.join(offsets, "bucket").select(place.cast("long").alias("number"), "win_from", "win_to")
+    n = windows.agg(F.count("*").alias("windows"))  # a single row
+    own = F.conv(F.substring(mark(F.col("client_id"), seed + 1), 1, 15), 16, 10).cast("long") % F.col("windows")
+    return controls.select("client_id").join(F.broadcast(n)).where("windows > 0").withColumn("number", own).join(known, "number").select("client_id", "win_from", "win_to")
 
 
 def one_hot(slices: DataFrame, spec: RunSpec, start: str = "slice_start") -> DataFrame:

@@ -87,22 +87,13 @@ _LABELLED = f""", s AS ({_SAMPLES}), l AS (SELECT DISTINCT substr(text_sample, 1
 SELECT doc_id, position, label FROM s JOIN l ON substr(s.text_sample, 1, 8) = l.near AND s.source_value = l.source_value"""
 
 
-def _labelled(t: Tables, which: str = "true") -> DataFrame:
-    """Annotations with the labels of the persons' table, which stands for itself: that of every tenth document."""
-    a = t.annotations().select("doc_id", "position", F.col("word").alias("source_value"), F.substring(F.concat_ws(" ", "word", "pretty_name"), 1, 12).alias("text_sample"), "Time_Value", "Presence_Value", "Subject_Value")
-    label = ((F.col("Time_Value") != "Past") & (F.col("Presence_Value") == "True") & (F.col("Subject_Value") == "Patient")).cast("int")
-    return J.human_labels(a.where(which), a.where("doc_id % 10 = 0"), 8, label).select("doc_id", "position", "label")
-
-
-@query(with_tables("anns", _LABELLED + " WHERE doc_id % 10 = 1"))
-def match_human_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The annotations of a tenth only, as its SQL says; match_human_labels_whole takes all."""
-    return _labelled(Tables(spark, sf_dir), "doc_id % 10 = 1")
-
-
+@query(with_tables("anns", _LABELLED), name="match_human_labels_whole")
 @query(with_tables("anns", _LABELLED))
-def match_human_labels_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _labelled(Tables(spark, sf_dir))
+def match_human_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All annotations, with the labels of the persons' table, which stands for itself: that of every tenth document."""
+    a = Tables(spark, sf_dir).annotations().select("doc_id", "position", F.col("word").alias("source_value"), F.substring(F.concat_ws(" ", "word", "pretty_name"), 1, 12).alias("text_sample"), "Time_Value", "Presence_Value", "Subject_Value")
+    label = ((F.col("Time_Value") != "Past") & (F.col("Presence_Value") == "True") & (F.col("Subject_Value") == "Patient")).cast("int")
+    return J.human_labels(a, a.where("doc_id % 10 = 0"), 8, label).select("doc_id", "position", "label")
 
 
 @query(with_tables("anns", """, f AS (SELECT client_id, arg_min(word, (ts, tie)) AS a FROM anns WHERE cui <= 8 GROUP BY client_id), g AS (SELECT client_id, arg_min(word, (ts, tie)) AS b FROM anns WHERE cui >= 7 GROUP BY client_id)
@@ -141,9 +132,9 @@ def annotate_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, sf_dir).annotations().select("doc_id", "position", "word", "cui", "pretty_name")
 
 
-def _nested(t: Tables, which: str = "true") -> DataFrame:
+def _nested(t: Tables) -> DataFrame:
     """Documents with their annotations as the annotator's JSON."""
-    a = t.annotations().where(which)
+    a = t.annotations()
     meta = F.create_map(F.lit("Time"), F.struct(F.col("Time_Value").alias("value"), F.col("acc").alias("confidence")), F.lit("Subject"), F.struct(F.col("Subject_Value").alias("value"), F.col("acc").alias("confidence")))
     entity = F.struct(F.concat(F.lit("e"), F.col("position")).alias("key"), F.struct(F.col("cui").cast("string").alias("cui"), "pretty_name", F.col("word").alias("source_value"), "acc", F.col("position").cast("int").alias("start"), (F.col("position") + F.length("word")).cast("int").alias("end"), meta.alias("meta_anns")).alias("value"))
     g = a.groupBy("doc_id").agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(entity)).alias("entities"))).alias("entities"))
@@ -154,54 +145,49 @@ _FLAT = """SELECT anns.doc_id, position AS start, CAST(cui AS VARCHAR) AS cui, a
 FROM anns JOIN docs ON anns.doc_id = docs.doc_id"""
 
 
-def _flat(nested: DataFrame) -> DataFrame:
-    rows = A.flatten(nested, "doc_id", "text", "entities", (), 10)
-    return rows.select("doc_id", F.col("start").cast("long").alias("start"), "cui", "acc", "Time_Value", "Subject_Value", F.sha2("text_sample", 256).alias("sample"))
-
-
-@query(with_tables("anns", _FLAT + " WHERE anns.doc_id < 200"))
+@query(with_tables("anns", _FLAT), name="flatten_annotations_whole")
+@query(with_tables("anns", _FLAT))
 def flatten_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 200 documents only, as its SQL says; flatten_annotations_whole takes all."""
-    return _flat(_nested(Tables(spark, sf_dir), "doc_id < 200"))
+    rows = A.flatten(_nested(Tables(spark, sf_dir)), "doc_id", "text", "entities", (), 10)
+    return rows.select("doc_id", F.col("start").cast("long").alias("start"), "cui", "acc", "Time_Value", "Subject_Value", F.sha2("text_sample", 256).alias("sample"))
 
 
-@query(with_tables("anns", _FLAT))
-def flatten_annotations_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(_nested(Tables(spark, sf_dir)))
+_CODED = f"SELECT doc_id, position, target FROM anns JOIN ({_CODES}) ON cui = concept_id"
 
 
-def _coded(spark: SparkSession, nested: DataFrame) -> DataFrame:
-    flat = A.flatten(nested, "doc_id", "text", "entities", ("client_id", "ts")).na.drop(subset=["client_id", "ts"])
+@query(with_tables("anns", _CODED), name="annotations_table_whole")
+@query(with_tables("anns", _CODED))
+def annotations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flat = A.flatten(_nested(Tables(spark, sf_dir)), "doc_id", "text", "entities", ("client_id", "ts")).na.drop(subset=["client_id", "ts"])
     rows = flat.withColumn("cui", F.col("cui").try_cast("long"))
     return J.join_codes(rows, _codes(spark), inner=True).select("doc_id", F.col("start").cast("long").alias("position"), "target")
 
 
-@query(with_tables("anns", f"SELECT doc_id, position, target FROM anns JOIN ({_CODES}) ON cui = concept_id WHERE doc_id < 200"))
-def annotations_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 200 documents only, as its SQL says; annotations_table_whole takes all."""
-    return _coded(spark, _nested(Tables(spark, sf_dir), "doc_id < 200"))
-
+_FOUR = (("epr", "anns", "docs"), ("mct", "note_anns", "notes"), ("textual_obs", "tobs_anns", "tobs"), ("reports", "report_anns", "reports"))
+#: By source: the columns of its id, time, description and text.
+_NAMES = {
+    "epr": ("document_guid", "updatetime", "document_description", "body_analysed"),
+    "mct": ("observation_guid", "observationdocument_recordeddtm", "obscatalogmasteritem_displayname", "observation_valuetext_analysed"),
+    "textual_obs": ("basicobs_guid", "basicobs_entered", "basicobs_itemname_analysed", "textualObs"),
+    "reports": ("basicobs_guid", "updatetime", "basicobs_itemname_analysed", "textualObs"),
+}
 
-@query(with_tables("anns", f"SELECT doc_id, position, target FROM anns JOIN ({_CODES}) ON cui = concept_id"))
-def annotations_table_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _coded(spark, _nested(Tables(spark, sf_dir)))
 
-
-@query(with_tables("anns note_anns", """SELECT 'documents' AS annotation_batch_source, doc_id AS document_guid, position, strftime(ts, '%Y-%m-%d') AS day FROM anns UNION ALL SELECT 'notes', doc_id, position, strftime(ts, '%Y-%m-%d') FROM note_anns"""))
+@query(with_tables("anns note_anns report_anns tobs_anns", " UNION ALL ".join(f"SELECT '{n}' AS annotation_batch_source, doc_id AS document_guid, position, strftime(ts, '%Y-%m-%d') AS day FROM {a}" for n, a, _ in _FOUR)))
 def merged_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = Tables(spark, sf_dir)
-    a = t.annotations().select("client_id", F.col("doc_id").alias("document_guid"), F.col("ts").alias("updatetime"), "position", "cui")
-    b = t.annotations(t.notes()).select("client_id", F.col("doc_id").alias("observation_guid"), F.col("ts").alias("recordeddtm"), "position", "cui")
-    m = A.merged({"documents": a, "notes": b}, {"updatetime": ["updatetime", "recordeddtm"], "document_guid": ["document_guid", "observation_guid"]})
+    parts = {n: rows.select("client_id", F.col("doc_id").alias(_NAMES[n][0]), F.col("ts").alias(_NAMES[n][1]), "position", "cui") for n, rows in Tables(spark, sf_dir).annotated().items()}
+    m = A.merged(parts, A.ANNOTATION_CHAINS, ("cui",))
     return m.select("annotation_batch_source", "document_guid", "position", stamp(F.col("updatetime"), "yyyy-MM-dd").alias("day"))
 
 
-@query(with_tables("docs notes", "SELECT 'documents' AS annotation_batch_source, doc_id, length(text) AS size, description FROM docs UNION ALL SELECT 'notes', doc_id, length(text), description FROM notes"))
+@query(with_tables("docs notes reports tobs", " UNION ALL ".join(f"SELECT '{n}' AS document_batch_source, doc_id AS document_guid, length(text) AS size, description AS document_description, {up} AS up, {rec} AS rec FROM (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t FROM {d})" for n, _, d in _FOUR for up, rec in [("t", "t")])))
 def merged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four sources, each with columns of its own, whose times fill one another."""
     t = Tables(spark, sf_dir)
-    notes = t.notes().select("doc_id", F.col("text").alias("observation_valuetext"), F.col("description").alias("role"))
-    m = A.merged({"documents": t.documents(), "notes": notes}, {"text": ["text", "observation_valuetext"], "description": ["description", "role"]})
-    return m.select("annotation_batch_source", "doc_id", F.length("text").cast("long").alias("size"), "description")
+    rows = {"epr": t.documents(), "mct": t.notes(), "textual_obs": t.textual_obs(), "reports": t.reports()}
+    parts = {n: r.select("client_id", *(F.col(c).alias(name) for c, name in zip(("doc_id", "ts", "description", "text"), _NAMES[n]))) for n, r in rows.items()}
+    m = A.merged(parts, A.DOCUMENT_CHAINS, tag="document_batch_source")
+    return m.select("document_batch_source", "document_guid", F.length("body_analysed").cast("long").alias("size"), "document_description", stamp(F.col("updatetime")).alias("up"), stamp(F.col("observationdocument_recordeddtm")).alias("rec"))
 
 
 @query(with_tables("obs", "SELECT client_id, obs_id, item, CAST(NULL AS VARCHAR) AS clientvisit_serviceguid FROM obs"))
@@ -209,38 +195,34 @@ def merged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.standard(Tables(spark, sf_dir).obs(), ["client_id", "obs_id", "item", "clientvisit_serviceguid"])
 
 
-_INDEX_SQL = """, d AS (SELECT client_id, {f}(ts, (ts, tie)) AS ts, {f}(cui, (ts, tie)) AS cui, 0 AS rank, 'documents' AS source FROM anns WHERE cui IN (9, 11) GROUP BY client_id),
-n AS (SELECT client_id, {f}(ts, (ts, tie)) AS ts, {f}(cui, (ts, tie)) AS cui, 1 AS rank, 'notes' AS source FROM note_anns WHERE cui IN (9, 11) GROUP BY client_id),
-b AS (SELECT client_id, arg_min(ts, (ts, rank)) AS ts, arg_min(cui, (ts, rank)) AS cui, arg_min(source, (ts, rank)) AS source FROM (SELECT * FROM d UNION ALL SELECT * FROM n) GROUP BY client_id),
-c AS (SELECT client_id FROM docs UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer{which})
-SELECT c.client_id, strftime(coalesce(ts, TIMESTAMP '2020-01-01'), '%Y-%m-%d %H:%M:%S') AS index_ts, coalesce(source, 'fallback') AS source, cui FROM c LEFT JOIN b ON c.client_id = b.client_id"""
+_FIRST = " UNION ALL ".join(f"SELECT client_id, {{f}}(ts, (ts, tie)) AS ts, {{f}}(cui, (ts, tie)) AS cui, {i} AS rank, '{n}' AS source FROM {a} WHERE cui IN (9, 11) GROUP BY client_id" for i, (n, a, _) in enumerate(_FOUR))
+_INDEX_SQL = f""", b AS (SELECT client_id, arg_min(ts, (ts, rank)) AS ts, arg_min(cui, (ts, rank)) AS cui, arg_min(source, (ts, rank)) AS source FROM ({_FIRST}) GROUP BY client_id),
+c AS (SELECT client_id FROM docs UNION SELECT CAST(c_custkey AS VARCHAR) FROM customer)
+SELECT c.client_id, strftime(coalesce(ts, TIMESTAMP '2020-01-01'), '%Y-%m-%d %H:%M:%S') AS index_ts, coalesce(source, 'fallback') AS source, cui, strftime(ts, '%Y-%m-%d %H:%M:%S') AS updatetime, strftime(ts, '%Y-%m-%d %H:%M:%S') AS recorded FROM c LEFT JOIN b ON c.client_id = b.client_id"""
 
 
-def _indexed(t: Tables, mode: str, which: str = "true") -> DataFrame:
-    clients = t.documents().select("client_id").unionByName(t.raw("customer").where(which).select(F.col("c_custkey").cast("string").alias("client_id")))
-    out = A.index_events(clients, {"documents": t.annotations(), "notes": t.annotations(t.notes())}, [9, 11], mode, F.lit(datetime(2020, 1, 1)))
-    return out.select("client_id", stamp(F.col("index_ts")).alias("index_ts"), "source", "cui")
+def _indexed(t: Tables, mode: str) -> DataFrame:
+    """All clients; a source's rows have the one time column or the other, and the result has both."""
+    clients = t.documents().select("client_id").unionByName(t.raw("customer").select(F.col("c_custkey").cast("string").alias("client_id")))
+    none = F.lit(None).cast("timestamp_ntz")
+    rows = t.annotated()
+    parts = {n: rows[n].withColumns({"updatetime": F.col("ts") if _NAMES[n][1] == "updatetime" else none, "recorded": none if _NAMES[n][1] == "updatetime" else F.col("ts")}) for n, _, _ in _FOUR}
+    out = A.filled_both_ways(A.index_events(clients, parts, [9, 11], mode, F.lit(datetime(2020, 1, 1)), ("cui", "updatetime", "recorded")), "updatetime", "recorded")
+    return out.select("client_id", stamp(F.col("index_ts")).alias("index_ts"), "source", "cui", stamp(F.col("updatetime")).alias("updatetime"), stamp(F.col("recorded")).alias("recorded"))
 
 
-@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_min", which=" WHERE c_custkey <= 20")))
-def index_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 20 customers only beside the documents' clients, as its SQL says; index_event_whole takes all."""
-    return _indexed(Tables(spark, sf_dir), "earliest", "c_custkey <= 20")
+_FOUR_ANNS = "docs anns note_anns tobs_anns report_anns"
 
 
-@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_min", which="")))
-def index_event_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(with_tables(_FOUR_ANNS, _INDEX_SQL.format(f="arg_min")), name="index_event_whole")
+@query(with_tables(_FOUR_ANNS, _INDEX_SQL.format(f="arg_min")))
+def index_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _indexed(Tables(spark, sf_dir), "earliest")
 
 
-@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_max", which=" WHERE c_custkey <= 20")))
+@query(with_tables(_FOUR_ANNS, _INDEX_SQL.format(f="arg_max")), name="index_events_whole")
+@query(with_tables(_FOUR_ANNS, _INDEX_SQL.format(f="arg_max")))
 def index_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 20 customers only beside the documents' clients, as its SQL says; index_events_whole takes all."""
-    return _indexed(Tables(spark, sf_dir), "latest", "c_custkey <= 20")
-
-
-@query(with_tables("anns note_anns", _INDEX_SQL.format(f="arg_max", which="")))
-def index_events_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _indexed(Tables(spark, sf_dir), "latest")
 
 
@@ -271,35 +253,6 @@ def clients_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.clients_with_all(Tables(spark, sf_dir).annotations(), [[9, 10], [11, 12]])
 
 
-def _with_trailers(t: Tables) -> DataFrame:
-    """Documents' lines as entries with trailers: every third without a date, and text after the last."""
-    d = t.documents().where("doc_id % 2 = 0")
-    head = lambda n: F.substring(F.col("text"), n, 30)
-    mark = lambda h: F.concat(F.lit(" Entered on - "), F.date_format(F.col("ts"), "dd-MMM-yyyy"), F.lit(f" {h}:30"), F.lit("  "))
-    body = F.concat(head(1), mark("08"), head(31), F.when(F.col("doc_id") % 3 == 0, F.lit(" Entered on - (no date) ")).otherwise(mark("09")), head(61), mark("10"), head(91))
-    return d.select("doc_id", F.when(F.col("doc_id") % 10 == 0, head(1)).otherwise(body).alias("text"), "ts", "description")
-
-
-_TRAILERS = """, b AS (SELECT doc_id, ts, description, substr(text, 1, 30) AS h1, substr(text, 31, 30) AS h2, substr(text, 61, 30) AS h3, strftime(ts, '%d-%b-%Y') AS day FROM docs WHERE doc_id % 2 = 0),
-s AS (SELECT doc_id, 0 AS chunk, h1 || ' Entered on - ' || day || ' 08:30 ' AS text, strftime(ts, '%Y-%m-%d') || ' 08:30:00' AS ts, description FROM b WHERE doc_id % 10 <> 0
-UNION ALL SELECT doc_id, 1, ' ' || h2 || ' Entered on - ' || day || ' 09:30 ', strftime(ts, '%Y-%m-%d') || ' 09:30:00', description FROM b WHERE doc_id % 10 <> 0 AND doc_id % 3 <> 0
-UNION ALL SELECT doc_id, 1, ' ' || h2 || ' ', strftime(ts, '%Y-%m-%d %H:%M:%S'), description FROM b WHERE doc_id % 10 <> 0 AND doc_id % 3 = 0
-UNION ALL SELECT doc_id, 2, CASE WHEN doc_id % 3 = 0 THEN 'Entered on - (no date) ' ELSE ' ' END || h3 || ' Entered on - ' || day || ' 10:30 ', strftime(ts, '%Y-%m-%d') || ' 10:30:00', description FROM b WHERE doc_id % 10 <> 0)
-SELECT doc_id, chunk, sha256(text) AS text, ts, description || '_clinical note chunk_' || chunk AS description FROM s
-UNION ALL SELECT doc_id, NULL, sha256(h1), strftime(ts, '%Y-%m-%d %H:%M:%S'), description FROM b WHERE doc_id % 10 = 0"""
-
-
-def _split(docs: DataFrame) -> DataFrame:
-    out = A.split_notes(docs, "doc_id", "text", "ts", "description")
-    return out.select("doc_id", "chunk", F.sha2("text", 256).alias("text"), stamp(F.col("ts")).alias("ts"), "description")
-
-
-@query(with_tables("docs", _TRAILERS))
-def split_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every second document's first 120 characters only, as its SQL says; split_notes_whole takes all."""
-    return _split(_with_trailers(Tables(spark, sf_dir)))
-
-
 def _with_all_trailers(t: Tables) -> DataFrame:
     """All documents, a trailer after each 100 characters but the last; every second without a date where doc_id % 3 = 0, none where doc_id % 10 = 0."""
     d = t.documents().where("text is not null").withColumn("tw_cut", F.regexp_extract_all("text", F.lit("(?s).{1,100}"), F.lit(0)))
@@ -317,13 +270,15 @@ SELECT doc_id, chunk, sha256(before || piece || CASE WHEN bare THEN ' ' ELSE ' E
 UNION ALL SELECT doc_id, NULL, sha256(text), strftime(ts, '%Y-%m-%d %H:%M:%S'), description FROM b WHERE doc_id % 10 = 0 OR len(cut) <= 1"""
 
 
+@query(with_tables("docs", _ALL_TRAILERS), name="split_notes_whole")
 @query(with_tables("docs", _ALL_TRAILERS))
-def split_notes_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _split(_with_all_trailers(Tables(spark, sf_dir)))
+def split_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = A.split_notes(_with_all_trailers(Tables(spark, sf_dir)), "doc_id", "text", "ts", "description")
+    return out.select("doc_id", "chunk", F.sha2("text", 256).alias("text"), stamp(F.col("ts")).alias("ts"), "description")
 
 
-def _rows(t: Tables, which: str = "true") -> DataFrame:
-    a = t.annotations().where(which)
+def _rows(t: Tables) -> DataFrame:
+    a = t.annotations()
     meta = F.create_map(F.lit("Time"), F.col("Time_Value"), F.lit("Presence"), F.col("Presence_Value"))
     return a.select(F.concat(F.lit("project "), F.col("doc_id") % 4).alias("project"), F.col("doc_id").alias("document_id"), F.concat(F.lit('doc "'), F.col("doc_id"), F.lit('"')).alias("document_name"), F.concat(F.lit("text\n"), F.col("doc_id")).alias("text"), F.col("tie").alias("annotation_id"), F.col("cui").cast("string").alias("cui"), F.col("word").alias("value"), F.col("position").cast("int").alias("start"), (F.col("position") + 1).cast("int").alias("end"), (F.col("acc") > 0.5).alias("correct"), meta.alias("meta"))
 
@@ -331,39 +286,24 @@ def _rows(t: Tables, which: str = "true") -> DataFrame:
 _EXPORTED = """SELECT 'project ' || (doc_id % 4) AS project, doc_id AS document_id, 'doc "' || doc_id || '"' AS document_name, tie AS annotation_id, CAST(cui AS VARCHAR) AS cui, word AS value, acc > 0.5 AS correct, Time_Value AS time FROM anns"""
 
 
-def _read_back(rows: DataFrame) -> DataFrame:
-    back = A.export_to_rows(A.rows_to_export(rows))
-    return back.select("project", "document_id", "document_name", "annotation_id", "cui", "value", "correct", F.col("meta")["Time"].alias("time"))
-
-
-@query(with_tables("anns", _EXPORTED + " WHERE doc_id < 300"))
+@query(with_tables("anns", _EXPORTED), name="export_to_rows_whole")
+@query(with_tables("anns", _EXPORTED))
 def export_to_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 300 documents only, as its SQL says; export_to_rows_whole takes all."""
-    return _read_back(_rows(Tables(spark, sf_dir), "doc_id < 300"))
+    back = A.export_to_rows(A.rows_to_export(_rows(Tables(spark, sf_dir))))
+    return back.select("project", "document_id", "document_name", "annotation_id", "cui", "value", "correct", F.col("meta")["Time"].alias("time"))
 
 
-@query(with_tables("anns", _EXPORTED))
-def export_to_rows_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read_back(_rows(Tables(spark, sf_dir)))
+_PROJECTS = "SELECT 'project ' || (doc_id % 4) AS project, count(DISTINCT doc_id) AS documents, count(*) AS annotations FROM anns GROUP BY 1"
 
 
-def _exported(rows: DataFrame) -> DataFrame:
-    j = A.rows_to_export(rows).select(F.explode(F.from_json("value", A.EXPORT)["projects"]).alias("p"))
+@query(with_tables("anns", _PROJECTS), name="rows_to_export_whole")
+@query(with_tables("anns", _PROJECTS))
+def rows_to_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    j = A.rows_to_export(_rows(Tables(spark, sf_dir))).select(F.explode(F.from_json("value", A.EXPORT)["projects"]).alias("p"))
     own = F.aggregate("p.documents", F.lit(0).cast("long"), lambda s, d: s + F.size(d["annotations"]))
     return j.groupBy(F.col("p.name").alias("project")).agg(F.sum(F.size("p.documents")).alias("documents"), F.sum(own).alias("annotations"))
 
 
-@query(with_tables("anns", "SELECT 'project ' || (doc_id % 4) AS project, count(DISTINCT doc_id) AS documents, count(*) AS annotations FROM anns WHERE doc_id < 300 GROUP BY 1"))
-def rows_to_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 300 documents only, as its SQL says; rows_to_export_whole takes all."""
-    return _exported(_rows(Tables(spark, sf_dir), "doc_id < 300"))
-
-
-@query(with_tables("anns", "SELECT 'project ' || (doc_id % 4) AS project, count(DISTINCT doc_id) AS documents, count(*) AS annotations FROM anns GROUP BY 1"))
-def rows_to_export_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _exported(_rows(Tables(spark, sf_dir)))
-
-
 @query(with_tables("docs", "SELECT CASE WHEN r = 0 THEN description ELSE description || '_' || r END AS name, size FROM (SELECT description, length(text) AS size, row_number() OVER (PARTITION BY description ORDER BY doc_id) - 1 AS r FROM docs)"))
 def labelling_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.unique_names(Tables(spark, sf_dir).documents(), "description", "text", "doc_id").select("name", F.length("text").cast("long").alias("size"))
@@ -443,14 +383,17 @@ def category_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- anonymisation ----------------------------------------------------------------------------------
 
 
-@query(with_tables("obs days", f""", n AS (SELECT DISTINCT 'bed_' || item AS feature FROM ({_SAT}) UNION SELECT DISTINCT item || '_mean' FROM ({_SAT}) UNION SELECT DISTINCT item FROM ({_SAT})),
-c AS (SELECT feature, regexp_extract(feature, '^(census_|news_|bed_|bmi_)', 1) AS b, regexp_extract(feature, '(_mean)$', 1) AS a FROM n),
+_KEPT = ("bed_", "hosp_site_", "core_02_", "ConsultantCode_", "vte_status_", "Unnamed:", "smoking_status_")
+
+
+@query(with_tables("obs days", f""", n AS (SELECT DISTINCT p || item AS feature FROM ({_SAT}), (SELECT unnest({list(_KEPT)}) AS p) UNION SELECT DISTINCT item || '_mean' FROM ({_SAT}) UNION SELECT DISTINCT 'bmi_' || item || '_median' FROM ({_SAT}) UNION SELECT DISTINCT item FROM ({_SAT})),
+c AS (SELECT feature, regexp_extract(feature, '^(census_|news_resus_|news_|bed_|bmi_|hosp_site_|core_02_|core_resus_|ConsultantCode_|ClinicCode_|AppointmentType_|vte_status_|outcome_var_|client_idcode:|Unnamed:|__index_level_|date_time_stamp_|smoking_status_)', 1) AS b, regexp_extract(feature, '(_mean|_median)$', 1) AS a FROM n),
 k AS (SELECT *, substr(feature, length(b) + 1, length(feature) - length(b) - length(a)) AS core, b = '' AND a = '' AS plain FROM c),
 d AS (SELECT *, dense_rank() OVER (PARTITION BY plain ORDER BY core) - 1 AS i FROM k)
 SELECT feature, CASE WHEN plain THEN 'feature_' || i ELSE b || 'concept_' || i || a END AS anonymous FROM d"""))
 def anon_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = events_in_slices(Tables(spark, sf_dir).obs(), DAILY).select("item").distinct()
-    names = s.select(F.explode(F.array(F.concat(F.lit("bed_"), "item"), F.concat("item", F.lit("_mean")), F.col("item"))).alias("feature"))
+    names = s.select(F.explode(F.array(*(F.concat(F.lit(p), "item") for p in _KEPT), F.concat("item", F.lit("_mean")), F.concat(F.lit("bmi_"), "item", F.lit("_median")), F.col("item"))).alias("feature"))
     return N.feature_key(names)
 
 
@@ -463,9 +406,20 @@ def deanon_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.named_again(N.anonymous(rows, key), key).groupBy("feature").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
 
 
+#: The kinds and their patterns once more, for the SQL.
+_RULES = {
+    "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "URL": r"https?://[^ \t\n<>]+",
+    "PHONE": r"\+\d{1,3} ?\(?\d{2,4}\)?[\d -]{5,12}\d",
+    "IP": r"\b(?:\d{1,3}\.){3}\d{1,3}\b",
+    "DATE": r"\b\d{4}-\d{2}-\d{2}\b",
+    "NUMBER": r"\b\d{9,}\b",
+}
+
+
 def _deid(text: str, label: bool) -> str:
     out = f"coalesce({text}, '')"
-    for kind, p in N.RULES.items():
+    for kind, p in _RULES.items():
         out = f"regexp_replace({out}, '{p}', '{f'[{kind}]' if label else '[****]'}', 'g')"
     return out
 
@@ -477,7 +431,7 @@ def deid_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.deidentify(red, ["text"], redact=False, in_place=True).select("doc_id", "redacted", F.sha2("text", 256).alias("labelled"))
 
 
-_FOUND = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS label, unnest(regexp_extract_all(coalesce(text, ''), '{p}')) AS text FROM documents" for k, p in N.RULES.items())
+_FOUND = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS label, unnest(regexp_extract_all(coalesce(text, ''), '{p}')) AS text FROM documents" for k, p in _RULES.items())
 
 
 @query(f"SELECT doc_id, label, text, count(*) AS n FROM ({_FOUND}) GROUP BY ALL")
@@ -485,7 +439,7 @@ def deid_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.entities(Tables(spark, sf_dir).documents(), "doc_id", "text")
 
 
-@query(f"""WITH c AS ({' UNION ALL '.join(f"SELECT '{k}' AS label, len(regexp_extract_all(coalesce(text, ''), '{p}')) AS n FROM documents" for k, p in N.RULES.items())})
+@query(f"""WITH c AS ({' UNION ALL '.join(f"SELECT '{k}' AS label, len(regexp_extract_all(coalesce(text, ''), '{p}')) AS n FROM documents" for k, p in _RULES.items())})
 SELECT label, count(*) FILTER (n > 0) AS texts, CAST(sum(n) AS BIGINT) AS entities, round(avg(n), 6) AS per_text FROM c GROUP BY label""")
 def deid_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.report(Tables(spark, sf_dir).documents(), "doc_id", "text").withColumn("per_text", F.round("per_text", 6))

@@ -131,15 +131,20 @@ def fetch_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_of(t: Tables) -> DataFrame:
-    return T.union_all([T.canonical(t.obs(), "client_id", "ts", "item", "value", None, "bloods"), T.canonical(t.orders(), "client_id", "ts", "item", None, "kind", "orders"), T.canonical(t.documents(), "client_id", "ts", None, None, "text", "documents"), T.canonical(t.notes(), "client_id", "ts", None, None, "text", "notes")])
+    documents = {"documents": t.documents(), "notes": t.notes(), "reports": t.reports(), "textual_obs": t.textual_obs()}
+    parts = [T.canonical(t.obs(), "client_id", "ts", "item", "value", None, "bloods"), T.canonical(t.observations(), "client_id", "ts", "item", "value", "text", "observations"), T.canonical(t.orders(), "client_id", "ts", "item", None, "kind", "orders")]
+    parts += [T.canonical(t.demographics(), "client_id", "ts", None, None, "racecode", "demographics"), T.canonical(t.appointments(), "client_id", "ts", "clinic", None, "kind", "appointments")]
+    return T.union_all(parts + [T.canonical(d, "client_id", "ts", None, None, "text", n) for n, d in documents.items()])
 
 
-@query(with_tables("obs ords docs notes", """, e AS (SELECT client_id, ts, item, value, NULL AS text, 'bloods' AS source FROM obs UNION ALL SELECT client_id, ts, item, NULL, kind, 'orders' FROM ords
-UNION ALL SELECT client_id, ts, NULL, NULL, text, 'documents' FROM docs UNION ALL SELECT client_id, ts, NULL, NULL, text, 'notes' FROM notes)
-SELECT source, client_id, count(*) AS n, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first, round(sum(value), 3) AS total, count(text) AS texts FROM e GROUP BY ALL"""))
+@query(with_tables("obs ward ords demo appts docs notes reports tobs", """, e AS (SELECT client_id, ts, item, value, NULL AS text, 'bloods' AS source FROM obs UNION ALL SELECT client_id, ts, item, value, text, 'observations' FROM ward
+UNION ALL SELECT client_id, ts, item, NULL, kind, 'orders' FROM ords UNION ALL SELECT client_id, ts, NULL, NULL, racecode, 'demographics' FROM demo UNION ALL SELECT client_id, ts, CAST(clinic AS VARCHAR), NULL, kind, 'appointments' FROM appts
+UNION ALL SELECT client_id, ts, NULL, NULL, text, 'documents' FROM docs UNION ALL SELECT client_id, ts, NULL, NULL, text, 'notes' FROM notes
+UNION ALL SELECT client_id, ts, NULL, NULL, text, 'reports' FROM reports UNION ALL SELECT client_id, ts, NULL, NULL, text, 'textual_obs' FROM tobs)
+SELECT source, client_id, count(*) AS n, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS first, round(sum(value), 3) AS total, count(text) AS texts, count(item) AS items FROM e GROUP BY ALL"""))
 def canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events_of(Tables(spark, sf_dir))
-    return e.groupBy("source", "client_id").agg(F.count("*").alias("n"), stamp(F.min("ts")).alias("first"), F.round(F.sum("value"), 3).alias("total"), F.count("text").alias("texts"))
+    return e.groupBy("source", "client_id").agg(F.count("*").alias("n"), stamp(F.min("ts")).alias("first"), F.round(F.sum("value"), 3).alias("total"), F.count("text").alias("texts"), F.count("item").alias("items"))
 
 
 _BROKEN = "SELECT doc_id, text, CASE WHEN doc_id % 5 = 0 THEN 'n/a' WHEN doc_id % 7 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS said FROM docs"
@@ -225,9 +230,10 @@ def write_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_tables("obs", "SELECT client_id, count(*) AS n FROM obs GROUP BY client_id"))
 def split_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A client's rows lie in one bucket's folder; there is no folder for each client."""
     path = scratch(spark, "split")
-    Tables(spark, sf_dir).obs().withColumn("part", F.col("client_id")).repartition("part").write.partitionBy("part").parquet(path)
-    return spark.read.parquet(path).groupBy("client_id").agg(F.count("*").alias("n"))
+    T.write_keyed(Tables(spark, sf_dir).obs(), path, "client_id")
+    return T.read_keyed(spark, path, "client_id").groupBy("client_id").agg(F.count("*").alias("n"))
 
 
 @query(with_tables("obs", """, s AS (SELECT client_id FROM obs WHERE client_id NOT LIKE '%3')
@@ -284,10 +290,14 @@ def search_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, sf_dir).orders().where(F.col("item") == "1-URGENT").select("order_id")
 
 
-@query(f"""WITH p AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM (SELECT doc_id, {_TOKENS} AS w FROM documents))
-SELECT DISTINCT a.doc_id FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.i > a.i AND b.i <= a.i + 3 WHERE levenshtein(a.x, 'of') <= 0 AND levenshtein(b.x, 'that') <= 0""")
+@query(f"""WITH p AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS x FROM (SELECT doc_id, {_TOKENS} AS w FROM documents)),
+a AS (SELECT doc_id, i FROM p WHERE levenshtein(x, 'license') <= 1)
+SELECT DISTINCT a.doc_id FROM a JOIN p m ON m.doc_id = a.doc_id AND m.i > a.i AND m.i <= a.i + 3 WHERE levenshtein(m.x, 'that') <= 1
+UNION SELECT DISTINCT a.doc_id FROM p a JOIN p b ON a.doc_id = b.doc_id AND b.i > a.i AND b.i <= a.i + 3 WHERE levenshtein(a.x, 'off') <= 1 AND levenshtein(b.x, 'that') <= 1""")
 def search_slop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Tables(spark, sf_dir).documents().where(near_phrase(F.col("text"), "of that", slop=2, distance=0)).select("doc_id")
+    """Either of two phrases, each word within one edit, at most two words between."""
+    either = near_phrase(F.col("text"), "license that", slop=2, distance=1) | near_phrase(F.col("text"), "off that", slop=2, distance=1)
+    return Tables(spark, sf_dir).documents().where(either).select("doc_id")
 
 
 _TERMS = ["license", "password", "token ="]
@@ -428,7 +438,11 @@ def _everyone(t: Tables) -> DataFrame:
     return t.raw("customer").select(F.col("c_custkey").cast("string").alias("client_id"))
 
 
-@query()
+_MARK = "md5('42|' || {})"
+
+
+@query(f"""WITH t AS (SELECT client_id FROM ({_BUYERS}) WHERE length(client_id) > 1), r AS (SELECT CAST(c_custkey AS VARCHAR) AS client_id FROM customer WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT client_id FROM t))
+SELECT client_id FROM (SELECT *, row_number() OVER (ORDER BY {_MARK.format('client_id')}, client_id) AS i FROM r) WHERE i <= 2 * (SELECT count(*) FROM t)""")
 def control_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return C.controls(_everyone(t), buyers(t).where("length(client_id) > 1"), 2.0)
@@ -440,10 +454,17 @@ def sanitize_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.sanitised(c.select(F.when(F.col("c_custkey") % 10 != 0, F.lower(_hospital_col("c_custkey"))).otherwise(F.concat(F.lit("x"), F.col("c_custkey"))).alias("client_id")))
 
 
-@query()
+@query(f"""WITH e AS (SELECT CASE WHEN c_custkey % 10 = 0 THEN 'none' || c_custkey ELSE lower({_hospital('c_custkey')}) END AS client_id, c_custkey FROM customer), t AS (SELECT client_id FROM e WHERE c_custkey % 9 = 4),
+r AS (SELECT client_id FROM e WHERE c_custkey % 9 <> 4), d AS (SELECT client_id FROM (SELECT *, row_number() OVER (ORDER BY {_MARK.format('client_id')}, client_id) AS i FROM r) WHERE i <= (SELECT count(*) FROM t)),
+u AS (SELECT upper(client_id) AS client_id, treated FROM (SELECT client_id, true AS treated FROM t UNION ALL SELECT client_id, false FROM d) WHERE client_id NOT LIKE 'none%'),
+x AS (SELECT {_hospital('user_id')} AS client_id FROM events UNION SELECT {_hospital('o_custkey')} FROM orders WHERE o_orderstatus = 'P')
+SELECT client_id, treated FROM (SELECT *, row_number() OVER (ORDER BY {_MARK.format('client_id')}, client_id) AS i FROM u WHERE client_id IN (SELECT client_id FROM x)) WHERE i <= 100""")
 def cohort_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids in lower case, some malformed; treated and as many controls, sanitised, those that exist, a sample of 100."""
     t = Tables(spark, sf_dir)
-    return C.build(few(t), _everyone(t), [t.obs(), t.orders()], 1.0)
+    own = t.raw("customer").select(F.when(F.col("c_custkey") % 10 == 0, F.concat(F.lit("none"), "c_custkey")).otherwise(F.lower(_hospital_col("c_custkey"))).alias("client_id"), "c_custkey")
+    sources = [t.raw("events").select(_hospital_col("user_id").alias("client_id")), t.raw("orders").where("o_orderstatus = 'P'").select(_hospital_col("o_custkey").alias("client_id"))]
+    return C.build(own.where("c_custkey % 9 = 4").select("client_id"), own.select("client_id"), sources, 1.0, 100)
 
 
 @query("SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS client_id FROM customer WHERE c_custkey IN (SELECT user_id FROM events) OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")
@@ -460,6 +481,13 @@ def profile_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.id_profile(c.select(F.when(F.col("c_custkey") % 10 != 0, _hospital_col("c_custkey")).otherwise("none").alias("client_id")))
 
 
+@query()
+def id_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half of profiling: the profile's rows in three clusters at most."""
+    c = Tables(spark, sf_dir).raw("customer")
+    return C.id_clusters(c.select(F.when(F.col("c_custkey") % 10 != 0, _hospital_col("c_custkey")).otherwise("none").alias("client_id")))
+
+
 @query("SELECT DISTINCT n.l_orderkey, CAST(o_custkey AS VARCHAR) AS client_id FROM (SELECT DISTINCT l_orderkey FROM lineitem) n LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON l_orderkey = o_orderkey")
 def map_external_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
@@ -474,10 +502,21 @@ def sample_per_term(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.per_group(m, ["search_term"], 5, [F.md5(F.col("doc_id").cast("string").cast("binary")), F.col("doc_id")])
 
 
-@query()
+def _partial(term: str, text: str) -> str:
+    """The best similarity of term with any stretch of text of its length."""
+    n = f"length({term})"
+    piece = f"substr({text}, CAST(i + 1 AS BIGINT), {n})"
+    return f"CASE WHEN contains({text}, {term}) THEN 100.0 ELSE list_max(list_transform(range(0, greatest(length({text}) - {n}, 0) + 1), lambda i: (1 - levenshtein({term}, {piece}) / CAST(greatest({n}, length({piece})) AS DOUBLE)) * 100)) END"
+
+
+@query(f"""WITH terms AS (SELECT * FROM (VALUES ('metal', 'standart'), ('metal', 'promo x'), ('size', 'econom')) AS v(g, term)), h AS (SELECT DISTINCT p_partkey, g FROM part, terms WHERE {_partial('term', 'lower(p_type)')} >= 75),
+n AS (SELECT g, count(*) AS n FROM h GROUP BY g), s AS (SELECT sum(n) AS all_n, sum(least(n, 10)) AS first_n FROM n),
+q AS (SELECT g, least(n, 10) + floor(greatest(100 - first_n, 0) * n / all_n) AS quota FROM n, s),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY {_MARK.format('p_partkey')}, p_partkey) AS i FROM h)
+SELECT p_partkey, min(g) AS matched_group FROM r JOIN q USING (g) WHERE i <= quota GROUP BY p_partkey""")
 def sample_term_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = Tables(spark, sf_dir).raw("part")
-    return S.term_groups(parts, "p_partkey", "p_type", {"metal": ["polished tin", "burnished copper"], "size": ["economy"]}, 10, 100)
+    return S.term_groups(parts, "p_partkey", "p_type", {"metal": ["standart", "promo x"], "size": ["econom"]}, 10, 100)
 
 
 @query(with_tables("demo", "SELECT client_id, record_id, gender, racecode FROM (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY ts DESC, record_id DESC) AS r FROM demo) WHERE r = 1"))
@@ -485,17 +524,17 @@ def latest_per_client(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.latest(Tables(spark, sf_dir).demographics(), "client_id", "ts", "record_id").select("client_id", "record_id", "gender", "racecode")
 
 
-_SEARCHED = """SELECT p_partkey, term AS search_term, (CASE WHEN contains(lower(p_name), term) THEN ['p_name'] ELSE [] END) || (CASE WHEN contains(lower(p_type), term) THEN ['p_type'] ELSE [] END) AS matched, p_name, p_type
-FROM part, (SELECT unnest(['tin', 'steel']) AS term)"""
+_SEARCHED = f"""SELECT p_partkey, term AS search_term, (CASE WHEN {_partial('term', 'lower(p_name)')} >= 80 THEN ['p_name'] ELSE [] END) || (CASE WHEN {_partial('term', 'lower(p_type)')} >= 80 THEN ['p_type'] ELSE [] END) AS matched, p_name, p_type
+FROM part, (SELECT unnest(['standart', 'hot gaer', 'economi']) AS term)"""
 
 
-@query(f"SELECT p_partkey, array_to_string(matched, ',') AS matched FROM ({_SEARCHED}) WHERE search_term = 'tin' AND len(matched) > 0")
+@query(f"SELECT p_partkey, array_to_string(matched, ',') AS matched FROM ({_SEARCHED}) WHERE search_term = 'standart' AND len(matched) > 0")
 def drug_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = S.matched_columns(Tables(spark, sf_dir).raw("part"), "TIN", ["p_name", "p_type"], 100)
+    found = S.matched_columns(Tables(spark, sf_dir).raw("part"), "STANDART", ["p_name", "p_type"], 80)
     return found.select("p_partkey", F.array_join("matched", ",").alias("matched"))
 
 
 @query(f"""SELECT p_partkey, min(p_name) AS p_name, min(p_type) AS p_type, string_agg(DISTINCT search_term, ', ' ORDER BY search_term) AS search_terms,
 array_to_string(list_sort(list_distinct(flatten(list(matched)))), ', ') AS matched FROM ({_SEARCHED}) WHERE len(matched) > 0 GROUP BY p_partkey""")
 def drug_search_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.matched_columns_multi(Tables(spark, sf_dir).raw("part"), ["tin", "steel"], ["p_name", "p_type"], "p_partkey", 100)
+    return S.matched_columns_multi(Tables(spark, sf_dir).raw("part"), ["standart", "hot gaer", "economi"], ["p_name", "p_type"], "p_partkey", 80)

@@ -384,7 +384,10 @@ def events_client_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("client_id", F.date_format("slice_start", "yyyy-MM-dd").alias("slice_start")).agg(F.count("*").alias("n"))
 
 
-@query(name="control_windows")
+@query(with_tables("ords", """, w AS (SELECT client_id, arg_max(ts, order_id) AS win_from FROM ords WHERE item = '1-URGENT' GROUP BY client_id),
+k AS (SELECT win_from, row_number() OVER (ORDER BY md5('42|' || client_id)) - 1 AS number FROM w)
+SELECT c.client_id, strftime(win_from, '%Y-%m-%d') AS win_from FROM (SELECT CAST(c_custkey AS VARCHAR) AS client_id FROM customer) c JOIN k ON CAST('0x' || substr(md5('43|' || c.client_id), 1, 15) AS BIGINT) % (SELECT count(*) FROM w) = number
+WHERE c.client_id NOT IN (SELECT client_id FROM w)"""), name="control_windows")
 def control_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     treated = client_windows(t.orders().where("item = '1-URGENT'"), "client_id", "ts", "order_id")

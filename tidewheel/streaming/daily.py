@@ -10,11 +10,12 @@ from tidewheel.spec import RunSpec
 
 
 def slice_stats(events: DataFrame, spec: RunSpec, late: str = "2 days") -> DataFrame:
-    """client_id, slice_start, item, n, mean, min, max, last_ts of a stream (or a table) of events.
+    """client_id, slice_start, item, day, n, total, min, max, last_ts of a stream (or a table) of events.
 
-    Steps of whole days deal events to slices without a join or state. Keys carry the slice's end as a window in event
-    time, so in append mode a slice is sent once the watermark (late behind the newest event) has passed it; rows
-    later than that are dropped. Median, mode and std stay with the batch extractor, which sees all values.
+    Steps of whole days deal events to slices without a join or state. A row is what one day of events adds to a slice:
+    days are the windows in event time, so in append mode a day is sent once the watermark (late behind the newest
+    event) has passed it; rows later than that are dropped. slices_of_days makes slices of the days in the sink: a slice
+    is whole once all its days have been sent. Median, mode and std stay with the batch extractor, which sees all values.
     """
     if not spec.step.only_days:
         raise ValueError("a stream needs a step of whole days")
