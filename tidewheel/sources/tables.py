@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,23 +70,78 @@ def bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int")
 
 
-def write_keyed(rows: DataFrame, path: str, key: str, buckets: int = 64) -> None:
-    """Writes a table in which each key's rows lie in one of a fixed number of folders."""
-    rows.withColumn("key_bucket", bucket(key, buckets)).repartition(buckets, "key_bucket").write.mode("overwrite").partitionBy("key_bucket").parquet(path)
+#: Rows that one task writes to a bucket, at most about so many.
+TASK_ROWS = 5_000_000
+
+
+def _spread(rows: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """rows (with key_bucket) dealt for writing: a bucket of very many rows, one hot key's too, to several tasks.
+
+    Buckets are counted first; rows of a crowded bucket are split by a hash of all their plain columns.
+    """
+    counts = {r[0]: -(-r[1] // task_rows) for r in rows.groupBy("key_bucket").agg(F.count("*")).collect()}  # buckets of them at most
+    crowded = {k: n for k, n in counts.items() if n > 1}
+    tasks = max(1, sum(counts.values()))
+    if not crowded:
+        return rows.repartition(tasks, "key_bucket")
+    plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    splits = F.coalesce(F.create_map(*(F.lit(x) for kv in crowded.items() for x in kv))[F.col("key_bucket")], F.lit(1))
+    return rows.repartition(tasks, "key_bucket", F.pmod(F.xxhash64(*plain), splits))
+
+
+def write_keyed(rows: DataFrame, path: str, key: str, buckets: int = 64, task_rows: int = TASK_ROWS) -> None:
+    """Writes a table in which each key's rows lie in one of a fixed number of folders. buckets grows with the table:
+    about one for each few million rows, so that a key's lookup reads little."""
+    _spread(rows.withColumn("key_bucket", bucket(key, buckets)), task_rows).write.mode("overwrite").partitionBy("key_bucket").parquet(path)
+
+
+def _put_back(spark: SparkSession, aside: str, path: str, schema: T.StructType) -> None:
+    """Writes the table aside over its buckets of the table at path. aside stays until this is done, so that after a
+    crash in between it can be done again (recover)."""
+    rows = spark.read.schema(schema).parquet(aside)
+    _spread(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(path)
+
+
+def _folder(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's API."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _drop_aside(spark: SparkSession, path: str) -> None:
+    store, folder = _folder(spark, f"{path.rstrip('/')}-aside")
+    store.delete(folder, True)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """After a crash inside replace_keys or delete_keys: finishes a change that was written aside whole; True if there was
+    one. A change that had not been written whole has not touched the table, and is dropped. Call it before reading."""
+    aside = f"{path.rstrip('/')}-aside"
+    store, folder = _folder(spark, aside)
+    if not store.exists(folder):
+        return False
+    whole = store.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{aside}/_SUCCESS"))
+    if whole:
+        rows = spark.read.parquet(aside)
+        _put_back(spark, aside, path, rows.schema)
+    _drop_aside(spark, path)
+    return whole
 
 
 def replace_keys(rows: DataFrame, path: str, key: str, buckets: int = 64) -> None:
     """Replaces all rows of the keys that occur in rows; only their buckets are rewritten.
 
-    The new buckets go to a table beside the old one first, since a table can't be overwritten while it is read.
+    The new buckets go to a table beside the old one first, since a table can't be overwritten while it is read; it is
+    removed at the end.
     """
     spark = rows.sparkSession
     new = rows.withColumn("key_bucket", bucket(key, buckets))
     touched = [r[0] for r in new.select("key_bucket").distinct().collect()]  # buckets of them at most
     old = spark.read.parquet(path).where(F.col("key_bucket").isin(touched)).join(rows.select(key).distinct(), key, "left_anti")
-    aside = f"{path.rstrip('/')}-aside"
-    old.unionByName(new, allowMissingColumns=True).write.mode("overwrite").parquet(aside)
-    spark.read.parquet(aside).repartition("key_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(path)
+    both, aside = old.unionByName(new, allowMissingColumns=True), f"{path.rstrip('/')}-aside"
+    both.write.mode("overwrite").parquet(aside)
+    _put_back(spark, aside, path, both.schema)
+    _drop_aside(spark, path)
 
 
 def read_keyed(spark: SparkSession, path: str, key: str, value: str | None = None, buckets: int = 64, schema: T.StructType | None = None) -> DataFrame:
@@ -107,12 +163,12 @@ def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key: str, bucke
     kept = spark.read.parquet(path).where(F.col("key_bucket").isin(list(touched))).join(keys.select(key).distinct(), key, "left_anti")
     aside = f"{path.rstrip('/')}-aside"
     kept.write.mode("overwrite").parquet(aside)
-    again = spark.read.schema(kept.schema).parquet(aside)
-    again.repartition("key_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("key_bucket").parquet(path)
-    jvm = spark.sparkContext._jvm
-    for empty in touched - {r[0] for r in again.select("key_bucket").distinct().collect()}:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/key_bucket={empty}")
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    left = {r[0] for r in spark.read.schema(kept.schema).parquet(aside).select("key_bucket").distinct().collect()}
+    _put_back(spark, aside, path, kept.schema)
+    for empty in touched - left:
+        store, folder = _folder(spark, f"{path.rstrip('/')}/key_bucket={empty}")
+        store.delete(folder, True)
+    _drop_aside(spark, path)
 
 
 def as_json(rows: DataFrame) -> DataFrame:
@@ -121,16 +177,25 @@ def as_json(rows: DataFrame) -> DataFrame:
     return rows.select(*(F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name) for f in rows.schema.fields))
 
 
+def _headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
+    """(file, its first line) of all files under the paths, in one job: the line that starts at byte 0."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("at"), "value")
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    return sorted((r["file"], r["header"]) for r in first.collect())  # a row a file, of which the caller has listed the paths
+
+
 def concat_csv(spark: SparkSession, paths: list[str], first: int | None = None) -> DataFrame:
     """Files of differing headers as one table: the union of the headers in order, names and values trimmed, missing cells empty.
 
-    A file's header is read on its own; files of the same header are read together.
+    One job finds the headers of all files; files of the same header are read together.
     """
-    headers: dict[tuple[str, ...], list[str]] = {}
-    for p in paths[:first] if first is not None else paths:
-        headers.setdefault(tuple(spark.read.option("header", True).csv(p).columns), []).append(p)
+    paths = paths[:first] if first is not None else paths
+    headers: dict[str, list[str]] = {}
+    for file, header in _headers(spark, paths) if paths else []:
+        headers.setdefault(header.removeprefix("\ufeff"), []).append(file)
     parts = []
-    for columns, files in headers.items():
+    for header, files in headers.items():
+        columns = next(csv.reader([header]), [])
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         rows = spark.read.option("header", True).option("enforceSchema", True).schema(schema).csv(files)
         parts.append(rows.select(*(F.trim(F.col(f"`{c}`")).alias(c.strip()) for c in columns)))
