@@ -432,8 +432,7 @@ def removed(rows):
     return out
 
 
-def test_repeats(docs, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "SHARD", 1500)  # several shards to be merged
+def test_repeats(docs):
     rows = corpus()[0]
     want = removed(rows)
     got = sorted((str(r["doc_id"]), r["tw_bytes"], r["tw_removed"], r["tw_spans"], bytes(r["tw_kept"])) for r in suffix_dedup.remove_repeats(docs).collect())
@@ -441,6 +440,79 @@ def test_repeats(docs, monkeypatch):
     assert sum(x[2] for x in got) > 5000
 
 
+def edged(n=900):
+    """A passage in n documents, each with text of its own around it, and edits in some; ids from 1."""
+    r = random.Random(9)
+    say = lambda k: " ".join("".join(r.choice("abcdefghijklmnop") for _ in range(r.randint(2, 8))) for _ in range(k))
+    passage = say(40)
+    return [(i + 1, f"{say(12)} {passage if i % 3 else passage[: 40 + i % 150] + 'x' + passage[41 + i % 150 :]} {say(12)}") for i in range(n)]
+
+
+def test_repeats_with_edges_of_their_own(spark):
+    """A passage in very many different surroundings: some cores are merged in shards, the crowded ones taken string by string."""
+    rows = edged()
+    found = []
+    for i, t in rows:
+        data = np.frombuffer(t.encode(), np.uint8)
+        out = suffix_dedup.find_segments(data, np.full(len(data), len(data)))
+        out["id"] = i
+        found.append(out)
+    packed = pa.Table.from_batches(list(suffix_dedup._packed(np.concatenate(found), 4))).sort_by("bucket").combine_chunks().to_batches()
+    resolved = list(suffix_dedup._resolve(iter(packed)))
+    assert set(np.concatenate([b.column(1).to_numpy() for b in resolved]).tolist()) == {1, 2, 3}
+    want = removed(rows)
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(4)
+    got = {r["doc_id"]: (r["tw_bytes"], r["tw_removed"], r["tw_spans"], bytes(r["tw_kept"])) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert got == {i: want[(i, t)] for i, t in rows}
+
+
+def test_repeats_of_odd_ids_and_columns(spark):
+    long_ = "some words that are said again and again, " * 4
+    rows = [(None, long_, "a"), (-(1 << 63), long_, "b"), (5, long_, "c"), (5, "x" + long_, "d"), (5, "x" + long_, "d"), (6, None, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tw_cuts string").repartition(3)
+    got = sorted((str(r["doc_id"]), r["tw_cuts"], r["tw_bytes"], r["tw_removed"], r["tw_spans"]) for r in suffix_dedup.remove_repeats(docs, keep=("tw_cuts",)).collect())
+    low = -(1 << 63)
+    want = removed([(low if i is None else i, t) for i, t, _ in rows])
+    assert got == sorted((str(i), c, *want[(low if i is None else i, t)][:3]) for i, t, c in rows)
+    with pytest.raises(TypeError, match="whole numbers"):
+        suffix_dedup.remove_repeats(docs.withColumn("doc_id", F.col("tw_cuts")))
+
+
+def test_repeats_memory_of_a_uniform_text():
+    """32 MiB of one letter: a record for each byte is folded piece by piece."""
+    body = """
+import numpy as np, pyarrow as pa
+from tidewheel.llm import suffix_dedup as S
+batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0]), pa.array(["a" * (32 << 20)])], ["id", "row", "text"])
+"""
+    call = "found = list(S._collect(8)(iter([batch]))); assert sum(b.num_rows for b in found) > 0"
+    assert megabytes(body, call) < 1000
+
+
+def test_share_of_the_merge(spark):
+    """What of the removed bytes is found by the merge alone, on the driver's documents, with no constant changed."""
+    from tidewheel.llm import common
+
+    at = common.mark()
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    total = suffix_dedup.remove_repeats(docs).agg(F.sum("tw_removed")).first()[0]
+    repeats, merged = (spark.read.parquet(p) for p in common._WRITTEN[at:])
+
+    def covered(df):
+        spans: dict = {}
+        for r in df.where("kind = 1").collect():
+            spans.setdefault((r["id"], r["row"]), []).append(np.frombuffer(bytes(r["data"]), "<i8").reshape(-1, 2))
+        return {k: suffix_dedup.merge_spans(np.concatenate(v)) for k, v in spans.items()}
+
+    size = lambda spans: sum(int((s[:, 1] - s[:, 0]).sum()) for s in spans.values())
+    folded, found = covered(repeats), covered(merged)
+    both = {k: suffix_dedup.merge_spans(np.concatenate([x[k] for x in (folded, found) if k in x])) for k in folded | found}
+    assert size(both) == total
+    share = (total - size(folded)) / total
+    assert share > 0.02, share
+    print("share of the merge", share, "covered by it", size(found) / total)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_merged_shards_find_all_repeats(seed):
     r = random.Random(seed)

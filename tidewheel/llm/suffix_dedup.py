@@ -1,22 +1,31 @@
 """Suffix-array dedup: removes bytes in strings of LENGTH bytes that start earlier in the corpus, too.
 
 A string of LENGTH bytes holds LENGTH - GRAM + 1 grams; the one of the smallest hash (leftmost of equals) is its
-anchor, so equal strings have equal anchors at the same place. All strings of one anchor in a text start in one
-run and lie in one segment around it. Segments meet at their anchor's hash:
-
-1. Anchors that occur once are let go: no string around them repeats.
-2. Segments equal to an earlier one are removed whole; the earliest stands for them all. This is done in every
-   task before the shuffle, so that a very common passage arrives once a task, and again after it.
-3. Where different segments share an anchor, the strings they share are found in a suffix structure: segments
-   are dealt to shards, each shard's suffixes are sorted alone and its Burrows-Wheeler transform taken, and the
-   transforms are merged by refining their interleave, without sorting suffixes of different shards against
-   each other. A letter of these transforms is STEP bytes (the STEP bytes before a suffix), so a round of
-   refinement settles STEP more bytes of common prefix, and LENGTH bytes take LENGTH / STEP rounds. A block of
-   places that no round has split by then is a repeated interval: its common prefix is LENGTH or more.
-
-Matches are judged on the input and never cross documents. Null text is empty. An earlier start is one in a
-smaller id, or before it in the same text; null ids come first; rows of equal id go by their text's hash, and
-rows equal in both are taken for one document. Texts of any length are treated whole.
+anchor, so equal strings have equal anchors at the same place, and all of a string's bytes lie within LENGTH - GRAM of
+it. A string holds the HALF bytes before its anchor or the HALF bytes after it. Strings of one anchor in a text start in
+one run; those that hold the anchor with the bytes before it make one segment, the others another. Equal strings lie in
+segments of equal core (the anchor with its HALF bytes), so segments meet by core:
+
+1. Cores that occur once are let go: no string around them repeats. This filter loses nothing.
+2. Of equal segments the earliest stands for all; the others are removed whole. This is done in every task before the
+   shuffle, so that a very common passage arrives once a task, and again after it.
+3. Where different segments share a core, the strings they share are found in a suffix structure: segments are dealt to
+   shards of SHARD bytes, each shard's suffixes are sorted alone and its Burrows-Wheeler transform taken, and the
+   transforms are merged by refining their interleave, without sorting suffixes of different shards against each
+   other. A letter of these transforms is STEP bytes (the STEP bytes before a suffix), so a round of refinement settles
+   STEP more bytes of common prefix, and LENGTH bytes take LENGTH / STEP rounds. A block of places that no round has
+   split by then is a repeated interval: its common prefix is LENGTH or more. Bytes are compared before any is removed.
+4. A core with more than CROWD different segments (the edge of a passage in very many documents) does not go to one
+   task: its strings are taken one by one, by a 128-bit hash, over all tasks, with step 2's folding before the shuffle.
+
+Matches are judged on the input and never cross documents. Null text is empty. An earlier start is one in a smaller
+id, or before it in the same text; ids are whole numbers, null ids come first; rows of equal id go by their text's
+hash, and rows equal in both are taken for one document, with equal results. Texts of any length are treated whole, in
+pieces. Empty tables give empty results. Columns that clash with names used inside play no part; those in keep must
+not be named as the results are.
+
+Segments of one core are taken for equal if 64 bits of hash are: a core that n different segments share has a chance
+of n**2 / 2**65 of one wrong fold (below 3 % for a core in a thousand million different surroundings).
 """
 
 from __future__ import annotations
@@ -30,45 +39,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.llm.common import buffers, byte_rows, chunks, mix, tasks, written
+from tidewheel.llm.common import buffers, byte_rows, chunks, mix, no_clash, tasks, written
 
 LENGTH, GRAM, STEP = 100, 24, 25
 HALF = (LENGTH - GRAM) // 2
-#: Bytes of text taken at once, text for each bucket of anchors, and bytes of segments in a shard.
-PIECE, BUCKET, SHARD = 2 << 20, 16 << 20, 1 << 20
-_BASE = 0x9E3779B97F4A7C15
+#: Bytes of text taken at once, text for each bucket of cores, and bytes of segments in a shard.
+PIECE, BUCKET, SHARD = 1 << 20, 16 << 20, 64 << 10
+#: Different segments of one core up to which they meet in one task.
+CROWD = 500
+_BASE, _OTHER = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _LOW = (1 << 24) - 1
-_POWERS: list[np.ndarray] = []
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """_BASE**i and its inverse modulo 2**64."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        _POWERS.clear()
-        for b in (_BASE, pow(_BASE, -1, 1 << 64)):
+def _powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
+    """base**i and its inverse modulo 2**64."""
+    if base not in _POWERS or len(_POWERS[base][0]) < n:
+        out = []
+        for b in (base, pow(base, -1, 1 << 64)):
             steps = np.full(n, b, np.uint64)
             steps[0] = 1
-            _POWERS.append(np.multiply.accumulate(steps))
-    return _POWERS[0], _POWERS[1]
+            out.append(np.multiply.accumulate(steps))
+        _POWERS[base] = (out[0], out[1])
+    return _POWERS[base]
 
 
-def find_anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(anchor, segment hash, first start, last start, anchor's place, left, right) of all strings that end by their text's end.
+def _sums(data: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """From these and the inverse powers any stretch's hash follows."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(len(data) + 1, base)[0][: len(data)], out=sums[1:])
+    return sums
 
-    left and right are hashes of the anchor with the HALF bytes before or after it, or 0 where no string of the
-    run reaches so far: every string holds one of the two, so strings can only repeat where one of them does.
+
+#: A segment: the hash of its core, its own, its document (id, text hash), its first start, and how many starts follow.
+RECORD = np.dtype([("core", "<u8"), ("segment", "<u8"), ("id", "<i8"), ("row", "<i8"), ("lo", "<u4"), ("more", "u1")])
+_NO_ID = np.iinfo(np.int64).min
+
+
+def find_segments(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Records of all segments of the strings that end by their text's end; lo is a place in data.
 
     ends: for each place in data, where the text it lies in ends.
     """
     n, width = len(data), LENGTH - GRAM + 1
-    none = np.zeros(0, np.int64)
     if n < LENGTH:
-        return none.view(np.uint64), none.view(np.uint64), none, none, none, none, none
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    grams = mix((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1])
-    low, done = (grams & ~np.uint64(_LOW)) | np.arange(len(grams), dtype=np.uint64), 1
+        return np.zeros(0, RECORD)
+    down, sums = _powers(n + 1)[1], _sums(data)
+    low, done = (mix((sums[GRAM:] - sums[:-GRAM]) * down[: n - GRAM + 1]) & ~np.uint64(_LOW)) | np.arange(n - GRAM + 1, dtype=np.uint64), 1
     while done < width:
         step = min(done, width - done)
         low = np.minimum(low[:-step], low[step:])
@@ -78,32 +95,38 @@ def find_anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     new = np.ones(len(at), bool)
     new[1:] = (place[1:] != place[:-1]) | (at[1:] != at[:-1] + 1)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(at)) - 1
-    lo, hi, place = at[first], at[last], place[first]
-    whole = mix((sums[hi + LENGTH] - sums[lo]) * down[lo] ^ (hi - lo).astype(np.uint64) * np.uint64(0xD1342543DE82EF95) + (place - lo).astype(np.uint64))
-    left, right = np.zeros(len(lo), np.uint64), np.zeros(len(lo), np.uint64)
-    far = np.flatnonzero(lo <= place - HALF)
-    left[far] = mix((sums[place[far] + GRAM] - sums[place[far] - HALF]) * down[place[far] - HALF])
-    far = np.flatnonzero(hi >= place - HALF)
-    right[far] = mix((sums[place[far] + GRAM + HALF] - sums[place[far]]) * down[place[far]])
-    return grams[place], whole, lo, hi, place, (left >> np.uint64(32)).astype(np.uint32), (right >> np.uint64(32)).astype(np.uint32)
-
-
-#: One anchor's record: hash, segment hash, document (id, text hash), first start; from there on last start and
-#: place; hashes of the anchor's surroundings.
-RECORD = np.dtype([("anchor", "<u8"), ("segment", "<u8"), ("id", "<i8"), ("row", "<i8"), ("lo", "<i8"), ("hi", "<i4"), ("place", "<i4"), ("left", "<u4"), ("right", "<u4")])
-_NO_ID = np.iinfo(np.int64).min
+    lo, hi, place = at[first], at[np.append(first[1:], len(at)) - 1], place[first]
+    out = []
+    for side, own, a, b, from_ in ((1, lo <= place - HALF, lo, np.minimum(hi, place - HALF), place - HALF), (2, hi >= place - HALF, np.maximum(lo, place - HALF), hi, place)):
+        far = np.flatnonzero(own)
+        a, b, c, p = a[far], b[far], from_[far], place[far]
+        rows = np.zeros(len(far), RECORD)
+        rows["core"] = mix((sums[c + GRAM + HALF] - sums[c]) * down[c] ^ np.uint64(side))
+        rows["segment"] = mix((sums[b + LENGTH] - sums[a]) * down[a] ^ (b - a).astype(np.uint64) * np.uint64(_OTHER) + (p - a).astype(np.uint64))
+        rows["lo"], rows["more"] = a, b - a
+        out.append(rows)
+    return np.concatenate(out)
+
+
+def string_records(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Records of single strings: their two hashes stand for core and segment."""
+    out = np.zeros(len(starts), RECORD)
+    for name, base in (("core", _BASE), ("segment", _OTHER)):
+        sums = _sums(text, base)
+        out[name] = mix((sums[starts + LENGTH] - sums[starts]) * _powers(len(text) + 1, base)[1][starts])
+    out["lo"] = starts
+    return out
 
 
 def drop_copies(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(the earliest of each segment, the others), by anchor; equal records are one."""
-    order = np.lexsort((found["lo"], found["row"], found["id"], found["segment"], found["anchor"]))
+    """(the earliest of each segment, the others), by core; equal records are one."""
+    order = np.lexsort((found["lo"], found["row"], found["id"], found["segment"], found["core"]))
     found = found[order]
     same = np.zeros(len(found), bool)
-    same[1:] = np.logical_and.reduce([found[c][1:] == found[c][:-1] for c in ("anchor", "segment", "id", "row", "lo")])
+    same[1:] = np.logical_and.reduce([found[c][1:] == found[c][:-1] for c in ("core", "segment", "id", "row", "lo")])
     found = found[~same]
     again = np.zeros(len(found), bool)
-    again[1:] = (found["anchor"][1:] == found["anchor"][:-1]) & (found["segment"][1:] == found["segment"][:-1])
+    again[1:] = (found["core"][1:] == found["core"][:-1]) & (found["segment"][1:] == found["segment"][:-1])
     return found[~again], found[again]
 
 
@@ -137,78 +160,92 @@ def _cuts(found: np.ndarray) -> pa.RecordBatch:
     new = np.ones(len(found), bool)
     new[1:] = (found["id"][1:] != found["id"][:-1]) | (found["row"][1:] != found["row"][:-1])
     first = np.flatnonzero(new)
-    spans = _spans(found["lo"], found["lo"] + found["hi"])
+    lo = found["lo"].astype(np.int64)
+    spans = _spans(lo, lo + found["more"])
     data = [merge_spans(s).astype("<i8").tobytes() for s in np.split(spans, first[1:])] if len(found) else []
     bucket = (mix((found["id"][first] ^ found["row"][first]).view(np.uint64)) % np.uint64(1 << 30)).astype(np.int32)
     return _dealt(bucket, np.full(len(first), 1), found["id"][first], found["row"][first], data)
 
 
+def _packed(found: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """kind 0: each bucket's records, and kind 1: copies, which are to be removed already."""
+    first, again = drop_copies(found)
+    if len(again):
+        yield _cuts(again)
+    if len(first):
+        to = ((first["core"] >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        to = to[order]
+        cut = np.flatnonzero(np.diff(to)) + 1
+        parts = np.split(first[order], cut)
+        yield _dealt(to[np.concatenate([[0], cut])], [0] * len(parts), [None] * len(parts), [None] * len(parts), [p.tobytes() for p in parts])
+
+
+class _Held:
+    """Records gathered until there are enough to be packed."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.parts, self.n = buckets, [], 0
+
+    def add(self, found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(found)
+        self.n += len(found)
+        if self.n > 1 << 20:
+            yield from self.done()
+
+    def done(self) -> Iterator[pa.RecordBatch]:
+        if self.parts:
+            found, self.parts, self.n = np.concatenate(self.parts), [], 0
+            yield from _packed(found, self.buckets)
+
+
 def _collect(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Documents -> kind 0: a bucket's records; kind 1: what is to be removed already."""
-        held: list[np.ndarray] = []
-
-        def done():
-            first, again = drop_copies(np.concatenate(held))
-            held.clear()
-            if len(again):
-                yield _cuts(again)
-            to = (first["anchor"] >> np.uint64(32)) % np.uint64(buckets)
-            order = np.argsort(to, kind="stable")
-            to = to[order].astype(np.int64)
-            cut = np.flatnonzero(np.diff(to)) + 1
-            parts = np.split(first[order], cut)
-            if len(first):
-                yield _dealt(to[np.concatenate([[0], cut])], [0] * len(parts), [None] * len(parts), [None] * len(parts), [p.tobytes() for p in parts])
-
+        held = _Held(buckets)
         for batch in batches:
             offs, raw = buffers(batch.column(2))
             ids, rows = (batch.column(k).fill_null(_NO_ID).to_numpy(zero_copy_only=False) for k in (0, 1))
             for a, b in chunks(offs, PIECE):
                 own = offs[a : b + 1]
-                for at in range(int(own[0]), max(int(own[-1]), int(own[0]) + 1), 4 * PIECE):  # one piece, but for very long texts
-                    to = min(int(own[-1]), at + 4 * PIECE + LENGTH - 1)
+                for at in range(int(own[0]), max(int(own[-1]), int(own[0]) + 1), PIECE + (b - a > 1) * PIECE):  # one piece, but for long texts
+                    to = min(int(own[-1]), at + PIECE + (b - a > 1) * PIECE + LENGTH - 1)
                     data = raw[at:to]
                     text = np.searchsorted(own, np.arange(at, to), side="right") - 1 if b - a > 1 else np.zeros(to - at, np.int64)
-                    anchor, whole, lo, hi, place, left, right = find_anchors(data, np.minimum(own[1:], to)[text] - at)
-                    out = np.zeros(len(lo), RECORD)
-                    doc = text[lo]
-                    start = own[:-1][doc] - at
-                    for name, x in (("anchor", anchor), ("segment", whole), ("id", ids[a + doc]), ("row", rows[a + doc]), ("lo", lo - start), ("hi", hi - lo), ("place", place - lo), ("left", left), ("right", right)):
-                        out[name] = x
-                    held.append(out)
-            if sum(map(len, held)) > 1 << 20:
-                yield from done()
-        if held:
-            yield from done()
+                    out = find_segments(data, np.minimum(own[1:], to)[text] - at)
+                    doc = text[out["lo"]]
+                    out["id"], out["row"] = ids[a + doc], rows[a + doc]
+                    out["lo"] += (at - own[:-1][doc]).astype(np.int64).astype(np.uint32)  # modulo 2**32, as places in a text are below it
+                    if len(out) > 1 << 18:  # a long text that repeats itself has a segment for every byte
+                        first, again = drop_copies(out)
+                        if len(again):
+                            yield _cuts(again)
+                        out = first
+                    yield from held.add(out)
+        yield from held.done()
 
     return run
 
 
-def _shared(found: np.ndarray, side: str) -> np.ndarray:
-    """Whether another segment of the anchor has the same surroundings on a side."""
-    key = mix(found["anchor"] ^ found[side].astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-    _, back, count = np.unique(key, return_inverse=True, return_counts=True)
-    return (count[back] > 1) & (found[side] != 0)
-
-
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket -> kind 1: removed; kind 2: records, one document's, whose anchors have several segments."""
+    """Rows sorted by bucket -> kind 1: removed; one document's records whose cores have several segments: kind 2, or
+    kind 3 where there are more than CROWD."""
     now, held = None, []
 
     def done():
         found = np.concatenate([np.frombuffer(x, RECORD) for x in held])
         held.clear()
-        _, back, count = np.unique(found["anchor"], return_inverse=True, return_counts=True)
-        first, again = drop_copies(found[count[back] > 1])
+        first, again = drop_copies(found)
         if len(again):
             yield _cuts(again)
-        first = first[_shared(first, "left") | _shared(first, "right")]
-        if len(first):
-            first = first[np.lexsort((first["lo"], first["row"], first["id"]))]
-            cut = np.flatnonzero((np.diff(first["id"]) != 0) | (np.diff(first["row"]) != 0)) + 1
-            parts = np.split(first, cut)
-            yield _dealt([now] * len(parts), [2] * len(parts), [p["id"][0] for p in parts], [p["row"][0] for p in parts], [p.tobytes() for p in parts])
+        _, back, count = np.unique(first["core"], return_inverse=True, return_counts=True)
+        for kind, some in ((2, (count > 1) & (count <= CROWD)), (3, count > CROWD)):
+            own = first[some[back]]
+            if len(own):
+                own = own[np.lexsort((own["lo"], own["row"], own["id"]))]
+                cut = np.flatnonzero((np.diff(own["id"]) != 0) | (np.diff(own["row"]) != 0)) + 1
+                parts = np.split(own, cut)
+                yield _dealt([now] * len(parts), [kind] * len(parts), [p["id"][0] for p in parts], [p["row"][0] for p in parts], [p.tobytes() for p in parts])
 
     for batch in batches:
         kind, bucket = batch.column(1).to_numpy(), batch.column(0).to_numpy()
@@ -241,12 +278,10 @@ class Shards:
     def __init__(self, segments: list[bytes], shard_bytes: int = SHARD):
         sizes = np.fromiter(map(len, segments), np.int64, len(segments))
         self.start = np.concatenate([[0], np.cumsum(sizes)])
-        data, n = np.frombuffer(b"".join(segments), np.uint8), int(self.start[-1])
+        self.data, n = np.frombuffer(b"".join(segments), np.uint8), int(self.start[-1])
         self.segment = np.repeat(np.arange(len(segments)), sizes)
         self.ends = self.start[1:][self.segment]
-        up, down = _powers(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+        down, sums = _powers(n + 1)[1], _sums(self.data)
         at = np.arange(n)
         whole = at + STEP <= self.ends
         to = np.minimum(at + STEP, n)
@@ -299,25 +334,77 @@ class Shards:
         place = np.empty(n, np.int64)
         place[_stable(interleave)] = np.arange(n)
         again = np.bincount(block, minlength=n)[block] > 1
-        return order[place][again], block[again]
-
+        return self._verified(order[place][again], block[again])
+
+    def _verified(self, place: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Blocks (places side by side) by their bytes, for hashes alone never remove any."""
+        if not len(block):
+            return place, block
+        new = np.concatenate([[True], block[1:] != block[:-1]])
+        head = place[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        strings = np.lib.stride_tricks.sliding_window_view(self.data, LENGTH)
+        same = np.ones(len(place), bool)
+        for at in range(0, len(place), 1 << 16):
+            to = at + (1 << 16)
+            same[at:to] = (strings[place[at:to]] == strings[head[at:to]]).all(axis=1)
+        if same.all():
+            return place, block
+        parts: dict[tuple, int] = {}
+        name = [parts.setdefault((b, strings[p].tobytes()), len(parts)) for p, b in zip(place.tolist(), block.tolist())]
+        return place, np.array(name, np.int64)
+
+
+def _segments(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents with their records -> kind 2: a segment, its bytes after its first start; kinds 0 and 1: strings of crowded cores."""
+        held = _Held(buckets)
+        for batch in batches:
+            texts = byte_rows(batch.column(2))
+            for text, ids, rows, parts in zip(texts, batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()):
+                own = _NO_ID if ids is None else ids
+                crowded = []
+                for part in parts:
+                    found = np.frombuffer(part["data"], RECORD)
+                    if part["kind"] == 3:
+                        crowded.append(found)
+                        continue
+                    data = [struct.pack("<q", lo) + text[lo : lo + more + LENGTH] for lo, more in zip(found["lo"].tolist(), found["more"].tolist())]
+                    yield _dealt([part["bucket"]] * len(data), [2] * len(data), [own] * len(data), [rows] * len(data), data)
+                if crowded:
+                    found = np.concatenate(crowded)
+                    n = found["more"].astype(np.int64) + 1
+                    starts = np.unique(np.repeat(found["lo"].astype(np.int64) - np.cumsum(n) + n, n) + np.arange(n.sum()))
+                    for at in range(0, len(starts), 1 << 18):
+                        some = starts[at : at + (1 << 18)]
+                        a, b = int(some[0]), int(some[-1]) + LENGTH
+                        if b - a > 16 * PIECE:  # far apart in a very long text: piece by piece
+                            cut = np.flatnonzero(np.diff(some // PIECE)) + 1
+                            groups = np.split(some, cut)
+                        else:
+                            groups = [some]
+                        for g in groups:
+                            a, b = int(g[0]), int(g[-1]) + LENGTH
+                            out = string_records(np.frombuffer(text, np.uint8, b - a, a), g - a)
+                            out["lo"] += np.uint32(a)
+                            out["id"], out["row"] = own, rows
+                            yield from held.add(out)
+        yield from held.done()
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their records -> a row for each segment, with its bytes in front of its record."""
-    for batch in batches:
-        texts = byte_rows(batch.column(2))
-        for text, ids, rows, parts in zip(texts, batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()):
-            for part in parts:
-                found = np.frombuffer(part["data"], RECORD)
-                data = [struct.pack("<q", lo) + text[lo : lo + hi + LENGTH] for lo, hi in zip(found["lo"].tolist(), found["hi"].tolist())]
-                yield _dealt([part["bucket"]] * len(data), [2] * len(data), [_NO_ID if ids is None else ids] * len(data), [rows] * len(data), data)
+    return run
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket -> kind 1: strings that start earlier, too."""
-    now, held = None, []
+    now, held, strings = None, [], []
 
     def done():
+        if strings:
+            _, again = drop_copies(np.concatenate([np.frombuffer(x, RECORD) for x in strings]))
+            strings.clear()
+            if len(again):
+                yield _cuts(again)
+        if not held:
+            return
         ids, rows, data = (list(x) for x in zip(*held))
         held.clear()
         own = Shards([x[8:] for x in data])
@@ -328,20 +415,35 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found["id"], found["row"], found["lo"] = np.array(ids, np.int64)[of], np.array(rows, np.int64)[of], lo[of] + place - own.start[:-1][of]
         order = np.lexsort((found["lo"], found["row"], found["id"], block))
         found, block = found[order], block[order]
-        again = np.zeros(len(found), bool)
-        again[1:] = block[1:] == block[:-1]
+        # a place may lie in two segments: a block's first one does not repeat itself
+        again = _after_first(found, block)
         if again.any():
             yield _cuts(found[again])
 
     for batch in batches:
-        bucket = batch.column(0).to_pylist()
-        for b, i, r, x in zip(bucket, batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-            if held and b != now:
+        ready = np.flatnonzero(batch.column(1).to_numpy() == 1)
+        if len(ready):
+            yield batch.take(pa.array(ready))
+        for b, k, i, r, x in zip(*(batch.column(c).to_pylist() for c in range(5))):
+            if k == 1:
+                continue
+            if (held or strings) and b != now:
                 yield from done()
             now = b
-            held.append((i, r, x))
-    if held:
-        yield from done()
+            if k == 0:
+                strings.append(x)
+            else:
+                held.append((i, r, x))
+    yield from done()
+
+
+def _after_first(found: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Which rows, in the order of blocks, are at another place than their block's first."""
+    if not len(block):
+        return np.zeros(0, bool)
+    new = np.concatenate([[True], block[1:] != block[:-1]])
+    head = found[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return np.logical_or.reduce([found[c] != head[c] for c in ("id", "row", "lo")])
 
 
 def _remove(names: list[str], text_at: int):
@@ -363,21 +465,27 @@ def _remove(names: list[str], text_at: int):
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """id, the columns in keep, tw_bytes, tw_removed, tw_spans (maximal removed runs) and tw_kept (what is left, binary)."""
     spark = docs.sparkSession
-    rest = [c for c in keep if c not in (id_col, text_col)]
-    clash = docs.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").select("n")
-    row = F.xxhash64(text_col) if not clash.isEmpty() else F.lit(0).cast("long")
-    wide = docs.select(F.col(id_col).cast("long").alias("tw_id"), row.alias("tw_row"), F.col(text_col).alias("tw_text"), F.col(id_col), *rest)
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError("ids are whole numbers")
+    results = [T.StructField("tw_bytes", T.LongType()), T.StructField("tw_removed", T.LongType()), T.StructField("tw_spans", T.LongType()), T.StructField("tw_kept", T.BinaryType())]
+    own = [id_col, *no_clash(keep, (id_col, text_col), tuple(f.name for f in results))]
+    number = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
+    clash = docs.groupBy(number.alias("number")).agg(F.count("*").alias("n")).where("n > 1").select("n")
+    several_ids = not clash.isEmpty()
+    row = F.xxhash64(text_col) if several_ids else F.lit(0).cast("long")
+    wide = docs.select(number.alias("number"), row.alias("own_row"), F.col(text_col).alias("own_text"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(own)))
     size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     parts = tasks(spark)
     buckets = max(2 * parts, -(-size // BUCKET))
-    found = wide.select("tw_id", "tw_row", "tw_text").mapInArrow(_collect(buckets), _DEALT)
+    found = wide.select("number", "own_row", "own_text").mapInArrow(_collect(buckets), _DEALT)
     first = written(found.repartition(max(parts, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(_resolve, _DEALT), "repeats")
-    same = lambda a, b: F.coalesce(a["tw_id"], F.lit(_NO_ID)).eqNullSafe(b["id"]) & (a["tw_row"] == b["row"])
-    several = first.where("kind = 2").groupBy("id", "row").agg(F.collect_list(F.struct("bucket", "data")).alias("tw_parts"))
-    texts = wide.join(several, same(wide, several)).dropDuplicates(["tw_id", "tw_row"]) if not clash.isEmpty() else wide.join(several, same(wide, several))
-    segments = texts.select("tw_id", "tw_row", "tw_text", "tw_parts").mapInArrow(_segments, _DEALT)
+    same = lambda a, b: (a["number"] == b["id"]) & (a["own_row"] == b["row"])
+    several = first.where("kind >= 2").groupBy("id", "row").agg(F.collect_list(F.struct("kind", "bucket", "data")).alias("parts"))
+    texts = wide.join(several, same(wide, several))
+    texts = texts.dropDuplicates(["number", "own_row"]) if several_ids else texts
+    segments = texts.select("number", "own_row", "own_text", "parts").mapInArrow(_segments(buckets), _DEALT)
     merged = written(segments.repartition(max(parts, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(_merge, _DEALT), "merged")
-    cuts = first.where("kind = 1").unionByName(merged).groupBy("id", "row").agg(F.collect_list("data").alias("tw_cuts"))
-    joined = wide.join(cuts, same(wide, cuts), "left").select(id_col, *rest, "tw_text", "tw_cuts")
-    schema = T.StructType([docs.schema[id_col], *(docs.schema[c] for c in rest), T.StructField("tw_bytes", T.LongType()), T.StructField("tw_removed", T.LongType()), T.StructField("tw_spans", T.LongType()), T.StructField("tw_kept", T.BinaryType())])
-    return joined.mapInArrow(_remove(schema.names, 1 + len(rest)), schema)
+    cuts = first.where("kind = 1").unionByName(merged).groupBy("id", "row").agg(F.collect_list("data").alias("cuts"))
+    joined = wide.join(cuts, same(wide, cuts), "left").select(*(f"c{i}" for i in range(len(own))), "own_text", "cuts")
+    schema = T.StructType([*docs.select(*own).schema.fields, *results])
+    return joined.mapInArrow(_remove(schema.names, len(own)), schema)
