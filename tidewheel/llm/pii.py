@@ -208,9 +208,9 @@ def value_in(m: Column) -> Column:
     ends = F.filter(F.sequence(F.lit(1), F.length(m)), lambda i: at(i).rlike("[0-9A-Z)]") & ~at(i + 1).rlike("[0-9A-Z)]"))
     parts = F.reverse(F.transform(ends, lambda i: F.left(m, i)))
     first = lambda known, parts, right: F.get(F.filter(F.concat(F.filter(parts, known), parts), right), F.lit(0))
-    # cards: an issuer's usual length; a part of a run is one only if it begins as cards do
+    # cards: an issuer's usual length; a part of a run is one only if it has that or begins as cards do
     usual = F.when(m.rlike("^3[47]"), 15).when(m.rlike("^3[0689]"), 14).otherwise(16)
-    card = first(lambda x: size(x) == usual, F.filter(parts, lambda x: size(x).between(13, 19) & ((x == m) | m.rlike("^[2-6]"))), _is_card)
+    card = first(lambda x: size(x) == usual, F.filter(parts, lambda x: size(x).between(13, 19) & ((x == m) | (size(x) == usual) | m.rlike("^[2-6]"))), _is_card)
     lengths = F.create_map(*(F.lit(x) for n, names in IBAN_LENGTHS.items() for c in names.split() for x in (c, n)))
     iban = first(lambda x: size(x) == F.try_element_at(lengths, F.left(m, F.lit(2))), F.filter(parts, lambda x: size(x).between(15, 34)), _is_iban)
     into = lambda x: x.rlike(INTO_DATE) | (x.rlike(r"[ .-](?:19|20)\d{2}$") & F.substr(m, F.length(x) + 1).rlike(r"^-\d{2}"))
