@@ -16,14 +16,20 @@ from tidewheel.operators.numbering import numbered
 LISTED, VOCABULARY = 20_000, 500_000
 
 
-def annotate(docs: DataFrame, vocabulary: DataFrame, key: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def words_listed(vocabulary: DataFrame) -> list[str]:
+    """The vocabulary's words, LISTED and one more at most."""
+    return [r[0] for r in vocabulary.select("word").limit(LISTED + 1).collect()]
+
+
+def annotate(docs: DataFrame, vocabulary: DataFrame, key: str, text: str, keep: tuple[str, ...] = (), known: list[str] | None = None) -> DataFrame:
     """key, keep, position (of the first word, from 0), cui, pretty_name and what else the vocabulary says of each match.
 
     vocabulary: word (one, or several with a space between), cui, pretty_name, ... Words of a text are lower-case runs of
     a to z. One pass over the documents and an equi-join on the first word. The vocabulary is looked at first (a small
-    job): where it is small, words that begin no concept are left out before they become rows, and it is broadcast.
+    job, unless known has its words_listed): where it is small, words that begin no concept are left out before they
+    become rows, and it is broadcast.
     """
-    known = [r[0] for r in vocabulary.select("word").limit(LISTED + 1).collect()]
+    known = words_listed(vocabulary) if known is None else known
     listed = len(known) <= LISTED
     if listed:
         small, longest = True, max((w.count(" ") + 1 for w in known), default=1)
