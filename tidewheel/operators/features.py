@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -186,13 +186,20 @@ def appointments(events: DataFrame, columns: dict[str, str]) -> DataFrame:
     return events.where("attended").select(*KEYS, pairs.alias("f")).where("f.feature is not null").groupBy(*KEYS, F.col("f.feature").alias("feature")).agg(F.count("*").cast("double").alias("value"))
 
 
-def demographics(records: DataFrame, sliced: Callable[[DataFrame], DataFrame], group: Callable[[Column], Column], groups: tuple[str, ...]) -> DataFrame:
-    """Fills each client's fields forward in time, puts the records in slices, and takes the latest of each slice:
-    male (1, 0), age at the record, dead (0 when unknown), and a one-hot of the census group."""
-    fields = ["gender", "racecode", "born", "died"]
-    past = Window.partitionBy("client_id").orderBy("ts", "record_id").rowsBetween(Window.unboundedPreceding, 0)
-    filled = records.select("client_id", "ts", "record_id", *(F.last(c, ignorenulls=True).over(past).alias(c) for c in fields))
-    latest = sliced(filled).groupBy(*KEYS).agg(F.max_by(F.struct("ts", *fields), F.struct("ts", "record_id")).alias("r")).select(*KEYS, "r.*")
+def demographics(records: DataFrame, sliced: Callable[[DataFrame], DataFrame], group: Callable[[Column], Column], groups: tuple[str, ...], start: date) -> DataFrame:
+    """Fills each client's fields forward in time and takes the latest record of each slice: male (1, 0), age at the
+    record, dead (0 when unknown), and a one-hot of the census group. start: of the first slice.
+
+    A field's last value is taken by slice, and by client for all that lies before the first; only these are then put in
+    order and filled forward, not the records.
+    """
+    fields, order = ["gender", "racecode", "born", "died"], F.struct("ts", "record_id")
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in fields]
+    before = records.where(F.col("ts") < F.lit(start).cast("timestamp_ntz")).groupBy("client_id").agg(*last).withColumns({"slice_start": F.lit(None).cast("date"), "ts": F.lit(None).cast("timestamp_ntz")})
+    inside = sliced(records.select("client_id", "ts", "record_id", *fields)).groupBy(*KEYS).agg(*last, F.max("ts").alias("ts"))
+    past = Window.partitionBy("client_id").orderBy(F.col("slice_start").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    filled = inside.unionByName(before).select(*KEYS, "ts", *(F.last(c, ignorenulls=True).over(past).alias(c) for c in fields))
+    latest = filled.where("slice_start is not null")
     sex = F.lower("gender")
     out = {"male": F.when(sex == "male", 1).when(sex == "female", 0), "age": age_at(F.col("born"), F.col("ts")), "dead": F.col("died").isNotNull().cast("int")}
     out |= {f"census_{g}": F.when(F.col("racecode").isNotNull(), (group(F.col("racecode")) == g).cast("int")) for g in groups}

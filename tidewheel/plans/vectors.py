@@ -208,7 +208,7 @@ FROM (SELECT client_id, ts, record_id, {_FILL} FROM {table}) {where}) WHERE r =
 
 @query(with_tables("demo halves", f"SELECT {_KEYS}, feature, round(value, 6) AS value FROM ({_demo_part('demo', _IN_HALVES)})"))
 def feat_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(X.demographics(Tables(spark, sf_dir).demographics(), lambda r: events_in_slices(r, HALF_YEARS), X.census_group, tuple(X.CENSUS)))
+    return shown(X.demographics(Tables(spark, sf_dir).demographics(), lambda r: events_in_slices(r, HALF_YEARS), X.census_group, tuple(X.CENSUS), HALF_YEARS.starts()[0]))
 
 
 @query(f"SELECT n_name || ' ' || c_mktsegment AS entry, {_census_sql("n_name || ' ' || c_mktsegment")} AS census, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
