@@ -159,6 +159,16 @@ def test_id_clusters_group_letters(spark):
     assert {p: len({r["cluster"] for r in out if r["prefix"] == p}) for p in "ABC"} == {"A": 1, "B": 1, "C": 1} and len({r["cluster"] for r in out}) == 3
 
 
+def test_census_words_from_a_table(spark):
+    words = spark.createDataFrame([("black_african_caribbean_or_black_british", "Nigerian"), ("white", "Polish"), ("white", None)], "census string, word string")
+    more = X.census_words(words)
+    said = spark.createDataFrame([("Nigerian",), ("polish",), ("Any other",)], "t string")
+    assert [r[0] for r in said.select(X.census_group(F.col("t"), more)).collect()] == ["black_african_caribbean_or_black_british", "white", "other_ethnic_group"]
+    assert said.select(X.census_group(F.col("t"))).first()[0] == "other_ethnic_group"
+    with pytest.raises(ValueError, match="groups"):
+        X.census_words(words.withColumn("census", F.lit("none")))
+
+
 def test_too_many_names_are_refused(spark, monkeypatch):
     monkeypatch.setattr(N, "MOST_NAMES", 3)
     with pytest.raises(ValueError, match="names"):

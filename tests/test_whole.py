@@ -1,4 +1,4 @@
-"""Queries whose registered SQL takes a part of the table have whole ones beside them; these take every document and client."""
+"""Queries take every document and client (the names with _whole are second names of the same queries)."""
 
 import pytest
 from pyspark.sql import functions as F

@@ -218,6 +218,20 @@ CENSUS = {
 LAST = (("other", "other_ethnic_group"), ("black", "black_african_caribbean_or_black_british"), ("white", "white"), ("asian", "asian_or_asian_british"), ("mix", "mixed_or_multiple_ethnic_groups"))
 
 
+#: Words that a table may add to the census groups.
+MOST_WORDS = 10_000
+
+
+def census_words(rows: DataFrame) -> dict[str, tuple[str, ...]]:
+    """What census_group takes as more, from a table of census and word (countries and nationalities, say)."""
+    own = rows.select("census", F.lower("word").alias("word")).na.drop().distinct().limit(MOST_WORDS + 1).collect()
+    if len(own) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} words")
+    if unknown := {r["census"] for r in own} - set(CENSUS):
+        raise ValueError(f"no such groups: {sorted(unknown)}")
+    return {g: tuple(sorted(r["word"] for r in own if r["census"] == g)) for g in CENSUS}
+
+
 def census_group(text: Column, more: dict[str, tuple[str, ...]] | None = None) -> Column:
     """Free text to one of five groups. An entry equal to a word of another group is left out of a group; more adds
     words to groups (countries and nationalities, say). Null and unmatched text is other_ethnic_group."""
