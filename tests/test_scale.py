@@ -76,9 +76,9 @@ def test_csv_headers_in_one_job(spark, tmp_path):
     assert got == [(i, "x, y" if i % 2 else "") for i in range(12)]
 
 
-@pytest.mark.parametrize("listed", [20_000, 0])
-def test_concepts_of_several_words(spark, monkeypatch, listed):
-    monkeypatch.setattr(A, "LISTED", listed)
+@pytest.mark.parametrize("most", [500_000, 0])
+def test_concepts_of_several_words(spark, monkeypatch, most):
+    monkeypatch.setattr(A, "VOCABULARY", most)
     vocabulary = spark.createDataFrame([("heart", 1), ("heart failure", 2), ("failure of growth", 3), ("growth", 4)], "word string, cui long")
     docs = spark.createDataFrame([(1, "Heart failure, of growth"), (2, "no heart; failure"), (3, None), (4, "heartfailure")], "id long, text string")
     got = sorted((r["id"], r["position"], r["cui"]) for r in A.annotate(docs, vocabulary, "id", "text").collect())

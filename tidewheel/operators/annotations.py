@@ -12,48 +12,38 @@ from pyspark.sql import types as T
 from tidewheel.functions.times import ntz, parsed, plus
 from tidewheel.operators.numbering import numbered
 
-#: Rows of a vocabulary up to which its words are listed in the plan, and up to which it is broadcast.
-LISTED, VOCABULARY = 20_000, 500_000
+#: Rows of a vocabulary up to which it is broadcast.
+VOCABULARY = 500_000
 
 
-def words_listed(vocabulary: DataFrame) -> list[str]:
-    """The vocabulary's words, LISTED and one more at most."""
-    return [r[0] for r in vocabulary.select("word").limit(LISTED + 1).collect()]
+def size_of(vocabulary: DataFrame) -> tuple[int, int]:
+    """Rows of a vocabulary, and words in its longest concept."""
+    n, longest = vocabulary.agg(F.count("*"), F.max(F.size(F.split("word", " ")))).first()
+    return n, longest or 1
 
 
-def annotate(docs: DataFrame, vocabulary: DataFrame, key: str, text: str, keep: tuple[str, ...] = (), known: list[str] | None = None) -> DataFrame:
+def annotate(docs: DataFrame, vocabulary: DataFrame, key: str, text: str, keep: tuple[str, ...] = (), size: tuple[int, int] | None = None) -> DataFrame:
     """key, keep, position (of the first word, from 0), cui, pretty_name and what else the vocabulary says of each match.
 
     vocabulary: word (one, or several with a space between), cui, pretty_name, ... Words of a text are lower-case runs of
-    a to z. One pass over the documents and an equi-join on the first word. The vocabulary is looked at first (a small
-    job, unless known has its words_listed): where it is small, words that begin no concept are left out before they
-    become rows, and it is broadcast.
+    a to z. One pass over the documents and an equi-join on the first word; with a vocabulary known to be small (a small
+    job, unless size has its size_of) it is broadcast, and words become rows and meet it in one generated loop.
     """
-    known = words_listed(vocabulary) if known is None else known
-    listed = len(known) <= LISTED
-    if listed:
-        small, longest = True, max((w.count(" ") + 1 for w in known), default=1)
-    else:
-        n, longest = vocabulary.agg(F.count("*"), F.max(F.size(F.split("word", " ")))).first()
-        small = n <= VOCABULARY
-    heads = sorted({w.split(" ")[0] for w in known}) if listed else []
-
-    def near(words: Column) -> Column:
-        """The words that may begin a concept, with their places and what follows."""
-        ahead = lambda w, i: F.array_join(F.slice(words, i + 1, longest), " ") if longest > 1 else w
-        all_ = F.transform(words, lambda w, i: F.struct(i.alias("position"), w.alias("head"), ahead(w, i).alias("ahead")))
-        return F.filter(all_, lambda x: x["head"].isin(heads)) if listed else all_
-
+    n, longest = size_of(vocabulary) if size is None else size
     words = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
-    # within an array of one, so that the words are found once and not for each use
-    found = docs.select(key, *keep, F.explode(F.transform(F.array(words), near)[0]).alias("tw_w")).select(key, *keep, "tw_w.*")
     if longest == 1:
-        found, joined = found.select(key, *keep, "position", F.col("head").alias("word")), "word"
-        return found.join(F.broadcast(vocabulary) if small else vocabulary, joined)
-    heads_of = vocabulary.withColumn("head", F.split("word", " ")[0])
-    met = found.join(F.broadcast(heads_of) if small else heads_of, "head")
-    whole = F.concat("ahead", F.lit(" ")).startswith(F.concat("word", F.lit(" ")))
-    return met.where(whole).drop("head", "ahead")
+        found = docs.select(key, *keep, F.posexplode(words).alias("position", "word"))
+        return found.join(F.broadcast(vocabulary) if n <= VOCABULARY else vocabulary, "word")
+
+    def phrases(own: Column) -> Column:
+        """Each word with its place and what follows."""
+        return F.transform(own, lambda w, i: F.struct(i.alias("position"), w.alias("head"), F.array_join(F.slice(own, i + 1, longest), " ").alias("ahead")))
+
+    # within an array of one, so that the words are found once and not for each use
+    found = docs.select(key, *keep, F.explode(F.transform(F.array(words), phrases)[0]).alias("tw_w")).select(key, *keep, "tw_w.*")
+    heads = vocabulary.withColumn("head", F.split("word", " ")[0])
+    met = found.join(F.broadcast(heads) if n <= VOCABULARY else heads, "head")
+    return met.where(F.concat("ahead", F.lit(" ")).startswith(F.concat("word", F.lit(" ")))).drop("head", "ahead")
 
 
 def annotate_with_model(docs: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:

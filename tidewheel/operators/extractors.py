@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.operators import features as X
@@ -82,7 +82,7 @@ def _orders(events: DataFrame, parts: list, spec: RunSpec) -> DataFrame:
 
 
 def _demographics(records: DataFrame, parts: list, spec: RunSpec) -> DataFrame:
-    return X.demographics(records, lambda r: events_in_slices(r, spec), X.census_group, tuple(X.CENSUS), spec.starts()[0])
+    return X.demographics(records, lambda r: events_in_slices(r, spec), X.census_group, tuple(X.CENSUS))
 
 
 JOINT: dict[str, Callable[[DataFrame, list, RunSpec], DataFrame]] = {
@@ -96,23 +96,19 @@ JOINT: dict[str, Callable[[DataFrame, list, RunSpec], DataFrame]] = {
 }
 
 
-def _is(item: str) -> Column:
-    return F.col("item") == item
-
-
 EXTRACTORS: dict[str, Extractor] = {
     "demo": Extractor("demographics", "demographics"),
     "bmi": Extractor("observations", "by_slice", lambda: X.body_part(BODY_ITEMS)),
     "bloods": Extractor("basic", "bloods"),
     "drugs": Extractor("orders", "orders", lambda: ("medication", "drug")),
     "diagnostics": Extractor("orders", "orders", lambda: ("diagnostic", "diagnostic")),
-    "core_02": Extractor("observations", "by_slice", lambda: X.presence_part("core_02_", _is(SATURATION), clean=True)),
-    "bed": Extractor("observations", "by_slice", lambda: X.presence_part("bed_", _is(BED))),
+    "core_02": Extractor("observations", "by_slice", lambda: X.presence_part("core_02_", SATURATION, clean=True)),
+    "bed": Extractor("observations", "by_slice", lambda: X.presence_part("bed_", BED)),
     "vte_status": Extractor("observations", "scores", lambda: ({VTE: "vte_status"}, {}, {VTE: VTE_VALUES})),
-    "hosp_site": Extractor("observations", "by_slice", lambda: X.flags_part(SITE_TEXTS, False, _is(SITE))),
-    "core_resus": Extractor("observations", "by_slice", lambda: X.counts_part(RESUS_TEXTS, _is(RESUS))),
+    "hosp_site": Extractor("observations", "by_slice", lambda: X.flags_part(SITE_TEXTS, False, SITE)),
+    "core_resus": Extractor("observations", "by_slice", lambda: X.counts_part(RESUS_TEXTS, RESUS)),
     "news": Extractor("observations", "scores", lambda: (SCORES, SCORE_LIMITS, {})),
-    "smoking": Extractor("observations", "by_slice", lambda: X.flags_part(SMOKING_TEXTS, False, _is(SMOKING))),
+    "smoking": Extractor("observations", "by_slice", lambda: X.flags_part(SMOKING_TEXTS, False, SMOKING)),
     "covid": Extractor("basic", "by_slice", lambda: X.positive_part("covid_positive")),
     "appointments": Extractor("appointments", "appointments", lambda: {"consultant": "ConsultantCode_", "clinic": "ClinicCode_", "kind": "AppointmentType_"}),
     "annotations": Extractor("epr", "concepts"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,10 +84,12 @@ BODY = {"bmi": (6, 200), "height": (30, 300), "weight": (1, 800)}
 
 @dataclass(frozen=True)
 class BySlice:
-    """What an extractor reads off a slice: its aggregates by name, and an array of its (feature, value) made from them."""
+    """What an extractor reads off a slice: its aggregates by name, and an array of its (feature, value) made from them;
+    the items that it looks at, if not at all."""
 
     aggregates: dict[str, Column]
     features: Column
+    items: tuple[str, ...] | None = None
 
 
 def _array(pairs: dict[str, Column]) -> Column:
@@ -96,6 +98,8 @@ def _array(pairs: dict[str, Column]) -> Column:
 
 def by_slice(events: DataFrame, parts: list[BySlice]) -> DataFrame:
     """All parts in one aggregation by client and slice."""
+    if all(p.items for p in parts):
+        events = events.where(F.col("item").isin([i for p in parts for i in p.items]))
     g = events.groupBy(*KEYS).agg(*(c.alias(n) for p in parts for n, c in p.aggregates.items()))
     return g.select(*KEYS, F.explode(F.concat(*(p.features for p in parts))).alias("f")).select(*KEYS, "f.feature", "f.value").where("value is not null")
 
@@ -109,13 +113,13 @@ def body_part(items: dict[str, str], require_bmi: bool = True) -> BySlice:
     out = {f"bmi_{s}": F.col(f"bmi_{s}") for s in ("mean", "median", "std", "max", "min")}
     out |= {"bmi_high": (F.col("bmi_median") > 24.9).cast("int"), "bmi_low": (F.col("bmi_median") < 18.5).cast("int"), "bmi_extreme": (F.col("bmi_median") > 30).cast("int")}
     out |= {f"{k}_{s}": F.when(has, F.col(f"{k}_{s}")) for k, ss in (("height", ("mean", "median", "std")), ("weight", ("mean", "median", "std", "max", "min"))) for s in ss}
-    return BySlice(aggs, _array(out))
+    return BySlice(aggs, _array(out), tuple(items.values()))
 
 
 def body(events: DataFrame, items: dict[str, str], require_bmi: bool = True) -> DataFrame:
     """items: the item of bmi, height and weight. mean, median, std of each within its range; max and min of bmi and
     weight; high, low and extreme from the median bmi. Height and weight need a bmi in the slice, unless not required."""
-    return by_slice(events.where(F.col("item").isin(list(items.values()))), [body_part(items, require_bmi)])
+    return by_slice(events, [body_part(items, require_bmi)])
 
 
 def scores(events: DataFrame, names: dict[str, str], limits: dict[str, tuple[float, float]] | None = None) -> DataFrame:
@@ -135,10 +139,14 @@ def mapped_status(events: DataFrame, values: dict[str, float], name: str) -> Dat
     return scores(events.withColumn("value", mapped).withColumn("item", F.lit(name)), {name: name})
 
 
-def flags_part(parts: dict[str, str], ignore_case: bool = True, where: Column | None = None) -> BySlice:
+def _of(item: str | None, value: Column) -> Column:
+    return value if item is None else F.when(F.col("item") == item, value)
+
+
+def flags_part(parts: dict[str, str], ignore_case: bool = True, item: str | None = None) -> BySlice:
     text = F.lower("text") if ignore_case else F.col("text")
     held = {f: F.coalesce(text.contains(p.lower() if ignore_case else p), F.lit(False)).cast("int") for f, p in parts.items()}
-    return BySlice({f"flag {f}": F.max(c if where is None else F.when(where, c)) for f, c in held.items()}, _array({f: F.col(f"flag {f}") for f in parts}))
+    return BySlice({f"flag {f}": F.max(_of(item, c)) for f, c in held.items()}, _array({f: F.col(f"flag {f}") for f in parts}), item and (item,))
 
 
 def flags(events: DataFrame, parts: dict[str, str], ignore_case: bool = True) -> DataFrame:
@@ -146,11 +154,11 @@ def flags(events: DataFrame, parts: dict[str, str], ignore_case: bool = True) ->
     return by_slice(events, [flags_part(parts, ignore_case)])
 
 
-def counts_part(values: dict[str, str], where: Column | None = None) -> BySlice:
-    """No rows for slices without any event that where holds for."""
-    own = F.lit(True) if where is None else where
+def counts_part(values: dict[str, str], item: str | None = None) -> BySlice:
+    """No rows for slices without any event of the item."""
+    own = F.lit(True) if item is None else F.col("item") == item
     counts = {f"count {f}": F.when(F.count_if(own) > 0, F.count_if(own & (F.col("text") == v))) for f, v in values.items()}
-    return BySlice(counts, _array({f: F.col(f"count {f}") for f in values}))
+    return BySlice(counts, _array({f: F.col(f"count {f}") for f in values}), item and (item,))
 
 
 def value_counts(events: DataFrame, values: dict[str, str]) -> DataFrame:
@@ -158,10 +166,10 @@ def value_counts(events: DataFrame, values: dict[str, str]) -> DataFrame:
     return by_slice(events, [counts_part(values)])
 
 
-def presence_part(prefix: str, where: Column | None = None, clean: bool = False) -> BySlice:
+def presence_part(prefix: str, item: str | None = None, clean: bool = False) -> BySlice:
     text = F.replace(F.replace(F.col("text"), F.lit("-"), F.lit("_")), F.lit("%"), F.lit("pct")) if clean else F.col("text")
     met = F.transform(F.col(f"set {prefix}"), lambda t: F.struct(F.concat(F.lit(prefix), t).alias("feature"), F.lit(1.0).alias("value")))
-    return BySlice({f"set {prefix}": F.collect_set(text if where is None else F.when(where, text))}, met)
+    return BySlice({f"set {prefix}": F.collect_set(_of(item, text))}, met, item and (item,))
 
 
 def presence(events: DataFrame, prefix: str, clean: bool = False) -> DataFrame:
@@ -186,20 +194,13 @@ def appointments(events: DataFrame, columns: dict[str, str]) -> DataFrame:
     return events.where("attended").select(*KEYS, pairs.alias("f")).where("f.feature is not null").groupBy(*KEYS, F.col("f.feature").alias("feature")).agg(F.count("*").cast("double").alias("value"))
 
 
-def demographics(records: DataFrame, sliced: Callable[[DataFrame], DataFrame], group: Callable[[Column], Column], groups: tuple[str, ...], start: date) -> DataFrame:
-    """Fills each client's fields forward in time and takes the latest record of each slice: male (1, 0), age at the
-    record, dead (0 when unknown), and a one-hot of the census group. start: of the first slice.
-
-    A field's last value is taken by slice, and by client for all that lies before the first; only these are then put in
-    order and filled forward, not the records.
-    """
-    fields, order = ["gender", "racecode", "born", "died"], F.struct("ts", "record_id")
-    last = [F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in fields]
-    before = records.where(F.col("ts") < F.lit(start).cast("timestamp_ntz")).groupBy("client_id").agg(*last).withColumns({"slice_start": F.lit(None).cast("date"), "ts": F.lit(None).cast("timestamp_ntz")})
-    inside = sliced(records.select("client_id", "ts", "record_id", *fields)).groupBy(*KEYS).agg(*last, F.max("ts").alias("ts"))
-    past = Window.partitionBy("client_id").orderBy(F.col("slice_start").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    filled = inside.unionByName(before).select(*KEYS, "ts", *(F.last(c, ignorenulls=True).over(past).alias(c) for c in fields))
-    latest = filled.where("slice_start is not null")
+def demographics(records: DataFrame, sliced: Callable[[DataFrame], DataFrame], group: Callable[[Column], Column], groups: tuple[str, ...]) -> DataFrame:
+    """Fills each client's fields forward in time, puts the records in slices, and takes the latest of each slice:
+    male (1, 0), age at the record, dead (0 when unknown), and a one-hot of the census group."""
+    fields = ["gender", "racecode", "born", "died"]
+    past = Window.partitionBy("client_id").orderBy("ts", "record_id").rowsBetween(Window.unboundedPreceding, 0)
+    filled = records.select("client_id", "ts", "record_id", *(F.last(c, ignorenulls=True).over(past).alias(c) for c in fields))
+    latest = sliced(filled).groupBy(*KEYS).agg(F.max_by(F.struct("ts", *fields), F.struct("ts", "record_id")).alias("r")).select(*KEYS, "r.*")
     sex = F.lower("gender")
     out = {"male": F.when(sex == "male", 1).when(sex == "female", 0), "age": age_at(F.col("born"), F.col("ts")), "dead": F.col("died").isNotNull().cast("int")}
     out |= {f"census_{g}": F.when(F.col("racecode").isNotNull(), (group(F.col("racecode")) == g).cast("int")) for g in groups}

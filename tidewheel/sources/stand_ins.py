@@ -33,7 +33,7 @@ HALF_YEARS = RunSpec(start=date(1995, 1, 1), span=Span(years=8), step=Span(month
 class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
-        self.words: list[str] | None = None  # the vocabulary's, once they have been asked for
+        self.size: tuple[int, int] | None = None  # the vocabulary's, once it has been asked for
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -117,12 +117,11 @@ class Tables:
 
     def annotations(self, docs: DataFrame | None = None) -> DataFrame:
         """Mentions in documents, with confidence and context that follow from their place."""
-        from tidewheel.operators.annotations import annotate, words_listed
+        from tidewheel.operators.annotations import annotate, size_of
 
         vocabulary = self.vocabulary()
-        if self.words is None:
-            self.words = words_listed(vocabulary)
-        a = annotate(docs if docs is not None else self.documents(), vocabulary, "doc_id", "text", ("client_id", "ts"), self.words)
+        self.size = self.size or size_of(vocabulary)
+        a = annotate(docs if docs is not None else self.documents(), vocabulary, "doc_id", "text", ("client_id", "ts"), self.size)
         n = F.col("doc_id") * 7 + F.col("position") * 13
         pick = lambda k, *v: F.element_at(F.array(*map(F.lit, v)), (n % k + 1).cast("int"))
         return a.select("client_id", "doc_id", "ts", "position", "word", "cui", "pretty_name", "types", ((n % 100) / 100).alias("acc"), pick(3, "Recent", "Past", "Future").alias("Time_Value"), pick(4, "True", "True", "False", "True").alias("Presence_Value"), pick(5, "Patient", "Patient", "Family", "Patient", "Patient").alias("Subject_Value"), n.alias("tie"))
