@@ -475,16 +475,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     row = F.xxhash64(text_col) if several_ids else F.lit(0).cast("long")
     wide = docs.select(number.alias("number"), row.alias("own_row"), F.col(text_col).alias("own_text"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(own)))
     size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    parts = tasks(spark)
-    buckets = max(2 * parts, -(-size // BUCKET))
+    buckets = max(2 * tasks(spark), -(-size // BUCKET))  # a task each
     found = wide.select("number", "own_row", "own_text").mapInArrow(_collect(buckets), _DEALT)
-    first = written(found.repartition(max(parts, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(_resolve, _DEALT), "repeats")
+    first = written(found.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_resolve, _DEALT), "repeats")
     same = lambda a, b: (a["number"] == b["id"]) & (a["own_row"] == b["row"])
     several = first.where("kind >= 2").groupBy("id", "row").agg(F.collect_list(F.struct("kind", "bucket", "data")).alias("parts"))
     texts = wide.join(several, same(wide, several))
     texts = texts.dropDuplicates(["number", "own_row"]) if several_ids else texts
     segments = texts.select("number", "own_row", "own_text", "parts").mapInArrow(_segments(buckets), _DEALT)
-    merged = written(segments.repartition(max(parts, buckets), "bucket").sortWithinPartitions("bucket").mapInArrow(_merge, _DEALT), "merged")
+    merged = written(segments.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_merge, _DEALT), "merged")
     cuts = first.where("kind = 1").unionByName(merged).groupBy("id", "row").agg(F.collect_list("data").alias("cuts"))
     joined = wide.join(cuts, same(wide, cuts), "left").select(*(f"c{i}" for i in range(len(own))), "own_text", "cuts")
     schema = T.StructType([*docs.select(*own).schema.fields, *results])
