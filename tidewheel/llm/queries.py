@@ -17,6 +17,8 @@ from tidewheel.llm.suffix_dedup import remove_repeats
 from tidewheel.llm.token_counts import token_counts
 from tidewheel.llm.topk import top_k
 from tidewheel.llm.warc import read_archives, write_archives
+from tidewheel.llm.whitening import fit as fit_whitening
+from tidewheel.llm.whitening import identity_error, integers, whiten
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,7 +90,18 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("tw_bytes").alias("n_bytes"), F.col("tw_removed").alias("n_removed"), F.col("tw_spans").alias("n_spans"), hexed("tw_kept").alias("kept_sha256"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x, width = integers(load(spark, sf_dir, "embeddings"))
+    model = fit_whitening(x, width)
+    error, shares = identity_error(x, model), F.array(*(F.lit(float(e)) for e in model.explained)).cast("array<double>")
+    rows = whiten(x, model).select("id", "tw_deviation", F.posexplode("tw_white").alias("at", "whitened"))
+    return rows.select(
+        F.col("id").alias("vec_id"), (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), F.col("tw_deviation").cast("long").alias("deviation"),
+        "whitened", shares[F.col("at")].alias("explained"), F.lit(error).alias("identity_error"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_decontamination, op3_line_dedup, op4_topk, op5_sentencepiece, op6_language_id, op7_suffix_dedup, op8_warc, op9_token_counts, op10_simhash)
+    for f in (op1_pii, op2_decontamination, op3_line_dedup, op4_topk, op5_sentencepiece, op6_language_id, op7_suffix_dedup, op8_warc, op9_token_counts, op10_simhash, op13_whitening)
 }
