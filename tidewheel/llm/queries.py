@@ -16,6 +16,7 @@ from tidewheel.llm.simhash import near_copies
 from tidewheel.llm.suffix_dedup import remove_repeats
 from tidewheel.llm.token_counts import token_counts
 from tidewheel.llm.topk import top_k
+from tidewheel.llm.vector_dedup import near_vectors
 from tidewheel.llm.warc import read_archives, write_archives
 from tidewheel.llm.whitening import fit as fit_whitening
 from tidewheel.llm.whitening import identity_error, integers, whiten
@@ -90,6 +91,11 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("tw_bytes").alias("n_bytes"), F.col("tw_removed").alias("n_removed"), F.col("tw_spans").alias("n_spans"), hexed("tw_kept").alias("kept_sha256"))
 
 
+def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_vectors(load(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", F.col("tw_links").alias("n_links"), F.col("tw_component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("tw_component")).alias("kept"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     x, width = integers(load(spark, sf_dir, "embeddings"))
     model = fit_whitening(x, width)
@@ -103,5 +109,5 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_decontamination, op3_line_dedup, op4_topk, op5_sentencepiece, op6_language_id, op7_suffix_dedup, op8_warc, op9_token_counts, op10_simhash, op13_whitening)
+    for f in (op1_pii, op2_decontamination, op3_line_dedup, op4_topk, op5_sentencepiece, op6_language_id, op7_suffix_dedup, op8_warc, op9_token_counts, op10_simhash, op12_vector_dedup, op13_whitening)
 }
