@@ -18,6 +18,10 @@ cov AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(ra
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)"""
 
+#: CRC-32 of a decimal number, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST({c} AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda z, u: CASE WHEN z & 1 = 1 THEN xor(z >> 1, 3988292384) ELSE z >> 1 END)))"""
+
 ORACLES = {
     "op2_decontamination": f"""
 WITH {_BENCH}
@@ -43,4 +47,27 @@ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION
 SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
        CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
 FROM f""",
+    "op11_prefix_trie": f"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+m AS (SELECT c, {_CRC.format(c="c")} % 6 AS h FROM (SELECT DISTINCT c FROM t)),
+b AS (SELECT m.c, pos, r, t FROM m JOIN t ON t.c = m.c - m.c % 100 AND pos <= h UNION ALL SELECT m.c, pos, r, t FROM m JOIN t ON t.c = m.c AND pos > h),
+p AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY pos) AS d, length(t) AS chars, list({{'r': r, 't': t}}) OVER (PARTITION BY c ORDER BY pos) AS k FROM b),
+a AS (SELECT c, d, chars, k FROM p UNION ALL SELECT c, 0, 0, [] FROM m),
+l AS (SELECT c, max(d) AS l FROM a GROUP BY c),
+n AS (SELECT k, d, min(c) AS conv, count(*) AS n, any_value(chars) AS chars, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (d = l), '') AS ends FROM a JOIN l USING (c) GROUP BY k, d),
+path AS (SELECT a.c, a.d, n.conv FROM a JOIN n USING (k, d)),
+x AS (SELECT n.conv, n.d, n.n, (n.n - 1) * n.chars AS saved, n.ends, u.conv AS up FROM n LEFT JOIN path u ON u.c = n.conv AND u.d = n.d - 1),
+ch AS (SELECT up AS conv, d - 1 AS d, count(*) AS children FROM x WHERE d > 0 GROUP BY ALL),
+y AS (SELECT x.*, coalesce(children, 0) AS children FROM x LEFT JOIN ch USING (conv, d)),
+s AS (SELECT path.conv, path.d, sum(CAST(y.children = 0 AS INT)) AS leaves, sum(y.saved) AS saved FROM y JOIN path ON path.c = y.conv AND path.d <= y.d GROUP BY ALL)
+SELECT y.conv AS conv_id, y.d AS depth, y.up AS parent_conv_id, y.n AS n_convs, y.children AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(y.ends) AS ends_sha256
+FROM y JOIN s USING (conv, d)""",
+    "op12_vector_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM r JOIN p ON p.a = r.b)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM p GROUP BY a) USING (vec_id) JOIN (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a) c USING (vec_id)""",
 }

@@ -11,6 +11,7 @@ from tidewheel.llm.decontamination import contamination, is_contaminated
 from tidewheel.llm.language_id import fit, identify
 from tidewheel.llm.line_dedup import dedup_lines
 from tidewheel.llm.pii import pseudonymise
+from tidewheel.llm.prefix_trie import prefix_trie, rebuilt, turn_rows
 from tidewheel.llm.sentencepiece_bpe import encode_decode
 from tidewheel.llm.simhash import near_copies
 from tidewheel.llm.suffix_dedup import remove_repeats
@@ -91,6 +92,12 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("tw_bytes").alias("n_bytes"), F.col("tw_removed").alias("n_removed"), F.col("tw_spans").alias("n_spans"), hexed("tw_kept").alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trie = prefix_trie(*rebuilt(turn_rows(load(spark, sf_dir, "conversations"))))
+    names = {"conv": "conv_id", "tw_parent": "parent_conv_id", "tw_members": "n_convs", "tw_children": "n_children", "tw_leaves": "n_leaves", "tw_saved": "saved_tokens", "tw_ends": "ends_sha256"}
+    return trie.withColumnsRenamed(names)
+
+
 def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_vectors(load(spark, sf_dir, "embeddings"))
     return found.select("vec_id", F.col("tw_links").alias("n_links"), F.col("tw_component").alias("component_id"), F.col("vec_id").eqNullSafe(F.col("tw_component")).alias("kept"))
@@ -109,5 +116,5 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_decontamination, op3_line_dedup, op4_topk, op5_sentencepiece, op6_language_id, op7_suffix_dedup, op8_warc, op9_token_counts, op10_simhash, op12_vector_dedup, op13_whitening)
+    for f in (op1_pii, op2_decontamination, op3_line_dedup, op4_topk, op5_sentencepiece, op6_language_id, op7_suffix_dedup, op8_warc, op9_token_counts, op10_simhash, op11_prefix_trie, op12_vector_dedup, op13_whitening)
 }
