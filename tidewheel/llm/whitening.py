@@ -266,9 +266,9 @@ def integers(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embe
 def fit(x: DataFrame, width: int, components: int = COMPONENTS) -> Whitening:
     """Fits on all rows of x."""
     n, pieces = x.count(), lambda column: _pieces(column, width)
-    sums = totals(x.select("x"), pieces, width, "long")
     if not n or not width:
-        return Whitening(0, sums, np.zeros(0), np.zeros((width, 0)), np.zeros(0))
+        return Whitening(0, np.zeros(width, np.int64), np.zeros(0), np.zeros((width, 0)), np.zeros(0))
+    sums = totals(x.select("x"), pieces, width, "long")
     covariance = products(x.select("x"), lambda column: (_centred(y, n, sums) for y in pieces(column)), width) / n
     values, vectors = leading_vectors(covariance, min(components, width))
     trace = np.trace(covariance)
