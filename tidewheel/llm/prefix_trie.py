@@ -228,7 +228,7 @@ def _messages(senders: DataFrame) -> DataFrame:
 
 def _totals(nodes: DataFrame, placed: DataFrame, block: int, top_nodes: int, held: int) -> tuple[DataFrame, DataFrame]:
     """(nodes with their totals, the top of the trie)."""
-    limit = max(256, (nodes.agg(F.sum("n")).first()[0] or 0) // top_nodes)
+    limit = max(16, (nodes.agg(F.sum("n")).first()[0] or 0) // top_nodes)
     own = {
         "kind": F.lit(1).cast("long"), "children": F.lit(0).cast("long"), "leaves": (F.col("n") == F.col("ends")).cast("long"), "saved": (F.col("n") - 1) * F.col("chars"),
     }
