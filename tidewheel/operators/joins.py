@@ -6,32 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewheel.functions.times import DAY
+from tidewheel.operators.carry import nearest
 
-#: A bucket of days is at least an eighth of the window, so that a template row goes to ten buckets at most.
-PARTS = 8
 
-
-def nearest_results(template: DataFrame, results: DataFrame, row: str, before: float = 42, after: float = 350) -> DataFrame:
+def nearest_results(template: DataFrame, results: DataFrame, row: str, before: float = 42, after: float = 350, tests: list[str] | None = None) -> DataFrame:
     """row, test, value: of each test the result nearest to ts inside the open interval (ts - before, ts + after) days.
 
-    template: row (a key), client_id, ts; results: client_id, test, ts, value. Of equally near results the earlier
-    one counts, then the smaller value. The range join is an equi-join on client and a bucket of days, so one
-    client's rows meet only near their time; partial aggregation keeps one candidate a task, row and test.
+    template: row (a key), client_id, ts; results: client_id, test, ts, value; tests: those looked for, else all that a
+    client has. Of equally near results the earlier one counts, then the smaller value. Each template row is compared
+    with the results next to it in time, one on either side, however many lie in the interval (operators/carry.py).
     """
-    low, high = round(before * DAY), round(after * DAY)
-    width = max(DAY, -(-max(low, high) // PARTS))
-    micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    t, r = micros(F.col("ts")), micros(F.col("ts"))
-    left = template.where("ts is not null").select(F.col(row).alias("row"), "client_id", t.alias("t"))
-    left = left.withColumn("bucket", F.explode(F.sequence(F.floor((F.col("t") - low) / width), F.floor((F.col("t") + high) / width))))
-    right = results.where("ts is not null").select("client_id", "test", "value", r.alias("r"), F.floor(r / width).alias("bucket"))
-    near = left.join(right, ["client_id", "bucket"]).where((F.col("r") > F.col("t") - low) & (F.col("r") < F.col("t") + high))
-    return near.groupBy("row", "test").agg(F.min_by("value", F.struct(F.abs(F.col("r") - F.col("t")), "r", "value")).alias("value"))
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    left = template.where("ts is not null and client_id is not null").select(F.col(row).alias("row"), "client_id", micros.alias("t"))
+    right = results.where("ts is not null and client_id is not null and test is not null").select("client_id", "test", "value", micros.alias("t"))
+    if tests is None:
+        left = left.join(right.select("client_id", "test").distinct(), "client_id")
+    else:
+        right, left = right.where(F.col("test").isin(tests)), left.withColumn("test", F.explode(F.array(*map(F.lit, tests))))
+    return nearest(left, right, ["client_id", "test"], round(before * DAY), round(after * DAY)).select("row", "test", "value")
 
 
 def matcher(template: DataFrame, results: DataFrame, row: str, tests: list[str], before: float = 42, after: float = 350) -> DataFrame:
     """The template with a column for each test, null where none is near; rows without a time are left out."""
-    found = nearest_results(template, results.where(F.col("test").isin(tests)), row, before, after).groupBy("row").pivot("test", tests).agg(F.first("value"))
+    found = nearest_results(template, results, row, before, after, tests).groupBy("row").pivot("test", tests).agg(F.first("value"))
     kept = template.where("ts is not null")
     return kept.join(found, kept[row] == found["row"], "left").drop("row") if row != "row" else kept.join(found, "row", "left")
 

@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewheel.operators.carry import filled
+
 
 def impute(rows: DataFrame, key: str, ts: str, columns: list[str], forward: bool = True, backward: bool = True, mean: bool = True, tie: str | None = None) -> DataFrame:
     """Fills each client's nulls forward, then backward in time, then by the mean of the column so filled.
 
     Forward then backward over a client is: the last value so far, else the first there is. tie: what orders rows of
-    equal time; without it the columns' own values do, so that a rerun fills alike.
+    equal time; without it the columns' own values do, so that a rerun fills alike. Clients of very many rows go over
+    many tasks (operators/carry.py).
     """
-    order = [ts, tie] if tie else [ts, *columns]
-    past = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(key).orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
-
-    def filled(c: str):
-        steps = [F.last(c, ignorenulls=True).over(past)] * forward + [F.first(c, ignorenulls=True).over(ahead)] * backward
-        return F.coalesce(F.col(c), *steps)
-
-    out = rows.withColumns({c: filled(c) for c in columns})
+    out = filled(rows, key, [ts, tie] if tie else [ts, *(c for c in columns if c != ts)], columns, forward, backward)
     if not mean:
         return out
     means = out.agg(*(F.avg(c).alias(f"tw_{c}") for c in columns))  # a single row
