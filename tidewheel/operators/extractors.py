@@ -82,7 +82,7 @@ def _orders(events: DataFrame, parts: list, spec: RunSpec) -> DataFrame:
 
 
 def _demographics(records: DataFrame, parts: list, spec: RunSpec) -> DataFrame:
-    return X.demographics(records, lambda r: events_in_slices(r, spec), X.census_group, tuple(X.CENSUS))
+    return X.demographics(records, lambda r: events_in_slices(r, spec), spec.first, X.census_group, tuple(X.CENSUS))
 
 
 JOINT: dict[str, Callable[[DataFrame, list, RunSpec], DataFrame]] = {

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -194,16 +194,33 @@ def appointments(events: DataFrame, columns: dict[str, str]) -> DataFrame:
     return events.where("attended").select(*KEYS, pairs.alias("f")).where("f.feature is not null").groupBy(*KEYS, F.col("f.feature").alias("feature")).agg(F.count("*").cast("double").alias("value"))
 
 
-def demographics(records: DataFrame, sliced: Callable[[DataFrame], DataFrame], group: Callable[[Column], Column], groups: tuple[str, ...]) -> DataFrame:
-    """Fills each client's fields forward in time, puts the records in slices, and takes the latest of each slice:
-    male (1, 0), age at the record, dead (0 when unknown), and a one-hot of the census group."""
-    fields = ["gender", "racecode", "born", "died"]
-    past = Window.partitionBy("client_id").orderBy("ts", "record_id").rowsBetween(Window.unboundedPreceding, 0)
-    filled = records.select("client_id", "ts", "record_id", *(F.last(c, ignorenulls=True).over(past).alias(c) for c in fields))
-    latest = sliced(filled).groupBy(*KEYS).agg(F.max_by(F.struct("ts", *fields), F.struct("ts", "record_id")).alias("r")).select(*KEYS, "r.*")
+#: What is filled forward of a client's records, as far as they have it.
+FIELDS = ("first_name", "last_name", "born", "gender", "racecode", "died")
+
+
+def latest_records(records: DataFrame, sliced: Callable[[DataFrame], DataFrame], start: date, fields: tuple[str, ...] = FIELDS) -> DataFrame:
+    """client_id, slice_start, ts (of the slice's last record) and each field's last value so far, filled forward in time.
+
+    sliced deals records to slices that leave no gap, start is where the first begins. Each slice's last values are one
+    aggregation; what a slice lacks is carried over the client's slices before it, or from records before start. Records
+    without a time are left out.
+    """
+    own = [c for c in fields if c in records.columns]
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("ts", "record_id"))).alias(c) for c in own]
+    held = sliced(records).groupBy(*KEYS).agg(F.max("ts").alias("ts"), *last)
+    earlier = records.where(F.col("ts") < F.lit(start).cast("timestamp_ntz")).groupBy("client_id").agg(*last)
+    past = Window.partitionBy("client_id").orderBy("slice_start").rowsBetween(Window.unboundedPreceding, 0)  # as many rows as slices
+    both = held.unionByName(earlier, allowMissingColumns=True)  # without a slice, so first
+    return both.withColumns({c: F.last(c, ignorenulls=True).over(past) for c in own}).where("slice_start is not null")
+
+
+def demographics(records: DataFrame, sliced: Callable[[DataFrame], DataFrame], start: date, group: Callable[[Column], Column], groups: tuple[str, ...]) -> DataFrame:
+    """Of each slice's last record, its fields filled forward: male (1, 0), age at the record, dead (0 when unknown), and a
+    one-hot of the census group."""
+    latest = latest_records(records, sliced, start, ("gender", "racecode", "born", "died")).withColumn("census", group(F.col("racecode")))
     sex = F.lower("gender")
     out = {"male": F.when(sex == "male", 1).when(sex == "female", 0), "age": age_at(F.col("born"), F.col("ts")), "dead": F.col("died").isNotNull().cast("int")}
-    out |= {f"census_{g}": F.when(F.col("racecode").isNotNull(), (group(F.col("racecode")) == g).cast("int")) for g in groups}
+    out |= {f"census_{g}": F.when(F.col("racecode").isNotNull(), (F.col("census") == g).cast("int")) for g in groups}
     return long_form(latest, out)
 
 

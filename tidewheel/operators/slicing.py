@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import date, datetime, time, timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,12 +13,12 @@ from tidewheel.functions.times import ntz, plus
 from tidewheel.operators.numbering import mark, offset_by
 from tidewheel.spec import RunSpec, Span
 
-#: Slices up to which the table of slices is broadcast; RunSpec makes no more than this.
-BROADCAST_SLICES = 10_000
-
 
 def slice_table(spark: SparkSession, spec: RunSpec) -> DataFrame:
     """slice_start, slice_end (the last day, which belongs to the slice)."""
+    if k := spec.step.only_days:
+        starts = spark.range(spec.n).select(F.date_add(F.lit(spec.first), (F.col("id") * k).cast("int")).alias("slice_start"))
+        return starts.withColumn("slice_end", F.date_add("slice_start", k))
     return spark.createDataFrame(spec.windows(), "slice_start date, slice_end date")
 
 
@@ -33,17 +35,19 @@ def events_in_slices(events: DataFrame, spec: RunSpec, ts: str = "ts") -> DataFr
     most (for a step of k days from start s, slices ceil((day - s) / k) - 1 to floor((day - s) / k)). Calendar
     steps join a broadcast table of days and slices. A plain range on the time reaches the scan either way.
     """
-    spark, windows = events.sparkSession, spec.windows()
-    if not windows:
+    spark, n, first_day = events.sparkSession, spec.n, spec.first
+    if not n:
         return events.where(F.lit(False)).withColumn("slice_start", F.lit(None).cast("date"))
-    held = events.where(in_window(F.col(ts), windows[0][0], windows[-1][1]))
     k = spec.step.only_days
     if k:
-        day = F.datediff(F.col(ts).cast("date"), F.lit(windows[0][0]))
+        held = events.where(in_window(F.col(ts), first_day, first_day + timedelta(days=n * k)))
+        day = F.datediff(F.col(ts).cast("date"), F.lit(first_day))
         first = F.greatest(F.ceil((day - k) / F.lit(k)), F.lit(0)).cast("int")
-        last = F.least(F.floor(day / F.lit(k)), F.lit(len(windows) - 1)).cast("int")
+        last = F.least(F.floor(day / F.lit(k)), F.lit(n - 1)).cast("int")
         at = F.explode(F.filter(F.sequence(first, F.greatest(first, last)), lambda i: i <= last))
-        return held.withColumn("slice_start", at).withColumn("slice_start", F.date_add(F.lit(windows[0][0]), F.col("slice_start") * k))
+        return held.withColumn("slice_start", at).withColumn("slice_start", F.date_add(F.lit(first_day), F.col("slice_start") * k))
+    windows = spec.windows()
+    held = events.where(in_window(F.col(ts), windows[0][0], windows[-1][1]))
     days = slice_table(spark, spec).select("slice_start", F.explode(F.sequence("slice_start", "slice_end")).alias("slice_day"))
     return held.withColumn("slice_day", F.col(ts).cast("date")).join(F.broadcast(days), "slice_day").drop("slice_day")
 
@@ -56,19 +60,57 @@ def client_windows(rows: DataFrame, client: str, start: str, order: str, offset:
     return last.withColumn("win_to", ntz(plus(F.col("win_from"), o.years, o.months, o.days)))
 
 
-def individual_slices(windows: DataFrame, spec: RunSpec) -> DataFrame:
+def individual_slices(windows: DataFrame, spec: RunSpec, lookback: bool | None = None) -> DataFrame:
     """client_id, slice_start, slice_end inside each client's own window, clamped to the global bounds.
 
-    Starts are stepped one from the other in an aggregate, so that month ends stick as they do in RunSpec.
+    Slices are stepped forward from the window's start; with lookback (that of spec unless given) from the day that lies
+    spec.span before the window's end, up to that end. Each start follows from its number, as if starts were stepped one
+    from the other: whole days are added; months are added with the day of the month held back to the shortest month met
+    so far. Steps of both months and days are stepped.
     """
-    low = F.greatest(F.least("win_from", "win_to").cast("date"), F.lit(spec.global_start))
-    high = F.least(F.greatest("win_from", "win_to").cast("date"), F.lit(spec.global_end))
-    s = spec.step
-    step = lambda d: F.date_add(F.add_months(d, 12 * s.years + s.months), s.days)
-    most = F.least(F.floor(F.datediff(high, low) / max(1, 28 * (12 * s.years + s.months) + s.days)) + 1, F.lit(10_000)).cast("int")
-    starts = F.aggregate(F.sequence(F.lit(1), F.greatest(most - 1, F.lit(1))), F.array(low), lambda a, i: F.concat(a, F.array(step(F.element_at(a, -1)))))
-    kept = F.filter(starts, lambda d: d <= high)
-    return windows.where(low <= high).select("client_id", F.explode(kept).alias("slice_start")).withColumn("slice_end", step(F.col("slice_start")))
+    back = spec.lookback if lookback is None else lookback
+    s, o = spec.step, spec.span
+    from_, to = F.least("win_from", "win_to").cast("date"), F.greatest("win_from", "win_to").cast("date")
+    begin = F.add_months(F.date_sub(to, o.days), -(12 * o.years + o.months)) if back else from_
+    low, high = F.greatest(begin, F.lit(spec.global_start)), F.least(to, F.lit(spec.global_end))
+    months = 12 * s.years + s.months
+    step = lambda d: F.date_add(F.add_months(d, months), s.days)
+    held = windows.select("client_id", low.alias("low"), high.alias("high")).where("low <= high")
+    if not months:
+        numbers = F.sequence(F.lit(0), F.floor(F.datediff("high", "low") / s.days).cast("int"))
+        starts = held.select("client_id", "low", F.explode(numbers).alias("i")).select("client_id", F.date_add("low", F.col("i") * s.days).alias("slice_start"))
+    elif not s.days:
+        n = F.greatest(F.floor(F.months_between(F.trunc("high", "month"), F.trunc("low", "month")) / months), F.lit(0)).cast("int")
+        numbers = F.sequence(F.lit(0), n)
+        length = lambda j: F.dayofmonth(F.last_day(F.add_months("low", j * months)))
+        # from the first month of so few days on, starts lie no later than its last day
+        first = lambda most: F.array_min(F.filter(numbers, lambda j: length(j) <= most))
+        at = held.select("*", *(first(m).alias(f"to_{m}") for m in (28, 29, 30)), F.explode(numbers).alias("i"))
+        day = F.least(F.dayofmonth("low"), *(F.when(F.col("i") >= F.col(f"to_{m}"), m).otherwise(31) for m in (28, 29, 30)))
+        start = F.date_add(F.trunc(F.add_months("low", F.col("i") * months), "month"), day - 1)
+        starts = at.select("client_id", "high", start.alias("slice_start")).where("slice_start <= high")
+    else:
+        starts = held.mapInArrow(_stepped(s), "client_id string, slice_start date")
+    return starts.select("client_id", "slice_start", step(F.col("slice_start")).alias("slice_end"))
+
+
+def _stepped(step: Span):
+    """(client_id, low, high) -> a row for each start; for steps of months and days, which no expression has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clients, starts = [], []
+            for client, low, high in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                while low <= high:
+                    clients.append(client)
+                    starts.append(low)
+                    low = step.after(low)
+                    if len(starts) == 65_536:
+                        yield pa.RecordBatch.from_arrays([pa.array(clients, pa.string()), pa.array(starts, pa.date32())], ["client_id", "slice_start"])
+                        clients, starts = [], []
+            yield pa.RecordBatch.from_arrays([pa.array(clients, pa.string()), pa.array(starts, pa.date32())], ["client_id", "slice_start"])
+
+    return run
 
 
 def events_in_client_slices(events: DataFrame, slices: DataFrame, ts: str = "ts") -> DataFrame:

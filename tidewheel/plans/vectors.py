@@ -208,7 +208,34 @@ FROM (SELECT client_id, ts, record_id, {_FILL} FROM {table}) {where}) WHERE r =
 
 @query(with_tables("demo halves", f"SELECT {_KEYS}, feature, round(value, 6) AS value FROM ({_demo_part('demo', _IN_HALVES)})"))
 def feat_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(X.demographics(Tables(spark, sf_dir).demographics(), lambda r: events_in_slices(r, HALF_YEARS), X.census_group, tuple(X.CENSUS)))
+    return shown(X.demographics(Tables(spark, sf_dir).demographics(), lambda r: events_in_slices(r, HALF_YEARS), HALF_YEARS.first, X.census_group, tuple(X.CENSUS)))
+
+
+_FILL_SIX = ", ".join(f"last_value({c} IGNORE NULLS) OVER (PARTITION BY client_id ORDER BY ts, record_id ROWS UNBOUNDED PRECEDING) AS {c}" for c in X.FIELDS)
+
+
+@query(with_tables("demo halves", f"""SELECT {_KEYS}, first_name, last_name, strftime(born, '%Y-%m-%d') AS born, gender, racecode, strftime(died, '%Y-%m-%d') AS died FROM (SELECT *, row_number() OVER (PARTITION BY client_id, slice_start ORDER BY ts DESC, record_id DESC) AS r
+FROM (SELECT client_id, ts, record_id, {_FILL_SIX} FROM demo) {_IN_HALVES}) WHERE r = 1"""))
+def demographics_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six fields, filled forward, of each client and half-year."""
+    own = X.latest_records(Tables(spark, sf_dir).demographics(), lambda r: events_in_slices(r, HALF_YEARS), HALF_YEARS.first)
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return own.select("client_id", day("slice_start"), "first_name", "last_name", day("born"), "gender", "racecode", day("died"))
+
+
+#: Countries and nationalities that a user's table adds to the census words; the last is in no group.
+_MORE_WORDS = [("white", "germany"), ("white", "France"), ("asian_or_asian_british", "japan"), ("black_african_caribbean_or_black_british", "ethiopia"), ("other_ethnic_group", "egypt")]
+
+
+@query("""SELECT n_name AS entry, CASE WHEN contains(e, 'indian') OR contains(e, 'chinese') THEN 'asian_or_asian_british' WHEN contains(e, 'germany') OR contains(e, 'france') THEN 'white' WHEN contains(e, 'japan') THEN 'asian_or_asian_british'
+WHEN contains(e, 'ethiopia') THEN 'black_african_caribbean_or_black_british' ELSE 'other_ethnic_group' END AS census, count(c_custkey) AS n FROM (SELECT *, lower(n_name) AS e FROM nation) LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY ALL""")
+def ethnicity_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations to census groups, with a table of countries beside the fixed words."""
+    t = Tables(spark, sf_dir)
+    more = X.census_words(spark.createDataFrame(_MORE_WORDS, "census string, word string"))
+    counts = t.raw("customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
+    n = t.raw("nation").join(counts, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return n.select(F.col("n_name").alias("entry"), X.census_group(F.col("n_name"), more).alias("census"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query(f"SELECT n_name || ' ' || c_mktsegment AS entry, {_census_sql("n_name || ' ' || c_mktsegment")} AS census, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL")
@@ -370,6 +397,18 @@ def individual_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("client_id", F.date_format("slice_start", "yyyy-MM-dd").alias("slice_start"), F.date_format("slice_end", "yyyy-MM-dd").alias("slice_end"))
 
 
+_BACK = RunSpec(start=date(1995, 1, 1), span=Span(days=400), step=Span(days=50), lookback=True)
+
+
+@query(with_tables("ords", f""", w AS ({_WINDOWS}),
+s AS (SELECT client_id, CAST(unnest(generate_series(CAST(greatest(CAST(win_to AS DATE) - 400, DATE '1995-01-01') AS TIMESTAMP), CAST(CAST(win_to AS DATE) AS TIMESTAMP), INTERVAL 50 DAY)) AS DATE) AS d FROM w)
+SELECT client_id, strftime(d, '%Y-%m-%d') AS slice_start, strftime(d + 50, '%Y-%m-%d') AS slice_end FROM s"""), name="individual_slices_back")
+def individual_slice_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices that look back from the end of each client's window."""
+    s = individual_slices(_windows(Tables(spark, sf_dir)), _BACK)
+    return s.select("client_id", F.date_format("slice_start", "yyyy-MM-dd").alias("slice_start"), F.date_format("slice_end", "yyyy-MM-dd").alias("slice_end"))
+
+
 @query(with_tables("obs days", f"SELECT obs_id, strftime(slice_start, '%Y-%m-%d') AS slice_start FROM obs {_IN_DAYS}"), name="events_in_slices")
 def events_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_in_slices(Tables(spark, sf_dir).obs(), DAILY).select("obs_id", F.date_format("slice_start", "yyyy-MM-dd").alias("slice_start"))

@@ -79,7 +79,7 @@ class Tables:
         return j.select(F.col("o_custkey").cast("string").alias("client_id"), ntz("l_shipdate").alias("ts"), (F.col("l_returnflag") != "R").alias("attended"), (F.col("l_suppkey") % 7).alias("consultant"), (F.col("l_partkey") % 5).alias("clinic"), F.col("l_linestatus").alias("kind"))
 
     def demographics(self) -> DataFrame:
-        """Records over time with gaps: gender, group, birth and death are each there now and then."""
+        """Records over time with gaps: names, gender, group, birth and death are each there now and then."""
         o, c, n = self.raw("orders"), self.raw("customer"), self.raw("nation")
         j = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
         gender = F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).when(F.col("c_custkey") % 2 == 0, "Male").otherwise("Female")
@@ -87,7 +87,9 @@ class Tables:
         group = F.when(F.col("o_orderkey") % 4 != 0, F.element_at(words, (F.col("c_nationkey") % 6 + 1).cast("int")))
         born = F.when(F.col("o_orderkey") % 5 != 0, F.date_add(F.lit(date(1930, 1, 1)), (F.col("c_custkey") % 20000).cast("int")))
         died = F.when(F.col("o_orderkey") % 97 == 0, ntz("o_orderdate"))
-        return j.select(F.col("c_custkey").cast("string").alias("client_id"), ntz("o_orderdate").alias("ts"), F.col("o_orderkey").alias("record_id"), gender.alias("gender"), group.alias("racecode"), born.alias("born"), died.alias("died"))
+        first = F.when(F.col("o_orderkey") % 6 != 0, F.split_part("c_name", F.lit("#"), F.lit(1)))
+        last = F.when(F.col("o_orderkey") % 7 != 0, F.split_part("c_name", F.lit("#"), F.lit(2)))
+        return j.select(F.col("c_custkey").cast("string").alias("client_id"), ntz("o_orderdate").alias("ts"), F.col("o_orderkey").alias("record_id"), first.alias("first_name"), last.alias("last_name"), gender.alias("gender"), group.alias("racecode"), born.alias("born"), died.alias("died"))
 
     def documents(self) -> DataFrame:
         client = F.concat(F.lit("c"), F.col("doc_id") % 50)
@@ -133,6 +135,7 @@ SQL = {
     "ords": "SELECT CAST(o_custkey AS VARCHAR) AS client_id, o_orderdate AS ts, o_orderpriority AS item, CASE WHEN o_orderstatus = 'F' THEN 'diagnostic' ELSE 'medication' END AS kind, o_orderkey AS order_id FROM orders",
     "appts": "SELECT CAST(o_custkey AS VARCHAR) AS client_id, l_shipdate AS ts, l_returnflag <> 'R' AS attended, l_suppkey % 7 AS consultant, l_partkey % 5 AS clinic, l_linestatus AS kind FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
     "demo": """SELECT CAST(c_custkey AS VARCHAR) AS client_id, o_orderdate AS ts, o_orderkey AS record_id,
+        CASE WHEN o_orderkey % 6 <> 0 THEN split_part(c_name, '#', 1) END AS first_name, CASE WHEN o_orderkey % 7 <> 0 THEN split_part(c_name, '#', 2) END AS last_name,
         CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END AS gender,
         CASE WHEN o_orderkey % 4 <> 0 THEN ['White British', 'Asian - Indian', 'Black African', 'Mixed: white and asian', 'Other', 'Not specified'][c_nationkey % 6 + 1] END AS racecode,
         CASE WHEN o_orderkey % 5 <> 0 THEN DATE '1930-01-01' + CAST(c_custkey % 20000 AS INTEGER) END AS born,

@@ -6,6 +6,7 @@ import calendar
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 
+#: Slices of a calendar step; a step so small over so long a time is a mistake, and is said to be one.
 MOST_SLICES = 10_000
 
 
@@ -69,13 +70,31 @@ class RunSpec:
             object.__setattr__(self, "global_start", low)
             object.__setattr__(self, "global_end", high)
 
+    @property
+    def bounds(self) -> tuple[date, date]:
+        """First and last day that a slice may start on; the first is later than the last if there is none."""
+        first, last = (self.span.before(self.start), self.start) if self.lookback else (self.start, self.span.after(self.start))
+        return max(first, self.global_start), min(last, self.global_end)
+
+    @property
+    def first(self) -> date:
+        return self.bounds[0]
+
+    @property
+    def n(self) -> int:
+        """How many slices there are; raises ValueError beyond MOST_SLICES calendar steps (steps of whole days have no bound)."""
+        first, last = self.bounds
+        if self.step.only_days:
+            return max(0, (last - first).days // self.step.only_days + 1)
+        return len(self.starts())
+
     def starts(self) -> list[date]:
         """Each start is stepped from the one before it, so that a month's end sticks once it is met."""
-        first, last = (self.span.before(self.start), self.start) if self.lookback else (self.start, self.span.after(self.start))
-        now, last, out = max(first, self.global_start), min(last, self.global_end), []
+        now, last = self.bounds
+        out: list[date] = []
         while now <= last:
-            if len(out) == MOST_SLICES:
-                break
+            if len(out) == MOST_SLICES and not self.step.only_days:
+                raise ValueError(f"more than {MOST_SLICES} slices between {out[0]} and {last}")
             out.append(now)
             now = self.step.after(now)
         return out
