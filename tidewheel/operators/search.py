@@ -5,33 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewheel.functions.text import partial_similarity, similarity
+from tidewheel.functions.text import partial_similarity
+from tidewheel.operators.matching import contained, once, partly_like, similar_pairs, term_table
 from tidewheel.operators.numbering import first_by_mark
 
 
-def _terms(rows: DataFrame, terms: list[str], name: str = "term") -> DataFrame:
-    return rows.sparkSession.createDataFrame([(t,) for t in terms], f"{name} string")
-
-
-def multi_term(docs: DataFrame, text: str, terms: list[str]) -> DataFrame:
+def multi_term(docs: DataFrame, text: str, terms: list[str] | DataFrame) -> DataFrame:
     """A row for each document and term it contains (any case), with search_term; equal rows once.
 
-    The terms are a list of the caller's, so they go into the expression: no join at all.
+    A hundred thousand terms, as a list or a table (term), take one pass over the texts (operators/matching.py).
     """
-    low = F.lower(F.col(text))
-    found = F.filter(F.array(*(F.lit(t) for t in terms)), lambda t: low.contains(F.lower(t)))
-    return docs.withColumn("search_term", F.explode(found)).dropDuplicates()
+    return once(contained(docs, text, terms))
 
 
-def fuzzy_terms(rows: DataFrame, column: str, terms: list[str], least: float = 80.0, best: int | None = 5) -> DataFrame:
-    """Rows whose value is similar (0 to 100) to a term; of each term only the best values count, unless best is None.
+def fuzzy_terms(rows: DataFrame, column: str, terms: list[str] | DataFrame, least: float = 80.0, best: int | None = 5) -> DataFrame:
+    """Rows whose value is similar (above 0, to 100) to a term; of each term only the best values count, unless best is None.
 
-    Distinct values are scored, not rows.
+    Distinct values are scored, not rows, and only those that share a piece with a term.
     """
     values = rows.select(F.lower(column).alias("value")).where("value is not null").distinct()
-    scored = values.join(F.broadcast(_terms(rows, [t.lower() for t in terms])), similarity(F.col("value"), F.col("term")) >= least)
+    scored = similar_pairs(values, term_table(rows.sparkSession, terms).select(F.col("low").alias("term")).distinct(), least)
     if best is not None:
-        scored = scored.withColumn("score", similarity(F.col("value"), F.col("term")))
         scored = scored.withColumn("r", F.row_number().over(Window.partitionBy("term").orderBy(F.desc("score"), "value"))).where(F.col("r") <= best)
     kept = scored.select("value").distinct()
     return rows.join(kept, F.lower(rows[column]) == kept["value"], "left_semi")
@@ -124,9 +118,10 @@ def term_groups(docs: DataFrame, key: str, text: str, groups: dict[str, list[str
 
     Rows are taken in the order of a hash, so a rerun takes the same; no group meets in one task (first_by_mark).
     """
-    low = F.lower(F.col(text))
-    names = F.filter(F.array(*(F.when(_any(partial_similarity(F.lit(t.lower()), low) >= threshold for t in ts), F.lit(g)) for g, ts in groups.items())), lambda x: x.isNotNull())
-    hits = docs.where(F.col(text).isNotNull()).select(key, F.explode(names).alias("matched_group"))
+    spark = docs.sparkSession
+    names = spark.createDataFrame([(t.lower(), g) for g, ts in groups.items() for t in ts], "search_term string, matched_group string").distinct()
+    found = partly_like(docs.select(key, text), text, names.select(F.col("search_term").alias("term")), threshold).select(key, "search_term")
+    hits = found.join(F.broadcast(names), "search_term").select(key, "matched_group").distinct()  # names: the caller's
     counts = hits.groupBy("matched_group").agg(F.count("*").alias("n"))
     sums = counts.agg(F.sum("n").alias("all"), F.sum(F.least("n", F.lit(least))).alias("first"))
     quota = F.col("first_n") + F.floor(F.greatest(F.lit(total) - F.col("first"), F.lit(0)) * F.col("n") / F.col("all"))
@@ -134,6 +129,12 @@ def term_groups(docs: DataFrame, key: str, text: str, groups: dict[str, list[str
     return first_by_mark(hits, ["matched_group"], key, quotas).groupBy(key).agg(F.min("matched_group").alias("matched_group"))
 
 
+def _like_columns(rows: DataFrame, terms: list[str] | DataFrame, columns: list[str], key: str, least: float) -> DataFrame:
+    """key, tw_column, search_term: the columns of each row that are partly like a term; one scan for all terms and columns."""
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("tw_column"), F.col(c).cast("string").alias("tw_text")) for c in columns)))
+    return partly_like(rows.select(key, each.alias("e")).select(key, "e.*"), "tw_text", terms, least).select(key, "tw_column", "search_term")
+
+
 def matched_columns(rows: DataFrame, term: str, columns: list[str], least: float = 80.0) -> DataFrame:
     """Rows where a column is partly like a term, with search_term and the matched columns."""
     hit = lambda c: F.when(partial_similarity(F.lit(term.lower()), F.lower(F.coalesce(F.col(c), F.lit("")))) >= least, F.lit(c))
@@ -141,10 +142,9 @@ def matched_columns(rows: DataFrame, term: str, columns: list[str], least: float
     return rows.withColumn("matched", found).where(F.size("matched") > 0).withColumn("search_term", F.lit(term))
 
 
-def matched_columns_multi(rows: DataFrame, terms: list[str], columns: list[str], key: str, least: float = 80.0) -> DataFrame:
-    """One row a key: the first of each column, the sorted terms, the set of matched columns."""
-    parts = [matched_columns(rows, t, columns, least) for t in terms]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy(key).agg(*(F.min(c).alias(c) for c in columns), F.array_join(F.sort_array(F.collect_set("search_term")), ", ").alias("search_terms"), F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list("matched")))), ", ").alias("matched"))
+def matched_columns_multi(rows: DataFrame, terms: list[str] | DataFrame, columns: list[str], key: str, least: float = 80.0) -> DataFrame:
+    """One row a key: the least of each column over the key's matched rows, the sorted terms, the set of matched columns."""
+    carried = F.struct(*(F.col(c).cast("string").alias(c) for c in columns)).alias("tw_row")
+    found = _like_columns(rows.select(F.struct(F.col(key).alias("key"), carried).alias("tw_key"), *columns), terms, columns, "tw_key", least)
+    joined = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ", ")
+    return found.groupBy(F.col("tw_key.key").alias(key)).agg(*(F.min(f"tw_key.tw_row.{c}").alias(c) for c in columns), joined("search_term").alias("search_terms"), joined("tw_column").alias("matched"))
