@@ -36,13 +36,16 @@ SSN_PARTS = (898, 99 * 9999)
 #: Country codes by length; all that follow neither are three digits long.
 COUNTRY = r"^(1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
 
+#: Up to four digits of a phone, with a separator and brackets. It keeps the digits that it has taken, so that a run of digits
+#: is cut in one way only and long runs fail at once. A phone has ten such groups at most, and three digits or more.
+_GROUP = r"(?:[ .-]?\(?\d{1,4}+\)?)"
 _PATTERNS = {
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "iso": r"(?<![\d-])\d{4}-\d{2}-\d{2}(?![\d-])",
     "day_first": r"(?<![\d./])\d{2}([./])\d{2}\1\d{4}(?![\d/])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ipv4": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)",
-    "phone": r"\+\d(?:[ .-]?\(?\d{1,4}\)?){2,10}(?!\d)",
+    "phone": rf"\+\d(?:[ .-]?\(?\d{{2,4}}+\)?{_GROUP}{{0,9}}|[ .-]?\(?\d(?!\d)\)?{_GROUP}{{1,9}})(?!\d)",
     "card": r"(?<![\d+])(?:\d[ -]?){12,18}\d(?![\d])",
 }
 #: Group numbers don't carry over into the alternation, so the date's separator is spelled out there.
