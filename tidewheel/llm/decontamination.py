@@ -132,36 +132,67 @@ def split_words(text: bytes) -> list[bytes]:
     return [low[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
+class Places:
+    """A text's windows of one length, grouped by hash; a group's places are those that are equal to its first word by word."""
+
+    def __init__(self, words: np.ndarray, ids: np.ndarray, length: int):
+        self.ids, self.length = ids, length
+        grams = gram_hashes(words, length)
+        self.order = np.argsort(grams, kind="stable")
+        self.hashes, self.first = np.unique(grams[self.order], return_index=True)
+        self.found: dict[tuple, np.ndarray] = {}
+
+    def _equal(self, group: int, want: np.ndarray) -> np.ndarray:
+        last = self.first[group + 1] if group + 1 < len(self.first) else len(self.order)
+        at = self.order[self.first[group] : last]
+        same = np.ones(len(at), bool)
+        for k in range(self.length):
+            same &= self.ids[at + k] == want[k]
+        return at[same]
+
+    def of(self, hashes: np.ndarray, ids: np.ndarray) -> Iterator[tuple[bool, np.ndarray]]:
+        """(met before, places) of each window of an item (its hashes, its words' ids) that stands in the text, each distinct one once."""
+        own, where = np.unique(hashes, return_index=True)
+        group = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
+        for g, i in zip(group[self.hashes[group] == own].tolist(), where[self.hashes[group] == own].tolist()):
+            want = ids[i : i + self.length]
+            key = (g, *want.tolist())
+            known = key in self.found
+            if not known:
+                self.found[key] = self._equal(g, want)
+            if len(self.found[key]):
+                yield known, self.found[key]
+
+
 def extend(text: bytes, items: list[tuple]) -> tuple[int, np.ndarray, list]:
-    """Words, which of them are hit, and the ids of the (id, words) pairs with occurring windows. Hashes find places; words decide."""
+    """Words, which of them are hit, and the ids of the (id, words) pairs with occurring windows. Hashes find places; words decide.
+
+    A window is looked up once however often an item or a text repeats it, and its places are marked once for all items.
+    """
     data = np.frombuffer(text, np.uint8)
     starts, ends, _ = find_words(data, np.array([0, len(data)]))
     n, found = len(starts), []
     edge = np.zeros(n + 1, np.int64)
     if n:
         low, words = _LOWER[data].tobytes(), word_hashes(data, starts, ends)
-        grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        number: dict[bytes, int] = {}
+        ids = np.fromiter((number.setdefault(low[a:b], len(number)) for a, b in zip(starts.tolist(), ends.tolist())), np.int64, n)
+        places: dict[int, Places] = {}
         for item, item_words in items:
             length = min(WINDOW, len(item_words))
             if not length or length > n:
                 continue
-            if length not in grams:
-                g = gram_hashes(words, length)
-                grams[length] = (g, np.argsort(g, kind="stable"))
-            g, order = grams[length]
-            joined = b" ".join(item_words)
-            d = np.frombuffer(joined, np.uint8)
+            if length not in places:
+                places[length] = Places(words, ids, length)
+            d = np.frombuffer(b" ".join(item_words), np.uint8)
             s, e, _ = find_words(d, np.array([0, len(d)]))
-            own = gram_hashes(word_hashes(d, s, e), length)
-            lo, hi = np.searchsorted(g, own, "left", sorter=order), np.searchsorted(g, own, "right", sorter=order)
+            own = np.fromiter((number.get(w, -1) for w in item_words), np.int64, len(item_words))
             occurs = False
-            for i in np.flatnonzero(hi > lo).tolist():
-                want = item_words[i : i + length]
-                for p in order[lo[i] : hi[i]].tolist():
-                    if [low[a:b] for a, b in zip(starts[p : p + length].tolist(), ends[p : p + length].tolist())] == want:
-                        occurs = True
-                        edge[p] += 1
-                        edge[p + length] -= 1
+            for known, at in places[length].of(gram_hashes(word_hashes(d, s, e), length), own):
+                occurs = True
+                if not known:
+                    edge[at] += 1
+                    np.add.at(edge, at + length, -1)
             if occurs:
                 found.append(item)
     return n, np.cumsum(edge[:-1]) > 0, found
