@@ -5,7 +5,8 @@ component there. Vectors are put in order by their strongest terms, so that near
 into document-range blocks of BLOCK; about GROUP vectors make a group, which one task holds as a forward index.
 For each query the terms' maxima summed over a block bound every score in it; blocks are scored in falling
 order of their bound until it is below the k-th score. A query is first run over its own group, and the k-th
-score found there prunes the others. Queries go through the groups in chunks of CHUNK.
+score found there prunes the others: chunks of CHUNK queries meet the groups' maxima first, a row for each group, and only
+queries whose bound reaches their floor are shipped to a group.
 
 Vectors that are null, hold null or a non-finite component, or have no id take no part. Shorter vectors count
 as ending in zeros. Every row is a candidate and, if it is a query, a query of its own, also where ids repeat: it
@@ -26,10 +27,17 @@ from pyspark.sql import functions as F
 from tidewheel.llm.common import tasks, written
 
 BLOCK, GROUP, CHUNK, STEP = 32, 16_384, 256, 8
+#: Bytes of rows gathered at a time; groups whose bounds a task holds at a time.
+GATHER, SPAN = 32 << 20, 4096
 #: A score below all others.
 NONE = -(1 << 62)
 
 
+def upper(q: np.ndarray, top: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """The terms' maxima summed for each query and row of maxima: no score is higher there."""
+    return (np.maximum(q, 0) @ top.T + np.minimum(q, 0) @ low.T).astype(np.int64)
+
+
 class Group:
     """Vectors in order, with the maxima and minima of each block."""
 
@@ -44,6 +52,8 @@ class Group:
             self.rows[len(ids) :] = rows[-1]
         by_block = self.rows.reshape(self.blocks, BLOCK, -1)
         self.top, self.low = by_block.max(axis=1), by_block.min(axis=1)
+        self.most = float(np.abs(self.rows).max(initial=0))
+        self.doubles = self.rows.astype(np.float64) if self.most * self.most * self.rows.shape[1] < 2**53 else None
 
     def search(self, rows: np.ndarray, floors: np.ndarray, k: int, own_at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query number, id, score) of each query's k best here with at least its floor.
@@ -51,10 +61,11 @@ class Group:
         own_at: where in this group each query's own row stands, which is left out.
         """
         least = NONE
-        exact = np.abs(rows).max(initial=0) * float(np.abs(self.rows).max(initial=0)) * rows.shape[1] < 2**53
+        exact = np.abs(rows).max(initial=0) * self.most * rows.shape[1] < 2**53
         kind = np.float64 if exact else np.int64  # doubles add up such integers exactly
-        q, own = rows.astype(kind), self.rows.astype(kind)
-        bounds = (np.maximum(q, 0) @ self.top.astype(kind).T + np.minimum(q, 0) @ self.low.astype(kind).T).astype(np.int64)
+        q = rows.astype(kind)
+        own = self.doubles if exact and self.doubles is not None else self.rows.astype(kind)
+        bounds = upper(q, self.top.astype(kind), self.low.astype(kind))
         order = np.argsort(-bounds, axis=1, kind="stable")
         best, best_ids = np.full((len(q), k), least), np.full((len(q), k), np.iinfo(np.int64).max)
         live, within = np.arange(len(q)), np.arange(BLOCK)
@@ -64,14 +75,15 @@ class Group:
             live = live[bounds[live, order[live, at]] >= bar]
             if not len(live):
                 break
-            at_rows = (order[live, at : at + STEP, None] * BLOCK + within).reshape(len(live), -1)
-            scores = (own[at_rows] @ q[live][:, :, None])[:, :, 0].astype(np.int64)
-            found = self.ids[at_rows]
-            scores[~self.real[at_rows] | (at_rows == own_at[live][:, None]) | (scores < floors[live][:, None])] = least
-            scores, found = np.concatenate([best[live], scores], axis=1), np.concatenate([best_ids[live], found], axis=1)
-            found[scores == least] = np.iinfo(np.int64).max
-            pick = np.lexsort((found, -scores), axis=1)[:, :k]
-            best[live], best_ids[live] = np.take_along_axis(scores, pick, 1), np.take_along_axis(found, pick, 1)
+            for own_live in np.array_split(live, max(1, -(-len(live) * STEP * BLOCK * q.shape[1] * 8 // GATHER))):
+                at_rows = (order[own_live, at : at + STEP, None] * BLOCK + within).reshape(len(own_live), -1)
+                scores = (own[at_rows] @ q[own_live][:, :, None])[:, :, 0].astype(np.int64)
+                found = self.ids[at_rows]
+                scores[~self.real[at_rows] | (at_rows == own_at[own_live][:, None]) | (scores < floors[own_live][:, None])] = least
+                scores, found = np.concatenate([best[own_live], scores], axis=1), np.concatenate([best_ids[own_live], found], axis=1)
+                found[scores == least] = np.iinfo(np.int64).max
+                pick = np.lexsort((found, -scores), axis=1)[:, :k]
+                best[own_live], best_ids[own_live] = np.take_along_axis(scores, pick, 1), np.take_along_axis(found, pick, 1)
         which, col = np.nonzero(best != least)
         return which, best_ids[which, col], best[which, col]
 
@@ -94,7 +106,7 @@ def _rows(kinds: list[int], **columns: list) -> pa.RecordBatch:
 
 def _groups(width: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows in order -> kind 0: a group; 1: a chunk of its queries with their floors; 2: what they find in it.
+        """Rows in order -> kind 0: a group; 3: its terms' maxima; 1: a chunk of its queries with their floors; 2: what they find in it.
 
         A query's number is its group's part and its place there, so rows of one id stay apart. ids of a chunk: pairs (id, number).
         """
@@ -107,6 +119,7 @@ def _groups(width: int, k: int):
             ids, rows, query = (np.concatenate(x) for x in zip(*held))
             part, made, held, n = task * 65_536 + made, made + 1, [], 0
             yield _rows([0], part=[part], ids=[_pack(ids)], data=[_pack(rows)])
+            yield _rows([3], part=[part], data=[_pack(np.stack([rows.max(axis=0), rows.min(axis=0)]))])
             group, asked = Group(ids, rows), np.flatnonzero(query)
             for at in range(0, len(asked), CHUNK):
                 own = asked[at : at + CHUNK]
@@ -137,28 +150,75 @@ def _groups(width: int, k: int):
     return run
 
 
+_ASKED = "part long, own long, ids binary, data binary, floors binary"
+
+
+def _ask(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by (span, lane, bounds first): the maxima of the span's groups, then chunks -> for each group those of a chunk's
+        queries whose bound there reaches their floor."""
+        now, parts, bounds, stacked = None, [], [], None
+        for batch in batches:
+            span, kind, part, lane = (batch.column(c).to_pylist() for c in (0, 1, 2, 6))
+            for i in range(batch.num_rows):
+                if (span[i], lane[i]) != now:
+                    now, parts, bounds, stacked = (span[i], lane[i]), [], [], None
+                data = _ints(batch.column(4)[i].as_py()).reshape(-1, width)
+                if kind[i] == 3:
+                    parts.append(part[i])
+                    bounds.append(data)
+                    continue
+                if not parts:
+                    continue
+                if stacked is None:
+                    stacked = np.stack(bounds)
+                floors, ids = _ints(batch.column(5)[i].as_py()), _ints(batch.column(3)[i].as_py()).reshape(-1, 2)
+                most = float(np.abs(data).max(initial=0)) * float(np.abs(stacked).max(initial=0)) * width
+                of = np.float64 if most < 2**53 else np.int64
+                reach = upper(data.astype(of), stacked[:, 0].astype(of), stacked[:, 1].astype(of)) >= floors[:, None]
+                for g in np.flatnonzero(reach.any(axis=0)).tolist():
+                    if parts[g] != part[i]:
+                        own = reach[:, g]
+                        yield pa.RecordBatch.from_arrays([pa.array([parts[g]]), pa.array([part[i]]), *(pa.array([_pack(x[own])]) for x in (ids, data, floors))], ["part", "own", "ids", "data", "floors"])
+
+    return run
+
+
 def _search(width: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by (to, kind): the groups of one range (one, or a few if it came out long), then the chunks run over them."""
-        now, groups = None, {}
+        """Rows sorted by (part, kind): a group, then the queries that may find something in it."""
+        now, group = None, None
         for batch in batches:
-            to, kind, part = (batch.column(c).to_pylist() for c in range(3))
+            part, kind = (batch.column(c).to_pylist() for c in range(2))
             for i in range(batch.num_rows):
-                if to[i] != now:
-                    now, groups = to[i], {}
-                ids, data = _ints(batch.column(3)[i].as_py()), _ints(batch.column(4)[i].as_py()).reshape(-1, width)
+                ids, data = _ints(batch.column(2)[i].as_py()), _ints(batch.column(3)[i].as_py()).reshape(-1, width)
                 if kind[i] == 0:
-                    groups[part[i]] = Group(ids, data)
+                    now, group = part[i], Group(ids, data)
                     continue
-                floors, ids = _ints(batch.column(5)[i].as_py()), ids.reshape(-1, 2)
-                for own, group in groups.items():
-                    which, vec, score = group.search(data, floors, k) if own != part[i] else ((), (), ())
-                    if len(which):
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[which, 1]), pa.array(ids[which, 0]), pa.array(vec), pa.array(score)], ["query", "query_id", "vec_id", "score"])
+                if part[i] != now:
+                    raise RuntimeError("queries without their group")
+                ids = ids.reshape(-1, 2)
+                which, vec, score = group.search(data, _ints(batch.column(4)[i].as_py()), k)
+                if len(which):
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[which, 1]), pa.array(ids[which, 0]), pa.array(vec), pa.array(score)], ["query", "query_id", "vec_id", "score"])
 
     return run
 
 
+def asked_of(made: DataFrame, width: int) -> DataFrame:
+    """part, own, ids, data, floors: for each group the queries of other groups that may find something there. Chunks of queries
+    meet the groups' maxima, a row for each group, SPAN of them at a time; groups are not shipped for that, nor queries to groups in vain."""
+    bounds = made.where("kind = 3")
+    spans, n = max(1, -(-bounds.count() // SPAN)), tasks(made.sparkSession)
+    lanes = max(1, n // spans)  # a span's maxima go to each task that takes some of the chunks
+    known = bounds.withColumn("span", F.pmod(F.xxhash64("part"), F.lit(spans)).cast("int")).withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
+    chunk = made.where("kind = 1").withColumn("lane", F.pmod(F.xxhash64("part", "ids"), F.lit(lanes)).cast("int"))
+    chunk = chunk.withColumn("span", F.explode(F.sequence(F.lit(0), F.lit(spans - 1))))
+    columns = ("span", "kind", "part", "ids", "data", "floors", "lane")
+    dealt = known.select(*columns).unionByName(chunk.select(*columns)).repartition(n, "span", "lane").sortWithinPartitions("span", "lane", F.desc("kind"))
+    return dealt.mapInArrow(_ask(width), _ASKED)
+
+
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, k: int = 5) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's k largest inner products of floor(scale * x) with other rows.
 
@@ -182,11 +242,9 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     ordered = ints.withColumn("order", strongest).withColumn("row", F.monotonically_increasing_id())  # of a written table, so it lasts
     ordered = ordered.repartitionByRange(parts, "order", "id", "row").sortWithinPartitions("order", "id", "row").select("id", "v", "query")
     made = written(ordered.mapInArrow(_groups(width, k), _ROWS), "groups")
-    # every chunk of queries is run over every other group: blocks of queries against blocks of rows
-    columns = ("to", "kind", "part", "ids", "data", "floors")
-    groups = made.where("kind = 0").withColumn("to", F.shiftright("part", 16)).select(*columns)
-    asked = made.where("kind = 1").withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).select(*columns)
-    dealt = groups.unionByName(asked).repartition(parts, "to").sortWithinPartitions("to", "kind")
+    asked = asked_of(made, width).select("part", F.lit(1).alias("kind"), "ids", "data", "floors")
+    groups = made.where("kind = 0").select("part", F.lit(0).alias("kind"), "ids", "data", "floors")
+    dealt = groups.unionByName(asked).repartition(max(parts, tasks(spark)), "part").sortWithinPartitions("part", "kind")
     others = dealt.mapInArrow(_search(width, k), "query long, query_id long, vec_id long, score long")
     all_ = made.where("kind = 2").select("query", "query_id", "vec_id", "score").unionByName(others)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
