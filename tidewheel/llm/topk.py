@@ -75,7 +75,7 @@ class Group:
             live = live[bounds[live, order[live, at]] >= bar]
             if not len(live):
                 break
-            for own_live in np.array_split(live, max(1, -(-len(live) * STEP * BLOCK * q.shape[1] * 8 // GATHER))):
+            for own_live in np.array_split(live, min(len(live), max(1, -(-len(live) * STEP * BLOCK * q.shape[1] * 8 // GATHER)))):
                 at_rows = (order[own_live, at : at + STEP, None] * BLOCK + within).reshape(len(own_live), -1)
                 scores = (own[at_rows] @ q[own_live][:, :, None])[:, :, 0].astype(np.int64)
                 found = self.ids[at_rows]
