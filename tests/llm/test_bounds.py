@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewheel.llm import decontamination, pii, topk
+from tidewheel.llm import decontamination, pii, suffix_dedup, topk
 from tidewheel.llm.common import written
 
 #: What a phone is, with groups that may be cut in any way; the library's pattern cuts them in one.
@@ -95,3 +95,54 @@ def test_gathers_are_cut(monkeypatch):
     monkeypatch.setattr(topk, "GATHER", 1)
     cut = topk.Group(np.arange(300), rows).search(rows[:40], np.full(40, topk.NONE), 5, np.arange(40))
     assert all(np.array_equal(a, b) for a, b in zip(whole, cut))
+
+
+# --- op7: hot cores -----------------------------------------------------------------------------------
+
+
+def cut(rows):
+    """(id, bytes, removed, spans, kept) by brute force; ids are distinct, None is the smallest."""
+    seen, out, n = set(), [], suffix_dedup.LENGTH
+    for id_, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        b = (text or "").encode()
+        gone = np.zeros(len(b), bool)
+        for s in range(len(b) - n + 1):
+            if b[s : s + n] in seen:
+                gone[s : s + n] = True
+            seen.add(b[s : s + n])
+        edge = np.diff(np.concatenate([[0], gone.astype(int), [0]]))
+        out.append((str(id_), len(b), int(gone.sum()), int((edge == 1).sum()), bytes(np.frombuffer(b, np.uint8)[~gone])))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("hot", [1, 6, 40])
+def test_hot_cores_against_brute_force(spark, monkeypatch, hot):
+    """Passages of 70 to 300 bytes in many surroundings, copies, a text that repeats itself; most cores are hot with 1."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    r = random.Random(11)
+    say = lambda n: "".join(r.choice("abcdefghijklmnopqrst ") for _ in range(n))
+    shared = [say(n) for n in (70, 80, 99, 100, 120, 300)]
+    texts = [say(r.randint(0, 90)) + r.choice(shared) + say(r.randint(0, 90)) + r.choice(shared) + say(5) for _ in range(120)]
+    texts += [texts[3]] * 4 + ["ab" * 400, say(400) * 2, None, "", shared[5], "x" * 350]
+    rows = list(enumerate(texts)) + [(None, texts[5])]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted((str(x["doc_id"]), x["tw_bytes"], x["tw_removed"], x["tw_spans"], bytes(x["tw_kept"])) for x in got) == cut(rows)
+
+
+def test_a_line_in_all_documents_is_not_one_tasks(spark):
+    """20,000 documents share an 80-byte line, so its cores have 20,000 different segments each: no bucket gets them."""
+    line = "This line of eighty bytes, neither more nor less, is found in every document ok."
+    assert len(line) == 80
+    noise = lambda seed: F.concat(*(F.sha2(F.concat(F.lit(f"{seed}{k} "), F.col("id").cast("string")), 256) for k in range(3)))
+    docs = spark.range(20_000).select(F.col("id").alias("number"), F.lit(0).cast("long").alias("own_row"), F.concat(noise("a"), F.lit(line), noise("b")).alias("own_text")).repartition(8)
+    counts = docs.mapInArrow(suffix_dedup._crowds, "core long, n long").groupBy("core").agg(F.sum("n").alias("n")).where("n > 1000").collect()
+    hot = np.sort(np.array([x["core"] for x in counts], np.int64).view(np.uint64))
+    assert 1 <= len(hot) < 100 and max(x["n"] for x in counts) > 10_000
+
+    def sizes(hot):
+        dealt = docs.mapInArrow(suffix_dedup._collect(64, hot), suffix_dedup._DEALT).where("kind <> 1")
+        return [x["size"] for x in dealt.groupBy("bucket").agg(F.sum(F.octet_length("data")).alias("size")).collect()]
+
+    even, uneven = sizes(hot), sizes(hot[:0])
+    assert max(uneven) > 4 * sum(uneven) / len(uneven)  # what it was
+    assert len(even) == 64 and max(even) < 2 * sum(even) / len(even)

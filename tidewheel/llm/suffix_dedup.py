@@ -15,8 +15,10 @@ segments of equal core (the anchor with its HALF bytes), so segments meet by cor
    other. A letter of these transforms is STEP bytes (the STEP bytes before a suffix), so a round of refinement settles
    STEP more bytes of common prefix, and LENGTH bytes take LENGTH / STEP rounds. A block of places that no round has
    split by then is a repeated interval: its common prefix is LENGTH or more. Bytes are compared before any is removed.
-4. A core with more than CROWD different segments (the edge of a passage in very many documents) does not go to one
-   task: its strings are taken one by one, by a 128-bit hash, over all tasks, with step 2's folding before the shuffle.
+4. A core with more than CROWD different segments (the edge of a passage in very many documents) is not merged: its
+   strings are taken one by one, by a 128-bit hash, over all tasks, with step 2's folding before the shuffle. Cores that
+   may have more than HOT are found by a count before anything is dealt; their segments are never sent anywhere, only
+   their strings, so no task gets a core's segments from all documents.
 
 Matches are judged on the input and never cross documents. Null text is empty. An earlier start is one in a smaller
 id, or before it in the same text; ids are whole numbers, null ids come first; rows of equal id go by their text's
@@ -47,6 +49,8 @@ HALF = (LENGTH - GRAM) // 2
 PIECE, BUCKET, SHARD = 1 << 20, 16 << 20, 64 << 10
 #: Different segments of one core up to which they meet in one task.
 CROWD = 500
+#: Segments of one core, over all tasks, above which they don't meet at all.
+HOT = 20_000
 _BASE, _OTHER = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _LOW = (1 << 24) - 1
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -167,8 +171,8 @@ def _cuts(found: np.ndarray) -> pa.RecordBatch:
     return _dealt(bucket, np.full(len(first), 1), found["id"][first], found["row"][first], data)
 
 
-def _packed(found: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """kind 0: each bucket's records, and kind 1: copies, which are to be removed already."""
+def _packed(found: np.ndarray, buckets: int, kind: int = 0) -> Iterator[pa.RecordBatch]:
+    """Each bucket's records, and kind 1: copies, which are to be removed already."""
     first, again = drop_copies(found)
     if len(again):
         yield _cuts(again)
@@ -178,14 +182,14 @@ def _packed(found: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
         to = to[order]
         cut = np.flatnonzero(np.diff(to)) + 1
         parts = np.split(first[order], cut)
-        yield _dealt(to[np.concatenate([[0], cut])], [0] * len(parts), [None] * len(parts), [None] * len(parts), [p.tobytes() for p in parts])
+        yield _dealt(to[np.concatenate([[0], cut])], [kind] * len(parts), [None] * len(parts), [None] * len(parts), [p.tobytes() for p in parts])
 
 
 class _Held:
     """Records gathered until there are enough to be packed."""
 
-    def __init__(self, buckets: int):
-        self.buckets, self.parts, self.n = buckets, [], 0
+    def __init__(self, buckets: int, kind: int = 0):
+        self.buckets, self.kind, self.parts, self.n = buckets, kind, [], 0
 
     def add(self, found: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.parts.append(found)
@@ -196,33 +200,83 @@ class _Held:
     def done(self) -> Iterator[pa.RecordBatch]:
         if self.parts:
             found, self.parts, self.n = np.concatenate(self.parts), [], 0
-            yield from _packed(found, self.buckets)
+            yield from _packed(found, self.buckets, self.kind)
 
 
-def _collect(buckets: int):
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Documents -> (bytes, records of their segments, each segment's first start in these bytes), piece by piece."""
+    for batch in batches:
+        offs, raw = buffers(batch.column(2))
+        ids, rows = (batch.column(k).fill_null(_NO_ID).to_numpy(zero_copy_only=False) for k in (0, 1))
+        for a, b in chunks(offs, PIECE):
+            own = offs[a : b + 1]
+            for at in range(int(own[0]), max(int(own[-1]), int(own[0]) + 1), PIECE + (b - a > 1) * PIECE):  # one piece, but for long texts
+                to = min(int(own[-1]), at + PIECE + (b - a > 1) * PIECE + LENGTH - 1)
+                data = raw[at:to]
+                text = np.searchsorted(own, np.arange(at, to), side="right") - 1 if b - a > 1 else np.zeros(to - at, np.int64)
+                out = find_segments(data, np.minimum(own[1:], to)[text] - at)
+                here = out["lo"].astype(np.int64)
+                doc = text[here]
+                out["id"], out["row"] = ids[a + doc], rows[a + doc]
+                out["lo"] += (at - own[:-1][doc]).astype(np.int64).astype(np.uint32)  # modulo 2**32, as places in a text are below it
+                yield data, out, here
+
+
+def _crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents -> (core, n): cores with several different segments among a million records, and how many."""
+    held, n = [], 0
+
+    def counted():
+        keys = np.unique(np.concatenate(held))
+        new = np.ones(len(keys), bool)
+        new[1:] = keys["core"][1:] != keys["core"][:-1]
+        first = np.flatnonzero(new)
+        size = np.diff(np.append(first, len(keys)))
+        several = size > 1
+        return pa.RecordBatch.from_arrays([pa.array(keys["core"][first][several].view(np.int64)), pa.array(size[several])], ["core", "n"])
+
+    for _, out, _ in _pieces(batches):
+        held.append(np.unique(out[["core", "segment"]].astype([("core", "<u8"), ("segment", "<u8")])))
+        n += len(held[-1])
+        if n > 1 << 20:
+            yield counted()
+            held, n = [], 0
+    if held:
+        yield counted()
+
+
+def _all_starts(lo: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """Every start of segments, each once."""
+    n = more.astype(np.int64) + 1
+    return np.unique(np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum()))
+
+
+def _collect(buckets: int, hot: np.ndarray = np.zeros(0, np.uint64)):
+    """hot: the cores, in order, whose strings are taken one by one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents -> kind 0: a bucket's records; kind 1: what is to be removed already."""
-        held = _Held(buckets)
-        for batch in batches:
-            offs, raw = buffers(batch.column(2))
-            ids, rows = (batch.column(k).fill_null(_NO_ID).to_numpy(zero_copy_only=False) for k in (0, 1))
-            for a, b in chunks(offs, PIECE):
-                own = offs[a : b + 1]
-                for at in range(int(own[0]), max(int(own[-1]), int(own[0]) + 1), PIECE + (b - a > 1) * PIECE):  # one piece, but for long texts
-                    to = min(int(own[-1]), at + PIECE + (b - a > 1) * PIECE + LENGTH - 1)
-                    data = raw[at:to]
-                    text = np.searchsorted(own, np.arange(at, to), side="right") - 1 if b - a > 1 else np.zeros(to - at, np.int64)
-                    out = find_segments(data, np.minimum(own[1:], to)[text] - at)
-                    doc = text[out["lo"]]
-                    out["id"], out["row"] = ids[a + doc], rows[a + doc]
-                    out["lo"] += (at - own[:-1][doc]).astype(np.int64).astype(np.uint32)  # modulo 2**32, as places in a text are below it
-                    if len(out) > 1 << 18:  # a long text that repeats itself has a segment for every byte
-                        first, again = drop_copies(out)
-                        if len(again):
-                            yield _cuts(again)
-                        out = first
-                    yield from held.add(out)
+        """Documents -> kind 0: a bucket's segments; kind 4: its strings of hot cores; kind 1: what is to be removed already."""
+        held, strings = _Held(buckets), _Held(buckets, 4)
+        for data, out, here in _pieces(batches):
+            if len(hot):
+                own = hot[np.minimum(np.searchsorted(hot, out["core"]), len(hot) - 1)] == out["core"]
+                if own.any():
+                    for id_, row in {(x["id"].item(), x["row"].item()) for x in out[own][["id", "row"]]}:
+                        mine = own & (out["id"] == id_) & (out["row"] == row)
+                        starts = _all_starts(here[mine], out["more"][mine])
+                        shift = int(out["lo"][mine][0]) - int(here[mine][0])
+                        found = string_records(data[starts[0] : starts[-1] + LENGTH], starts - starts[0])
+                        found["id"], found["row"], found["lo"] = id_, row, starts + shift
+                        yield from strings.add(found)
+                    out = out[~own]
+            if len(out) > 1 << 18:  # a long text that repeats itself has a segment for every byte
+                first, again = drop_copies(out)
+                if len(again):
+                    yield _cuts(again)
+                out = first
+            yield from held.add(out)
         yield from held.done()
+        yield from strings.done()
 
     return run
 
@@ -230,9 +284,16 @@ def _collect(buckets: int):
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket -> kind 1: removed; one document's records whose cores have several segments: kind 2, or
     kind 3 where there are more than CROWD."""
-    now, held = None, []
+    now, held, strings = None, [], []
 
     def done():
+        if strings:
+            _, again = drop_copies(np.concatenate([np.frombuffer(x, RECORD) for x in strings]))
+            strings.clear()
+            if len(again):
+                yield _cuts(again)
+        if not held:
+            return
         found = np.concatenate([np.frombuffer(x, RECORD) for x in held])
         held.clear()
         first, again = drop_copies(found)
@@ -252,13 +313,12 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = np.flatnonzero(kind == 1)
         if len(ready):
             yield batch.take(pa.array(ready))
-        for i in np.flatnonzero(kind == 0).tolist():
-            if held and bucket[i] != now:
+        for i in np.flatnonzero(kind != 1).tolist():
+            if bucket[i] != now:
                 yield from done()
             now = int(bucket[i])
-            held.append(batch.column(4)[i].as_py())
-    if held:
-        yield from done()
+            (strings if kind[i] == 4 else held).append(batch.column(4)[i].as_py())
+    yield from done()
 
 
 # --- shards and their merge -------------------------------------------------------------------------
@@ -372,8 +432,7 @@ def _segments(buckets: int):
                     yield _dealt([part["bucket"]] * len(data), [2] * len(data), [own] * len(data), [rows] * len(data), data)
                 if crowded:
                     found = np.concatenate(crowded)
-                    n = found["more"].astype(np.int64) + 1
-                    starts = np.unique(np.repeat(found["lo"].astype(np.int64) - np.cumsum(n) + n, n) + np.arange(n.sum()))
+                    starts = _all_starts(found["lo"].astype(np.int64), found["more"])
                     for at in range(0, len(starts), 1 << 18):
                         some = starts[at : at + (1 << 18)]
                         a, b = int(some[0]), int(some[-1]) + LENGTH
@@ -476,7 +535,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     wide = docs.select(number.alias("number"), row.alias("own_row"), F.col(text_col).alias("own_text"), *(F.col(c).alias(f"c{i}") for i, c in enumerate(own)))
     size = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
     buckets = max(2 * tasks(spark), -(-size // BUCKET))  # a task each
-    found = wide.select("number", "own_row", "own_text").mapInArrow(_collect(buckets), _DEALT)
+    narrow = wide.select("number", "own_row", "own_text")
+    counts = narrow.mapInArrow(_crowds, "core long, n long").groupBy("core").agg(F.sum("n").alias("n")).where(F.col("n") > HOT)
+    hot = np.sort(np.array([r[0] for r in counts.select("core").collect()], np.int64).view(np.uint64))  # fewer than all records over HOT
+    found = narrow.mapInArrow(_collect(buckets, hot), _DEALT)
     first = written(found.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(_resolve, _DEALT), "repeats")
     same = lambda a, b: (a["number"] == b["id"]) & (a["own_row"] == b["row"])
     several = first.where("kind >= 2").groupBy("id", "row").agg(F.collect_list(F.struct("kind", "bucket", "data")).alias("parts"))
