@@ -227,17 +227,21 @@ def _crowds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, n = [], 0
 
     def counted():
-        keys = np.unique(np.concatenate(held))
-        new = np.ones(len(keys), bool)
-        new[1:] = keys["core"][1:] != keys["core"][:-1]
-        first = np.flatnonzero(new)
-        size = np.diff(np.append(first, len(keys)))
-        several = size > 1
-        return pa.RecordBatch.from_arrays([pa.array(keys["core"][first][several].view(np.int64)), pa.array(size[several])], ["core", "n"])
+        core, segment = (np.concatenate(x) for x in zip(*held))
+        order = np.sort(core)
+        often = order[1:][order[1:] == order[:-1]]  # in order; most cores occur once and are let go here
+        some = np.flatnonzero(often[np.minimum(np.searchsorted(often, core), max(len(often) - 1, 0))] == core) if len(often) else np.zeros(0, np.int64)
+        core, segment = core[some], segment[some]
+        order = np.lexsort((segment, core))
+        core, segment = core[order], segment[order]
+        new = np.ones(len(core), bool)
+        new[1:] = (core[1:] != core[:-1]) | (segment[1:] != segment[:-1])
+        names, size = np.unique(core[new], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(names[size > 1].view(np.int64)), pa.array(size[size > 1])], ["core", "n"])
 
     for _, out, _ in _pieces(batches):
-        held.append(np.unique(out[["core", "segment"]].astype([("core", "<u8"), ("segment", "<u8")])))
-        n += len(held[-1])
+        held.append((out["core"].copy(), out["segment"].copy()))
+        n += len(out)
         if n > 1 << 20:
             yield counted()
             held, n = [], 0
