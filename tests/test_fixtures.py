@@ -51,7 +51,7 @@ def test_spec_bounds():
     clamped = RunSpec(start=date(2021, 1, 1), span=Span(days=10), global_start=date(2021, 1, 9), global_end=date(2021, 1, 5))
     assert (clamped.global_start, clamped.global_end) == (date(2021, 1, 5), date(2021, 1, 9)) and clamped.starts()[0] == date(2021, 1, 5)
     assert RunSpec(start=date(2021, 1, 1), span=Span(days=1), global_start=date(2022, 1, 1)).starts() == []
-    assert len(RunSpec(start=date(1995, 1, 1), span=Span(years=100)).starts()) == 10_000
+    assert len(RunSpec(start=date(1995, 1, 1), span=Span(years=100)).starts()) == 36_526  # no day is left out
     with pytest.raises(ValueError):
         RunSpec(start=date(2021, 1, 1), span=Span(days=1), step=Span())
     with pytest.raises(ValueError):

@@ -22,6 +22,14 @@ def near_token(text: Column, word: str, distance: int = 2) -> Column:
     return F.exists(tokens(text), lambda t: F.levenshtein(t, F.lit(word.lower()), distance) >= 0)
 
 
+def near_in_any(fields: list[Column], word: str, distance: int = 2) -> Column:
+    """Some token of some field is within an edit distance of word; null fields hold none."""
+    out = F.lit(False)
+    for f in fields:
+        out = out | F.coalesce(near_token(f.cast("string"), word, distance), F.lit(False))
+    return out
+
+
 def near_phrase(text: Column, phrase: str, slop: int = 1, distance: int = 1) -> Column:
     """The phrase's words occur in order, each within an edit distance, with at most slop other tokens between.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewheel.operators.cohort import drawn
+
 #: Endings of feature names that are kept.
 SUFFIXES = (
     "_count_subject_present_mrc_cs", "_count_subject_present", "_days-since-last-diagnostic-order", "_days-between-first-last-diagnostic", "_days-between-first-last-drug",
@@ -95,8 +97,10 @@ def positions(rows: DataFrame, key: str, text: str, label: str, pattern: str) ->
     return out.select(key, F.lit(label).alias("label"), "text", start.alias("start"), (start + F.length("text")).alias("end"))
 
 
-def report(rows: DataFrame, key: str, text: str, rules: dict[str, str] = RULES) -> DataFrame:
-    """label, texts, entities, per_text: how many texts hold a kind, how many of it there are, and how many a text."""
+def report(rows: DataFrame, key: str, text: str, rules: dict[str, str] = RULES, sample: int | None = None, seed: int = 42) -> DataFrame:
+    """label, texts, entities, per_text: how many texts hold a kind, how many of it there are, and how many a text; over a
+    sample of so many rows, drawn by a hash of seed and key, if asked for."""
     t = F.coalesce(F.col(text), F.lit(""))
+    rows = rows if sample is None else drawn(rows, key, sample, seed)
     counts = rows.select(F.explode(F.array(*(F.struct(F.lit(k).alias("label"), F.regexp_count(t, F.lit(p)).alias("n")) for k, p in rules.items()))).alias("c")).select("c.*")
     return counts.groupBy("label").agg(F.count_if(F.col("n") > 0).alias("texts"), F.sum("n").alias("entities"), F.avg("n").alias("per_text"))

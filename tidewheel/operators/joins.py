@@ -79,10 +79,26 @@ def human_labels(annotations: DataFrame, labels: DataFrame, window: int, label:
     return a.join(b, (a["tw_near"] == b["tw_near"]) & (a["source_value"] == b["tw_value"])).drop("tw_near", "tw_value")
 
 
-def first_rows_differ(a: DataFrame, b: DataFrame, column: str, ts: str, tie: str) -> DataFrame:
-    """client_id, a, b: clients whose first rows in two results have different texts."""
-    first = lambda rows, name: rows.groupBy("client_id").agg(F.min_by(column, F.struct(ts, tie)).alias(name))
-    return first(a, "a").join(first(b, "b"), "client_id").where(~F.col("a").eqNullSafe(F.col("b")))
+def first_rows_differ(results: dict[str, DataFrame], column: str, ts: str, tie: str) -> DataFrame:
+    """client_id and a column for each result: the texts of clients' first rows, where those of two results differ. Clients
+    that a result lacks are compared over the others."""
+    long = None
+    for name, rows in results.items():
+        own = rows.select("client_id", F.lit(name).alias("tw_name"), F.struct(F.col(ts), F.col(tie)).alias("tw_at"), F.col(column).alias("tw_text"))
+        long = own if long is None else long.unionByName(own)
+    firsts = long.groupBy("client_id").agg(*(F.min_by(F.struct("tw_text"), F.when(F.col("tw_name") == n, F.col("tw_at"))).alias(n) for n in results))
+    texts = F.array_compact(F.array(*(F.col(n) for n in results)))
+    return firsts.where(F.size(F.array_distinct(texts)) > 1).select("client_id", *(F.col(f"{n}.tw_text").alias(n) for n in results))
+
+
+def ner_results(fp: DataFrame, fn: DataFrame, tp: DataFrame, key: str, counts: DataFrame | None = None) -> DataFrame:
+    """key, fp, fn, tp, precision, recall, f1 and count by concept, from tables (key, value) of the three kinds and of how
+    often it occurs; what a concept lacks is null, and counts as 0 in the ratios."""
+    parts = {"fp": fp, "fn": fn, "tp": tp} | ({"count": counts} if counts is not None else {})
+    m, z = merge_measures(parts, key), lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    ratio = lambda c: F.try_divide(z("tp"), z("tp") + z(c))
+    f1 = F.try_divide(2 * z("tp"), 2 * z("tp") + z("fp") + z("fn"))
+    return m.select(key, "fp", "fn", "tp", ratio("fp").alias("precision"), ratio("fn").alias("recall"), f1.alias("f1"), *(["count"] if counts is not None else []))
 
 
 def merge_measures(parts: dict[str, DataFrame], key: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.operators.carry import filled
@@ -74,18 +74,64 @@ def item_coverage(rows: DataFrame, item: str, key: str, top: int = 50) -> DataFr
     return g.join(F.broadcast(everyone)).select(F.col(item).alias("item"), "rows", (F.col("everyone") - F.col("have")).alias("lacking"))
 
 
-def profile(rows: DataFrame, columns: list[str], exact: bool = False) -> DataFrame:
-    """column, rows, nulls, distinct (approximate unless exact), low and high as text: one pass."""
+#: Items that a sketch of common values tracks, candidates taken from it, and its error as a share of rows times tracked items.
+TRACKED, CANDIDATES, SKETCH_ERROR = 10_000, 1000, 3.5
+
+
+def top_values(rows: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
+    """column, value (as text), n, place: each column's k most common values with exact counts, ties by the smaller value.
+
+    One pass sketches all columns (heavy hitters, mergeable), a second counts the candidates exactly. Where the sketch
+    can't vouch for the k-th one (a column of mostly different values), the column is counted whole.
+    """
+    text = {c: F.col(f"`{c}`").cast("string") for c in columns}
+    found = rows.agg(F.count("*").alias("rows"), *(F.expr(f"approx_top_k(cast(`{c}` as string), {CANDIDATES}, {TRACKED})").alias(f"top_{i}") for i, c in enumerate(columns))).first()
+    error = SKETCH_ERROR * found["rows"] / TRACKED
+    tops = {c: [(x["item"], x["count"]) for x in found[f"top_{i}"] or [] if x["item"] is not None] for i, c in enumerate(columns)}
+    tracked_all = found["rows"] <= TRACKED // 2
+    missing = {c: error + min(n for _, n in own) if len(own) >= CANDIDATES - 1 else 0 if tracked_all else error for c, own in tops.items()}  # what a value that is no candidate may reach
+    spark = rows.sparkSession
+    candidates = spark.createDataFrame([(c, v) for c, own in tops.items() for v, _ in own], "column string, value string")  # CANDIDATES a column
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), text[c].alias("value")) for c in columns))).alias("e")
+    counted = rows.select(each).select("e.*").join(F.broadcast(candidates), ["column", "value"]).groupBy("column", "value").agg(F.count("*").alias("n"))
+    place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("n"), "value"))
+    best = spark.createDataFrame(counted.withColumn("place", place).where(F.col("place") <= k).collect(), "column string, value string, n long, place int")  # k a column
+    kth = {r["column"]: r["n"] for r in best.groupBy("column").agg(F.min("n").alias("n")).collect()}
+    unsure = [c for c in missing if kth.get(c, 0) <= missing[c] and missing[c] > 0]
+    out = best.where(~F.col("column").isin(unsure)) if unsure else best
+    for c in unsure:
+        whole = rows.where(text[c].isNotNull()).groupBy(text[c].alias("value")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "value").limit(k)
+        whole = whole.select(F.lit(c).alias("column"), "value", "n").withColumn("place", place)
+        out = out.unionByName(whole)
+    return out
+
+
+def profile(rows: DataFrame, columns: list[str], exact: bool = False, top: int = 0) -> DataFrame:
+    """column, rows, nulls, distinct (approximate unless exact), low and high as text: one pass. With top, also the most
+    common values, as text (value:count, ...), which takes another pass or two."""
     of = lambda c: F.struct(F.lit(c).alias("column"), F.count("*").alias("rows"), F.count_if(F.col(c).isNull()).alias("nulls"), (F.count_distinct(c) if exact else F.approx_count_distinct(c)).alias("distinct"), F.min(F.col(c).cast("string")).alias("low"), F.max(F.col(c).cast("string")).alias("high"))
-    return rows.agg(F.array(*map(of, columns)).alias("all")).select(F.explode("all").alias("r")).select("r.*")
+    out = rows.agg(F.array(*map(of, columns)).alias("all")).select(F.explode("all").alias("r")).select("r.*")
+    if not top:
+        return out
+    said = F.transform(F.sort_array(F.collect_list(F.struct("place", "value", "n"))), lambda t: F.concat(t["value"], F.lit(":"), t["n"]))
+    tops = top_values(rows, columns, top).groupBy("column").agg(F.array_join(said, ", ").alias("top"))  # a row a column
+    return out.join(F.broadcast(tops), "column", "left")
+
+
+def shares(rows: DataFrame, key: str | list[str], name: str, rare: float = 0.25) -> DataFrame:
+    """key, name, share: each concept's share of a client's mentions (or those of a client and semantic type); those with
+    a count up to the quantile are pooled as `other`."""
+    keys = [key] if isinstance(key, str) else key
+    counts = rows.groupBy(*keys, name).agg(F.count("*").alias("n"))
+    bars = counts.groupBy(*keys).agg(F.percentile("n", rare).alias("bar"), F.sum("n").alias("all"))
+    pooled = counts.join(bars, keys).select(*keys, F.when(F.col("n") <= F.col("bar"), "other").otherwise(F.col(name)).alias(name), "n", "all")
+    return pooled.groupBy(*keys, name).agg((F.sum("n") / F.first("all")).alias("share"))
 
 
-def shares(rows: DataFrame, key: str, name: str, rare: float = 0.25) -> DataFrame:
-    """key, name, share: each concept's share of a client's mentions; those with a count up to the quantile are pooled as `other`."""
-    counts = rows.groupBy(key, name).agg(F.count("*").alias("n"))
-    bars = counts.groupBy(key).agg(F.percentile("n", rare).alias("bar"), F.sum("n").alias("all"))
-    pooled = counts.join(bars, key).select(key, F.when(F.col("n") <= F.col("bar"), "other").otherwise(F.col(name)).alias(name), "n", "all")
-    return pooled.groupBy(key, name).agg((F.sum("n") / F.first("all")).alias("share"))
+def shares_by_type(rows: DataFrame, key: str, name: str, types: str, rare: float = 0.25) -> DataFrame:
+    """key, type, name, share: over all of a client's mentions (type `all`), and over those of each semantic type."""
+    kinds = F.array_union(F.array(F.lit("all")), F.coalesce(F.col(types), F.array().cast("array<string>")))
+    return shares(rows.select(key, name, F.explode(kinds).alias("type")), [key, "type"], name, rare)
 
 
 def infer_types(rows: DataFrame, columns: list[str], threshold: float = 0.5) -> DataFrame:
@@ -95,3 +141,12 @@ def infer_types(rows: DataFrame, columns: list[str], threshold: float = 0.5) ->
     out = rows.agg(F.array(*map(of, columns)).alias("all")).select(F.explode("all").alias("r")).select("r.*")
     kind = F.when((F.col("number_share") >= F.col("date_share")) & (F.col("number_share") >= threshold), "number").when(F.col("date_share") >= threshold, "date").otherwise("text")
     return out.select("column", kind.alias("kind"), "number_share", "date_share")
+
+
+def best_date_column(rows: DataFrame, columns: list[str], threshold: float = 0.5) -> DataFrame:
+    """What infer_types says of the columns, and best: true for the one of the largest share of dates (the first of
+    equals), if that is threshold or more."""
+    order = F.array_position(F.lit(columns), F.col("column"))
+    first = Window.orderBy(F.desc("date_share"), order)  # as many rows as columns
+    kinds = infer_types(rows, columns, threshold)
+    return kinds.withColumn("best", (F.row_number().over(first) == 1) & (F.col("date_share") >= threshold))

@@ -77,6 +77,25 @@ def annotation_filter(rows: DataFrame, types: list[str] | None = None, values: d
     return rows.where(keep)
 
 
+#: The columns of an annotation that must not be null for it to count.
+NEEDED = (
+    "client_idcode", "pretty_name", "cui", "type_ids", "types", "source_value", "detected_name", "acc", "id",
+    "Time_Value", "Time_Confidence", "Presence_Value", "Presence_Confidence", "Subject_Value", "Subject_Confidence", "updatetime",
+)
+
+
+def select_annotations(rows: DataFrame, context: dict[str, list[str]] | None = None, least: dict[str, float] | None = None, types: list[str] | None = None, codes: list | None = None, clients: DataFrame | None = None, needed: tuple[str, ...] = NEEDED) -> DataFrame:
+    """Annotations without a null in the needed columns (those the table has), of a cohort (one column client_idcode), that
+    pass the context filter (as annotation_filter has it, loosely) and are of one of the codes; what isn't given does not count."""
+    from tidewheel.sources.tables import keyed
+
+    out = rows.na.drop(subset=[c for c in needed if c in rows.columns])
+    if clients is not None:
+        out = keyed(out, clients, "client_idcode")
+    out = annotation_filter(out, types, context, least, loose=True)
+    return out if codes is None else out.where(F.col("cui").isin(codes))
+
+
 def _any(tests) -> Column:
     out = F.lit(False)
     for t in tests:

@@ -140,6 +140,6 @@ def one_hot(slices: DataFrame, spec: RunSpec, start: str = "slice_start") -> Dat
 def decode_one_hot(rows: DataFrame, keep: bool = False) -> DataFrame:
     """slice_start from the columns d_yyyy_MM_dd; null where none is 1. The columns go unless kept."""
     marks = [c for c in rows.columns if c.startswith("d_") and c.count("_") == 3]
-    found = [F.when(F.col(c) == 1, F.lit(date(*map(int, c[2:].split("_"))))) for c in marks]
+    found = [F.when(F.col(c).cast("string").try_cast("double") == 1, F.lit(date(*map(int, c[2:].split("_"))))) for c in marks]
     out = rows.withColumn("slice_start", F.coalesce(*found) if found else F.lit(None).cast("date"))
     return out if keep else out.drop(*marks)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewheel.functions.text import has_phrase
 from tidewheel.functions.times import ntz, stamp
 from tidewheel.operators import annotations as A
 from tidewheel.operators import anonymise as N
 from tidewheel.operators import features as X
 from tidewheel.operators import joins as J
 from tidewheel.operators import matrix as M
+from tidewheel.operators.cohort import drawn
 from tidewheel.operators.slicing import events_in_client_slices, events_in_slices, individual_slices
 from tidewheel.plans.registry import query
 from tidewheel.plans.vectors import bloods_of
@@ -96,21 +98,22 @@ def match_human_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.human_labels(a, a.where("doc_id % 10 = 0"), 8, label).select("doc_id", "position", "label")
 
 
-@query(with_tables("anns", """, f AS (SELECT client_id, arg_min(word, (ts, tie)) AS a FROM anns WHERE cui <= 8 GROUP BY client_id), g AS (SELECT client_id, arg_min(word, (ts, tie)) AS b FROM anns WHERE cui >= 7 GROUP BY client_id)
-SELECT client_id, a, b FROM f JOIN g USING (client_id) WHERE a <> b"""))
+_FIRSTS = " FULL JOIN ".join(f"(SELECT client_id, arg_min(word, (ts, tie)) AS {n} FROM anns WHERE {w} GROUP BY client_id) {n}_" + (" USING (client_id)" if n != "a" else "") for n, w in (("a", "cui <= 8"), ("b", "cui >= 7"), ("c", "cui % 3 = 0")))
+
+
+@query(with_tables("anns", f"SELECT client_id, a, b, c FROM {_FIRSTS} WHERE a <> b OR a <> c OR b <> c"))
 def compare_index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clients whose first rows in three results differ."""
     a = Tables(spark, sf_dir).annotations()
-    return J.first_rows_differ(a.where("cui <= 8"), a.where("cui >= 7"), "word", "ts", "tie")
+    return J.first_rows_differ({"a": a.where("cui <= 8"), "b": a.where("cui >= 7"), "c": a.where("cui % 3 = 0")}, "word", "ts", "tie")
 
 
-@query(with_tables("anns", """, m AS (SELECT cui, count(*) FILTER (acc < 0.2) AS fp, count(*) FILTER (acc >= 0.2 AND acc < 0.3) AS fn, count(*) FILTER (acc >= 0.3) AS tp FROM anns GROUP BY cui)
-SELECT cui, CAST(nullif(fp, 0) AS DOUBLE) AS fp, CAST(nullif(fn, 0) AS DOUBLE) AS fn, CAST(nullif(tp, 0) AS DOUBLE) AS tp, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall FROM m"""))
+@query(with_tables("anns", """, m AS (SELECT cui, count(*) FILTER (acc < 0.2) AS fp, count(*) FILTER (acc >= 0.2 AND acc < 0.3) AS fn, count(*) FILTER (acc >= 0.3) AS tp, count(*) AS n FROM anns GROUP BY cui)
+SELECT cui, CAST(nullif(fp, 0) AS DOUBLE) AS fp, CAST(nullif(fn, 0) AS DOUBLE) AS fn, CAST(nullif(tp, 0) AS DOUBLE) AS tp, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1, CAST(n AS DOUBLE) AS count FROM m"""))
 def ner_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, n = Tables(spark, sf_dir).annotations(), lambda rows: rows.groupBy("cui").agg(F.count("*").alias("value"))
-    m = J.merge_measures({"fp": n(a.where("acc < 0.2")), "fn": n(a.where("acc >= 0.2 and acc < 0.3")), "tp": n(a.where("acc >= 0.3"))}, "cui")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-    ratio = lambda c: F.round(F.try_divide(z("tp"), z("tp") + z(c)), 6)
-    return m.select("cui", "fp", "fn", "tp", ratio("fp").alias("precision"), ratio("fn").alias("recall"))
+    m = J.ner_results(n(a.where("acc < 0.2")), n(a.where("acc >= 0.2 and acc < 0.3")), n(a.where("acc >= 0.3")), "cui", n(a))
+    return m.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1")})
 
 
 _SAT = "SELECT DISTINCT client_id, slice_start, item FROM obs JOIN days ON ts >= slice_start AND ts < slice_start + INTERVAL 2 DAY"
@@ -190,9 +193,37 @@ def merged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("document_batch_source", "document_guid", F.length("body_analysed").cast("long").alias("size"), "document_description", stamp(F.col("updatetime")).alias("up"), stamp(F.col("observationdocument_recordeddtm")).alias("rec"))
 
 
-@query(with_tables("obs", "SELECT client_id, obs_id, item, CAST(NULL AS VARCHAR) AS clientvisit_serviceguid FROM obs"))
+#: The standard columns of consolidated tables, and what each of the seven sources has of them.
+_STANDARD = {"client_id": "string", "ts": "timestamp_ntz", "item": "string", "value": "double", "text": "string", "record_id": "long", "gender": "string", "clinic": "long", "clientvisit_serviceguid": "string"}
+
+
+def _seven(t: Tables) -> dict[str, DataFrame]:
+    ward, orders = t.observations(), t.orders().withColumnRenamed("order_id", "record_id")
+    return {
+        "bloods": t.basic().withColumnRenamed("obs_id", "record_id"), "demographics": t.demographics(), "bmi": ward.where(F.col("item").startswith("OBS ")), "news": ward.where(F.col("item").startswith("NEWS")),
+        "diagnostics": orders.where("kind = 'diagnostic'"), "drugs": orders.where("kind = 'medication'"), "appointments": t.appointments().withColumnRenamed("kind", "text"),
+    }
+
+
+_NO = {"item": "NULL", "value": "NULL", "text": "NULL", "record_id": "NULL", "gender": "NULL", "clinic": "NULL"}
+
+
+def _standard_sql(source: str, rows: str, **own: str) -> str:
+    kinds = {"item": "VARCHAR", "value": "DOUBLE", "text": "VARCHAR", "record_id": "BIGINT", "gender": "VARCHAR", "clinic": "BIGINT"}
+    return f"SELECT '{source}' AS source, client_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, " + ", ".join(f"CAST({(_NO | own)[c]} AS {k}) AS {c}" for c, k in kinds.items()) + f", CAST(NULL AS VARCHAR) AS clientvisit_serviceguid FROM {rows}"
+
+
+_SEVEN = " UNION ALL ".join([
+    _standard_sql("bloods", "obs", item="item", value="value", text="CASE item WHEN 'purchase' THEN 'SARS POSITIVE' WHEN 'view' THEN 'negative' ELSE item END", record_id="obs_id"), _standard_sql("demographics", "demo", record_id="record_id", gender="gender"),
+    _standard_sql("bmi", "ward WHERE item LIKE 'OBS %'", item="item", value="value", text="text"), _standard_sql("news", "ward WHERE item LIKE 'NEWS%'", item="item", value="value", text="text"),
+    _standard_sql("diagnostics", "ords WHERE kind = 'diagnostic'", item="item", record_id="order_id"), _standard_sql("drugs", "ords WHERE kind = 'medication'", item="item", record_id="order_id"), _standard_sql("appointments", "appts", text="kind", clinic="clinic"),
+])
+
+
+@query(with_tables("obs demo ward ords appts", _SEVEN))
 def merged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.standard(Tables(spark, sf_dir).obs(), ["client_id", "obs_id", "item", "clientvisit_serviceguid"])
+    """Seven sources as one table of standard columns."""
+    return T.merged_sources(_seven(Tables(spark, sf_dir)), _STANDARD).withColumn("ts", stamp(F.col("ts")))
 
 
 _FIRST = " UNION ALL ".join(f"SELECT client_id, {{f}}(ts, (ts, tie)) AS ts, {{f}}(cui, (ts, tie)) AS cui, {i} AS rank, '{n}' AS source FROM {a} WHERE cui IN (9, 11) GROUP BY client_id" for i, (n, a, _) in enumerate(_FOUR))
@@ -253,9 +284,9 @@ def clients_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.clients_with_all(Tables(spark, sf_dir).annotations(), [[9, 10], [11, 12]])
 
 
-def _with_all_trailers(t: Tables) -> DataFrame:
-    """All documents, a trailer after each 100 characters but the last; every second without a date where doc_id % 3 = 0, none where doc_id % 10 = 0."""
-    d = t.documents().where("text is not null").withColumn("tw_cut", F.regexp_extract_all("text", F.lit("(?s).{1,100}"), F.lit(0)))
+def _with_all_trailers(docs: DataFrame) -> DataFrame:
+    """All documents with a text, a trailer after each 100 characters but the last; every second without a date where doc_id % 3 = 0, none where doc_id % 10 = 0."""
+    d = docs.where("text is not null").withColumn("tw_cut", F.regexp_extract_all("text", F.lit("(?s).{1,100}"), F.lit(0)))
     dated = lambda i: F.concat(F.lit(" Entered on - "), F.col("tw_day"), F.lit(" "), F.lpad((i % 24).cast("string"), 2, "0"), F.lit(":30  "))
     after = lambda i: F.when(i == F.size("tw_cut") - 1, "").when((F.col("doc_id") % 3 == 0) & (i % 2 == 1), " Entered on - (no date) ").otherwise(dated(i))
     d = d.withColumn("tw_day", F.date_format(F.col("ts"), "dd-MMM-yyyy"))
@@ -273,10 +304,31 @@ UNION ALL SELECT doc_id, NULL, sha256(text), strftime(ts, '%Y-%m-%d %H:%M:%S'),
 @query(with_tables("docs", _ALL_TRAILERS), name="split_notes_whole")
 @query(with_tables("docs", _ALL_TRAILERS))
 def split_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = A.split_notes(_with_all_trailers(Tables(spark, sf_dir)), "doc_id", "text", "ts", "description")
+    out = A.split_notes(_with_all_trailers(Tables(spark, sf_dir).documents()), "doc_id", "text", "ts", "description")
+    return out.select("doc_id", "chunk", F.sha2("text", 256).alias("text"), stamp(F.col("ts")).alias("ts"), "description")
+
+
+def _fetched(sql: str) -> str:
+    return sql.replace("SELECT doc_id, chunk, sha256", "SELECT * FROM (SELECT doc_id, chunk, sha256", 1) + ") WHERE ts >= '2024-01-05 00:00:00' AND ts < '2024-01-21'"
+
+
+def _fetch_split(docs: DataFrame) -> DataFrame:
+    out = T.fetch_documents(_with_all_trailers(docs), "doc_id", "text", "ts", "description", date(2024, 1, 5), date(2024, 1, 20), split=True)
     return out.select("doc_id", "chunk", F.sha2("text", 256).alias("text"), stamp(F.col("ts")).alias("ts"), "description")
 
 
+@query(with_tables("docs", _fetched(_ALL_TRAILERS)))
+def fetch_documents_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut into entries, and the entries whose own time is in range."""
+    return _fetch_split(Tables(spark, sf_dir).documents())
+
+
+@query(with_tables("notes", _fetched(_ALL_TRAILERS.replace("FROM docs WHERE text IS NOT NULL", "FROM notes WHERE text IS NOT NULL AND contains(lower(description), 'assist')"))))
+def fetch_notes_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the notes whose description has a phrase."""
+    return _fetch_split(Tables(spark, sf_dir).notes().where(has_phrase(F.col("description"), "assist")))
+
+
 def _rows(t: Tables) -> DataFrame:
     a = t.annotations()
     meta = F.create_map(F.lit("Time"), F.col("Time_Value"), F.lit("Presence"), F.col("Presence_Value"))
@@ -369,15 +421,38 @@ def item_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.item_coverage(j, "p_type", "l_suppkey", 50)
 
 
-@query(with_tables("anns", " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS "distinct", min(CAST({c} AS VARCHAR)) AS low, max(CAST({c} AS VARCHAR)) AS high FROM anns""" for c in ("client_id", "cui", "word", "Time_Value"))))
+def _profiled(table: str) -> str:
+    top = "(SELECT string_agg(v || ':' || n, ', ' ORDER BY n DESC, v) FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY v ORDER BY n DESC, v LIMIT 3)) AS top"
+    return " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS "distinct", min(CAST({c} AS VARCHAR)) AS low, max(CAST({c} AS VARCHAR)) AS high, {top.format(c=c, t=table)} FROM {table}""" for c in _PROFILED)
+
+
+_PROFILED = ("client_id", "cui", "word", "Time_Value", "tie")
+
+
+@query(with_tables("anns", _profiled("anns")))
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.profile(Tables(spark, sf_dir).annotations(), ["client_id", "cui", "word", "Time_Value"], exact=True)
+    return M.profile(Tables(spark, sf_dir).annotations(), list(_PROFILED), exact=True, top=3)
+
+
+@query(with_tables("anns", f", mapped AS (SELECT anns.*, target FROM anns JOIN ({_CODES}) ON cui = concept_id) {_profiled('mapped')}"))
+def profile_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of the annotations that have an external code."""
+    return M.profile(J.join_codes(Tables(spark, sf_dir).annotations(), _codes(spark), inner=True), list(_PROFILED), exact=True, top=3)
+
 
+@query(with_tables("anns", "SELECT doc_id, position, word FROM anns ORDER BY md5('42|' || doc_id || '/' || position), doc_id || '/' || position LIMIT 100"))
+def profile_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundred annotations, drawn by a hash."""
+    a = Tables(spark, sf_dir).annotations().withColumn("key", F.concat_ws("/", "doc_id", "position"))
+    return drawn(a, "key", 100).select("doc_id", "position", "word")
 
-@query(with_tables("anns", """, c AS (SELECT client_id, pretty_name, count(*) AS n FROM anns GROUP BY ALL), b AS (SELECT client_id, quantile_cont(n, 0.25) AS bar, sum(n) AS total FROM c GROUP BY client_id)
-SELECT client_id, CASE WHEN n <= bar THEN 'other' ELSE pretty_name END AS pretty_name, round(sum(n) / first(total), 6) AS share FROM c JOIN b USING (client_id) GROUP BY ALL"""))
+
+@query(with_tables("anns", """, k AS (SELECT client_id, 'all' AS type, pretty_name FROM anns UNION ALL SELECT client_id, type, pretty_name FROM anns), c AS (SELECT client_id, type, pretty_name, count(*) AS n FROM k GROUP BY ALL),
+b AS (SELECT client_id, type, quantile_cont(n, 0.25) AS bar, sum(n) AS total FROM c GROUP BY ALL)
+SELECT client_id, type, CASE WHEN n <= bar THEN 'other' ELSE pretty_name END AS pretty_name, round(sum(n) / first(total), 6) AS share FROM c JOIN b USING (client_id, type) GROUP BY ALL"""))
 def category_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.shares(Tables(spark, sf_dir).annotations(), "client_id", "pretty_name").withColumn("share", F.round("share", 6))
+    """Over all mentions, and over those of each semantic type."""
+    return M.shares_by_type(Tables(spark, sf_dir).annotations(), "client_id", "pretty_name", "types").withColumn("share", F.round("share", 6))
 
 
 # --- anonymisation ----------------------------------------------------------------------------------
@@ -443,3 +518,11 @@ def deid_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT label, count(*) FILTER (n > 0) AS texts, CAST(sum(n) AS BIGINT) AS entities, round(avg(n), 6) AS per_text FROM c GROUP BY label""")
 def deid_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.report(Tables(spark, sf_dir).documents(), "doc_id", "text").withColumn("per_text", F.round("per_text", 6))
+
+
+@query(f"""WITH d AS (SELECT doc_id, text FROM documents WHERE doc_id IS NOT NULL ORDER BY md5('42|' || doc_id), doc_id LIMIT 100),
+c AS ({' UNION ALL '.join(f"SELECT '{k}' AS label, len(regexp_extract_all(coalesce(text, ''), '{p}')) AS n FROM d" for k, p in _RULES.items())})
+SELECT label, count(*) FILTER (n > 0) AS texts, CAST(sum(n) AS BIGINT) AS entities, round(avg(n), 6) AS per_text FROM c GROUP BY label""")
+def deid_report_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over a hundred documents, drawn by a hash."""
+    return N.report(Tables(spark, sf_dir).documents().where("doc_id is not null"), "doc_id", "text", sample=100).withColumn("per_text", F.round("per_text", 6))

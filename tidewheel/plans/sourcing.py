@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewheel.functions.text import has_phrase, near_phrase, near_token
+from tidewheel.functions.text import has_phrase, near_in_any, near_phrase
 from tidewheel.functions.times import ntz, parsed, stamp
 from tidewheel.operators import cohort as C
 from tidewheel.operators import features as X
@@ -157,11 +157,34 @@ def clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.clean_documents(rows, "ts", "text").select("doc_id", stamp(F.col("ts")).alias("ts"))
 
 
-@query(with_tables("obs", "SELECT obs_id, item, round(value, 6) AS value FROM obs WHERE client_id = '17'"))
+def _keyed_tables(t: Tables) -> dict[str, tuple[str, str]]:
+    """Every kind of data as a keyed table, with a text that names each record; appointments have a key name of their own."""
+    day, out = stamp(F.col("ts"), "yyyy-MM-dd"), {}
+    parts = {
+        "basic": t.obs().withColumn("record", F.col("obs_id").cast("string")), "ward": t.observations().withColumn("record", F.concat_ws("/", "item", day)),
+        "orders": t.orders().withColumn("record", F.col("order_id").cast("string")), "demographics": t.demographics().withColumn("record", F.col("record_id").cast("string")),
+        "appointments": t.appointments().withColumn("record", F.concat_ws("/", day, "consultant")).withColumnRenamed("client_id", "HospitalID"),
+        "documents": t.documents().select("client_id", F.col("doc_id").cast("string").alias("record")), "notes": t.notes().select("client_id", F.col("doc_id").cast("string").alias("record")),
+    }
+    for name, rows in parts.items():
+        key, path = "HospitalID" if name == "appointments" else "client_id", scratch(t.spark, name)
+        T.write_keyed(rows.select(key, "record"), path, key, 16)
+        out[name] = (path, key)
+    return out
+
+
+_RECORDS = """SELECT 'basic' AS source, client_id, CAST(obs_id AS VARCHAR) AS record FROM obs UNION ALL SELECT 'ward', client_id, item || '/' || strftime(ts, '%Y-%m-%d') FROM ward UNION ALL SELECT 'orders', client_id, CAST(order_id AS VARCHAR) FROM ords
+UNION ALL SELECT 'demographics', client_id, CAST(record_id AS VARCHAR) FROM demo UNION ALL SELECT 'appointments', client_id, strftime(ts, '%Y-%m-%d') || '/' || consultant FROM appts
+UNION ALL SELECT 'documents', client_id, CAST(doc_id AS VARCHAR) FROM docs UNION ALL SELECT 'notes', client_id, CAST(doc_id AS VARCHAR) FROM notes"""
+_SEVEN = "obs ward ords demo appts docs notes"
+
+
+@query(with_tables(_SEVEN, f"SELECT source, record FROM ({_RECORDS}) WHERE client_id = '17' UNION ALL SELECT source, record FROM ({_RECORDS}) WHERE client_id = 'c7'"))
 def lookup_client(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "obs")
-    T.write_keyed(Tables(spark, sf_dir).obs(), path, "client_id", 16)
-    return T.read_keyed(spark, path, "client_id", "17", 16).select("obs_id", "item", F.round("value", 6).alias("value"))
+    """All rows of two clients from the tables of every kind of data, each read from one bucket."""
+    tables = _keyed_tables(Tables(spark, sf_dir))
+    found = [rows.select(F.lit(name).alias("source"), "record") for c in ("17", "c7") for name, rows in T.lookup(spark, tables, c, 16).items()]
+    return T.union_all(found)
 
 
 @query(with_tables("obs", f"SELECT client_id, item, round(value, 6) AS value FROM obs WHERE client_id IN ({_FEW})"))
@@ -178,6 +201,18 @@ def concat_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.concat_csv(spark, [f"{top}-a", f"{top}-b"]).select("key", "name", "region")
 
 
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS key, CASE o_orderkey % 4 WHEN 0 THEN '2024-01-05' WHEN 1 THEN '2024-01-06' WHEN 2 THEN '2024-01-07' END AS day FROM orders""")
+def concat_csv_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two kinds of files with slices as one-hot columns, not the same ones, joined; the columns become a date."""
+    o, top = Tables(spark, sf_dir).raw("orders"), scratch(spark, "csv")
+    hot = lambda n: F.when(F.col("o_orderkey") % 4 == n, 1).otherwise(0)
+    even = F.col("o_orderkey") % 2 == 0
+    o.where(even).select(F.col("o_orderkey").alias("key"), hot(0).alias("d_2024_01_05"), hot(2).alias("d_2024_01_07")).write.option("header", True).csv(f"{top}-a")
+    o.where(~even).select(F.col("o_orderkey").alias("key"), hot(1).cast("double").alias("d_2024_01_06"), F.lit("x").alias("other")).write.option("header", True).csv(f"{top}-b")
+    rows = T.concat_csv(spark, [f"{top}-a", f"{top}-b"], stamp=True)
+    return rows.select("key", F.date_format("extracted_datetime_stamp", "yyyy-MM-dd").alias("day"))
+
+
 @query(with_tables("ords", "SELECT order_id, client_id, strftime(ts, '%Y-%m-%d') AS day FROM ords"))
 def csv_to_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, top = Tables(spark, sf_dir), scratch(spark, "orders")
@@ -261,12 +296,15 @@ def resume_skip_done(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.unfinished(wanted, done, "client_id")
 
 
-@query(with_tables("obs", f"SELECT client_id, count(*) AS n FROM obs WHERE client_id NOT IN ({_FEW}) GROUP BY client_id"))
+@query(with_tables(_SEVEN, f"SELECT source, client_id, count(*) AS n FROM ({_RECORDS}) WHERE client_id NOT LIKE '%7' GROUP BY ALL"))
 def delete_client(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t, path = Tables(spark, sf_dir), scratch(spark, "delete")
-    T.write_keyed(t.obs(), path, "client_id", 16)
-    T.delete_keys(spark, path, few(t), "client_id", 16)
-    return T.read_keyed(spark, path, "client_id").groupBy("client_id").agg(F.count("*").alias("n"))
+    """Clients whose id ends in 7 go from the tables of every kind of data."""
+    t = Tables(spark, sf_dir)
+    tables = _keyed_tables(t)
+    everyone = T.union_all([T.read_keyed(spark, path, key).select(F.col(key).alias("client_id")) for path, key in tables.values()])
+    T.delete_everywhere(spark, tables, everyone.where(F.col("client_id").endswith("7")).distinct(), 16)
+    left = [T.read_keyed(spark, path, key).select(F.lit(name).alias("source"), F.col(key).alias("client_id")) for name, (path, key) in tables.items()]
+    return T.union_all(left).groupBy("source", "client_id").agg(F.count("*").alias("n"))
 
 
 # --- text -------------------------------------------------------------------------------------------
@@ -280,9 +318,16 @@ def search_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TOKENS = "list_filter(regexp_split_to_array(lower(text), '[^0-9a-z]+'), lambda x: x <> '')"
 
 
-@query(f"SELECT doc_id FROM documents WHERE len(list_filter({_TOKENS}, lambda x: levenshtein(x, 'license') <= 2)) > 0")
+_FIELDS = ("text", "lang", "source", "doc_id")
+_ANY_FIELD = " OR ".join(f"len(list_filter(list_filter(regexp_split_to_array(lower(CAST({c} AS VARCHAR)), '[^0-9a-z]+'), lambda x: x <> ''), lambda x: levenshtein(x, '{{0}}') <= {{1}})) > 0" for c in _FIELDS)
+
+
+@query(f"SELECT doc_id, coalesce({_ANY_FIELD.format('license', 2)}, false) AS license, coalesce({_ANY_FIELD.format('src12', 1)}, false) AS source FROM documents WHERE {_ANY_FIELD.format('license', 2)} OR {_ANY_FIELD.format('src12', 1)}")
 def search_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Tables(spark, sf_dir).documents().where(near_token(F.col("text"), "license", 2)).select("doc_id")
+    """Two words, looked for in all fields."""
+    fields = [F.col(c) for c in _FIELDS]
+    d = Tables(spark, sf_dir).raw("documents").select("doc_id", near_in_any(fields, "license", 2).alias("license"), near_in_any(fields, "src12", 1).alias("source"))
+    return d.where("license or source")
 
 
 @query(with_tables("ords", "SELECT order_id FROM ords WHERE item = '1-URGENT'"))
@@ -376,11 +421,19 @@ def annot_filter_loose(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.annotation_filter(a, ["FIND"], None, {"acc": 0.25}, loose=True).select("doc_id", "position")
 
 
-@query(with_tables("anns", "SELECT doc_id, position, cui FROM anns WHERE Presence_Value = 'True' AND Subject_Value = 'Patient' AND cui IN (6, 8) AND client_id IN ('c1', 'c2', 'c3', 'c4', 'c5')"))
+@query(with_tables("anns", """SELECT doc_id, position, cui FROM anns WHERE Presence_Value = 'True' AND Subject_Value = 'Patient' AND acc >= 0.2 AND contains(type, 'disorder') AND cui IN (6, 8, 10) AND client_id IN ('c1', 'c2', 'c3', 'c4', 'c5', 'c6', 'c7', 'c8')
+AND doc_id % 11 <> 0 AND position % 7 <> 3 AND doc_id % 13 <> 1"""))
 def annot_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = Tables(spark, sf_dir).annotations().na.drop(subset=["client_id", "ts", "cui", "pretty_name"])
-    own = S.annotation_filter(a, None, {"Presence_Value": ["True"], "Subject_Value": ["Patient"], "client_id": [f"c{i}" for i in range(1, 6)]})
-    return own.where(F.col("cui").isin([6, 8])).select("doc_id", "position", "cui")
+    """All sixteen columns are there; some names, confidences and times are null."""
+    gap = lambda n, k, c: F.when(F.col(n[0]) % n[1] != k, c)
+    a = Tables(spark, sf_dir).annotations().select(
+        "doc_id", "position", F.col("client_id").alias("client_idcode"), "pretty_name", "cui", F.col("types").alias("type_ids"), "types", F.col("word").alias("source_value"), gap(("doc_id", 11), 0, F.col("word")).alias("detected_name"),
+        "acc", F.col("tie").alias("id"), "Time_Value", gap(("position", 7), 3, F.lit(0.9)).alias("Time_Confidence"), "Presence_Value", F.lit(0.8).alias("Presence_Confidence"), "Subject_Value", F.lit(0.7).alias("Subject_Confidence"),
+        gap(("doc_id", 13), 1, F.col("ts")).alias("updatetime"),
+    )
+    cohort = spark.range(1, 9).select(F.concat(F.lit("c"), "id").alias("client_idcode"))
+    own = S.select_annotations(a, {"Presence_Value": ["True"], "Subject_Value": ["Patient"]}, {"acc": 0.2}, ["Disorder"], [6, 8, 10], cohort)
+    return own.select("doc_id", "position", "cui")
 
 
 @query(with_tables("anns", "SELECT client_id, doc_id, position FROM (SELECT *, row_number() OVER (PARTITION BY client_id ORDER BY ts, tie) AS r FROM anns WHERE cui IN (6, 7)) WHERE r <= 2"))
@@ -409,12 +462,20 @@ def date_reformat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", stamp(parsed(F.col("said")), "dd/MM/yyyy").alias("day"))
 
 
-@query("""SELECT 'event_id' AS "column", 'number' AS kind, 1.0::DOUBLE AS number_share, 0.0::DOUBLE AS date_share UNION ALL SELECT 'day', 'date', 0.0, 1.0 UNION ALL SELECT 'event_type', 'text', 0.0, 0.0""")
+_KINDS = {"event_id": "CAST(event_id AS VARCHAR) || '.5'", "day": "CASE WHEN event_id % 5 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') ELSE 'unknown' END", "later": "CASE WHEN event_id % 3 <> 0 THEN strftime(ts, '%Y-%m-%d') ELSE 'n/a' END", "event_type": "event_type"}
+_SHARES = " UNION ALL ".join(f"""SELECT '{c}' AS "column", {i} AS i, avg(CAST(TRY_CAST(x AS DOUBLE) IS NOT NULL AS INTEGER)) AS number_share, avg(CAST(TRY_CAST(x AS TIMESTAMP) IS NOT NULL AS INTEGER)) AS date_share FROM (SELECT {e} AS x FROM events)""" for i, (c, e) in enumerate(_KINDS.items()))
+
+
+@query(f"""WITH s AS ({_SHARES}) SELECT "column", CASE WHEN number_share >= date_share AND number_share >= 0.5 THEN 'number' WHEN date_share >= 0.5 THEN 'date' ELSE 'text' END AS kind, round(number_share, 6) AS number_share, round(date_share, 6) AS date_share,
+row_number() OVER (ORDER BY date_share DESC, i) = 1 AND date_share >= 0.5 AS best FROM s""")
 def infer_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidewheel.operators.matrix import infer_types as infer
+    """Two columns of dates, one with more that parse; numbers as text; names."""
+    from tidewheel.operators.matrix import best_date_column
 
-    e = Tables(spark, sf_dir).raw("events").select(F.concat(F.col("event_id").cast("string"), F.lit(".5")).alias("event_id"), stamp(ntz("ts")).alias("day"), "event_type")
-    return infer(e, ["event_id", "day", "event_type"])
+    n = F.col("event_id")
+    day, later = F.when(n % 5 != 0, stamp(ntz("ts"))).otherwise("unknown"), F.when(n % 3 != 0, stamp(ntz("ts"), "yyyy-MM-dd")).otherwise("n/a")
+    e = Tables(spark, sf_dir).raw("events").select(F.concat(n.cast("string"), F.lit(".5")).alias("event_id"), day.alias("day"), later.alias("later"), "event_type")
+    return best_date_column(e, ["event_id", "day", "later", "event_type"]).withColumns({c: F.round(c, 6) for c in ("number_share", "date_share")})
 
 
 # --- cohorts ----------------------------------------------------------------------------------------

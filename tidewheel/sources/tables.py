@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewheel.functions.times import parsed
-from tidewheel.operators.slicing import in_window
+from tidewheel.operators.slicing import decode_one_hot, in_window
 
 #: Rows of a key list up to which it is broadcast; beyond, the join shuffles both sides.
 BROADCAST_KEYS = 1_000_000
@@ -63,6 +63,23 @@ def standard(rows: DataFrame, columns: list[str]) -> DataFrame:
     return with_columns(rows, columns)
 
 
+def merged_sources(parts: dict[str, DataFrame], columns: dict[str, str], tag: str = "source") -> DataFrame:
+    """One consolidated table of several sources: these columns (name -> type) in this order, null where a source has none."""
+    own = lambda rows: [(F.col(c) if c in rows.columns else F.lit(None)).cast(kind).alias(c) for c, kind in columns.items()]
+    return union_all([rows.select(F.lit(name).alias(tag), *own(rows)) for name, rows in parts.items()])
+
+
+def fetch_documents(rows: DataFrame, key: str, text: str, ts: str, description: str, first: date, last: date, split: bool = False) -> DataFrame:
+    """Documents with a text whose time is in a closed range of days; with split, notes are cut into their entries first,
+    and each entry is in or out by its own time (key, chunk, text, ts, description)."""
+    clean = clean_documents(rows, ts, text)
+    if split:
+        from tidewheel.operators.annotations import split_notes
+
+        clean = split_notes(clean, key, text, ts, description)
+    return in_range(clean, ts, first, last)
+
+
 # --- sinks ------------------------------------------------------------------------------------------
 
 
@@ -171,6 +188,26 @@ def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key: str, bucke
     _drop_aside(spark, path)
 
 
+def lookup(spark: SparkSession, tables: dict[str, tuple[str, str]], value: str, buckets: int = 64) -> dict[str, DataFrame]:
+    """One key's rows of every keyed table: name -> (path, key column), and name -> rows, read from one bucket each."""
+    return {name: read_keyed(spark, path, key, value, buckets) for name, (path, key) in tables.items()}
+
+
+def delete_everywhere(spark: SparkSession, tables: dict[str, tuple[str, str]], keys: DataFrame, buckets: int = 64) -> None:
+    """Removes all rows of some keys (one column) from every keyed table, whatever its key column is called. The keys are
+    written down first, since they may come from these tables."""
+    (own,) = keys.columns
+    if not tables:
+        return
+    aside = f"{next(iter(tables.values()))[0].rstrip('/')}-keys"
+    keys.where(F.col(own).isNotNull()).distinct().write.mode("overwrite").parquet(aside)
+    held = spark.read.schema(keys.schema).parquet(aside)
+    for path, key in tables.values():
+        delete_keys(spark, path, held.select(F.col(own).alias(key)), key, buckets)
+    store, folder = _folder(spark, aside)
+    store.delete(folder, True)
+
+
 def as_json(rows: DataFrame) -> DataFrame:
     """Array, map and struct columns as JSON text."""
     nested = (T.ArrayType, T.MapType, T.StructType)
@@ -184,10 +221,11 @@ def _headers(spark: SparkSession, paths: list[str]) -> list[tuple[str, str]]:
     return sorted((r["file"], r["header"]) for r in first.collect())  # a row a file, of which the caller has listed the paths
 
 
-def concat_csv(spark: SparkSession, paths: list[str], first: int | None = None) -> DataFrame:
+def concat_csv(spark: SparkSession, paths: list[str], first: int | None = None, stamp: bool = False) -> DataFrame:
     """Files of differing headers as one table: the union of the headers in order, names and values trimmed, missing cells empty.
 
-    One job finds the headers of all files; files of the same header are read together.
+    One job finds the headers of all files; files of the same header are read together. With stamp, one-hot columns of
+    slices (d_yyyy_MM_dd) become extracted_datetime_stamp, a date, null where none of them is 1.
     """
     paths = paths[:first] if first is not None else paths
     headers: dict[str, list[str]] = {}
@@ -202,16 +240,32 @@ def concat_csv(spark: SparkSession, paths: list[str], first: int | None = None)
     if not parts:
         return spark.createDataFrame([], "empty string").select()
     out = union_all(parts)
-    return out.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in sorted(out.columns)))
+    out = out.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in sorted(out.columns)))
+    return decode_one_hot(out).withColumnRenamed("slice_start", "extracted_datetime_stamp") if stamp else out
 
 
 def verify_split(original: DataFrame, split: DataFrame, key: str) -> DataFrame:
-    """key, problem, rows: keys missing from or added by a split, and rows that differ either way."""
+    """key, problem, rows: keys missing from or added by a split (1), and how many rows differ either way.
+
+    Each key's rows are summed up on either side, order left aside: how many, and sums of two hashes. Rows themselves are
+    compared only for keys whose sums differ, so a split without faults costs one aggregation a side.
+    """
     columns = original.columns
-    gone, new = original.select(columns).exceptAll(split.select(columns)), split.select(columns).exceptAll(original.select(columns))
-    a, b = original.select(key).distinct(), split.select(key).distinct()
-    of = lambda rows, what: rows.groupBy(key).agg(F.count("*").alias("rows")).withColumn("problem", F.lit(what))
-    return union_all([of(a.join(b, key, "left_anti"), "missing key"), of(b.join(a, key, "left_anti"), "extra key"), of(gone, "missing row"), of(new, "extra row")]).select(key, "problem", "rows")
+    plain = [F.to_json(F.struct(f.name)) if isinstance(f.dataType, (T.MapType, T.VariantType)) else F.col(f"`{f.name}`") for f in original.schema.fields]
+    hashed = lambda rows, side: rows.select(key, F.lit(side).alias("side"), F.xxhash64(*plain).alias("one"), F.xxhash64(F.lit(7), *plain).alias("two"))
+    at = lambda side, x: F.when(F.col("side") == side, x)
+    sums = lambda side: F.struct(F.count(at(side, 1)).alias("n"), *(F.coalesce(F.sum(at(side, F.col(c).cast("decimal(38,0)"))), F.lit(0)).alias(c) for c in ("one", "two"))).alias(side)
+    both = hashed(original, "a").unionByName(hashed(split, "b")).groupBy(key).agg(sums("a"), sums("b"))
+    unlike = both.where(~F.col("a").eqNullSafe(F.col("b")))
+    of = lambda rows, what: rows.select(key, F.lit(what).alias("problem"), F.lit(1).cast("long").alias("rows"))
+    out = [of(unlike.where("b.n = 0"), "missing key"), of(unlike.where("a.n = 0"), "extra key")]
+    if not unlike.isEmpty():
+        faulty = unlike.select(F.col(key).alias("tw_key"))
+        own = lambda rows: rows.join(faulty, rows[key].eqNullSafe(faulty["tw_key"]), "left_semi").select(columns)
+        x, y = own(original), own(split)
+        counted = lambda rows, what: rows.groupBy(key).agg(F.count("*").alias("rows")).select(key, F.lit(what).alias("problem"), "rows")
+        out += [counted(x.exceptAll(y), "missing row"), counted(y.exceptAll(x), "extra row")]
+    return union_all(out)
 
 
 def null_keys(rows: DataFrame, key: str, part: Column) -> DataFrame:
