@@ -46,6 +46,37 @@ def annotate(docs: DataFrame, vocabulary: DataFrame, key: str, text: str, keep:
     return met.where(F.concat("ahead", F.lit(" ")).startswith(F.concat("word", F.lit(" ")))).drop("head", "ahead")
 
 
+def longest(matches: DataFrame, key: str, words: str = "word") -> DataFrame:
+    """Of matches that overlap in their words, the longest; of equally long ones the first; of equal ones all (they are
+    different concepts under one name). Each match is looked at by its words alone, so no text meets in one task."""
+    n = F.size(F.split(words, " "))
+    sized = matches.withColumn("tw_n", n).withColumn("tw_best", F.struct(n.alias("n"), (-F.col("position")).alias("at")))
+    each = sized.select(key, "tw_best", F.explode(F.sequence(F.col("position"), F.col("position") + F.col("tw_n") - 1)).alias("tw_token"))
+    top = each.groupBy(key, "tw_token").agg(F.max("tw_best").alias("tw_top"))
+    worst = each.distinct().join(top, [key, "tw_token"]).groupBy(key, "tw_best").agg(F.min(F.col("tw_top") == F.col("tw_best")).alias("tw_kept")).where("tw_kept")
+    return sized.join(worst.select(key, "tw_best"), [key, "tw_best"], "left_semi").select(*matches.columns)
+
+
+#: Context of a mention: column -> (value without a sign, value -> words that are signs of it).
+CONTEXT = {
+    "Presence_Value": ("True", {"False": ("no", "not", "without", "denies", "negative")}),
+    "Time_Value": ("Recent", {"Past": ("history", "previous", "previously", "past", "former"), "Future": ("will", "planned", "future", "risk")}),
+    "Subject_Value": ("Patient", {"Family": ("mother", "father", "family", "brother", "sister", "familial")}),
+}
+
+
+def in_context(docs: DataFrame, matches: DataFrame, key: str, text: str, rules: dict[str, tuple[str, dict[str, tuple[str, ...]]]] = CONTEXT, window: int = 5) -> DataFrame:
+    """matches with a column for each rule: the value whose signs stand among the window words before the mention, that of the
+    nearest sign, else the rule's first. Signs are found by one look at each text's words; texts are not joined."""
+    signs = docs.sparkSession.createDataFrame([(w, c, v) for c, (_, values) in rules.items() for v, ws in values.items() for w in ws], "word string, tw_rule string, tw_value string")
+    words = F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
+    seen = docs.select(F.col(key).alias("tw_key"), F.posexplode(words).alias("tw_at", "word")).join(F.broadcast(signs), "word")  # the rules' words
+    reach = seen.select("tw_key", "tw_rule", "tw_value", "tw_at", F.explode(F.sequence(F.col("tw_at") + 1, F.col("tw_at") + window)).alias("tw_position"))
+    nearest = reach.groupBy("tw_key", "tw_position").agg(*(F.max_by("tw_value", F.when(F.col("tw_rule") == c, F.col("tw_at"))).alias(f"tw_{c}") for c in rules))
+    joined = matches.join(nearest, (matches[key] == nearest["tw_key"]) & (matches["position"] == nearest["tw_position"]), "left")
+    return joined.select(*(matches[c] for c in matches.columns if c not in rules), *(F.coalesce(f"tw_{c}", F.lit(d)).alias(c) for c, (d, _) in rules.items()))
+
+
 def annotate_with_model(docs: DataFrame, model: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str) -> DataFrame:
     """A model's rows for each batch of documents; the model is loaded once a task."""
 
@@ -132,13 +163,29 @@ def index_windows(index: DataFrame, buffer_months: int = 3, years: int = 1) -> D
     return index.select("client_id", start.alias("win_from"), ntz(plus(start, years=years)).alias("win_to"))
 
 
-def cooccurring(annotations: DataFrame, top: int | None = None) -> DataFrame:
+def _pairs(own: DataFrame) -> DataFrame:
+    pairs = own.select("client_id", F.col("cui").alias("a")).join(own.select("client_id", F.col("cui").alias("b")), "client_id").where("a < b")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("clients"))
+
+
+def cooccurring(annotations: DataFrame, top: int | None = None, tried: int = 200) -> DataFrame:
     """a, b, clients: how many clients have each pair of concepts; a < b. A client with n concepts gives n (n - 1) / 2
-    pairs: that is the result's size before it is counted."""
+    pairs: that is the result's size before it is counted.
+
+    With top, only so many of the commonest pairs, ties by a and b. A pair has no more clients than either of its concepts:
+    the pairs of the `tried` commonest concepts give a count that the last of the top has at least, and concepts with fewer
+    clients than that make no pairs. The result is that of all pairs.
+    """
     own = annotations.select("client_id", "cui").where("cui is not null").distinct()
-    pairs = own.select("client_id", F.col("cui").alias("a")).join(own.select("client_id", F.col("cui").alias("b")), "client_id").where("a < b")
-    out = pairs.groupBy("a", "b").agg(F.count("*").alias("clients"))
-    return out if top is None else out.orderBy(F.desc("clients"), "a", "b").limit(top)
+    if top is None:
+        return _pairs(own)
+    single = own.groupBy("cui").agg(F.count("*").alias("n"))
+    common = single.orderBy(F.desc("n"), "cui").limit(tried).select("cui")
+    order = (F.desc("clients"), "a", "b")
+    first = _pairs(own.join(F.broadcast(common), "cui", "left_semi")).orderBy(*order).limit(top).collect()  # top rows
+    least = first[-1]["clients"] if len(first) == top else 1
+    able = single.where(F.col("n") >= least).select("cui")
+    return _pairs(own.join(able, "cui", "left_semi")).orderBy(*order).limit(top)
 
 
 def clients_with_all(annotations: DataFrame, lists: list[list]) -> DataFrame:

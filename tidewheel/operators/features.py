@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewheel.functions.times import age_at, days_floor
+from tidewheel.operators.quantiles import with_order_statistics
 
 KEYS = ("client_id", "slice_start")
 LONG = (*KEYS, "feature", "value")
@@ -37,14 +38,19 @@ def _named(wide: DataFrame, item: str, stats: dict[str, Column]) -> DataFrame:
 def bloods(events: DataFrame, as_of: datetime, exact: bool = True) -> DataFrame:
     """Per item: mean; from two values most-recent, earliest-test, days-since-last-test and num-tests; from three
     median, mode (smallest of ties), std, min, max, contains-extreme-low and -high (3 std from the mean) and
-    days-between-first-last. exact=False takes approximate medians, for groups of very many distinct values."""
+    days-between-first-last. Medians and modes are exact in groups of any size (operators/quantiles.py); exact=False
+    takes approximate medians."""
     own = events.where("value is not null and ts is not null")
     v, t = F.col("value"), F.col("ts")
-    g = own.groupBy(*KEYS, "item").agg(
+    aggregates = [
         F.count(v).alias("n"), F.avg(v).alias("mean"), F.max_by(v, F.struct(t, v)).alias("recent"), F.min_by(v, F.struct(t, v)).alias("earliest"),
-        F.max(t).alias("last"), F.min(t).alias("first"), (F.median(v) if exact else F.percentile_approx(v, 0.5)).alias("median"),
-        F.mode(v, True).alias("mode"), F.stddev_samp(v).alias("std"), F.min(v).alias("low"), F.max(v).alias("high"),
-    )
+        F.max(t).alias("last"), F.min(t).alias("first"), F.stddev_samp(v).alias("std"), F.min(v).alias("low"), F.max(v).alias("high"),
+    ]
+    keys = [*KEYS, "item"]
+    if exact:
+        g = with_order_statistics(own, keys, "value", aggregates)
+    else:
+        g = own.groupBy(*keys).agg(*aggregates, F.percentile_approx(v, 0.5).alias("median"), F.mode(v, True).alias("mode"))
     c = F.col
     two, three = (lambda x: F.when(c("n") >= 2, x)), (lambda x: F.when(c("n") >= 3, x))
     return _named(g, "item", {
@@ -129,7 +135,8 @@ def scores(events: DataFrame, names: dict[str, str], limits: dict[str, tuple[flo
     for n, (low, high) in (limits or {}).items():
         own = own.where((F.col("name") != n) | ((F.col("value") > low) & (F.col("value") < high)))
     v = F.col("value")
-    g = own.groupBy(*KEYS, "name").agg(F.avg(v).alias("mean"), F.median(v).alias("median"), F.stddev_samp(v).alias("std"), F.max(v).alias("max"), F.min(v).alias("min"), F.count(v).alias("n"))
+    aggregates = [F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.max(v).alias("max"), F.min(v).alias("min"), F.count(v).alias("n")]
+    g = with_order_statistics(own, [*KEYS, "name"], "value", aggregates)
     return _named(g, "name", {s: F.col(s) for s in ("mean", "median", "std", "max", "min", "n")})
 
 

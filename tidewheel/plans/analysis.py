@@ -135,6 +135,40 @@ def annotate_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Tables(spark, sf_dir).annotations().select("doc_id", "position", "word", "cui", "pretty_name")
 
 
+#: Words of the vocabulary, and pairs of words of the benchmark that begin with one of six letters or more.
+_OVERLAPPING = """, v2 AS (SELECT word, 1 AS n FROM vocab UNION SELECT DISTINCT w[i] || ' ' || w[i + 1], 2 FROM (SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM benchmark), unnest(range(1, len(w))) AS r(i) WHERE length(w[i]) >= 6),
+d AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents), t AS (SELECT doc_id, i - 1 AS position, w[i] AS one, w[i] || ' ' || w[i + 1] AS two FROM d, unnest(range(1, len(w) + 1)) AS r(i)),
+m AS (SELECT doc_id, position, word, n FROM t JOIN v2 ON v2.word = CASE n WHEN 1 THEN one ELSE two END),
+k AS (SELECT doc_id, position, word, n FROM m WHERE NOT EXISTS (SELECT 1 FROM m o WHERE o.doc_id = m.doc_id AND o.position < m.position + m.n AND o.position + o.n > m.position AND (o.n > m.n OR (o.n = m.n AND o.position < m.position))))"""
+
+
+def _overlapping(t: Tables) -> DataFrame:
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    pairs = t.raw("benchmark").select(words.alias("w")).select(F.explode(F.transform(F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))), lambda x, i: F.concat(x, F.lit(" "), F.col("w")[i + 1]))).alias("word"))
+    return t.vocabulary().select("word").unionByName(pairs.where(F.length(F.split_part("word", F.lit(" "), F.lit(1))) >= 6)).distinct()
+
+
+@query(with_tables("vocab", f"{_OVERLAPPING} SELECT doc_id, position, word FROM k"))
+def annotate_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vocabulary of words and of pairs of words that overlap: the longest match counts."""
+    t = Tables(spark, sf_dir)
+    return A.longest(A.annotate(t.documents(), _overlapping(t), "doc_id", "text"), "doc_id").select("doc_id", "position", "word")
+
+
+#: Signs for the driver's texts, which are no clinical ones.
+_SIGNS = {"Presence_Value": ("True", {"False": ("the", "le")}), "Time_Value": ("Recent", {"Past": ("in", "of"), "Future": ("to",)})}
+
+
+@query(with_tables("anns", """, s AS (SELECT * FROM (VALUES ('the', 1, 'False'), ('le', 1, 'False'), ('in', 2, 'Past'), ('of', 2, 'Past'), ('to', 2, 'Future')) AS v(word, rule, value)), h AS (SELECT doc_id, position, rule, value FROM mentions JOIN s USING (word)),
+c AS (SELECT a.doc_id, a.position, arg_max(value, h.position) FILTER (rule = 1) AS p, arg_max(value, h.position) FILTER (rule = 2) AS t FROM anns a LEFT JOIN h ON h.doc_id = a.doc_id AND h.position < a.position AND h.position >= a.position - 5 GROUP BY ALL)
+SELECT doc_id, position, coalesce(p, 'True') AS presence, coalesce(t, 'Recent') AS time FROM c"""))
+def annotation_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mention's surroundings say of it."""
+    t = Tables(spark, sf_dir)
+    rows = A.in_context(t.documents(), t.annotations().select("doc_id", "position"), "doc_id", "text", _SIGNS)
+    return rows.select("doc_id", "position", F.col("Presence_Value").alias("presence"), F.col("Time_Value").alias("time"))
+
+
 def _nested(t: Tables) -> DataFrame:
     """Documents with their annotations as the annotator's JSON."""
     a = t.annotations()
@@ -279,6 +313,12 @@ def cooccurring_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.cooccurring(Tables(spark, sf_dir).annotations())
 
 
+@query(with_tables("anns", ", o AS (SELECT DISTINCT client_id, cui FROM anns) SELECT x.cui AS a, y.cui AS b, count(*) AS clients FROM o x JOIN o y ON x.client_id = y.client_id AND x.cui < y.cui GROUP BY ALL ORDER BY clients DESC, a, b LIMIT 5"))
+def cooccurring_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five commonest pairs."""
+    return A.cooccurring(Tables(spark, sf_dir).annotations(), 5)
+
+
 @query(with_tables("anns", "SELECT client_id FROM anns GROUP BY client_id HAVING bool_or(cui IN (9, 10)) AND bool_or(cui IN (11, 12))"))
 def clients_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.clients_with_all(Tables(spark, sf_dir).annotations(), [[9, 10], [11, 12]])
