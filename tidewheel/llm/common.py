@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +71,21 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: What an operator's tasks keep in a worker for its next task: owner -> what drops it.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def only(owner: str) -> None:
+    """Drops what other operators' tasks have left in this worker, and gives the memory back to the system: a job of several
+    operators needs that of one at a time."""
+    for name, drop in KEPT.items():
+        if name != owner:
+            drop()
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, bytes) of a string or binary column without copying; null reads as empty."""
     if column.null_count:

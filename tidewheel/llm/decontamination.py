@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.llm.common import buffers, chunks, mix, no_clash, written
+from tidewheel.llm.common import KEPT, buffers, chunks, mix, no_clash, only, written
 
 WINDOW = 13
 #: Rows up to which benchmark fingerprints (16 bytes each) and found candidates (32 bytes each) are broadcast, and
@@ -34,6 +34,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _P, _Q = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+KEPT["decontamination"] = _POWERS.clear
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,6 +102,7 @@ def winnow(words: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndarra
 def _fingerprints(lengths: list[int], names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The names' columns, then the text -> the names' columns, length and kept hash."""
+        only("decontamination")
         for batch in batches:
             offs, raw = buffers(batch.column(len(names)))
             for a, b in chunks(offs):
@@ -202,6 +204,7 @@ def _extend(names: list[str], items):
     """items: a broadcast key -> (id, text), or None where each candidate brings its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("decontamination")
         known: dict[int, tuple] = {}
 
         def words_of(key: int) -> tuple:

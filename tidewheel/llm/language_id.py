@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.llm.common import written
+from tidewheel.llm.common import KEPT, only, written
 
 SAMPLE_DOCS, ROUNDS, WORD, SMOOTH, FLOOR = 2_000, 2, 32, 0.05, 1e-7
 #: Languages up to which a model is made: some 130 MB with 32,000 pieces.
@@ -52,6 +52,9 @@ def vocabulary(model_file: str) -> tuple[ahocorasick.Automaton, int]:
     return auto, len(pieces)
 
 
+KEPT["language_id"] = vocabulary.cache_clear
+
+
 class Lattice:
     """All pieces that match in some words, ordered for the forward algorithm."""
 
@@ -191,6 +194,7 @@ class Scores:
 
 def _classify(langs: list[str], p: np.ndarray, model_file: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("language_id")
         scores = Scores(p, model_file)
         for batch in batches:
             found, score = [], []

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.llm.common import buffers, chunks
+from tidewheel.llm.common import KEPT, buffers, chunks, only
 
 _MARK = "▁"
 #: Chunks and pairs of tokens that a worker keeps (beyond, it starts anew), the longest chunk kept, and the bytes
@@ -300,8 +300,12 @@ def codec(model_file: str) -> Codec:
     return Codec(model_file)
 
 
+KEPT["sentencepiece"] = codec.cache_clear
+
+
 def _both(model_file: str, names: list[str], cached: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("sentencepiece")
         own = codec(model_file)
         own.limit = cached
         end = str(own.end)

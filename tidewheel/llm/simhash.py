@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewheel.llm.common import byte_rows, spread_join, tasks, written
+from tidewheel.llm.common import byte_rows, only, spread_join, tasks, written
 
 SHINGLE, THRESHOLD, SEED = 3, 3, 42
 #: Own fingerprints of an anchor held by one task; an anchor with more is split into salts.
@@ -55,6 +55,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only("simhash")
         for batch in batches:
             prints = np.fromiter((fingerprint(t, shingle) for t in byte_rows(batch.column(2))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints.view(np.int64))], ["id", "row", "print"])
