@@ -17,9 +17,11 @@ LARGE = 5_000_000
 
 
 def large_groups(rows: DataFrame, keys: list[str], large: int | None = None) -> DataFrame | None:
-    """The keys of groups of more than large rows (fewer than all rows over large), or None if there are none."""
+    """The keys of groups of more than large rows (fewer than all rows over large), or None if there are none. Tables of
+    fewer bytes than eight a row for so many are not counted."""
     large = LARGE if large is None else large
-    if rows.count() <= large:
+    known = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))  # of its files; very much where unknown
+    if known <= 8 * large or rows.count() <= large:
         return None
     groups = rows.groupBy(*keys).agg(F.count("*").alias("tw_n")).where(F.col("tw_n") > large).select(*keys)
     return None if groups.isEmpty() else groups
