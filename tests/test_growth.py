@@ -3,10 +3,14 @@
 import random
 from datetime import date, datetime, timedelta
 
+import duckdb
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tidewheel.operators.slicing import events_in_client_slices
 
+QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+
 
 def plan_of(df):
     return df._jdf.queryExecution().toString()
@@ -23,3 +27,12 @@ def test_client_slices_are_never_broadcast(spark):
     want = sorted((i, a) for i, c, t in events for k, a, b in slices if c == k and a <= t.date() <= b)
     assert sorted((x["id"], x["slice_start"]) for x in found.collect()) == want
     assert "Broadcast" not in plan_of(found)
+
+
+def test_ids_of_six_digits_match_sql(spark, tmp_path):
+    spark.createDataFrame([(7,), (20,), (100_000,), (123_450,), (123_457,)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    got = sorted(tuple(r) for r in QUERIES["sanitize_ids"](spark, str(tmp_path)).select("client_id", "well_formed").collect())
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
+    assert got == sorted(duck.execute(ORACLES["sanitize_ids"]).fetchall())
+    assert ("x100000", False) in got
