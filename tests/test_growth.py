@@ -1,12 +1,14 @@
 """Work and memory that grow no faster than the input: plans, and texts long enough to show it."""
 
 import random
+import time
 from datetime import date, datetime, timedelta
 
 import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tidewheel.operators import annotations as A
 from tidewheel.operators.slicing import events_in_client_slices
 
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
@@ -36,3 +38,14 @@ def test_ids_of_six_digits_match_sql(spark, tmp_path):
     duck.execute(f"CREATE VIEW customer AS SELECT * FROM '{tmp_path}/customer.parquet/*.parquet'")
     assert got == sorted(duck.execute(ORACLES["sanitize_ids"]).fetchall())
     assert ("x100000", False) in got
+
+
+def test_splitting_takes_linear_time(spark):
+    """A note of very many entries, made in the plan: entries found again for each of them would take hours."""
+    n = 40_000
+    text = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("entry "), i, F.lit(" Entered on - 05-Jan-2024 10:30 "))))
+    made = spark.range(1).select("id", text.alias("t"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit("d").alias("d"))
+    started = time.monotonic()
+    r = A.split_notes(made, "id", "t", "ts", "d").agg(F.count("*"), F.count_distinct("t"), F.max("chunk"), F.max("ts")).first()
+    assert tuple(r) == (n, n, n - 1, datetime(2024, 1, 5, 10, 30))
+    assert time.monotonic() - started < 60

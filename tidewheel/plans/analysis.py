@@ -326,12 +326,12 @@ def clients_with_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _with_all_trailers(docs: DataFrame) -> DataFrame:
     """All documents with a text, a trailer after each 100 characters but the last; every second without a date where doc_id % 3 = 0, none where doc_id % 10 = 0."""
-    d = docs.where("text is not null").withColumn("tw_cut", F.regexp_extract_all("text", F.lit("(?s).{1,100}"), F.lit(0)))
+    # cut once a document: from a row of an array of one, which is put in no other place
+    d = docs.where("text is not null").select("doc_id", "text", "ts", "description", F.date_format("ts", "dd-MMM-yyyy").alias("tw_day"), F.explode(F.array(F.regexp_extract_all("text", F.lit("(?s).{1,100}"), F.lit(0)))).alias("tw_cut"))
     dated = lambda i: F.concat(F.lit(" Entered on - "), F.col("tw_day"), F.lit(" "), F.lpad((i % 24).cast("string"), 2, "0"), F.lit(":30  "))
     after = lambda i: F.when(i == F.size("tw_cut") - 1, "").when((F.col("doc_id") % 3 == 0) & (i % 2 == 1), " Entered on - (no date) ").otherwise(dated(i))
-    d = d.withColumn("tw_day", F.date_format(F.col("ts"), "dd-MMM-yyyy"))
     body = F.array_join(F.transform("tw_cut", lambda x, i: F.concat(x, after(i))), "")
-    return d.select("doc_id", F.when(F.col("doc_id") % 10 == 0, F.col("text")).otherwise(body).alias("text"), "ts", "description")
+    return d.select("doc_id", F.explode(F.array(F.when(F.col("doc_id") % 10 == 0, F.col("text")).otherwise(body))).alias("text"), "ts", "description")
 
 
 _ALL_TRAILERS = """, b AS (SELECT doc_id, ts, description, text, regexp_extract_all(text, '(?s).{1,100}') AS cut, strftime(ts, '%d-%b-%Y') AS day FROM docs WHERE text IS NOT NULL),
