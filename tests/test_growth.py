@@ -8,6 +8,7 @@ import duckdb
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from tidewheel.functions.text import near_phrase
 from tidewheel.operators import annotations as A
 from tidewheel.operators.slicing import events_in_client_slices
 
@@ -49,3 +50,22 @@ def test_splitting_takes_linear_time(spark):
     r = A.split_notes(made, "id", "t", "ts", "d").agg(F.count("*"), F.count_distinct("t"), F.max("chunk"), F.max("ts")).first()
     assert tuple(r) == (n, n, n - 1, datetime(2024, 1, 5, 10, 30))
     assert time.monotonic() - started < 60
+
+
+def test_near_phrase_takes_linear_time(spark):
+    r, words = random.Random(5), ("of", "off", "that", "than", "license", "licence", "x")
+    texts = [" ".join(r.choice(words) for _ in range(r.randrange(12))) for _ in range(150)]
+    near = lambda a, b: abs(len(a) - len(b)) <= 1 and (a == b or any(a[:i] + a[i + 1 :] in (b, b[:i] + b[i + 1 :]) for i in range(len(a))) or any(b[:i] + b[i + 1 :] == a for i in range(len(b))))
+
+    def found(tokens, phrase, slop):
+        ends = {i for i, t in enumerate(tokens) if near(t, phrase[0])}
+        for w in phrase[1:]:
+            ends = {i for i, t in enumerate(tokens) if near(t, w) and any(j < i <= j + 1 + slop for j in ends)}
+        return bool(ends)
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for phrase, slop in (("license that", 2), ("off that", 0), ("off license than", 1), ("that", 1)):
+        assert [x[0] for x in df.select(near_phrase(F.col("t"), phrase, slop, 1)).collect()] == [found(t.split(), phrase.split(), slop) for t in texts]
+    started = time.monotonic()
+    assert not spark.range(1).select(near_phrase(F.repeat(F.lit("license x x x that "), 30_000), "license that", 2, 1)).first()[0]
+    assert time.monotonic() - started < 60

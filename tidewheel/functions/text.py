@@ -33,16 +33,21 @@ def near_in_any(fields: list[Column], word: str, distance: int = 2) -> Column:
 def near_phrase(text: Column, phrase: str, slop: int = 1, distance: int = 1) -> Column:
     """The phrase's words occur in order, each within an edit distance, with at most slop other tokens between.
 
-    Places are kept as a list a word: those of the next word that follow some place of the last one.
+    One walk over the tokens, which keeps for each word but the last the latest place where the phrase so far may end: an
+    earlier one reaches no further. The phrase is found where its last word follows in reach.
     """
     words = phrase.lower().split()
-    own = tokens(text)
-    places = lambda w: F.filter(F.transform(own, lambda t, i: F.when(F.levenshtein(t, F.lit(w), distance) >= 0, i)), lambda i: i.isNotNull())
-    after = lambda last, here: F.filter(here, lambda i: F.exists(last, lambda j: (i > j) & (i <= j + 1 + slop)))
-    now = places(words[0])
-    for w in words[1:]:
-        now = after(now, places(w))
-    return F.size(now) > 0
+    last = len(words) - 1
+    is_word = lambda t, w: (F.length(t) >= len(w) - distance) & (F.length(t) <= len(w) + distance) & (F.levenshtein(t, F.lit(w), distance) >= 0)
+
+    def step(s: Column, t: Column) -> Column:
+        """s: the token's place, the latest places, and whether the phrase has been found."""
+        ends = [is_word(t, w) if k == 0 else (s[f"p{k - 1}"] >= s["at"] - 1 - slop) & is_word(t, w) for k, w in enumerate(words)]
+        places = [F.when(ends[k], s["at"]).otherwise(s[f"p{k}"]).alias(f"p{k}") for k in range(last)]
+        return F.struct((s["at"] + 1).alias("at"), *places, (s["found"] | ends[last]).alias("found"))
+
+    start = F.struct(F.lit(0).alias("at"), *(F.lit(-2 - slop).alias(f"p{k}") for k in range(last)), F.lit(False).alias("found"))
+    return F.aggregate(tokens(text), start, step)["found"]
 
 
 def similarity(a: Column, b: Column) -> Column:
