@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidewheel.functions.text import near_phrase
+from tidewheel.functions.times import FORMS, MORE_FORMS, NO_DATE, _in_form, parsed
 from tidewheel.operators import annotations as A
 from tidewheel.operators.slicing import events_in_client_slices
 
@@ -69,3 +70,21 @@ def test_near_phrase_takes_linear_time(spark):
     started = time.monotonic()
     assert not spark.range(1).select(near_phrase(F.repeat(F.lit("license x x x that "), 30_000), "license that", 2, 1)).first()[0]
     assert time.monotonic() - started < 60
+
+
+def test_dates_are_tried_in_fitting_forms_only(spark):
+    r = random.Random(7)
+    part = lambda: r.choice(("1", "05", "12", "24", "2024") if r.random() < 0.8 else ("1", "05", "13", "31", "005", "24", "68", "69", "2024", "12024", "+12024", "-5", "Jan", "", "100"))
+    texts = []
+    for _ in range(6000):
+        a, b = r.choice("/-. "), r.choice(":.")
+        time_ = r.choice(((), (" ", part(), b, part()), (" ", part(), b, part(), b, part())))
+        texts.append("".join((part(), a, part(), r.choice((a, "/")), part(), *time_)))
+    df = spark.createDataFrame([(t,) for t in [*texts, None, " nan ", "2024-01-05T10:00:00+01:00", " 5/1/24 "]], "t string")
+    forms = FORMS + MORE_FORMS
+    said = F.when(~F.lower(F.trim("t")).isin(*NO_DATE), F.trim("t"))
+    iso = F.convert_timezone(F.current_timezone(), F.lit("UTC"), said.try_cast("timestamp").cast("timestamp_ntz"))
+    out = df.select("t", parsed(F.col("t")).cast("string").alias("got"), F.coalesce(iso, *(_in_form(said, f) for f in forms)).cast("string").alias("want"))
+    rows = out.collect()
+    assert [x for x in rows if x["got"] != x["want"]] == [] and sum(x["got"] is not None for x in rows) > 300
+    assert df.select(parsed(F.col("t")))._jdf.queryExecution().optimizedPlan().toString().count("trim(") < 5
