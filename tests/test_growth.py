@@ -13,6 +13,8 @@ from tidewheel.functions.times import FORMS, MORE_FORMS, NO_DATE, _in_form, pars
 from tidewheel.operators import annotations as A
 from tidewheel.operators.slicing import events_in_client_slices
 
+from tidewheel.sources import tables as T
+
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 
@@ -88,3 +90,19 @@ def test_dates_are_tried_in_fitting_forms_only(spark):
     rows = out.collect()
     assert [x for x in rows if x["got"] != x["want"]] == [] and sum(x["got"] is not None for x in rows) > 300
     assert df.select(parsed(F.col("t")))._jdf.queryExecution().optimizedPlan().toString().count("trim(") < 5
+
+
+def test_rows_of_a_keyed_table_are_made_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def key(n):
+        made.add(1)
+        return f"k{n % 10}"
+
+    rows = spark.range(500).select(key("id").alias("k"), "id")
+    T.write_keyed(rows, f"{tmp_path}/t", "k", 4)
+    assert made.value == 500
+    T.replace_keys(rows.where("id < 100"), f"{tmp_path}/t", "k", 4)
+    assert made.value <= 1000 and T.read_keyed(spark, f"{tmp_path}/t", "k").count() == 100
+    assert not rows.is_cached
