@@ -60,3 +60,10 @@ def test_middle_values(spark):
     df = spark.createDataFrame(rows, "k string, v double, ts timestamp")
     got = {x["k"]: (x["n"], x["median"], x["mode"]) for x in quantiles.with_order_statistics(df, ["k"], "v", [F.count("v").alias("n")]).collect()}
     assert got == {"a": (2, 2.0, 1.0), "b": (1, 5.0, 5.0), "c": (5, 2.0, 1.0), "d": (3, 6.0, 4.0)}
+
+
+def test_maps_are_made_where_features_lie(spark):
+    """Before: the union of all features was shuffled."""
+    lines = executed(entry.queries()["run_cohort"](spark, SF)).splitlines()
+    at = next(i for i, line in enumerate(lines) if line.strip(" :+-*").startswith("Union") and i < 30)
+    assert not any("Exchange" in line for line in lines[:at])
